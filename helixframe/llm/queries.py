@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat, pieces, pii, secrets, simhash, urls
+from . import chat, pieces, pii, rules, secrets, simhash, urls
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
+    "op5_rules": rules.op5_rules,
     "op6_chat": chat.op6_chat,
     "op7_simhash": simhash.op7_simhash,
     "op8_pii": pii.op8_pii,
     "op9_urls": urls.op9_urls,
     "op10_secrets": secrets.op10_secrets,
 }
-ORACLE = {"op6_chat": chat.OP6_SQL, "op9_urls": urls.OP9_SQL}
+ORACLE = {"op5_rules": rules.OP5_SQL, "op6_chat": chat.OP6_SQL, "op9_urls": urls.OP9_SQL}
