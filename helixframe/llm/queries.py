@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, pieces, pii, rules, secrets, simhash, urls
+from . import chat, pieces, pii, quality, rules, secrets, simhash, urls
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
+    "op4_quality": quality.op4_quality,
     "op5_rules": rules.op5_rules,
     "op6_chat": chat.op6_chat,
     "op7_simhash": simhash.op7_simhash,
