@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, pieces, pii, quality, rules, secrets, simhash, urls
+from . import chat, lines, pieces, pii, quality, rules, secrets, simhash, urls
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
+    "op2_lines": lines.op2_lines,
     "op4_quality": quality.op4_quality,
     "op5_rules": rules.op5_rules,
     "op6_chat": chat.op6_chat,
@@ -14,4 +15,4 @@ QUERIES = {
     "op9_urls": urls.op9_urls,
     "op10_secrets": secrets.op10_secrets,
 }
-ORACLE = {"op5_rules": rules.OP5_SQL, "op6_chat": chat.OP6_SQL, "op9_urls": urls.OP9_SQL}
+ORACLE = {"op2_lines": lines.OP2_SQL, "op5_rules": rules.OP5_SQL, "op6_chat": chat.OP6_SQL, "op9_urls": urls.OP9_SQL}
