@@ -1,6 +1,34 @@
-STAGES = []
+"""From raw documents to token ids: five stages over whole tables, each on what the one before has kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and read again as the next stage's docs. All but the last return the
+columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from helixframe.llm import leaks, lines, pieces, rules, simhash
+from helixframe.llm.common import read_table, written
+
+STAGES = [
+    ("quality rules", rules.stage),
+    ("line dedup", lines.stage),
+    ("simhash near-dedup", simhash.stage),
+    ("benchmark decontamination", leaks.stage),
+    ("sentencepiece", pieces.stage),
+]
+
+#: SQL can neither hash shingles by XXH64 nor encode; tests hold run() against a plain Python version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows for ``documents`` of ``sf_dir``."""
+    docs = read_table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = written(docs)
+    return docs

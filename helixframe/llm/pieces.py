@@ -290,3 +290,11 @@ def op1_sentencepiece(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     both = decode(encode(docs, model), model)
     return both.select("doc_id", (F.octet_length("ids_le") / 4).cast("long").alias("n_tokens"), F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Last pipeline stage: the ids of each document, and whether decoding them gives back its text."""
+    model = default_model()
+    both = decode(encode(docs.select("doc_id", "lang", "source", "text"), model), model)
+    n = (F.octet_length("ids_le") / 4).cast("long").alias("n_tokens")
+    return both.select("doc_id", "lang", "source", n, "ids_le", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))

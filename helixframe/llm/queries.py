@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, lines, pieces, pii, quality, rules, secrets, simhash, urls
+from . import chat, leaks, lines, pieces, pii, quality, rules, secrets, simhash, urls
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_lines": lines.op2_lines,
+    "op3_leaks": leaks.op3_leaks,
     "op4_quality": quality.op4_quality,
     "op5_rules": rules.op5_rules,
     "op6_chat": chat.op6_chat,

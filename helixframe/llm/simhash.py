@@ -119,6 +119,19 @@ def fingerprint_links(fps: DataFrame, most: int = 3) -> DataFrame:
     return cold.unionByName(hot)
 
 
+def fingerprint_classes(marked: DataFrame, most: int = 3) -> DataFrame:
+    """``fp``, ``root`` (the least fingerprint that links reach) and ``component_id`` (the least doc_id) of each fingerprint in ``marked``."""
+    fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    labels = connected_components(fingerprint_links(fps.select("fp"), most))
+    named = fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return written(named.select("fp", "root").join(least, "root").select("fp", "root", "component_id"))
+
+
+def _marked(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    return written(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", width).select("doc_id", "fp"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = 3, width: int = 3) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``fp`` and ``component_id``, the least doc_id that links reach.
 
@@ -128,15 +141,31 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     doc_ids a component takes the least that is not null; if it has none the
     component is null. An empty table gives an empty result.
     """
-    marked = written(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", width).select("doc_id", "fp"))
-    fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    labels = connected_components(fingerprint_links(fps.select("fp"), most))
-    named = fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = written(named.select("fp", "root").join(least, "root").select("fp", "component_id"))
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    marked = _marked(docs, doc_id, text, width)
+    return marked.join(fingerprint_classes(marked, most).drop("root"), "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, most: int = 3, width: int = 5) -> DataFrame:
+    """``docs`` (with ``doc_id`` and ``text``) with one document of each group of near duplicates: that of the least doc_id.
+
+    Five-word shingles by default. Of rows that repeat a doc_id within a group any one stays; a
+    group without any doc_id keeps one row. The columns stay as they are.
+    """
+    marked = _marked(docs, "doc_id", "text", width)
+    classes = fingerprint_classes(marked, most)
+    names = docs.columns
+    rows = with_fingerprint(docs.select(F.struct(*names).alias("__row"), F.col("doc_id").alias("__id"), "text"), "text", width).drop("text")
+    kept = rows.join(classes, "fp").where(F.col("__id").eqNullSafe(F.col("component_id")))
+    if not marked.groupBy("doc_id", "fp").count().where("count > 1 or doc_id is null").isEmpty() or not marked.groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["root", "component_id"])
+    return kept.select("__row.*")
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
     out = near_duplicates(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: one document of each near-duplicate group stays."""
+    return one_of_each(docs.select("doc_id", "text", "lang", "source", "n_chars"))
