@@ -170,6 +170,14 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, chars: int) -> Iterat
         yield [(r[0], r[1]) for r in part.toLocalIterator()]
 
 
+def _finder(index, kind: str):
+    @F.pandas_udf(kind)
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([[{"item_id": i, "edits": e, "end": at} for i, e, at in index.value.find(normal(t))] for t in texts])
+
+    return run
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with ``leaks``: an array of (item_id, edits, end), one for each item that the text holds, by item_id.
 
@@ -184,13 +192,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     names = []
     for k, items in enumerate(_blocks(benchmark, item_id, item_text, block_chars)):
         index = docs.sparkSession.sparkContext.broadcast(Patterns(items))
-
-        @F.pandas_udf(kind)
-        def run(texts: pd.Series, index=index) -> pd.Series:
-            return pd.Series([[{"item_id": i, "edits": e, "end": at} for i, e, at in index.value.find(normal(t))] for t in texts])
-
         names.append(f"__leaks{k}")
-        out = out.withColumn(names[-1], run(F.col(text)))
+        out = out.withColumn(names[-1], _finder(index, kind)(F.col(text)))
         found = F.concat(found, F.col(names[-1]))
     return out.withColumn("leaks", F.array_sort(found)).drop(*names)
 
