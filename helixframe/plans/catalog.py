@@ -1,4 +1,388 @@
-"""Registered queries and their SQL."""
+"""Registered queries over the table projections, each with the same in SQL where SQL can say it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import variant as v
+from ..operators import annotate, clusters, coverage, germline, merge, rna_edit, strand
+from ..operators.ranges import near_any
+from .fixtures import table, with_tables
 
 QUERIES: dict = {}
-SQL: dict = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, tables: str = "", sql: str | None = None):
+    """Registers a query; ``sql`` follows the projections ``tables`` as further common table expressions."""
+
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(*(table(spark, sf_dir, t) for t in tables.split()))
+
+        run.__name__ = name
+        run.__doc__ = f.__doc__
+        QUERIES[name] = run
+        if sql:
+            SQL[name] = with_tables(sql, *tables.split())
+        return f
+
+    return add
+
+
+def of(calls: DataFrame, source: str) -> DataFrame:
+    return calls.where(F.col("source_set") == source)
+
+
+def qc_ready(calls: DataFrame) -> DataFrame:
+    ints = lambda a, b: F.array(F.col(a).cast("int"), F.col(b).cast("int"))
+    return calls.withColumns({"normal_ad": ints("normal_ref", "normal_alt"), "rna_ad": ints("ad_ref", "ad_alt")})
+
+
+_SIG = "CASE WHEN ref || '>' || alt IN ('A>G', 'T>C') THEN 'ADAR' WHEN ref || '>' || alt IN ('C>T', 'G>A') THEN 'APOBEC3' ELSE 'OTHER' END"
+_ANTI = "rna AS (SELECT * FROM calls c WHERE source_set = 'RNA_EDIT' AND NOT EXISTS (SELECT 1 FROM calls d WHERE d.source_set <> 'RNA_EDIT' AND d.patient = c.patient AND d.chrom = c.chrom AND d.pos = c.pos))"
+_QC = """CASE WHEN normal_ref + normal_alt = 0 OR ad_ref + ad_alt = 0 THEN 'MISSING' WHEN normal_ref + normal_alt < 10 THEN 'NORMAL_DP' WHEN normal_alt > 1 THEN 'NORMAL_ALT'
+  WHEN normal_alt::DOUBLE / (normal_ref + normal_alt) >= 0.05 THEN 'NORMAL_VAF' WHEN ad_ref + ad_alt < 10 THEN 'RNA_DP' WHEN ad_alt < 3 THEN 'RNA_ALT' WHEN ad_alt::DOUBLE / (ad_ref + ad_alt) < 0.05 THEN 'RNA_VAF' END"""
+
+
+# --- RNA-edit branch ------------------------------------------------------------------------------------
+
+
+@query("rna_edit_funnel", "calls", f""", {_ANTI}
+SELECT patient, {_SIG} AS signature, coalesce({_QC}, 'KEPT') AS outcome, count(*) AS n FROM rna WHERE {_SIG} <> 'OTHER' GROUP BY ALL""")
+def rna_edit_funnel(calls):
+    """RNA calls at no DNA position, with an edit signature, by what the depth checks say."""
+    rna = rna_edit.without_positions(of(calls, "RNA_EDIT"), calls.where("source_set <> 'RNA_EDIT'"))
+    kept = rna_edit.paired_qc(qc_ready(rna_edit.edit_signature(rna)))
+    return kept.groupBy("patient", v.signature(F.col("ref"), F.col("alt")).alias("signature"), F.coalesce("drop_reason", F.lit("KEPT")).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query("anti_join_positions", "calls", f", {_ANTI} SELECT rid, patient, chrom, pos FROM rna")
+def anti_join_positions(calls):
+    return rna_edit.without_positions(of(calls, "RNA_EDIT"), calls.where("source_set <> 'RNA_EDIT'")).select("rid", "patient", "chrom", "pos")
+
+
+@query("edit_signature", "calls", f" SELECT rid, ref, alt, {_SIG} AS signature FROM calls WHERE {_SIG} <> 'OTHER'")
+def edit_signature(calls):
+    return rna_edit.edit_signature(calls).select("rid", "ref", "alt", v.signature(F.col("ref"), F.col("alt")).alias("signature"))
+
+
+@query("signature_counts", "calls", f""" SELECT patient, count(*) AS total, 0 AS non_snv, count(*) FILTER (WHERE {_SIG} = 'OTHER') AS no_signature,
+  count(*) FILTER (WHERE {_SIG} = 'ADAR') AS adar_only, count(*) FILTER (WHERE {_SIG} = 'APOBEC3') AS apobec3_only, 0 AS both FROM calls GROUP BY patient""")
+def signature_counts(calls):
+    return rna_edit.signature_counts(calls)
+
+
+@query("paired_qc", "calls", f" SELECT rid, {_QC} AS drop_reason FROM calls")
+def paired_qc(calls):
+    return rna_edit.paired_qc(qc_ready(calls)).select("rid", "drop_reason")
+
+
+@query("qc_drop_counts", "calls", f" SELECT patient, {_QC} AS drop_reason, count(*) AS n FROM calls GROUP BY ALL")
+def qc_drop_counts(calls):
+    return rna_edit.paired_qc(qc_ready(calls)).groupBy("patient", "drop_reason").agg(F.count("*").alias("n"))
+
+
+@query("known_sites", "calls", """, known AS (SELECT chrom, pos, ref, alt, min(known_db) AS db FROM calls WHERE source_set = 'RNA_EDIT' AND known_db IS NOT NULL GROUP BY ALL)
+SELECT rid, db AS known_db FROM calls LEFT JOIN known USING (chrom, pos, ref, alt)""")
+def known_sites(calls):
+    known = of(calls, "RNA_EDIT").where("known_db is not null").select("chrom", "pos", "ref", "alt", "known_db")
+    return rna_edit.with_known_sites(calls.drop("known_db"), known).select("rid", "known_db")
+
+
+@query("lane_collapse", "calls", """, l AS (SELECT patient, chrom, pos, ref, alt, sum(ad_ref) AS r, sum(ad_alt) AS a FROM calls GROUP BY ALL)
+SELECT patient, chrom, pos, ref, alt, r || ',' || a AS ad, r + a AS dp, CASE WHEN r + a > 0 THEN a::DOUBLE / (r + a) END AS af, CASE WHEN a > 0 THEN '0/1' ELSE '0/0' END AS gt FROM l""")
+def lane_collapse(calls):
+    key = ["patient", "chrom", "pos", "ref", "alt"]
+    lanes = qc_ready(calls).select(*key, "lane", "rid", F.col("rna_ad").alias("ad"), (F.col("ad_ref") + F.col("ad_alt")).alias("dp"))
+    out = rna_edit.collapse_lanes(lanes, key, ["lane", "rid"])
+    return out.select(*key, F.array_join(F.col("ad").cast("array<string>"), ",").alias("ad"), "dp", "af", "gt")
+
+
+@query("motif", "calls", """, s AS (SELECT chrom AS contig, string_agg(ref, '' ORDER BY rid) AS seq FROM calls GROUP BY chrom)
+SELECT rid, coalesce((ref = 'C' AND alt = 'T' AND pos > 3 AND substr(seq, pos - 3, 5) = 'CATCG') OR (ref = 'G' AND alt = 'A' AND pos > 1 AND substr(seq, pos - 1, 5) = 'CGATG'), false) AS motif
+FROM calls LEFT JOIN s ON contig = chrom""")
+def motif(calls):
+    """The reference here is one sequence per chromosome, spelt by the calls themselves."""
+    seq = calls.groupBy(F.col("chrom").alias("contig")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rid", "ref"))), lambda x: x["ref"]), "").alias("seq"))
+    return rna_edit.with_motif(calls, rna_edit.reference_chunks(seq, 1000), 1000).select("rid", "motif")
+
+
+# --- germline branch ------------------------------------------------------------------------------------
+
+
+@query("filter_labels", "calls", """, w AS (SELECT *, ad_ref + ad_alt AS dp, ad_ref / 10.0 AS qd, lead(pos, 2) OVER o AS n2, lag(pos, 2) OVER o AS p2, lead(pos) OVER o AS n1, lag(pos) OVER o AS p1 FROM calls WINDOW o AS (PARTITION BY patient, chrom ORDER BY pos, rid))
+SELECT rid, coalesce(nullif(concat_ws(';', CASE WHEN dp < 10 THEN 'LowDepth' END, CASE WHEN qd < 2 THEN 'LowQualityByDepth' END, CASE WHEN n2 - pos < 15 OR n1 - p1 < 15 OR pos - p2 < 15 THEN 'SnpCluster' END), ''), 'PASS') AS filter FROM w""")
+def filter_labels(calls):
+    return germline.filter_labels(calls.withColumns({"dp": F.col("ad_ref") + F.col("ad_alt"), "qd": F.col("ad_ref") / 10.0})).select("rid", "filter")
+
+
+@query("near_tumour", "calls", " SELECT rid FROM calls g WHERE source_set = 'GERMLINE' AND EXISTS (SELECT 1 FROM calls s WHERE s.source_set <> 'GERMLINE' AND s.patient = g.patient AND s.chrom = g.chrom AND s.pos BETWEEN g.pos - 33 AND g.pos + 33)")
+def near_tumour(calls):
+    return germline.near_tumour(of(calls, "GERMLINE"), of(calls, "SOMATIC"), of(calls, "RNA_EDIT")).select("rid")
+
+
+@query("near_phased", "calls", """ SELECT rid FROM calls g WHERE source_set = 'GERMLINE' AND EXISTS (SELECT 1 FROM calls s WHERE s.source_set = 'SOMATIC' AND s.patient = g.patient AND s.chrom = g.chrom
+  AND s.pos BETWEEN g.pos - 33 AND g.pos + 33 AND (g.gt = '1/1' OR (g.gt LIKE '%|%' AND g.gt = s.gt AND g.ps = s.ps)))""")
+def near_phased(calls):
+    return germline.near_phased(of(calls, "GERMLINE"), of(calls, "SOMATIC")).select("rid")
+
+
+# --- annotation -----------------------------------------------------------------------------------------
+
+_SET = "coalesce(nullif(string_agg(DISTINCT {0}, '|' ORDER BY {0}), ''), 'NA') AS {1}"
+_X = "nullif(regexp_extract(extra, '(?:^|;){0}=([^;]*)', 1), '')"
+_STRAND = "CASE regexp_extract(extra, '(?:^|;)STRAND=([^;]*)', 1) WHEN '1' THEN '+' WHEN '-1' THEN '-' END"
+_VX = f"vx AS (SELECT *, {_X.format('SYMBOL')} AS symbol, {_STRAND} AS strand, {_X.format('BIOTYPE')} AS biotype, {_X.format('CANONICAL')} AS canonical, {_X.format('FLAGS')} AS flags FROM vep)"
+_COLLAPSED = "col AS (SELECT patient, chrom, pos, alt, " + ", ".join(_SET.format(a, b) for a, b in (("gene", "genes"), ("feature", "features"), ("consequence", "consequences"), ("symbol", "symbols"), ("strand", "strands"), ("biotype", "biotypes"))) + " FROM vx GROUP BY patient, chrom, pos, alt)"
+_SETS = ("genes", "features", "consequences", "symbols", "strands", "biotypes")
+
+
+@query("vep_collapse", "vep", f", {_VX}, {_COLLAPSED} SELECT patient, replace(chrom, 'chr', '') AS chrom_norm, pos, alt, {', '.join(_SETS)} FROM col")
+def vep_collapse(vep):
+    return annotate.collapse(vep)
+
+
+@query("variant_table", "calls vep", f", {_VX}, {_COLLAPSED} SELECT rid, chrom || '_' || pos || '_' || ref || '/' || alt AS uploaded, {', '.join(f'''coalesce({c}, 'NA') AS {c}''' for c in _SETS)} FROM calls LEFT JOIN col USING (patient, chrom, pos, alt)")
+def variant_table(calls, vep):
+    return annotate.variant_table(calls, annotate.collapse(vep)).select("rid", "uploaded", *_SETS)
+
+
+@query("two_tier_lookup", "calls vep", """, f AS (SELECT patient, chrom, pos, ref, alt, arg_max(gt, rid) AS gt, arg_max(ps, rid) AS ps FROM calls WHERE source_set = 'SOMATIC' GROUP BY ALL),
+a AS (SELECT patient, chrom, pos, alt, arg_max(gt, rid) AS agt, arg_max(ps, rid) AS aps FROM calls WHERE source_set = 'SOMATIC' GROUP BY ALL)
+SELECT vep.rid, t, CASE WHEN gt IS NOT NULL THEN 'full' WHEN agt IS NOT NULL THEN 'alt' ELSE 'none' END AS tier, coalesce(gt, agt) AS gt, coalesce(ps, aps) AS ps
+FROM vep LEFT JOIN f USING (patient, chrom, pos, ref, alt) LEFT JOIN a USING (patient, chrom, pos, alt)""")
+def two_tier_lookup(calls, vep):
+    return annotate.two_tier(vep.select("patient", "chrom", "pos", "ref", "alt", "rid", "t"), of(calls, "SOMATIC").select("patient", "chrom", "pos", "ref", "alt", "rid", "gt", "ps"), ["gt", "ps"]).select("rid", "t", "tier", "gt", "ps")
+
+
+_BEST = f""", {_VX}, rk AS (SELECT *, CASE WHEN regexp_matches(consequence, '(^|,)frameshift_variant(,|$)') THEN 1 WHEN regexp_matches(consequence, '(^|,)inframe_(insertion|deletion)(,|$)') THEN 2
+  WHEN regexp_matches(consequence, '(^|,)missense_variant(,|$)') THEN 3 WHEN regexp_matches(consequence, '(^|,)synonymous_variant(,|$)') THEN 4 ELSE 9 END AS rank,
+  count(*) OVER (PARTITION BY patient, uploaded, amino_acids) AS aa_count, count(*) OVER (PARTITION BY patient, uploaded) AS rows FROM vx),
+best AS (SELECT * FROM rk QUALIFY row_number() OVER (PARTITION BY patient, uploaded ORDER BY CASE feature_type WHEN 'Transcript' THEN 0 ELSE 1 END, rank, CASE WHEN protein_position <> '-' AND amino_acids <> '-' THEN 0 ELSE 1 END,
+  CASE WHEN contains(consequence, 'NMD_transcript_variant') THEN 1 ELSE 0 END, CASE WHEN canonical = 'YES' THEN 0 ELSE 1 END, CASE WHEN flags IS NULL THEN 0 ELSE 1 END, aa_count DESC, feature, rid, t) = 1)"""
+_PRIMARY = "CASE rank WHEN 1 THEN 'frameshift_variant' WHEN 2 THEN 'inframe_deletion' WHEN 3 THEN 'missense_variant' WHEN 4 THEN 'synonymous_variant' ELSE split_part(consequence, ',', 1) END"
+
+
+@query("best_transcript", "vep", f"{_BEST} SELECT patient, uploaded, feature, rank, {_PRIMARY} AS primary_consequence, aa_count, rows FROM best")
+def best_transcript(vep):
+    return annotate.best_transcript(vep).select("patient", "uploaded", "feature", "rank", F.col("primary").alias("primary_consequence"), "aa_count", "rows")
+
+
+@query("dedup_counts", "vep", f"{_BEST} SELECT 'raw' AS stage, {_PRIMARY} AS primary_consequence, count(*) AS n FROM rk GROUP BY ALL UNION ALL SELECT 'kept', {_PRIMARY}, count(*) FROM best GROUP BY ALL")
+def dedup_counts(vep):
+    one = lambda df, stage: df.groupBy(F.lit(stage).alias("stage"), v.primary_consequence(F.col("consequence")).alias("primary_consequence")).agg(F.count("*").alias("n"))
+    return one(vep, "raw").unionByName(one(annotate.best_transcript(vep), "kept"))
+
+
+@query("dedup_metrics", "vep", f"{_BEST} SELECT patient, sum(rows)::BIGINT AS raw_rows, count(*) AS variants, count(*) FILTER (WHERE rows > 1) AS several, (sum(rows) - count(*))::BIGINT AS filtered FROM best GROUP BY patient")
+def dedup_metrics(vep):
+    return annotate.best_transcript(vep).groupBy("patient").agg(F.sum("rows").alias("raw_rows"), F.count("*").alias("variants"), F.count_if(F.col("rows") > 1).alias("several"), (F.sum("rows") - F.count("*")).alias("filtered"))
+
+
+_SUM = f""", {_VX}, st AS (SELECT patient, uploaded, any_value(ref) AS ref, any_value(alt) AS alt, coalesce(string_agg(DISTINCT strand, '|' ORDER BY strand), '') AS strands, count(DISTINCT strand) AS k,
+  {_SET.format('consequence', 'consequences')}, {_SET.format('feature', 'features')} FROM vx GROUP BY ALL),
+ss AS (SELECT *, CASE k WHEN 0 THEN 'MISSING' WHEN 1 THEN 'UNIQUE' ELSE 'AMBIGUOUS' END AS status, CASE strands WHEN '+' THEN ref || '>' || alt WHEN '-' THEN translate(ref, 'ACGT', 'TGCA') || '>' || translate(alt, 'ACGT', 'TGCA') END AS change FROM st),
+sm AS (SELECT *, CASE change WHEN 'A>G' THEN 'ADAR' WHEN 'C>T' THEN 'APOBEC3' ELSE 'OTHER' END AS class FROM ss)"""
+
+
+@query("strand_summary", "vep", _SUM + " SELECT patient, uploaded, strands, status, change, class, consequences, features, status = 'UNIQUE' AND class <> 'OTHER' AS keep FROM sm")
+def strand_summary(vep):
+    return annotate.strand_filter(annotate.strand_summary(vep))
+
+
+@query("position_conflicts", "calls vep", _SUM + """, j AS (SELECT c.rid, c.source_set, coalesce(status, 'MISSING_VEP_ANNOTATION') AS strand_status, c.patient, c.chrom, c.pos FROM calls c LEFT JOIN sm ON sm.patient = c.patient AND sm.uploaded = c.chrom || '_' || c.pos || '_' || c.ref || '/' || c.alt),
+k AS (SELECT *, count(*) FILTER (WHERE source_set = 'RNA_EDIT') OVER p AS n, count(*) FILTER (WHERE source_set = 'RNA_EDIT' AND strand_status = 'UNIQUE') OVER p AS u FROM j WINDOW p AS (PARTITION BY patient, chrom, pos))
+SELECT rid, strand_status, CASE WHEN source_set <> 'RNA_EDIT' THEN 'PASS' WHEN n = 1 THEN 'SINGLETON_KEEP' WHEN u = 1 AND strand_status = 'UNIQUE' THEN 'UNIQUE_KEEP' WHEN u = 1 THEN 'CONFLICT_DROP' ELSE 'KEEP_ALL' END AS decision FROM k""")
+def position_conflicts(calls, vep):
+    return annotate.position_conflicts(calls, annotate.strand_summary(vep)).select("rid", "strand_status", "decision")
+
+
+@query("coding_calls", "calls vep", f""", {_VX} SELECT rid FROM calls c WHERE EXISTS (SELECT 1 FROM vx WHERE vx.patient = c.patient AND vx.chrom = c.chrom AND vx.pos = c.pos AND vx.alt = c.alt
+  AND regexp_matches(consequence, '(^|[,&])(frameshift_variant|inframe_insertion|inframe_deletion|missense_variant)([,&]|$)') AND coalesce(biotype, 'protein_coding') = 'protein_coding')""")
+def coding_calls(calls, vep):
+    allowed = vep.where(v.coding(F.col("consequence"), v.extra_value(F.col("extra"), "BIOTYPE"))).select("patient", "chrom", "pos", "alt").distinct()
+    return calls.join(allowed, ["patient", "chrom", "pos", "alt"], "left_semi").select("rid")
+
+
+# --- merge and composition ------------------------------------------------------------------------------
+
+_MERGED = """, f AS (SELECT patient, chrom, pos, alt, min(rid) AS r FROM calls GROUP BY ALL), al AS (SELECT patient, chrom, pos, list(alt ORDER BY r) AS alts FROM f GROUP BY ALL),
+g AS (SELECT patient, chrom, pos, arg_min(ref, rid) AS ref, string_agg(DISTINCT source_set, ',' ORDER BY source_set) AS source_set,
+  arg_min(gt, rid) FILTER (WHERE source_set = 'GERMLINE') AS g1, arg_min(alt, rid) FILTER (WHERE source_set = 'GERMLINE') AS a1, arg_min(gt, rid) FILTER (WHERE source_set = 'SOMATIC') AS g2, arg_min(alt, rid) FILTER (WHERE source_set = 'SOMATIC') AS a2,
+  arg_min(gt, rid) FILTER (WHERE source_set = 'RNA_EDIT') AS g3, arg_min(alt, rid) FILTER (WHERE source_set = 'RNA_EDIT') AS a3 FROM calls GROUP BY ALL),
+m AS (SELECT patient, chrom, pos, ref, array_to_string(alts, ',') AS alts, source_set, coalesce(replace(g1, '1', list_position(alts, a1)::VARCHAR), './.') AS gt_germline,
+  coalesce(replace(g2, '1', list_position(alts, a2)::VARCHAR), './.') AS gt_somatic, coalesce(replace(g3, '1', list_position(alts, a3)::VARCHAR), './.') AS gt_rna_edit FROM g JOIN al USING (patient, chrom, pos))"""
+
+
+@query("merge_sources", "calls", _MERGED + " SELECT * FROM m")
+def merge_sources(calls):
+    return merge.merge_sources(calls)
+
+
+def _composable(merged):
+    return merged.select("patient", "chrom", "pos", F.col("source_set").contains("RNA_EDIT").alias("is_edit"), F.col("gt_somatic").alias("gt_dna"), F.col("gt_rna_edit").alias("gt_rna"), F.col("gt_germline").alias("gt_normal"), F.lit(None).cast("string").alias("gt_merged"))
+
+
+_OK = "nullif({0}, './.')"
+_LADDER = _MERGED + """, c AS (SELECT patient, chrom, pos, contains(source_set, 'RNA_EDIT') AS e, nullif(gt_somatic, './.') AS d, nullif(gt_rna_edit, './.') AS r, nullif(gt_germline, './.') AS n FROM m)"""
+
+
+@query("compose_genotypes", "calls", _LADDER + """ SELECT patient, chrom, pos, CASE WHEN e THEN coalesce(r, d, n, '0/0') ELSE coalesce(d, r, n, '0/0') END AS tumour_gt,
+  CASE WHEN e AND r IS NOT NULL THEN 'rna' WHEN d IS NOT NULL THEN 'dna' WHEN r IS NOT NULL THEN 'rna' WHEN n IS NOT NULL THEN 'normal' ELSE 'hom_ref' END AS tumour_from FROM c""")
+def compose_genotypes(calls):
+    return merge.compose(_composable(merge.merge_sources(calls))).select("patient", "chrom", "pos", "tumour_gt", "tumour_from")
+
+
+@query("compose_dna_only", "calls", _LADDER + " SELECT patient, coalesce(d, n, '0/0') AS tumour_gt, CASE WHEN d IS NOT NULL THEN 'dna' WHEN n IS NOT NULL THEN 'normal' ELSE 'hom_ref' END AS tumour_from, count(*) AS k FROM c GROUP BY ALL")
+def compose_dna_only(calls):
+    return merge.compose(_composable(merge.merge_sources(calls)), dna_only=True).groupBy("patient", "tumour_gt", "tumour_from").agg(F.count("*").alias("k"))
+
+
+@query("missing_gate", "calls", " SELECT patient, count(*) FILTER (WHERE gt = './.') AS missing, count(*) AS records FROM calls GROUP BY patient")
+def missing_gate(calls):
+    return merge.missing_gate(calls.withColumnRenamed("gt", "tumour_gt"))
+
+
+@query("allele_counts", "calls", """, a AS (SELECT chrom, pos, ref, alt, unnest(regexp_extract_all(gt, '[0-9]')) AS x FROM calls)
+SELECT chrom, pos, ref, alt, count(*) AS an, count(*) FILTER (WHERE x <> '0') AS ac, count(*) FILTER (WHERE x <> '0')::DOUBLE / count(*) AS af FROM a GROUP BY ALL""")
+def allele_counts(calls):
+    return merge.allele_counts(calls, ["chrom", "pos", "ref", "alt"])
+
+
+# --- clusters and copies --------------------------------------------------------------------------------
+
+_CL = """, s AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY patient, chrom ORDER BY pos, rid) <= 33 THEN 0 ELSE 1 END AS nw FROM calls WHERE source_set = 'RNA_EDIT'),
+n AS (SELECT *, sum(nw) OVER (PARTITION BY patient, chrom ORDER BY pos, rid ROWS UNBOUNDED PRECEDING) AS no FROM s),
+mem AS (SELECT *, patient || ':' || chrom || ':' || min(pos) OVER g AS cluster_id FROM n WINDOW g AS (PARTITION BY patient, chrom, no) QUALIFY count(*) OVER g >= 2)"""
+
+
+@query("edit_clusters", "calls", _CL + " SELECT rid, cluster_id FROM mem")
+def edit_clusters(calls):
+    return clusters.clusters(of(calls, "RNA_EDIT")).select("rid", "cluster_id")
+
+
+@query("cluster_summary", "calls", _CL + f""", gn AS (SELECT cluster_id, 'G' || (gene_no % 50) AS gene, count(*) AS c, min((pos, rid)) AS first FROM mem GROUP BY ALL),
+top AS (SELECT cluster_id, gene AS top_gene FROM gn QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY c DESC, first) = 1)
+SELECT cluster_id, min(pos) AS start, max(pos) AS "end", count(*) AS n, count(*) FILTER (WHERE {_SIG} = 'ADAR') AS n_adar, count(*) FILTER (WHERE {_SIG} = 'APOBEC3') AS n_apobec3, count(*) FILTER (WHERE {_SIG} = 'OTHER') AS n_other,
+  avg(ad_ref + ad_alt) AS mean_dp, count(DISTINCT CASE WHEN gt <> './.' THEN ps END) <= 1 AS one_block, any_value(top_gene) AS top_gene FROM mem JOIN top USING (cluster_id) GROUP BY cluster_id""")
+def cluster_summary(calls):
+    members = clusters.clusters(of(calls, "RNA_EDIT").withColumn("gene", F.concat(F.lit("G"), (F.col("gene_no") % 50).cast("string"))))
+    return clusters.cluster_summary(members)
+
+
+_TOP = 20
+
+
+@query("top_clusters", "calls", _CL + f" SELECT cluster_id, count(*) AS n FROM mem GROUP BY cluster_id ORDER BY n DESC, cluster_id LIMIT {_TOP}")
+def top_clusters(calls):
+    """Report of the largest clusters."""
+    return clusters.clusters(of(calls, "RNA_EDIT")).groupBy("cluster_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cluster_id").limit(_TOP)
+
+
+@query("first_same_copy", "calls", """, a AS (SELECT *, gt = '1/1' AS h, CASE gt WHEN '1|0' THEN 1 WHEN '0|1' THEN 2 ELSE 0 END AS side FROM calls WHERE gt <> './.'),
+p AS (SELECT a.rid, a.patient, a.h, b.pos AS bp, b.rid AS br, (a.h OR b.h) OR (a.side > 0 AND a.side = b.side AND a.ps = b.ps) AS same, NOT (a.h OR b.h) AND (a.side > 0 AND a.side = b.side AND a.ps = b.ps) AS cis
+  FROM a JOIN a b ON a.source_set = 'GERMLINE' AND b.source_set = 'SOMATIC' AND a.patient = b.patient AND a.chrom = b.chrom AND b.pos BETWEEN a.pos - 33 AND a.pos + 33 AND a.rid <> b.rid)
+SELECT rid, patient, true AS near, bool_or(h OR same) AS same_copy, coalesce(arg_min(cis, (bp, br)) FILTER (WHERE same), false) AS cis FROM p GROUP BY rid, patient""")
+def first_same_copy(calls):
+    return clusters.first_same_copy(of(calls, "GERMLINE"), of(calls, "SOMATIC"))
+
+
+@query("copy_lanes", "calls", """ SELECT rid, '1' AS copy FROM calls WHERE gt = '1|0' UNION ALL SELECT rid, '2' FROM calls WHERE gt = '0|1' UNION ALL SELECT rid, 'U' FROM calls WHERE gt NOT LIKE '%|%'""")
+def copy_lanes(calls):
+    return clusters.copy_lanes(calls).select("rid", "copy")
+
+
+@query("phase_segments", "calls", """ SELECT rid, pos, lead(pos) OVER w AS next_pos FROM calls WHERE gt LIKE '%|%' WINDOW w AS (PARTITION BY patient, chrom, gt, ps ORDER BY pos, rid) QUALIFY next_pos IS NOT NULL""")
+def phase_segments(calls):
+    return clusters.phase_segments(calls).select("rid", "pos", "next_pos")
+
+
+@query("source_counters", "calls", " SELECT patient, count(*) AS merged_total, " + ", ".join(
+    f"count(*) FILTER (WHERE source_set = '{s}') AS {s.lower()}_total, count(*) FILTER (WHERE source_set = '{s}' AND gt LIKE '%|%') AS {s.lower()}_phased, count(*) FILTER (WHERE source_set = '{s}' AND gt = '1/1') AS {s.lower()}_hom, count(*) FILTER (WHERE source_set = '{s}' AND gt = '0/1') AS {s.lower()}_unphased_het"
+    for s in ("GERMLINE", "SOMATIC", "RNA_EDIT")) + ", count(*) FILTER (WHERE source_set = 'RNA_EDIT' AND known_db IS NOT NULL) AS rna_known FROM calls GROUP BY patient")
+def source_counters(calls):
+    return clusters.source_counters(calls)
+
+
+# --- coverage -------------------------------------------------------------------------------------------
+
+_COV = """, k AS (SELECT a.patient, a.chrom, a.start_pos, a.end_pos, a.cov AS cov_dn, b.cov AS cov_dt, c.cov AS cov_rt, (a.cov >= 20)::INT + 2 * (b.cov >= 20)::INT + 4 * (c.cov >= 20)::INT AS mask
+  FROM coverage a JOIN coverage b USING (patient, chrom, start_pos) JOIN coverage c USING (patient, chrom, start_pos) WHERE a.label = 'DN' AND b.label = 'DT' AND c.label = 'RT' AND regexp_matches(a.chrom, '^chr([0-9]|1[0-9]|2[0-2])$')),
+bn AS (SELECT patient, chrom, start_pos // 5000 * 5000 AS bin, count(*) AS n, avg((mask > 0)::INT) AS "any", avg((mask = 7)::INT) AS all_three, avg((mask NOT IN (0, 7))::INT) AS discordant, avg(cov_dn) AS mean_dn, avg(cov_dt) AS mean_dt, avg(cov_rt) AS mean_rt FROM k GROUP BY ALL)"""
+
+
+@query("coverage_categories", "coverage", _COV + """, t AS (SELECT patient, count(*) AS a, count(*) FILTER (WHERE mask > 0) AS c FROM k GROUP BY patient)
+SELECT patient, ['none', 'DN', 'DT', 'DN+DT', 'RT', 'DN+RT', 'DT+RT', 'DN+DT+RT'][mask + 1] AS category, count(*) AS intervals, sum(end_pos - start_pos)::BIGINT AS bp, count(*)::DOUBLE / any_value(a) AS share_all,
+  CASE WHEN mask > 0 THEN count(*)::DOUBLE / any_value(c) ELSE 0 END AS share_covered FROM k JOIN t USING (patient) GROUP BY patient, mask""")
+def coverage_categories(cov):
+    return coverage.categories(coverage.joined(cov))
+
+
+def _rounded(df, *keep):
+    """Means are rounded: engines add doubles in different orders."""
+    return df.select(*keep, *(F.round(c, 6).alias(c) for c, t in df.dtypes if c not in keep and t == "double"), *(c for c, t in df.dtypes if c not in keep and t != "double"))
+
+
+@query("coverage_bins", "coverage", _COV + """ SELECT patient, chrom, bin, n, round("any", 6) AS "any", round(all_three, 6) AS all_three, round(discordant, 6) AS discordant, round(mean_dn, 6) AS mean_dn, round(mean_dt, 6) AS mean_dt, round(mean_rt, 6) AS mean_rt FROM bn""")
+def coverage_bins(cov):
+    return _rounded(coverage.bins(coverage.joined(cov)), "patient", "chrom", "bin")
+
+
+@query("coverage_summary", "coverage", _COV + """ SELECT patient, count(*) AS n, """ + ", ".join(f"round(avg(cov_{x}), 6) AS mean_cov_{x}, round(median(cov_{x}), 6) AS median_cov_{x}" for x in ("dn", "dt", "rt")) + ", " + ", ".join(
+    f"round(count(*) FILTER (WHERE mask & {a} > 0 AND mask & {b} > 0)::DOUBLE / nullif(count(*) FILTER (WHERE mask & {a} > 0 OR mask & {b} > 0), 0), 6) AS jaccard_{x}_{y}, round(corr(cov_{x}, cov_{y}), 6) AS pearson_{x}_{y}"
+    for a, b, x, y in ((1, 2, "dn", "dt"), (1, 4, "dn", "rt"), (2, 4, "dt", "rt"))) + " FROM k GROUP BY patient")
+def coverage_summary(cov):
+    return _rounded(coverage.summary(coverage.joined(cov)), "patient")
+
+
+@query("cohort_bins", "coverage", _COV + """ SELECT chrom, bin, count(*) AS patients, round(avg("any"), 6) AS "any", round(avg(all_three), 6) AS all_three, round(avg(discordant), 6) AS discordant FROM bn GROUP BY ALL""")
+def cohort_bins(cov):
+    return _rounded(coverage.cohort_bins(coverage.bins(coverage.joined(cov))), "chrom", "bin")
+
+
+@query("worst_bins", "coverage", _COV + """ SELECT patient, chrom, bin, round(discordant, 6) AS discordant, round(all_three, 6) AS all_three FROM bn ORDER BY bn.discordant DESC, bn.all_three, patient, chrom, bin LIMIT 50""")
+def worst_bins(cov):
+    return _rounded(coverage.worst_bins(coverage.bins(coverage.joined(cov))), "patient", "chrom", "bin").select("patient", "chrom", "bin", "discordant", "all_three")
+
+
+@query("category_matrix", "coverage", _COV + " SELECT patient, " + ", ".join(f'count(*) FILTER (WHERE mask = {i}) AS "{c}"' for i, c in enumerate(coverage.LABELS)) + " FROM k GROUP BY patient")
+def category_matrix(cov):
+    return coverage.joined(cov).groupBy("patient").pivot("category", list(coverage.LABELS)).agg(F.count("mask")).fillna(0)
+
+
+# --- strand ---------------------------------------------------------------------------------------------
+
+_GS = """, h AS (SELECT rid, list_sort(list(DISTINCT strand) FILTER (WHERE feature = 'exon')) AS e, list_sort(list(DISTINCT strand) FILTER (WHERE feature = 'transcript')) AS t
+  FROM calls c JOIN gtf g ON g.chrom = c.chrom AND c.pos - 1 >= start0 AND c.pos - 1 < end0 GROUP BY rid),
+cs AS (SELECT c.*, coalesce(CASE WHEN len(e) > 0 THEN e ELSE t END, []) AS strands FROM calls c LEFT JOIN h USING (rid))"""
+
+
+@query("gene_strands", "calls gtf", _GS + " SELECT rid, array_to_string(strands, '|') AS strands FROM cs")
+def gene_strands(calls, gtf):
+    return strand.gene_strands(calls, gtf).select("rid", F.array_join("strands", "|").alias("strands"))
+
+
+_DEC = _GS + """, blk(cigar, r0, q0, n) AS (VALUES ('50M', 0, 0, 50), ('10S40M', 0, 10, 40), ('20M2D30M', 0, 0, 20), ('20M2D30M', 22, 20, 30), ('30M100N15M5S', 0, 0, 30), ('30M100N15M5S', 130, 30, 15)),
+ab AS (SELECT r.*, pos0 + r0 AS bs, pos0 + r0 + n AS be, q0, CASE WHEN ((flag & 16) <> 0) = ((flag & 129) = 129) THEN '-' ELSE '+' END AS rs FROM reads r JOIN blk USING (cigar) WHERE mapq >= 20 AND qual >= 20 AND flag & 3844 = 0),
+sp AS (SELECT c.rid, count(*) FILTER (WHERE rs = strands[1]) AS expected, count(*) FILTER (WHERE rs <> strands[1]) AS opposite, count(*) AS alt_reads FROM cs c JOIN ab ON ab.patient = c.patient AND ab.contig = c.chrom AND c.pos - 1 >= bs AND c.pos - 1 < be
+  AND len(strands) = 1 AND substr(seq, c.pos - 1 - bs + q0 + 1, 1) = c.alt GROUP BY c.rid),
+ct AS (SELECT DISTINCT patient, contig AS chrom, true AS there FROM reads),
+dec AS (SELECT cs.rid, coalesce(expected, 0) AS expected, coalesce(opposite, 0) AS opposite, coalesce(alt_reads, 0) AS alt_reads, CASE WHEN len(strands) = 0 THEN 'MISSING_TRANSCRIPT_STRAND' WHEN len(strands) > 1 THEN 'AMBIGUOUS_TRANSCRIPT_STRAND' WHEN there IS NULL THEN 'MISSING_BAM_CONTIG'
+  WHEN alt_reads IS NULL THEN 'NO_ALT_READ_SUPPORT' WHEN expected::DOUBLE / alt_reads < 0.8 THEN 'OPPOSITE_STRAND_ENRICHED' ELSE 'PASS' END AS reason FROM cs LEFT JOIN sp USING (rid) LEFT JOIN ct ON ct.patient = cs.patient AND ct.chrom = cs.chrom)"""
+
+
+def _decided(calls, gtf, reads):
+    rows = strand.gene_strands(calls, gtf)
+    return strand.decide(rows, strand.alt_support(rows, reads), reads.select("patient", "contig"))
+
+
+@query("strand_support", "calls gtf reads", _DEC + " SELECT * FROM dec")
+def strand_support(calls, gtf, reads):
+    return _decided(calls, gtf, reads).select("rid", "expected", "opposite", "alt_reads", "reason")
+
+
+@query("strand_reasons", "calls gtf reads", _DEC + " SELECT reason, count(*) AS n FROM dec GROUP BY reason")
+def strand_reasons(calls, gtf, reads):
+    return _decided(calls, gtf, reads).groupBy("reason").agg(F.count("*").alias("n"))
