@@ -213,7 +213,8 @@ def coding(consequence: Column, biotype: Column) -> Column:
 
 def number_text(v: Column, digits: int = 6) -> Column:
     """A number for a sink: no trailing zeros, NA for null."""
-    return F.coalesce(F.regexp_replace(F.regexp_replace(F.format_string(f"%.{digits}f", v.cast("double")), "0+$", ""), r"\.$", ""), F.lit("NA"))
+    text = F.regexp_replace(F.regexp_replace(F.format_string(f"%.{digits}f", v.cast("double")), "0+$", ""), r"\.$", "")
+    return F.when(v.isNull(), "NA").otherwise(text)
 
 
 def transcript_strand_of_read(flag: Column, protocol: str) -> Column:
