@@ -46,22 +46,17 @@ def best_paths(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
     there = known.select(F.col("node").alias("parent"), F.lit(True).alias("there"))
     first = known.join(there, "parent", "left").select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.lit(1).alias("length"), "score")
     steps = [written(first)]
-    # round k: up is the ancestor 2^k steps above, if there is one; length and score cover the way up to it, without it
-    while not steps[-1].where("up is not null").isEmpty():
-        if len(steps) > 40:
-            break
-        low = steps[-1]
-        high = low.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("length").alias("l2"), F.col("score").alias("s2"))
-        steps.append(
-            written(
-                low.join(high, "up", "left").select(
-                    "tree", "node", F.col("up2").alias("up"), (F.col("length") + F.coalesce("l2", F.lit(0))).alias("length"), (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score")
-                )
-            )
-        )
-        if len(steps) > 24 and steps[-1].where("up is null").count() == steps[-2].where("up is null").count():
-            break  # what still climbs goes round a cycle
-    full = steps[-1].where("up is null")
+    over = steps[0].where("up is null")  # those whose way to the root is complete
+    # step k: up is the ancestor 2^k steps above, if there is one; length and score cover the way up to it, without it.
+    # Only what still climbs goes on to the next step.
+    while not (climbing := steps[-1].where("up is not null")).isEmpty():
+        high = over.unionByName(climbing).select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("length").alias("l2"), F.col("score").alias("s2"))
+        steps.append(written(climbing.join(high, "up").select("tree", "node", F.col("up2").alias("up"), (F.col("length") + F.col("l2")).alias("length"), (F.col("score") + F.col("s2")).alias("score"))))
+        done = steps[-1].where("up is null")
+        if done.isEmpty():
+            break  # a tree ends at every depth up to its last: what climbs without end goes round a cycle
+        over = over.unionByName(done)
+    full = over
     parents = first.where("up is not null").select(F.col("up").alias("node"))
     leaves = full.join(parents, "node", "left_anti")
     rank = W.partitionBy("tree").orderBy(F.desc("score"), F.desc("length"), F.asc("node"))
