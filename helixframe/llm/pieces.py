@@ -25,7 +25,7 @@ from .common import read_table
 
 SPACE = "▁"
 #: Encoded words that a worker remembers; beyond that it starts anew.
-MEMORY = 700_000
+MEMORY = 150_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -279,6 +279,20 @@ def decode(docs: DataFrame, model: str, ids: str = "ids_le", out: str = "decoded
     return docs.withColumn(out, run(F.col(ids)))
 
 
+def encode_and_decode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids_le", decoded: str = "decoded", add_bos: bool = True, add_eos: bool = True) -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker per task, which holds one model and one batch of texts."""
+
+    @F.pandas_udf("struct<ids:binary,decoded:string>")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        p = pieces(model)
+        for batch in texts:
+            packed = [p.encode_packed(t, add_bos, add_eos) for t in batch]
+            yield pd.DataFrame({"ids": packed, "decoded": [p.decode_packed(x) for x in packed]})
+
+    out = docs.withColumn("__both", run(F.col(text)))
+    return out.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")
+
+
 def default_model() -> str:
     import public_tokenizers
 
@@ -288,13 +302,13 @@ def default_model() -> str:
 def op1_sentencepiece(spark, sf_dir: str) -> DataFrame:
     model = default_model()
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, model), model)
+    both = encode_and_decode(docs, model)
     return both.select("doc_id", (F.octet_length("ids_le") / 4).cast("long").alias("n_tokens"), F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last pipeline stage: the ids of each document, and whether decoding them gives back its text."""
     model = default_model()
-    both = decode(encode(docs.select("doc_id", "lang", "source", "text"), model), model)
+    both = encode_and_decode(docs.select("doc_id", "lang", "source", "text"), model)
     n = (F.octet_length("ids_le") / 4).cast("long").alias("n_tokens")
     return both.select("doc_id", "lang", "source", n, "ids_le", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
