@@ -9,7 +9,9 @@ other tokens and decoding the runs is decoding the whole text.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -20,6 +22,8 @@ from .common import read_table
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
+#: Texts that go through the field together; a worker holds the features of so many.
+TOGETHER = 256
 
 # --- fixed patterns ---------------------------------------------------------------------------------------
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -66,6 +70,18 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def touches(spans: Iterable[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether a (start, end) overlaps any of ``spans``, in logarithmic time."""
+    known = sorted(spans)
+    starts, reach = [s for s, _ in known], list(accumulate((e for _, e in known), max))
+
+    def hit(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return before > 0 and reach[before - 1] > start
+
+    return hit
+
+
 # --- the field --------------------------------------------------------------------------------------------
 #: The labelled table: texts with personal data marked as [kind value], and look-alikes left plain.
 LABELLED = (
@@ -251,17 +267,22 @@ def plausible(kind: str, value: str) -> bool:
     return "@" in value[1:-1]
 
 
-def find(texts: list[str], field: Field) -> list[tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]]:
-    """For each text the spans of the fixed patterns, and the further ones of the field that overlap none of them."""
+def find(texts: Iterable[str | None], field: Field) -> list[tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]]:
+    """For each text the spans of the fixed patterns, and the further ones of the field that overlap none of them. Null counts as empty."""
+    every = [t or "" for t in texts]
+    return [x for at in range(0, len(every), TOGETHER) for x in _find(every[at : at + TOGETHER], field)]
+
+
+def _find(texts: list[str], field: Field) -> list[tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]]:
     base, runs, where = [], [], []
     for n, text in enumerate(texts):
         live = bool(text) and _LIVE.search(text) is not None
         spans = base_spans(text) if live else []
         base.append(spans)
-        taken = sorted((s, e) for _, s, e in spans)
+        taken = touches((s, e) for _, s, e in spans)
         for run in _runs(text) if live else ():
             # what the patterns have found needs no second opinion, but stays as context of its neighbours
-            if all(any(s < b and a < e for a, b in taken) for s, e in run):
+            if all(taken(s, e) for s, e in run):
                 continue
             tokens = [text[s:e] for s, e in run]
             runs.append([_features(tokens, i) for i in range(len(tokens))])
@@ -281,7 +302,7 @@ def find(texts: list[str], field: Field) -> list[tuple[list[tuple[str, int, int]
                 s += 1
             while e > s and text[e - 1] in _TRIM:
                 e -= 1
-            if s < e and plausible(TAGS[tags[i]][2:], text[s:e]) and not any(s < b and a < e for a, b in taken):
+            if s < e and plausible(TAGS[tags[i]][2:], text[s:e]) and not taken(s, e):
                 added[n].append((TAGS[tags[i]][2:], s, e))
             i = j
     return list(zip(base, added))
@@ -301,7 +322,7 @@ def personal_data(docs: DataFrame, text: str = "text", labelled: tuple[str, ...]
 
     @F.pandas_udf(f"struct<{kind.replace('base ', 'base:').replace('added ', 'added:')}>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        found = find([t or "" for t in texts], field)
+        found = find(texts, field)
         rows = [[[{"kind": k, "start": s, "end": e} for k, s, e in sorted(x, key=lambda y: (KINDS.index(y[0]), y[1]))] for x in both] for both in found]
         return pd.DataFrame({"base": [r[0] for r in rows], "added": [r[1] for r in rows]})
 
@@ -316,7 +337,7 @@ def redact(docs: DataFrame, text: str = "text", labelled: tuple[str, ...] = LABE
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
         out = []
-        for t, (base, added) in zip(texts, find([t or "" for t in texts], field)):
+        for t, (base, added) in zip(texts, find(texts, field)):
             parts, at = [], 0
             for k, s, e in sorted([*base, *added], key=lambda x: (x[1], -x[2])):
                 if s >= at:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import read_table
-from .pii import spans_text
+from .pii import spans_text, touches
 
 KINDS = ("assign", "access", "hex", "random")
 _KEY = r"(password|passwd|secret|token|api_?key)"
@@ -96,13 +96,13 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def added_spans(text: str, base: list[tuple[str, int, int]], model: Markov, margin: float = 0.9, least: float = 15.0) -> list[tuple[str, int, int]]:
     """Further tokens of 16 or more signs, with a letter and a digit, that look random and overlap no span of ``base``."""
-    out = []
+    out, taken = [], touches((a, b) for _, a, b in base)
     for m in _WORD.finditer(text):
         token = m[0]
         if not (any(map(str.isdigit, token)) and any(map(str.isalpha, token))):
             continue
         s, e = m.span()
-        if any(s < b and a < e for _, a, b in base):
+        if taken(s, e):
             continue
         total, mean = model.score(token)
         if mean >= margin and total >= least:
