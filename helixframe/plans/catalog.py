@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
-from ..operators import annotate, clusters, coverage, germline, merge, rna_edit, strand
+from ..operators import annotate, clusters, coverage, germline, landscape, merge, rna_edit, strand
 from ..operators.ranges import near_any
+from ..sources import lists
 from .fixtures import table, with_tables
 
 QUERIES: dict = {}
@@ -386,3 +387,77 @@ def strand_support(calls, gtf, reads):
 @query("strand_reasons", "calls gtf reads", _DEC + " SELECT reason, count(*) AS n FROM dec GROUP BY reason")
 def strand_reasons(calls, gtf, reads):
     return _decided(calls, gtf, reads).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+# --- landscape ------------------------------------------------------------------------------------------
+
+_GP = """, mx AS (SELECT chrom, max(pos) + 20000000 AS m, CAST(replace(chrom, 'chr', '') AS INT) AS o FROM calls GROUP BY chrom),
+os AS (SELECT chrom, sum(m) OVER (ORDER BY o) - m AS off FROM mx), gp AS (SELECT rid, pos + off AS gpos, ad_ref + ad_alt AS dp FROM calls JOIN os USING (chrom))"""
+
+
+@query("genome_position", "calls", _GP + " SELECT rid, CAST(gpos AS BIGINT) AS gpos FROM gp")
+def genome_position(calls):
+    return landscape.with_genome_position(calls).select("rid", "gpos")
+
+
+@query("depth_trend", "calls", _GP + """, e AS (SELECT min(gpos) AS lo, max(gpos) AS hi FROM gp)
+SELECT CAST(greatest(ceil(CAST((gpos - lo) * 300 AS DOUBLE) / CAST(hi - lo AS DOUBLE)) - 1, 0) AS INT) AS bin, round(avg(gpos), 3) AS mean_gpos, round(avg(dp), 6) AS mean_depth FROM gp, e GROUP BY 1""")
+def depth_trend(calls):
+    placed = landscape.with_genome_position(calls).withColumn("dp", F.col("ad_ref") + F.col("ad_alt"))
+    return landscape.depth_trend(placed, "dp").select("bin", F.round("mean_gpos", 3).alias("mean_gpos"), F.round("mean_depth", 6).alias("mean_depth"))
+
+
+@query("cluster_of_call", "calls", _CL + """, iv AS (SELECT patient, chrom, cluster_id, min(pos) AS s, max(pos) AS e FROM mem GROUP BY ALL)
+SELECT rid, min(cluster_id) AS cluster_id FROM calls c LEFT JOIN iv ON iv.patient = c.patient AND iv.chrom = c.chrom AND c.pos BETWEEN s AND e GROUP BY rid, c.patient, c.pos, c.alt""")
+def cluster_of_call(calls):
+    """Calls of every source by the RNA-edit cluster whose span holds them; spans do not overlap."""
+    spans = clusters.clusters(of(calls, "RNA_EDIT")).groupBy("patient", "chrom", "cluster_id").agg(F.min("pos").alias("start"), F.max("pos").alias("end"))
+    return landscape.cluster_of(calls, spans).select("rid", "cluster_id")
+
+
+@query("log_density", "coverage", _COV + """ SELECT patient, chrom, bin, round(ln(1 + mean_dt) / max(ln(1 + mean_dt)) OVER (PARTITION BY chrom), 6) AS density FROM bn""")
+def log_density(cov):
+    return landscape.log_density(coverage.bins(coverage.joined(cov)), "mean_dt").select("patient", "chrom", "bin", F.round("density", 6).alias("density"))
+
+
+_PAIRS = """, sa AS (SELECT *, gt = '1/1' AS h, CASE gt WHEN '1|0' THEN 1 WHEN '0|1' THEN 2 ELSE 0 END AS side FROM calls WHERE gt <> './.'),
+pr AS (SELECT x.patient, x.rid, x.source_set AS a, y.source_set AS b, x.h, y.pos AS bp, y.rid AS br, (x.h OR y.h) OR (x.side > 0 AND x.side = y.side AND x.ps = y.ps) AS same, NOT (x.h OR y.h) AND (x.side > 0 AND x.side = y.side AND x.ps = y.ps) AS cis
+  FROM sa x JOIN sa y ON x.patient = y.patient AND x.chrom = y.chrom AND x.source_set <> y.source_set AND y.pos BETWEEN x.pos - 33 AND x.pos + 33),
+ea AS (SELECT patient, rid, a, b, bool_or(h OR same) AS same, coalesce(arg_min(cis, (bp, br)) FILTER (WHERE same), false) AS cis FROM pr GROUP BY ALL)"""
+
+
+@query("same_copy_counts", "calls", _PAIRS + " SELECT patient, a, b, count(*) AS near, count(*) FILTER (WHERE same) AS same_copy, count(*) FILTER (WHERE cis) AS cis FROM ea GROUP BY ALL")
+def same_copy_counts(calls):
+    return landscape.same_copy_counts(calls)
+
+
+@query("same_copy_report", "calls", _PAIRS + ", pt AS (SELECT patient, count(*) AS merged_total FROM calls GROUP BY patient) SELECT pt.patient, merged_total, " + ", ".join(
+    f"count(*) FILTER (WHERE a = '{a}' AND b = '{b}'{w}) AS {a.lower()}_{b.lower()}_{c}"
+    for a in landscape.SOURCES for b in landscape.SOURCES if a != b for c, w in (("near", ""), ("same_copy", " AND same"), ("cis", " AND cis"))) + " FROM pt LEFT JOIN ea USING (patient) GROUP BY ALL")
+def same_copy_report(calls):
+    """Six directed pairs of sources, three counters each, beside the patient's number of calls."""
+    totals = clusters.source_counters(calls).select("patient", "merged_total")
+    return landscape.same_copy_report(totals, landscape.same_copy_counts(calls))
+
+
+# --- small inputs ---------------------------------------------------------------------------------------
+
+
+@query("first_values", "calls", " SELECT patient AS key, arg_min(gene_no, rid) AS value FROM calls GROUP BY patient")
+def first_values(calls):
+    return lists.first_values(calls.select(F.col("patient").alias("key"), F.col("gene_no").alias("value"), F.col("rid").alias("line_no")))
+
+
+@query("typing_alleles", "calls", """, f AS (SELECT patient, 'HLA-A:0' || (gene_no % 4) || ':0' || (ad_ref % 3) AS allele, rid FROM calls WHERE lane <> 3
+  UNION ALL SELECT patient, 'HLA-B:0' || (ad_alt % 5), rid || '~' FROM calls), m AS (SELECT patient, allele, min(rid) AS r FROM f GROUP BY ALL)
+SELECT patient, string_agg(allele, ',' ORDER BY r) AS alleles FROM m GROUP BY patient""")
+def typing_alleles(calls):
+    """Lines spelt by the calls: a starred allele, unless the lane is 3, then one of two parts."""
+    own = F.when(F.col("lane") != 3, F.concat(F.lit("typed HLA-A*0"), (F.col("gene_no") % 4).cast("string"), F.lit(":0"), (F.col("ad_ref") % 3).cast("string"))).otherwise(F.lit("none"))
+    line = F.concat(own, F.lit(" or HLA-B:0"), (F.col("ad_alt") % 5).cast("string"))
+    return lists.typing_alleles(calls.select("patient", F.col("rid").alias("line_no"), line.alias("line")))
+
+
+@query("common_patients", "calls", " SELECT patient FROM calls WHERE source_set = 'GERMLINE' INTERSECT SELECT patient FROM calls WHERE source_set = 'RNA_EDIT' AND known_db IS NULL")
+def common_patients(calls):
+    return lists.common_patients(of(calls, "GERMLINE"), of(calls, "RNA_EDIT").where("known_db is null"))
