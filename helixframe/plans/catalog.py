@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
-from ..operators import annotate, clusters, coverage, germline, landscape, merge, rna_edit, strand
+from ..operators import alternates, annotate, clusters, coverage, germline, landscape, merge, rna_edit, strand
 from ..operators.ranges import near_any
 from ..sources import lists
 from .fixtures import table, with_tables
@@ -461,3 +461,43 @@ def typing_alleles(calls):
 @query("common_patients", "calls", " SELECT patient FROM calls WHERE source_set = 'GERMLINE' INTERSECT SELECT patient FROM calls WHERE source_set = 'RNA_EDIT' AND known_db IS NULL")
 def common_patients(calls):
     return lists.common_patients(of(calls, "GERMLINE"), of(calls, "RNA_EDIT").where("known_db is null"))
+
+
+# --- alternates and stages ------------------------------------------------------------------------------
+
+
+@query("per_alternate", "calls", """, t AS (SELECT rid, ref, alt, CASE WHEN lane = 1 THEN '.' ELSE ad_ref || ',' || ad_alt || ',' || normal_alt END AS ad, lane, ad_ref, ad_alt, normal_alt, normal_ref FROM calls),
+x AS (SELECT rid, i AS alt_index, CASE i WHEN 0 THEN alt ELSE ref || ref END AS alt, lane, ad_ref::DOUBLE AS r, (CASE i WHEN 0 THEN ad_alt ELSE normal_alt END)::DOUBLE AS a, ad_alt, normal_alt, normal_ref::DOUBLE AS nr FROM t, (VALUES (0), (1)) v(i)),
+y AS (SELECT *, CASE WHEN lane = 2 THEN nr WHEN lane = 1 THEN NULL ELSE r + ad_alt + normal_alt END AS depth, CASE WHEN lane = 3 THEN 0.25 WHEN lane <> 1 AND r + a > 0 THEN a / (r + a) END AS share FROM x)
+SELECT rid, alt_index, alt, depth, round(share, 9) AS share, CASE WHEN lane <> 1 THEN a END AS alt_count FROM y""")
+def per_alternate(calls):
+    """Records of two alternates, with a field or another missing in each lane."""
+    ad = F.when(F.col("lane") == 1, ".").otherwise(F.concat_ws(",", *(F.col(c).cast("string") for c in ("ad_ref", "ad_alt", "normal_alt"))))
+    dp, af = F.when(F.col("lane") == 2, F.col("normal_ref").cast("string")), F.when(F.col("lane") == 3, "0.25")
+    rows = calls.select("rid", F.concat("alt", F.lit(","), "ref", "ref").alias("alts"), ad.alias("ad"), F.lit(None).cast("string").alias("fad"), dp.alias("dp"), af.alias("af"))
+    return alternates.per_alternate(rows).select("rid", "alt_index", "alt", "depth", F.round("share", 9).alias("share"), "alt_count")
+
+
+@query("backfill_af", "calls", """, l AS (SELECT patient, chrom, pos, arg_max(ad_alt, rid) AS af FROM calls WHERE source_set = 'SOMATIC' GROUP BY ALL)
+SELECT rid, af FROM calls LEFT JOIN l USING (patient, chrom, pos) WHERE source_set = 'SOMATIC' AND gt LIKE '%|%'""")
+def backfill_af(calls):
+    somatic = of(calls, "SOMATIC")
+    return alternates.backfill_af(somatic, somatic.withColumn("af", F.col("ad_alt"))).select("rid", "af")
+
+
+@query("edit_records", "calls", f" SELECT rid FROM calls WHERE (source_set = 'RNA_EDIT' OR {_SIG} <> 'OTHER' OR known_db IS NOT NULL) AND ad_alt >= 10")
+def edit_records(calls):
+    edit = alternates.edit_record(F.col("source_set"), v.signature(F.col("ref"), F.col("alt")), F.col("known_db"))
+    return calls.where(edit & alternates.enough_alternates(F.col("ad_alt"))).select("rid")
+
+
+@query("first_stage", "calls", """ SELECT patient, split_part(min(CASE lane WHEN 3 THEN '1' WHEN 0 THEN '2' ELSE '3' END || ' s' || lane || ' ' || rid), ' ', 2) AS stage, split_part(min(CASE lane WHEN 3 THEN '1' WHEN 0 THEN '2' ELSE '3' END || ' s' || lane || ' ' || rid), ' ', 3) AS path
+FROM calls WHERE lane <> 2 AND ad_alt = 0 AND ad_ref = 1 GROUP BY patient""")
+def first_stage(calls):
+    made = calls.where("ad_alt = 0 and ad_ref = 1").select("patient", F.concat(F.lit("s"), F.col("lane").cast("string")).alias("stage"), F.col("rid").alias("path"))
+    return alternates.first_stage(made, ["s3", "s0", "s1"])
+
+
+@query("routes", "calls", " SELECT patient, CASE WHEN bool_or(source_set = 'RNA_EDIT' AND ad_ref = 1 AND ad_alt = 0) THEN 'three_way' ELSE 'dna_only' END AS route FROM calls GROUP BY patient")
+def routes(calls):
+    return alternates.routes(calls, of(calls, "RNA_EDIT").where("ad_ref = 1 and ad_alt = 0"))
