@@ -7,6 +7,13 @@ not ask the larger, so each pair meets once per half), and complete distances
 are checked. Halves that many fingerprints share go another exact way: their
 members are dealt into blocks, and every pair of blocks is compared by numpy in
 a task of its own, which returns a spanning forest in place of all pairs.
+
+The pipeline's stage also links texts by the similarity of their shingle sets, at
+``SHARE`` or more and whatever their fingerprints: two such sets share a shingle
+among the first fifth (and one) of each in any fixed order. The order puts
+shingles last that a sample finds often; a poor sample costs time and no pair. A
+parity sketch bounds the difference of two sets from below, and what it leaves is
+verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -23,18 +30,35 @@ HALF = 32
 #: A half with more fingerprints is compared in blocks.
 BUSY = 48
 BLOCK = 1500
+#: Similarity of shingle sets (numerator and denominator) from which the pipeline takes texts for near copies.
+SHARE = (4, 5)
+#: Longs of a parity sketch; one text in so many is in the sample, and shingles of so many sampled texts go last.
+SKETCH, SAMPLE, OFTEN = 8, 16, 4
+#: More of them are not sent to the tasks, which costs time only.
+MOST_OFTEN = 200_000
 
 
-def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
-    """Majority bits of the XXH64 of all shingles of ``width`` words; 0 without a word."""
+def _digests(text: str | None, width: int, seed: int = 42) -> bytes:
+    """The XXH64 of all shingles of ``width`` words, or of all words if they are fewer."""
     # bytes: lower() and split() know just A-Z and the six white-space characters of the word rule
     words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    if len(words) <= width:
-        return xxhash.xxh64_intdigest(b" ".join(words), seed)
     join, digest = b" ".join, xxhash.xxh64_digest
-    raw = b"".join([digest(join(g), seed) for g in zip(*(words[i:] for i in range(width)))])
+    if len(words) <= width:
+        return digest(join(words), seed) if words else b""
+    return b"".join([digest(join(g), seed) for g in zip(*(words[i:] for i in range(width)))])
+
+
+def _shingles(raw: bytes) -> np.ndarray:
+    """The different shingles of ``_digests``, sorted."""
+    return np.unique(np.frombuffer(raw, dtype=">u8").astype(np.uint64))
+
+
+def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
+    """Majority bits of the XXH64 of all shingles of ``width`` words; 0 without a word."""
+    return _majority(_digests(text, width, seed))
+
+
+def _majority(raw: bytes) -> int:
     n = len(raw) // 8
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, n, 1 << 16):
@@ -119,10 +143,128 @@ def fingerprint_links(fps: DataFrame, most: int = 3) -> DataFrame:
     return cold.unionByName(hot)
 
 
-def fingerprint_classes(marked: DataFrame, most: int = 3) -> DataFrame:
-    """``fp``, ``root`` (the least fingerprint that links reach) and ``component_id`` (the least doc_id) of each fingerprint in ``marked``."""
+def _often(docs: DataFrame, width: int) -> np.ndarray:
+    """Shingles that many texts of a sample hold, sorted."""
+
+    @F.pandas_udf("array<bigint>")
+    def shingles(texts: pd.Series) -> pd.Series:
+        return pd.Series([_shingles(_digests(t, width)).view(np.int64) for t in texts])
+
+    some = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).select(F.explode(shingles("text")).alias("s"))
+    top = some.groupBy("s").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "s").limit(MOST_OFTEN)
+    return np.sort(np.array([r.s for r in top.collect()], dtype=np.int64).view(np.uint64))
+
+
+def with_shingles(docs: DataFrame, width: int = 5) -> DataFrame:
+    """``doc_id``, ``fp``, the hash ``tk`` of the text, and of its shingle set the hash ``key``, size ``n``, parity ``sketch`` and first shingles ``first``."""
+    often = _often(docs, width)
+
+    @F.pandas_udf("fp bigint, key bigint, n int, sketch array<bigint>, first array<bigint>")
+    def facts(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t in texts:
+            raw = _digests(t, width)
+            s = _shingles(raw)
+            n = len(s)
+            odd = np.bincount((s & np.uint64(SKETCH * 64 - 1)).astype(np.int64), minlength=SKETCH * 64) & 1
+            late = np.isin(s, often)
+            ordered = np.concatenate([s[~late], s[late]])
+            first = ordered[: n + (-n * SHARE[0]) // SHARE[1] + 1]
+            key = np.uint64(xxhash.xxh3_64_intdigest(s.tobytes()))
+            rows.append((np.uint64(_majority(raw)).view(np.int64), key.view(np.int64), n, np.packbits(odd.astype(np.uint8)).view(np.int64), first.view(np.int64)))
+        return pd.DataFrame(rows, columns=["fp", "key", "n", "sketch", "first"])
+
+    return docs.select("doc_id", F.xxhash64("text").alias("tk"), facts("text").alias("f")).select("doc_id", "tk", "f.*")
+
+
+def _alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets have the similarity of ``SHARE``: common / (all - common)."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common * SHARE[1] >= SHARE[0] * (len(a) + len(b) - common)
+
+
+def _set_forest(sets: list[np.ndarray], sketches: np.ndarray, left: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (places) that connect what similar sets across ``left`` and the others connect; each set asks those not yet reached, once."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    new, edges = np.ones(len(sets), bool), []
+    for start in np.flatnonzero(left):
+        if not new[start]:
+            continue
+        new[start], front = False, [int(start)]
+        while front:
+            i = front.pop()
+            others = np.flatnonzero(new & (left != left[i]))
+            apart = np.bitwise_count(sketches[others] ^ sketches[i]).sum(axis=1, dtype=np.int64)
+            others = others[apart * sum(SHARE) <= (SHARE[1] - SHARE[0]) * (sizes[others] + sizes[i])]
+            hit = [int(j) for j in others if _alike(sets[i], sets[j])]
+            new[hit] = False
+            front += hit
+            edges += [(i, j) for j in hit]
+    return edges
+
+
+def shingle_links(docs: DataFrame, marked: DataFrame, width: int = 5) -> DataFrame:
+    """Links ``a``, ``b`` between fingerprints that join what all pairs of texts of similar shingle sets join.
+
+    ``marked`` is ``with_shingles(docs)``. A shingle that up to ``BUSY`` sets put first gives pairs;
+    the others give spanning forests of their block pairs.
+    """
+    num, den = SHARE
+    some = marked.where("n > 0")
+    same = some.groupBy("key").agg(F.min("fp").alias("b"), F.min("tk").alias("tk"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("first").alias("first"))
+    same = written(same)
+    copies = some.select("key", F.col("fp").alias("a")).join(same.select("key", "b"), "key").where("a <> b").select("a", "b")
+    firsts = same.select("key", F.explode("first").alias("s"))
+    counts = written(firsts.groupBy("s").agg(F.count("*").alias("c")).where("c > 1"))
+    shared = written(firsts.join(counts, "s").join(same.select("key", "n", "sketch"), "key"))
+
+    @F.pandas_udf("binary")
+    def shingles(texts: pd.Series) -> pd.Series:
+        return pd.Series([_shingles(_digests(t, width)).tobytes() for t in texts])
+
+    def sets_of(keys: DataFrame) -> DataFrame:
+        wanted = same.join(keys.distinct(), "key", "left_semi").select("key", "tk", F.col("b").alias("fp"))
+        texts = docs.select("text", F.xxhash64("text").alias("tk")).join(wanted, "tk").dropDuplicates(["key"])
+        return written(texts.select("key", "fp", shingles("text").alias("set")))
+
+    rare = shared.where(F.col("c") <= BUSY).drop("c")
+    one, two = (rare.select("s", *(F.col(c).alias(c + side) for c in ("key", "n", "sketch"))) for side in ("1", "2"))
+    apart = sum((F.bit_count(F.col("sketch1")[k].bitwiseXOR(F.col("sketch2")[k])) for k in range(SKETCH)), F.lit(0))
+    near = (F.least("n1", "n2") * den >= F.greatest("n1", "n2") * num) & (apart * (den + num) <= (F.col("n1") + F.col("n2")) * (den - num))
+    pairs = written(one.join(two, "s").where((F.col("key1") < F.col("key2")) & near).select("key1", "key2").distinct())
+    sets = sets_of(pairs.select(F.col("key1").alias("key")).union(pairs.select(F.col("key2").alias("key"))))
+
+    @F.pandas_udf("boolean")
+    def alike(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([_alike(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(left, right)], dtype=bool)
+
+    left, right = (sets.select(F.col("key").alias("key" + k), F.col("fp").alias(name), F.col("set").alias("set" + k)) for k, name in (("1", "a"), ("2", "b")))
+    links = copies.unionByName(pairs.join(left, "key1").join(right, "key2").where(alike("set1", "set2")).select("a", "b"))
+    busy = counts.where(F.col("c") > BUSY).withColumn("nb", F.ceil(F.col("c") / BLOCK))
+    if busy.isEmpty():
+        return links
+    many = shared.where(F.col("c") > BUSY).select("s", "key", "sketch", F.ceil(F.col("c") / BLOCK).alias("nb"))
+    many = many.join(sets_of(many.select("key")), "key").withColumn("own", F.pmod(F.xxhash64("key"), F.col("nb")))
+    blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1))
+    dealt = many.withColumn("other", blocks).select("s", "fp", "sketch", "set", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("left"), (F.col("own") == F.col("other")).alias("both"))
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        if part["both"].any():  # a block against itself stands on both sides
+            part = pd.concat([part.assign(left=True), part.assign(left=False)])
+        sets = [np.frombuffer(x, np.uint64) for x in part["set"]]
+        fp = part["fp"].to_numpy()
+        edges = np.array(_set_forest(sets, np.stack(part["sketch"].to_list()).view(np.uint64), part["left"].to_numpy()), dtype=np.int64).reshape(-1, 2)
+        found = pd.DataFrame({"a": fp[edges[:, 0]], "b": fp[edges[:, 1]]})
+        return found[found["a"] != found["b"]]
+
+    return links.unionByName(dealt.groupBy("s", "i", "j").applyInPandas(compare, "a bigint, b bigint"))
+
+
+def fingerprint_classes(marked: DataFrame, most: int = 3, more: DataFrame | None = None) -> DataFrame:
+    """``fp``, ``root`` (the least fingerprint that links reach) and ``component_id`` (the least doc_id) of each fingerprint in ``marked``; ``more`` are further links."""
     fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    labels = connected_components(fingerprint_links(fps.select("fp"), most))
+    links = fingerprint_links(fps.select("fp"), most)
+    labels = connected_components(links if more is None else links.unionByName(more))
     named = fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return written(named.select("fp", "root").join(least, "root").select("fp", "root", "component_id"))
@@ -148,11 +290,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def one_of_each(docs: DataFrame, most: int = 3, width: int = 5) -> DataFrame:
     """``docs`` (with ``doc_id`` and ``text``) with one document of each group of near duplicates: that of the least doc_id.
 
-    Five-word shingles by default. Of rows that repeat a doc_id within a group any one stays; a
+    Near are fingerprints within ``most`` bits and texts whose shingle sets have a similarity of
+    ``SHARE`` or more. Five-word shingles by default. Of rows that repeat a doc_id within a group any one stays; a
     group without any doc_id keeps one row. The columns stay as they are.
     """
-    marked = _marked(docs, "doc_id", "text", width)
-    classes = fingerprint_classes(marked, most)
+    marked = written(with_shingles(docs, width))
+    classes = fingerprint_classes(marked, most, shingle_links(docs, marked, width))
     names = docs.columns
     rows = with_fingerprint(docs.select(F.struct(*names).alias("__row"), F.col("doc_id").alias("__id"), "text"), "text", width).drop("text")
     kept = rows.join(classes, "fp").where(F.col("__id").eqNullSafe(F.col("component_id")))

@@ -112,6 +112,39 @@ def test_busy_halves_keep_every_link(spark, monkeypatch):
     assert {f: c for f, c in got.items()} == {f: min(g) for g in groups.values() if len(g) > 1 for f in g}
 
 
+@pytest.mark.parametrize("busy", [48, 3])
+def test_near_copies_by_shingles(spark, monkeypatch, busy):
+    """Texts of shingle similarity 0.8 or more share a group, however many bits their fingerprints differ in."""
+    monkeypatch.setattr(simhash, "BUSY", busy)
+    monkeypatch.setattr(simhash, "BLOCK", 5)
+    rnd = random.Random(6)
+    rows = []
+    for _ in range(12):
+        base = [f"w{rnd.randrange(4000)}" for _ in range(rnd.randint(20, 300))]
+        for _ in range(9):
+            w = list(base)
+            for _ in range(rnd.randint(0, max(1, len(w) // 30))):
+                w[rnd.randrange(len(w))] = f"x{rnd.randrange(4000)}"
+            rows.append((len(rows), " ".join(w)))
+    rnd.shuffle(rows)
+    grams = {d: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for d, t in rows}
+    fps = {d: brute_fingerprint(t, 5) for d, t in rows}
+    group = {d: d for d, _ in rows}
+    far = 0
+    for a in sorted(group):
+        for b in range(a):
+            common = len(grams[a] & grams[b])
+            close = 5 * common >= 4 * (len(grams[a]) + len(grams[b]) - common)
+            bits = (fps[a] ^ fps[b]).bit_count()
+            far += close and bits > 3
+            if (close or bits <= 3) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {d: low if g == high else g for d, g in group.items()}
+    assert far > 20
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(r.doc_id for r in got) == sorted(set(group.values()))
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(1000, 1000 + i) for i in range(1, 60)] + [(5000, 4000), (5000, 4001), (7, 7), (None, 3)]
     got = {r.node: r.component for r in common.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
