@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
@@ -66,8 +67,28 @@ def collapse_lanes(lanes: DataFrame, key: list[str], order: list[str]) -> DataFr
 
 def reference_chunks(sequences: DataFrame, size: int = 10_000, overlap: int = 8) -> DataFrame:
     """Contig sequences (``contig``, ``seq``) as overlapping chunks ``chunk_id``, ``start1``, ``seq``."""
-    ids = F.sequence(F.lit(0), F.floor((F.greatest(F.length("seq"), F.lit(1)) - 1) / size).cast("int"))
-    return sequences.select("contig", F.explode(ids).alias("chunk_id"), F.col("seq").alias("whole")).select("contig", "chunk_id", (F.col("chunk_id") * size + 1).alias("start1"), F.substring("whole", F.col("chunk_id") * size + 1, F.lit(size + overlap)).alias("seq"))
+    # one pass over a sequence, which is not carried beside its chunks: each match looks ahead further than it goes
+    parts = F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{1,{size + overlap}}})).{{1,{size}}}"), F.lit(1))
+    parts = F.when(F.length("seq") > 0, parts).when(F.col("seq").isNotNull(), F.array(F.lit("")))
+    return sequences.select("contig", F.posexplode(parts).alias("chunk_id", "seq")).select("contig", "chunk_id", (F.col("chunk_id") * size + 1).alias("start1"), "seq")
+
+
+def piece_chunks(pieces: DataFrame, order: str, size: int = 10_000, overlap: int = 8, prefix: int = 9) -> DataFrame:
+    """As ``reference_chunks``, of sequences that are spelt by the rows of ``pieces`` (``contig``, ``seq``) in order of the string ``order``.
+
+    No sequence is built as a whole: rows are placed within runs of an equal ``prefix`` of
+    ``order`` (which sorts as ``order`` does), and runs by the sums of those before.
+    """
+    rows = pieces.where("contig is not null and length(seq) > 0").select("contig", "seq", F.col(order).alias("o"), F.substring(order, 1, prefix).alias("run"), F.length("seq").cast("long").alias("n"))
+    before = W.rowsBetween(W.unboundedPreceding, -1)
+    upto = lambda by, *place: F.coalesce(F.sum("n").over(before.partitionBy(*by).orderBy(*place)), F.lit(0))
+    runs = rows.groupBy("contig", "run").agg(F.sum("n").alias("n")).select("contig", F.col("run").alias("of"), upto(["contig"], "run").alias("at"))
+    placed = rows.withColumn("within", upto(["contig", "run"], "o", "seq")).join(runs.withColumnRenamed("contig", "on"), (F.col("contig") == F.col("on")) & F.col("run").eqNullSafe(F.col("of")))
+    bases = placed.select("contig", (F.col("at") + F.col("within")).alias("first"), F.posexplode(F.split("seq", "")).alias("k", "base")).select("contig", (F.col("first") + F.col("k")).alias("place"), "base")
+    own = F.floor(F.col("place") / size).cast("int")
+    ids = F.when((own > 0) & (F.col("place") % size < overlap), F.array(own - 1, own)).otherwise(F.array(own))
+    chunks = bases.select("contig", F.explode(ids).alias("chunk_id"), "place", "base").groupBy("contig", "chunk_id").agg(F.array_sort(F.collect_list(F.struct("place", "base"))).alias("l"))
+    return chunks.select("contig", "chunk_id", (F.col("chunk_id") * size + 1).alias("start1"), F.array_join(F.col("l.base"), "").alias("seq"))
 
 
 def with_motif(calls: DataFrame, chunks: DataFrame, size: int = 10_000) -> DataFrame:

@@ -106,8 +106,8 @@ SELECT rid, coalesce((ref = 'C' AND alt = 'T' AND pos > 3 AND substr(seq, pos -
 FROM calls LEFT JOIN s ON contig = chrom""")
 def motif(calls):
     """The reference here is one sequence per chromosome, spelt by the calls themselves."""
-    seq = calls.groupBy(F.col("chrom").alias("contig")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rid", "ref"))), lambda x: x["ref"]), "").alias("seq"))
-    return rna_edit.with_motif(calls, rna_edit.reference_chunks(seq, 1000), 1000).select("rid", "motif")
+    chunks = rna_edit.piece_chunks(calls.select(F.col("chrom").alias("contig"), "rid", F.col("ref").alias("seq")), "rid", 1000)
+    return rna_edit.with_motif(calls, chunks, 1000).select("rid", "motif")
 
 
 # --- germline branch ------------------------------------------------------------------------------------

@@ -91,3 +91,27 @@ def test_read_blocks_and_strand(spark):
     assert [(r.block_start, r.block_end, r.q0) for r in strand.aligned_blocks(reads).collect()] == [(100, 110, 5), (117, 122, 17)]
     flags = [(0, "-"), (16, "+"), (99, "-"), (147, "-"), (83, "+"), (163, "+")]
     assert values(spark, flags, "f int, s string", v.transcript_strand_of_read(F.col("f"), "fr-firststrand") == F.col("s")) == [(True,)] * 6
+
+
+def test_chunks_of_sequences_and_pieces(spark):
+    rnd = random.Random(9)
+    pieces = [(f"chr{rnd.randrange(3)}", f"{i:05d}", "".join(rnd.choice("ACGT") for _ in range(rnd.choice([0, 1, 1, 1, 7, 30])))) for i in range(200)] + [("chr1", None, "AC"), (None, "3", "G"), ("chr2", "4", None)]
+    whole = {}
+    for c, _, s in sorted((p for p in pieces if p[0] and p[2]), key=lambda p: p[1] or ""):
+        whole[c] = whole.get(c, "") + s
+    want = sorted((c, k, k * 10 + 1, s[k * 10 : k * 10 + 13]) for c, s in whole.items() for k in range(-(-len(s) // 10)))
+    df = spark.createDataFrame(pieces, "contig string, o string, seq string")
+    for prefix in (1, 3, 9):
+        got = rna_edit.piece_chunks(df, "o", 10, 3, prefix)
+        assert sorted(map(tuple, got.collect())) == want
+    got = rna_edit.reference_chunks(spark.createDataFrame([*whole.items(), ("e", ""), ("n", None)], "contig string, seq string"), 10, 3)
+    assert sorted(map(tuple, got.collect())) == sorted([*want, ("e", 0, 1, "")])
+
+
+def test_motif_gathers_chunks_only(spark):
+    """No list of all calls of a chromosome: what is gathered into one value is a chunk."""
+    from helixframe.plans import catalog
+
+    plan = catalog.QUERIES["motif"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    gathers = [x for x in plan.split("\n") if "collect_list" in x]
+    assert gathers and all("chunk_id" in x.split("Aggregate [")[1].split("]")[0] for x in gathers)
