@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of the word rule: blank and the control characters 0x09 to 0x0D.
 SPACES = " \t\n\x0b\x0c\r"
+#: Most bytes of one Arrow batch that goes to a Python worker (a longer single text still goes whole).
+BATCH_BYTES = 4 << 20
+
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,28 +25,60 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``. Where the session has none (tests), a temporary one is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder of ``spark.checkpoint.dir``.
+
+    Where the session has none, a temporary folder is set if driver and executors are one
+    process (master local); on a cluster that is an error, as no folder is known to be shared.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        context = spark.sparkContext
-        root = context.getCheckpointDir() if hasattr(context, "getCheckpointDir") else None
-        if not root:
-            root = tempfile.mkdtemp(prefix="spark-")
-            context.setCheckpointDir(root)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
     The result has no lineage beyond those files, so a lost executor never
     repeats the work behind it, and a table that is used several times is made
-    once. The files live as long as the shared folder.
+    once. The shuffle files of the write go when it ends; the table stays until ``drop``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes the files of tables that ``written`` returned and that nothing will read again; other frames are left alone."""
+    for df in tables:
+        path = _paths.pop(df, None)
+        if path:
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; from now on its session sends at most ``BATCH_BYTES`` at once to Python workers, so that their memory does not grow with a partition."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
 
 
 def text_or_empty(column: str = "text") -> Column:
@@ -60,9 +99,8 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> Da
     Links within a tree vanish, so their number falls every round. The joins are
     plain equi-joins on single keys (a hub's rows can be split by adaptive
     execution) and minima are combined before they are shuffled; nothing is
-    collected but one count per round.
+    collected but whether links are left. The result is a written table (see ``drop``).
     """
-    spark = edges.sparkSession
     links = written(
         edges.select(F.least(src, dst).alias("a"), F.greatest(src, dst).alias("b"))
         .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") < F.col("b")))
@@ -71,21 +109,22 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> Da
     labels = None
     while not links.isEmpty():
         # a hook for each root: itself or a smaller neighbour
-        hooks = (
+        hooks = written(
             links.select(F.col("b").alias("node"), F.col("a").alias("parent"))
             .union(links.select(F.col("a").alias("node"), F.col("a").alias("parent")))
             .groupBy("node")
             .agg(F.min("parent").alias("parent"))
         )
-        hooks = written(hooks)
         while True:
             up = hooks.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
             jumped = written(hooks.join(up, "parent").select("node", F.col("grand").alias("parent"), (F.col("grand") < F.col("parent")).alias("moved")))
-            hooks = jumped.select("node", "parent")
-            if jumped.where("moved").isEmpty():
+            drop(hooks)
+            hooks = jumped
+            if hooks.where("moved").isEmpty():
                 break
+        before = (labels, links)
         if labels is None:
-            labels = hooks.select("node", F.col("parent").alias("component"))
+            labels = written(hooks.select("node", F.col("parent").alias("component")))
         else:
             moved = hooks.select(F.col("node").alias("component"), "parent")
             labels = written(labels.join(moved, "component", "left").select("node", F.coalesce("parent", "component").alias("component")))
@@ -98,6 +137,8 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> Da
             .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
             .distinct()
         )
+        drop(hooks, *(x for x in before if x is not None))
     if labels is None:
-        return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        labels = written(links.select(F.col("a").alias("node"), F.col("b").alias("component")))
+    drop(links)
     return labels

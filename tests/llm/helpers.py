@@ -29,30 +29,25 @@ def within_one(a, b):
 
 
 def brute_lines(docs, least=5):
-    """(doc_id, text, removed) of documents in order of id."""
-    seen = []  # in order
-    first = {}
+    """(doc_id, text, removed) of documents in order of id; every line is held against all earlier ones."""
+    first, longer, gone = {}, [], set()
     for d, t in sorted(docs, key=lambda x: x[0]):
-        for no, line in enumerate((t or "").split("\n") if t is not None else []):
+        for no, line in enumerate(t.split("\n") if t is not None else []):
             w = tuple(words(line))
-            if len(w) >= least and w not in first:
+            if w and w not in first:
                 first[w] = (d, no)
-                seen.append(w)
-    gone = set()
-    by_size = {}
-    for w in seen:
-        for n in (len(w) - 1, len(w), len(w) + 1):
-            if any((w[: len(w) // 2 - 1] == o[: len(w) // 2 - 1] or w[-(len(w) // 2) + 1 :] == o[-(len(w) // 2) + 1 :]) and within_one(w, o) for o in by_size.get(n, ())):
-                gone.add(w)
-                break
-        by_size.setdefault(len(w), []).append(w)
+                if len(w) >= least:
+                    # one edit changes the set of words by two at most
+                    if any(abs(len(w) - len(o)) < 2 and len(set(w) ^ s) <= 2 and within_one(w, o) for o, s in longer):
+                        gone.add(w)
+                    longer.append((w, set(w)))
     out = []
     for d, t in sorted(docs, key=lambda x: x[0]):
         if t is None:
             out.append((d, None, 0))
             continue
         lines = t.split("\n")
-        keep = [x for no, x in enumerate(lines) if len(w := tuple(words(x))) < least or (first[w] == (d, no) and w not in gone)]
+        keep = [x for no, x in enumerate(lines) if not (w := tuple(words(x))) or (first[w] == (d, no) and w not in gone)]
         out.append((d, "\n".join(keep), len(lines) - len(keep)))
     return out
 

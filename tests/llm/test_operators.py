@@ -62,7 +62,7 @@ def test_pieces_equal_the_library(spark, docs):
 
 def test_line_dedup_equals_all_pairs(spark):
     rnd = random.Random(4)
-    base = [[rnd.choice("abcdefgh") * rnd.randint(1, 2) for _ in range(rnd.randint(3, 9))] for _ in range(25)]
+    base = [[rnd.choice("abcdefgh") * rnd.randint(1, 2) for _ in range(rnd.randint(1, 9))] for _ in range(25)]
     rows = []
     for d in range(60):
         own = []
