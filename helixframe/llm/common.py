@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 import weakref
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ SPACES = " \t\n\x0b\x0c\r"
 #: Most bytes of one Arrow batch that goes to a Python worker (a longer single text still goes whole).
 BATCH_BYTES = 4 << 20
 
+_open: ContextVar[list[DataFrame] | None] = ContextVar("open", default=None)
 _paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
@@ -62,9 +64,27 @@ def written(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _paths[out] = path
+    if (tables := _open.get()) is not None:
+        tables.append(out)
     return out
 
 
+@contextmanager
+def passing() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that are ``written`` within are deleted at its end, but for those given to the function that it yields."""
+    tables: list[DataFrame] = []
+    kept: list[DataFrame] = []
+    outer = _open.get()
+    mark = _open.set(tables)
+    try:
+        yield lambda df: kept.append(df) or df
+    finally:
+        _open.reset(mark)
+        drop(*(x for x in tables if not any(x is k for k in kept)))
+        if outer is not None:
+            outer.extend(kept)
+
+
 def drop(*tables: DataFrame) -> None:
     """Deletes the files of tables that ``written`` returned and that nothing will read again; other frames are left alone."""
     for df in tables:
@@ -101,44 +121,45 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> Da
     execution) and minima are combined before they are shuffled; nothing is
     collected but whether links are left. The result is a written table (see ``drop``).
     """
-    links = written(
-        edges.select(F.least(src, dst).alias("a"), F.greatest(src, dst).alias("b"))
-        .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") < F.col("b")))
-        .distinct()
-    )
-    labels = None
-    while not links.isEmpty():
-        # a hook for each root: itself or a smaller neighbour
-        hooks = written(
-            links.select(F.col("b").alias("node"), F.col("a").alias("parent"))
-            .union(links.select(F.col("a").alias("node"), F.col("a").alias("parent")))
-            .groupBy("node")
-            .agg(F.min("parent").alias("parent"))
-        )
-        while True:
-            up = hooks.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
-            jumped = written(hooks.join(up, "parent").select("node", F.col("grand").alias("parent"), (F.col("grand") < F.col("parent")).alias("moved")))
-            drop(hooks)
-            hooks = jumped
-            if hooks.where("moved").isEmpty():
-                break
-        before = (labels, links)
-        if labels is None:
-            labels = written(hooks.select("node", F.col("parent").alias("component")))
-        else:
-            moved = hooks.select(F.col("node").alias("component"), "parent")
-            labels = written(labels.join(moved, "component", "left").select("node", F.coalesce("parent", "component").alias("component")))
-        of_a = hooks.select(F.col("node").alias("a"), F.col("parent").alias("pa"))
-        of_b = hooks.select(F.col("node").alias("b"), F.col("parent").alias("pb"))
+    with passing() as keep:
         links = written(
-            links.join(of_a, "a")
-            .join(of_b, "b")
-            .where("pa <> pb")
-            .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
+            edges.select(F.least(src, dst).alias("a"), F.greatest(src, dst).alias("b"))
+            .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") < F.col("b")))
             .distinct()
         )
-        drop(hooks, *(x for x in before if x is not None))
-    if labels is None:
-        labels = written(links.select(F.col("a").alias("node"), F.col("b").alias("component")))
-    drop(links)
-    return labels
+        labels = None
+        while not links.isEmpty():
+            # a hook for each root: itself or a smaller neighbour
+            hooks = written(
+                links.select(F.col("b").alias("node"), F.col("a").alias("parent"))
+                .union(links.select(F.col("a").alias("node"), F.col("a").alias("parent")))
+                .groupBy("node")
+                .agg(F.min("parent").alias("parent"))
+            )
+            while True:
+                up = hooks.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
+                jumped = written(hooks.join(up, "parent").select("node", F.col("grand").alias("parent"), (F.col("grand") < F.col("parent")).alias("moved")))
+                drop(hooks)
+                hooks = jumped
+                if hooks.where("moved").isEmpty():
+                    break
+            before = (labels, links)
+            if labels is None:
+                labels = written(hooks.select("node", F.col("parent").alias("component")))
+            else:
+                moved = hooks.select(F.col("node").alias("component"), "parent")
+                labels = written(labels.join(moved, "component", "left").select("node", F.coalesce("parent", "component").alias("component")))
+            of_a = hooks.select(F.col("node").alias("a"), F.col("parent").alias("pa"))
+            of_b = hooks.select(F.col("node").alias("b"), F.col("parent").alias("pb"))
+            links = written(
+                links.join(of_a, "a")
+                .join(of_b, "b")
+                .where("pa <> pb")
+                .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
+                .distinct()
+            )
+            drop(hooks, *(x for x in before if x is not None))
+        if labels is None:
+            labels = written(links.select(F.col("a").alias("node"), F.col("b").alias("component")))
+        drop(links)
+        return keep(labels)

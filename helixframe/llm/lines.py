@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import drop, read_table, written
+from .common import drop, passing, read_table, written
 from .rules import WORD, _let
 
 #: Shorter lines go only if they equal an earlier one: one word in five is a similarity of 0.8.
@@ -127,10 +127,11 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_
     """
     rows = docs.withColumn("__dk", F.xxhash64(F.lit(7), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col(text)))
     keyed = rows.select(F.col(doc_id).alias("doc_id"), F.col("__dk").alias("dk"), F.col(text).alias("text")).where("text is not null")
-    lines = written(first_lines(keyed, min_words))
-    near = near_lines(keyed, lines)
-    keep = written(lines.join(near, ["h1", "h2"], "left_anti").groupBy(F.col("dk").alias("__dk"), F.col("doc_id").alias("__of")).agg(F.collect_list("line_no").alias("__keep")))
-    drop(lines, near)
+    with passing() as hold:
+        lines = written(first_lines(keyed, min_words))
+        near = near_lines(keyed, lines)
+        keep = lines.join(near, ["h1", "h2"], "left_anti").groupBy(F.col("dk").alias("__dk"), F.col("doc_id").alias("__of")).agg(F.collect_list("line_no").alias("__keep"))
+        keep = hold(written(keep))
     out = rows.join(keep, (rows["__dk"] == keep["__dk"]) & rows[doc_id].eqNullSafe(keep["__of"]), "left").drop(keep["__dk"])
 
     def cut(lines: Column) -> Column:

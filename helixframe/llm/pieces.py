@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, small_batches
 
 SPACE = "▁"
 #: Encoded words that a worker remembers; beyond that it starts anew.
@@ -264,7 +264,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", out: str = "ids_le",
         for batch in texts:
             yield pd.Series([p.encode_packed(t, add_bos, add_eos) for t in batch])
 
-    return docs.withColumn(out, run(F.col(text)))
+    return small_batches(docs).withColumn(out, run(F.col(text)))
 
 
 def decode(docs: DataFrame, model: str, ids: str = "ids_le", out: str = "decoded") -> DataFrame:
@@ -276,7 +276,7 @@ def decode(docs: DataFrame, model: str, ids: str = "ids_le", out: str = "decoded
         for batch in packed:
             yield pd.Series([p.decode_packed(x or b"") for x in batch])
 
-    return docs.withColumn(out, run(F.col(ids)))
+    return small_batches(docs).withColumn(out, run(F.col(ids)))
 
 
 def encode_and_decode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids_le", decoded: str = "decoded", add_bos: bool = True, add_eos: bool = True) -> DataFrame:
@@ -289,7 +289,7 @@ def encode_and_decode(docs: DataFrame, model: str, text: str = "text", ids: str
             packed = [p.encode_packed(t, add_bos, add_eos) for t in batch]
             yield pd.DataFrame({"ids": packed, "decoded": [p.decode_packed(x) for x in packed]})
 
-    out = docs.withColumn("__both", run(F.col(text)))
+    out = small_batches(docs).withColumn("__both", run(F.col(text)))
     return out.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")
 
 

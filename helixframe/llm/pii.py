@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
@@ -326,7 +326,7 @@ def personal_data(docs: DataFrame, text: str = "text", labelled: tuple[str, ...]
         rows = [[[{"kind": k, "start": s, "end": e} for k, s, e in sorted(x, key=lambda y: (KINDS.index(y[0]), y[1]))] for x in both] for both in found]
         return pd.DataFrame({"base": [r[0] for r in rows], "added": [r[1] for r in rows]})
 
-    out = docs.withColumn("__found", run(F.col(text)))
+    out = small_batches(docs).withColumn("__found", run(F.col(text)))
     return out.withColumns({"base": F.col("__found.base"), "added": F.col("__found.added")}).drop("__found")
 
 
@@ -346,7 +346,7 @@ def redact(docs: DataFrame, text: str = "text", labelled: tuple[str, ...] = LABE
             out.append(t if t is None else "".join(parts) + t[at:])
         return pd.Series(out)
 
-    return docs.withColumn(text, run(F.col(text)))
+    return small_batches(docs).withColumn(text, run(F.col(text)))
 
 
 def spans_text(column) -> Column:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, small_batches
 
 #: Most labelled rows that a model is fitted on: those with the least hash of their doc_id.
 SAMPLE_ROWS = 8000
@@ -124,7 +124,7 @@ def with_statistics(docs: DataFrame, keep: list[str], text: str = "text") -> Dat
     def stats(texts: pd.Series) -> pd.Series:
         return pd.Series([statistics(t) for t in texts])
 
-    return docs.select(*keep, stats(F.col(text)).alias("stats"))
+    return small_batches(docs).select(*keep, stats(F.col(text)).alias("stats"))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: int = 5, sample_rows: int = SAMPLE_ROWS) -> Trees:
@@ -151,7 +151,7 @@ def score(docs: DataFrame, model: Trees, text: str = "text", out: str = "score")
         x = np.array([statistics(t) for t in texts], dtype=float).reshape(-1, len(FEATURES))
         return pd.Series(np.concatenate([model.score(x[i : i + 2048]) for i in range(0, len(x), 2048)]) if len(x) else [])
 
-    return docs.withColumn(out, run(F.col(text)))
+    return small_batches(docs).withColumn(out, run(F.col(text)))
 
 
 def op4_quality(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, small_batches
 from .pii import spans_text, touches
 
 KINDS = ("assign", "access", "hex", "random")
@@ -131,7 +131,7 @@ def secrets(docs: DataFrame, text: str = "text", random: list[str] | None = None
             rows.append([[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in (base, added_spans(t or "", base, model))])
         return pd.DataFrame({"base": [r[0] for r in rows], "added": [r[1] for r in rows]})
 
-    out = docs.withColumn("__found", run(F.col(text)))
+    out = small_batches(docs).withColumn("__found", run(F.col(text)))
     return out.withColumns({"base": F.col("__found.base"), "added": F.col("__found.added")}).drop("__found")
 
 

@@ -2,10 +2,10 @@
 
 Fingerprints differ in at most three bits if one of their two 32-bit halves
 differs in at most one bit. Each fingerprint is listed under both halves; to find
-partners it asks for every half within one bit (the smaller of two halves does
-not ask the larger, so each pair meets once per half), and complete distances
+partners it asks for every half within one bit, and complete distances
 are checked. Halves that many fingerprints share go another exact way: their
-members are dealt into blocks, and every pair of blocks is compared by numpy in
+members are parted by the four bytes of the other half, one of which partners share, and dealt
+into blocks; every pair of blocks is compared by numpy in
 a task of its own, which returns a spanning forest in place of all pairs.
 
 The pipeline's stage also links texts by the similarity of their shingle sets, at
@@ -24,12 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, read_table, written
+from .common import connected_components, passing, read_table, small_batches, written
 
 HALF = 32
 #: A half with more fingerprints is compared in blocks.
 BUSY = 48
 BLOCK = 1500
+#: Bytes of shingle sets in a block, if a block of ``BLOCK`` sets has more.
+BLOCK_BYTES = 8 << 20
 #: Similarity of shingle sets (numerator and denominator) from which the pipeline takes texts for near copies.
 SHARE = (4, 5)
 #: Longs of a parity sketch; one text in so many is in the sample, and shingles of so many sampled texts go last.
@@ -75,7 +77,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", width: int = 3, seed:
         out = np.array([fingerprint(t, width, seed) for t in texts], dtype=np.uint64)
         return pd.Series(out.view(np.int64))
 
-    return docs.withColumn("fp", fp(F.col(text)))
+    return small_batches(docs).withColumn("fp", fp(F.col(text)))
 
 
 def _forest(left: np.ndarray, right: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -124,13 +126,18 @@ def fingerprint_links(fps: DataFrame, most: int = 3) -> DataFrame:
     )
     if busy.isEmpty():
         return cold
-    many = written(asks.join(busy.select("seg", "key"), ["seg", "key"]).select("seg", "key", "fp"))
-    size = many.groupBy("seg", "key").agg(F.count("*").alias("p")).join(busy, ["seg", "key"])
-    size = size.select("seg", "key", F.ceil(F.col("n") / BLOCK).alias("nb"), F.ceil(F.col("p") / BLOCK).alias("pb"))
+    busy = busy.select("seg", "key")
+    other = F.when(F.col("seg") == 0, F.col("fp")).otherwise(F.shiftrightunsigned("fp", HALF))
+    byte = F.explode(F.array(*(F.struct(F.lit(i).alias("sub"), F.shiftrightunsigned(other, 8 * i).bitwiseAND(F.lit(255)).alias("val")) for i in range(4))))
+    at = ["seg", "key", "sub", "val"]
+    parted = lambda df: df.select("seg", "key", "fp", byte.alias("x")).select("seg", "key", "x.sub", "x.val", "fp")
+    own, many = parted(table.join(busy, ["seg", "key"])), written(parted(asks.join(busy, ["seg", "key"])))
+    blocks_of = lambda df, name: df.groupBy(*at).agg(F.ceil(F.count("*") / BLOCK).alias(name))
+    size = written(blocks_of(own, "nb").join(blocks_of(many, "pb"), at))
     mix = lambda by: F.pmod(F.xxhash64("fp"), F.col(by))
-    blocks = lambda own, other: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1))
-    left = table.join(size, ["seg", "key"]).select("seg", "key", "fp", F.lit(0).alias("side"), mix("nb").alias("i"), blocks("nb", "pb").alias("j"))
-    right = many.join(size, ["seg", "key"]).select("seg", "key", "fp", F.lit(1).alias("side"), mix("pb").alias("j"), blocks("pb", "nb").alias("i"))
+    blocks = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    left = own.join(size, at).select(*at, "fp", F.lit(0).alias("side"), mix("nb").alias("i"), blocks("pb").alias("j"))
+    right = many.join(size, at).select(*at, "fp", F.lit(1).alias("side"), mix("pb").alias("j"), blocks("nb").alias("i"))
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         fp = part["fp"].to_numpy().view(np.uint64)
@@ -139,7 +146,7 @@ def fingerprint_links(fps: DataFrame, most: int = 3) -> DataFrame:
         edges = edges[edges[:, 0] != edges[:, 1]]
         return pd.DataFrame({"a": edges[:, 0], "b": edges[:, 1]})
 
-    hot = left.unionByName(right).groupBy("seg", "key", "i", "j").applyInPandas(compare, "a bigint, b bigint")
+    hot = left.unionByName(right).groupBy(*at, "i", "j").applyInPandas(compare, "a bigint, b bigint")
     return cold.unionByName(hot)
 
 
@@ -157,7 +164,7 @@ def _often(docs: DataFrame, width: int) -> np.ndarray:
 
 def with_shingles(docs: DataFrame, width: int = 5) -> DataFrame:
     """``doc_id``, ``fp``, the hash ``tk`` of the text, and of its shingle set the hash ``key``, size ``n``, parity ``sketch`` and first shingles ``first``."""
-    often = _often(docs, width)
+    often = _often(small_batches(docs), width)
 
     @F.pandas_udf("fp bigint, key bigint, n int, sketch array<bigint>, first array<bigint>")
     def facts(texts: pd.Series) -> pd.DataFrame:
@@ -214,9 +221,10 @@ def shingle_links(docs: DataFrame, marked: DataFrame, width: int = 5) -> DataFra
     same = some.groupBy("key").agg(F.min("fp").alias("b"), F.min("tk").alias("tk"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("first").alias("first"))
     same = written(same)
     copies = some.select("key", F.col("fp").alias("a")).join(same.select("key", "b"), "key").where("a <> b").select("a", "b")
-    firsts = same.select("key", F.explode("first").alias("s"))
-    counts = written(firsts.groupBy("s").agg(F.count("*").alias("c")).where("c > 1"))
-    shared = written(firsts.join(counts, "s").join(same.select("key", "n", "sketch"), "key"))
+    firsts = same.select("key", "n", F.explode("first").alias("s"))
+    counts = written(firsts.groupBy("s").agg(F.count("*").alias("c"), F.sum("n").alias("longs")).where("c > 1"))
+    shared = written(firsts.drop("n").join(counts, "s").join(same.select("key", "n", "sketch"), "key"))
+    deal = F.ceil(F.greatest(F.col("c") / BLOCK, F.col("longs") * 8 / BLOCK_BYTES)).alias("nb")
 
     @F.pandas_udf("binary")
     def shingles(texts: pd.Series) -> pd.Series:
@@ -227,7 +235,7 @@ def shingle_links(docs: DataFrame, marked: DataFrame, width: int = 5) -> DataFra
         texts = docs.select("text", F.xxhash64("text").alias("tk")).join(wanted, "tk").dropDuplicates(["key"])
         return written(texts.select("key", "fp", shingles("text").alias("set")))
 
-    rare = shared.where(F.col("c") <= BUSY).drop("c")
+    rare = shared.where(F.col("c") <= BUSY).drop("c", "longs")
     one, two = (rare.select("s", *(F.col(c).alias(c + side) for c in ("key", "n", "sketch"))) for side in ("1", "2"))
     apart = sum((F.bit_count(F.col("sketch1")[k].bitwiseXOR(F.col("sketch2")[k])) for k in range(SKETCH)), F.lit(0))
     near = (F.least("n1", "n2") * den >= F.greatest("n1", "n2") * num) & (apart * (den + num) <= (F.col("n1") + F.col("n2")) * (den - num))
@@ -240,10 +248,9 @@ def shingle_links(docs: DataFrame, marked: DataFrame, width: int = 5) -> DataFra
 
     left, right = (sets.select(F.col("key").alias("key" + k), F.col("fp").alias(name), F.col("set").alias("set" + k)) for k, name in (("1", "a"), ("2", "b")))
     links = copies.unionByName(pairs.join(left, "key1").join(right, "key2").where(alike("set1", "set2")).select("a", "b"))
-    busy = counts.where(F.col("c") > BUSY).withColumn("nb", F.ceil(F.col("c") / BLOCK))
-    if busy.isEmpty():
+    if counts.where(F.col("c") > BUSY).isEmpty():
         return links
-    many = shared.where(F.col("c") > BUSY).select("s", "key", "sketch", F.ceil(F.col("c") / BLOCK).alias("nb"))
+    many = shared.where(F.col("c") > BUSY).select("s", "key", "sketch", deal)
     many = many.join(sets_of(many.select("key")), "key").withColumn("own", F.pmod(F.xxhash64("key"), F.col("nb")))
     blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1))
     dealt = many.withColumn("other", blocks).select("s", "fp", "sketch", "set", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("left"), (F.col("own") == F.col("other")).alias("both"))
@@ -262,16 +269,13 @@ def shingle_links(docs: DataFrame, marked: DataFrame, width: int = 5) -> DataFra
 
 def fingerprint_classes(marked: DataFrame, most: int = 3, more: DataFrame | None = None) -> DataFrame:
     """``fp``, ``root`` (the least fingerprint that links reach) and ``component_id`` (the least doc_id) of each fingerprint in ``marked``; ``more`` are further links."""
-    fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    links = fingerprint_links(fps.select("fp"), most)
-    labels = connected_components(links if more is None else links.unionByName(more))
-    named = fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return written(named.select("fp", "root").join(least, "root").select("fp", "root", "component_id"))
-
-
-def _marked(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    return written(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", width).select("doc_id", "fp"))
+    with passing() as keep:
+        fps = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
+        links = fingerprint_links(fps.select("fp"), most)
+        labels = connected_components(links if more is None else links.unionByName(more))
+        named = fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+        least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+        return keep(written(named.select("fp", "root").join(least, "root").select("fp", "root", "component_id")))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = 3, width: int = 3) -> DataFrame:
@@ -281,9 +285,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     harm. Null texts and texts without a word have fingerprint zero, which links
     like any other. Repeated rows stay and share their component. Among null
     doc_ids a component takes the least that is not null; if it has none the
-    component is null. An empty table gives an empty result.
+    component is null. Texts of any length are read whole. An empty table gives an empty result.
     """
-    marked = _marked(docs, doc_id, text, width)
+    marked = written(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", width).select("doc_id", "fp"))
     return marked.join(fingerprint_classes(marked, most).drop("root"), "fp").select("doc_id", "fp", "component_id")
 
 
@@ -291,16 +295,27 @@ def one_of_each(docs: DataFrame, most: int = 3, width: int = 5) -> DataFrame:
     """``docs`` (with ``doc_id`` and ``text``) with one document of each group of near duplicates: that of the least doc_id.
 
     Near are fingerprints within ``most`` bits and texts whose shingle sets have a similarity of
-    ``SHARE`` or more. Five-word shingles by default. Of rows that repeat a doc_id within a group any one stays; a
-    group without any doc_id keeps one row. The columns stay as they are.
+    ``SHARE`` or more. Five-word shingles by default. A null doc_id comes after all others; of different
+    texts of one doc_id in a group the one of the least hash stays, of repeated rows one. Null and empty texts and those
+    without a word are one group. The columns stay as they are; an empty table gives an empty one.
     """
-    marked = written(with_shingles(docs, width))
-    classes = fingerprint_classes(marked, most, shingle_links(docs, marked, width))
+    with passing() as keep:
+        marked = written(with_shingles(docs, width))
+        classes = fingerprint_classes(marked, most, shingle_links(docs, marked, width))
+        rows = marked.select("doc_id", "tk", "fp").groupBy("doc_id", "tk", "fp").count()
+        rows = written(rows.join(classes.select("fp", "root"), "fp").select("doc_id", "tk", "root", "count"))
+        order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tk")
+        winner = rows.groupBy("root").agg(F.min(order).alias("w"))
+        lost = rows.join(winner, "root").where(~(F.col("doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("tk") == F.col("w.tk"))))
+        lost = keep(written(lost.select(F.col("doc_id").alias("__id"), F.col("tk").alias("__tk"))))
+        again = keep(written(rows.where("count > 1").select(F.col("doc_id").alias("__id"), F.col("tk").alias("__tk"))))
     names = docs.columns
-    rows = with_fingerprint(docs.select(F.struct(*names).alias("__row"), F.col("doc_id").alias("__id"), "text"), "text", width).drop("text")
-    kept = rows.join(classes, "fp").where(F.col("__id").eqNullSafe(F.col("component_id")))
-    if not marked.groupBy("doc_id", "fp").count().where("count > 1 or doc_id is null").isEmpty() or not marked.groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["root", "component_id"])
+    own = docs.select(F.struct(*names).alias("__row"), F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__tk"))
+    same = lambda a, b: (a["__tk"] == b["__tk"]) & a["__id"].eqNullSafe(b["__id"])
+    kept = own.join(lost, same(own, lost), "left_anti")
+    if not again.isEmpty():
+        once = own.join(again, same(own, again), "left_semi").join(lost, same(own, lost), "left_anti").dropDuplicates(["__id", "__tk"])
+        kept = kept.join(again, same(kept, again), "left_anti").unionByName(once)
     return kept.select("__row.*")
 
 
@@ -310,5 +325,5 @@ def op7_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each near-duplicate group stays."""
+    """Pipeline stage: one document of each near-duplicate group stays; see ``one_of_each`` for nulls, ties and repeated rows. Further columns are dropped."""
     return one_of_each(docs.select("doc_id", "text", "lang", "source", "n_chars"))
