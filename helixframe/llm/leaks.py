@@ -1,8 +1,10 @@
 """Benchmark decontamination: q-gram lemma filtering over diagonal bands, verified by banded alignment.
 
-Each benchmark item gives patterns: windows of ``WINDOW`` characters, half a window
+Each benchmark item gives patterns: windows of ``WINDOW`` characters, a quarter window
 apart, the last flush with the end (the whole item, if shorter). A document leaks
-an item if it holds one of the item's patterns with at most ``budget`` edits. By the
+an item if it holds one of the item's patterns with at most ``budget`` edits. Items of under
+``EXACT`` characters have a budget of nothing: they must stand in the text as they are, between signs
+that are no letters or digits, and one Aho-Corasick pass finds them. By the
 q-gram lemma such a place shares at least m + 1 - q - q * budget q-grams with a pattern
 of m characters, all on diagonals that differ by at most the budget; so they meet in one
 of the overlapping bands of twice that width. Bands with so many q-grams on a pattern's
@@ -13,15 +15,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import drop, passing, read_table, small_batches, written
 
-Q, WINDOW, SHARE, LEAST_CHARS = 8, 100, 0.08, 30
-#: Items are sent to the executors in blocks of about so many characters; every block meets all documents.
+Q, WINDOW, SHARE, EXACT = 8, 100, 0.08, 30
+#: Patterns are sent to the executors in blocks of about so many characters; every block meets all documents.
 BLOCK_CHARS = 1_000_000
 _PIECE = 60_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -33,14 +36,12 @@ def normal(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
-def windows(text: str, window: int = WINDOW, least: int = LEAST_CHARS) -> list[str]:
-    """Patterns of one normalized item; none if it has fewer than ``least`` characters."""
-    if len(text) < least:
-        return []
+def windows(text: str, window: int = WINDOW) -> list[str]:
+    """Patterns of one normalized item; none if it is empty."""
     if len(text) <= window:
-        return [text]
-    starts = [*range(0, len(text) - window, window // 2), len(text) - window]
-    return [text[s : s + window] for s in starts]
+        return [text] if text else []
+    starts = [*range(0, len(text) - window, window // 4), len(text) - window]
+    return list(dict.fromkeys(text[s : s + window] for s in starts))
 
 
 def _codes(text: str) -> np.ndarray:
@@ -56,11 +57,21 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
 
 
 class Patterns:
-    """Index of a block of patterns: sorted q-grams with the places that have them."""
+    """Index of a block of (item, pattern) pairs: sorted q-grams with the places that have them."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int = Q, share: float = SHARE, window: int = WINDOW) -> None:
+    def __init__(self, patterns: list[tuple[int, str]], q: int = Q, share: float = SHARE, exact: int = EXACT) -> None:
         self.q = q
-        known = [(i, p) for i, t in items for p in windows(normal(t), window)]
+        self.short: dict[str, list[int]] = {}
+        for i, p in patterns:
+            if len(p) < exact:
+                self.short.setdefault(p, []).append(i)
+        self.auto = None
+        if self.short:
+            self.auto = ahocorasick.Automaton()
+            for p in self.short:
+                self.auto.add_word(p, p)
+            self.auto.make_automaton()
+        known = [(i, p) for i, p in patterns if len(p) >= exact]
         self.item = [i for i, _ in known]
         self.text = [p for _, p in known]
         self.codes = [_codes(p) for p in self.text]
@@ -140,62 +151,103 @@ class Patterns:
         best = int(row.argmin())
         return int(row[best]), len(pattern) + low + best
 
+    def _whole(self, text: str) -> Iterator[tuple[int, int]]:
+        """(item, end) of the items of under ``EXACT`` characters that stand in the text."""
+        if self.auto is not None:
+            for last, p in self.auto.iter(text):
+                start, end = last + 1 - len(p), last + 1
+                if not (start and text[start - 1].isalnum() and p[0].isalnum()) and not (text[end : end + 1].isalnum() and p[-1].isalnum()):
+                    yield from ((i, end) for i in self.short[p])
+
     def find(self, text: str) -> list[tuple[int, int, int]]:
         """(item, edits, end) of each leaked item: fewest edits, then first end in the normalized text."""
         found: dict[int, tuple[int, int]] = {}
-        codes = _codes(text)
+        for item, end in self._whole(text):
+            found[item] = min(found.get(item, (0, end)), (0, end))
         if not len(self.size):
-            return []
+            return [(i, *v) for i, v in sorted(found.items())]
+        codes = _codes(text)
         reach = int(self.size.max() + self.budget.max())
         for start in range(0, max(len(codes), 1), _PIECE):
             part = codes[max(0, start - reach) : start + _PIECE + reach]
             base = max(0, start - reach)
             for p, diagonal, _, _ in self.candidates(part):
-                item = self.item[p]
-                if found.get(item, (1, 0))[0] == 0:
+                item, e = self.item[p], int(self.budget[p])
+                # an exact copy that ends no later than this band can has nothing to gain here
+                if found.get(item, (1, 0)) <= (0, base + int(self.size[p]) + diagonal - e):
                     continue
                 edits, end = self.align(part, p, diagonal)
-                if edits <= self.budget[p]:
+                if edits <= e:
                     found[item] = min(found.get(item, (1 << 20, 0)), (edits, base + end))
         return [(i, *v) for i, v in sorted(found.items())]
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items, a bounded block at a time."""
-    items = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).where("i is not null and t is not null")
-    total = items.agg(F.sum(F.length("t"))).first()[0] or 0
+def patterns_of(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """``item`` and ``pattern``, once each, of every item that is not null."""
+
+    @F.pandas_udf("array<string>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return pd.Series([windows(normal(t)) for t in texts])
+
+    items = small_batches(benchmark).select(F.col(item_id).alias("item"), F.col(text).alias("t")).where("item is not null and t is not null")
+    return items.select("item", F.explode(cut("t")).alias("pattern")).distinct()
+
+
+def _blocks(patterns: DataFrame, chars: int) -> Iterator[list[tuple[int, str]]]:
+    """The patterns, a bounded block at a time."""
+    total = patterns.agg(F.sum(F.length("pattern"))).first()[0] or 0
     n = max(1, -(-total // chars))
     for k in range(n):
-        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) if n > 1 else items
+        part = patterns.where(F.pmod(F.xxhash64("item", "pattern"), F.lit(n)) == k) if n > 1 else patterns
         yield [(r[0], r[1]) for r in part.toLocalIterator()]
 
 
-def _finder(index, kind: str):
-    @F.pandas_udf(kind)
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"item_id": i, "edits": e, "end": at} for i, e, at in index.value.find(normal(t))] for t in texts])
+_LEAKS = "array<struct<item_id:bigint,edits:int,end:bigint>>"
+
+
+def _finder(index):
+    @F.pandas_udf(_LEAKS)
+    def run(texts: pd.Series, before: pd.Series) -> pd.Series:
+        out = []
+        for t, known in zip(texts, before):
+            best = {x["item_id"]: (x["edits"], x["end"]) for x in known}
+            for i, e, at in index.value.find(normal(t)):
+                best[i] = min(best.get(i, (e, at)), (e, at))
+            out.append([{"item_id": i, "edits": e, "end": at} for i, (e, at) in sorted(best.items())])
+        return pd.Series(out)
 
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_chars: int = BLOCK_CHARS, only_clean: bool = False) -> DataFrame:
     """``docs`` with ``leaks``: an array of (item_id, edits, end), one for each item that the text holds, by item_id.
 
     Texts are compared in lower case with white space as single blanks; ``end`` is a place in that
-    form. Null and empty texts hold nothing; items that are null or shorter than
-    30 characters are held by nothing; items of one id count as one; repeated rows get
-    equal results; whole texts are searched; a column named leaks is replaced. The
-    benchmark is sent in bounded blocks, so it may be of any size; documents are not shuffled.
+    form: of the copies with fewest edits the first one's. Null and empty texts hold nothing; null and empty items are
+    held by nothing; texts of one item_id count as one item; repeated rows get
+    equal results; whole texts are searched; a column named leaks is replaced; an empty table gives an empty one. The
+    patterns reach the executors in blocks of at most about ``block_chars`` characters. With more than one block the rows are written
+    after each, so that driver and executors hold one block at a time however large the benchmark; a benchmark
+    of n blocks takes n passes. Documents are not shuffled. ``only_clean`` leaves out, after each block, the rows that hold an item.
     """
-    out, kind = docs, "array<struct<item_id:bigint,edits:int,end:bigint>>"
-    found = F.array().cast(kind)
-    names = []
-    for k, items in enumerate(_blocks(benchmark, item_id, item_text, block_chars)):
-        index = docs.sparkSession.sparkContext.broadcast(Patterns(items))
-        names.append(f"__leaks{k}")
-        out = out.withColumn(names[-1], _finder(index, kind)(F.col(text)))
-        found = F.concat(found, F.col(names[-1]))
-    return out.withColumn("leaks", F.array_sort(found)).drop(*names)
+    with passing() as keep:
+        patterns = written(patterns_of(benchmark, item_id, item_text))
+        out = docs.withColumn("leaks", F.array().cast(_LEAKS))
+        last = index = None
+        for block in _blocks(patterns, block_chars):
+            if index is not None:
+                step = written(out)
+                index.unpersist()
+                if last is not None:
+                    drop(last)
+                out = last = step
+            index = docs.sparkSession.sparkContext.broadcast(Patterns(block))
+            out = small_batches(out).withColumn("leaks", _finder(index)(F.col(text), F.col("leaks")))
+            if only_clean:
+                out = out.where(F.size("leaks") == 0)
+        if last is not None:
+            keep(last)
+        return out
 
 
 def op3_leaks(spark, sf_dir: str) -> DataFrame:
@@ -204,6 +256,5 @@ def op3_leaks(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go."""
-    marked = find_leaks(docs.select("doc_id", "text", "lang", "source", "n_chars"), read_table(spark, sf_dir, "benchmark"))
-    return marked.where(F.size("leaks") == 0).drop("leaks")
+    """Pipeline stage: documents that hold a benchmark item go; see ``find_leaks``. Null and empty texts stay; further columns are dropped."""
+    return find_leaks(docs.select("doc_id", "text", "lang", "source", "n_chars"), read_table(spark, sf_dir, "benchmark"), only_clean=True).drop("leaks")

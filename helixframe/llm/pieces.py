@@ -11,6 +11,7 @@ are all compatible is the one result of the merges.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,6 +27,8 @@ from .common import read_table, small_batches
 SPACE = "▁"
 #: Encoded words that a worker remembers; beyond that it starts anew.
 MEMORY = 150_000
+#: Longer stretches without a blank have their matches listed in windows of so many characters.
+WINDOW = 1 << 15
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -53,6 +56,27 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             at += size
 
 
+class Matches:
+    """Ends of the matches that start at each place of a long text, ascending; two windows are held at a time."""
+
+    def __init__(self, auto: ahocorasick.Automaton, text: str, reach: int, window: int) -> None:
+        self.auto, self.text, self.reach, self.window = auto, text, reach, window
+        self.held: dict[int, list[list[int]]] = {}
+
+    def __getitem__(self, at: int) -> list[int]:
+        low = at - at % self.window
+        rows = self.held.get(low)
+        if rows is None:
+            if len(self.held) > 1:
+                self.held.pop(min(self.held, key=lambda x: -abs(x - low)))
+            high = min(low + self.window, len(self.text))
+            rows = self.held[low] = [[] for _ in range(high - low)]
+            for end, size in self.auto.iter(self.text, low, min(len(self.text), high + self.reach)):
+                if end - size + 1 < high:
+                    rows[end - size + 1 - low].append(end + 1)
+        return rows[at - low]
+
+
 class Pieces:
     """A merge-type model with identity normalizer, read from its file."""
 
@@ -86,6 +110,7 @@ class Pieces:
         for p in self.ids:
             self.auto.add_word(p, len(p))
         self.auto.make_automaton()
+        self.reach = max(map(len, self.ids))
         self.packed_of = {p: self.packed[i] for p, i in self.ids.items()}
         self.meets: dict[str, int] = {}
         self.wholes: dict[str, bool] = {}
@@ -160,20 +185,55 @@ class Pieces:
                 rivals, before = ends.pop(), chain[-1] if chain else ""
         return chain
 
+    def backtrack_long(self, text: str, window: int = WINDOW) -> bytes:
+        """Packed ids of a long ``text``, as ``backtrack`` finds them, in a few bytes per character.
+
+        Of the chain only the ends are kept; a piece's shorter rivals are looked up again when it gives way.
+        """
+        n, ends, failed = len(text), array("Q"), bytearray(len(text) + 1)
+        matches = Matches(self.auto, text, self.reach, window)
+        at, before, rivals = 0, "", matches[0].copy()
+        while at < n:
+            while rivals:
+                end = rivals.pop()
+                piece = text[at:end]
+                if failed[end] or not ((self.meets.get(before + piece) or self._meet(before + piece)) == len(before) if before else self._whole(piece)):
+                    continue
+                ends.append(end)
+                at, before = end, piece
+                rivals = matches[at].copy() if at < n else []
+                break
+            else:
+                if not ends:
+                    raise ValueError(f"no segmentation of {text[:40]!r}")
+                failed[at] = 1
+                end = ends.pop()
+                at = ends[-1] if ends else 0
+                before = text[ends[-2] if len(ends) > 1 else 0 : at]
+                rivals = [x for x in matches[at] if x < end]
+        packed, out, start = self.packed_of, bytearray(), 0
+        for end in ends:
+            out += packed[text[start:end]]
+            start = end
+        return bytes(out)
+
+    def _pieces(self, text: str) -> bytes:
+        return self.backtrack_long(text) if len(text) > WINDOW else b"".join([self.packed_of[p] for p in self.backtrack(text)])
+
     def _pack(self, text: str) -> bytes:
         """Packed ids of a normalized stretch; characters that are no pieces never merge and fall back to bytes."""
         ids = self.packed_of
         if self.chars.issuperset(text):
             got = ids.get(text)
-            return got if got is not None and self._whole(text) else b"".join([ids[p] for p in self.backtrack(text)])
+            return got if got is not None and self._whole(text) else self._pieces(text)
         out, at = [], 0
         for m in self.unknown(text):
             if at < m[0]:
-                out += [ids[p] for p in self.backtrack(text[at : m[0]])]
+                out.append(self._pieces(text[at : m[0]]))
             out += [self.packed[self.byte[b]] for b in m[1].encode()] if self.byte else [self.packed[self.unk]]
             at = m[0] + len(m[1])
         if at < len(text):
-            out += [ids[p] for p in self.backtrack(text[at:])]
+            out.append(self._pieces(text[at:]))
         return b"".join(out)
 
     def unknown(self, text: str) -> Iterator[tuple[int, str]]:
@@ -268,7 +328,10 @@ def encode(docs: DataFrame, model: str, text: str = "text", out: str = "ids_le",
 
 
 def decode(docs: DataFrame, model: str, ids: str = "ids_le", out: str = "decoded") -> DataFrame:
-    """``docs`` with the string column ``out``: the text that the packed ids stand for; null ids give an empty text."""
+    """``docs`` with the string column ``out``: the text that the packed ids stand for.
+
+    Null ids give an empty text; all rows and columns stay; a column named like ``out`` is replaced.
+    """
 
     @F.pandas_udf("string")
     def run(packed: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -307,7 +370,11 @@ def op1_sentencepiece(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Last pipeline stage: the ids of each document, and whether decoding them gives back its text."""
+    """Last pipeline stage: the ids of each document, and whether decoding them gives back its text.
+
+    Null texts count as empty (begin and end ids only); every row stays, repeated ones too;
+    further columns are dropped; an empty table gives an empty one.
+    """
     model = default_model()
     both = encode_and_decode(docs.select("doc_id", "lang", "source", "text"), model)
     n = (F.octet_length("ids_le") / 4).cast("long").alias("n_tokens")

@@ -1,9 +1,9 @@
 """Personal data: fixed patterns, plus a linear-chain conditional random field over word shapes.
 
 The field is trained by gradient ascent on the likelihood of a small labelled
-table and decoded by Viterbi in numpy batches. A token without a digit or an
-``@`` is outside by construction, so a text falls apart into short runs of the
-other tokens and decoding the runs is decoding the whole text.
+table and decoded by Viterbi in numpy batches. Its chains are the runs of tokens that
+can be part of such data: those with a digit or an ``@``, and those of joining marks alone
+between them. Any other token ends a chain, in training as in decoding.
 """
 
 from __future__ import annotations
@@ -42,6 +42,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _octet(digits: str) -> bool:
+    """Whether ASCII digits, leading zeros or not, are at most 255."""
+    short = digits.lstrip("0")
+    return len(short) <= 3 and int(short or "0") <= 255
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points of what the fixed patterns find, by kind and then start."""
     out: list[tuple[str, int, int]] = []
@@ -58,7 +64,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
             free = at + 1  # a local part holds no @
         at = text.find("@", free)
     for m in _IP.finditer(text):
-        if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in (m[0].split("."))):
+        if all(_octet(x) for x in m[0].split(".")):
             out.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
@@ -96,6 +102,10 @@ LABELLED = (
     "Dial [phone +34 911 23 45 67] between 9 and 17.",
     "call [phone (212) 555-0143] or [phone 212-555-0143] today",
     "Office: [phone (030) 901-8201].",
+    "Ring [phone 361 555 8283] or [phone 020 7946 0958] after ten.",
+    "Her number is [phone 555 867 5309] at work",
+    "Reach us: [phone 0161 496 0018], weekdays.",
+    "Mobile [phone 212 - 555 - 0143] only.",
     "The server [ip 10.0.12.7] answered in 35 ms.",
     "Denied 3 times from [ip 192.168.44.201].",
     "hosts [ip 172.16.0.9] and [ip 8.8.4.4] are up",
@@ -119,6 +129,11 @@ LABELLED = (
     "a@b is no address, nor is x@y",
     "The ratio was 3.14159 + 2.71828.",
     "Rooms 101 102 103 104 are free.",
+    "Pages 12 17 203 were torn.",
+    "Lots 4500 3200 1100 sold in 1987.",
+    "scores 21 17 11 9",
+    "year 1999 2000 2001",
+    "The summers of 1995 1996 1997 1998 were dry.",
     "From 2001-02-03 to 2004-05-06, 1000 days.",
     "Add +5 and -3 to get +2.",
     "id 550e8400 e29b 41d4 a716 446655440000",
@@ -127,25 +142,26 @@ LABELLED = (
 _MARK = re.compile(r"\[(email|ip|card|phone) ([^\]]+)\]")
 _TOKEN = re.compile(r"\S+")
 _LIVE = re.compile(r"[0-9@]")
+_JOINS = re.compile(r"[-+().]+")
 _TRIM = ".,;:!?\"'<>[]{}|*&%$#"
 _SHAPE = re.compile(r"(a+)|(A+)|(0+)")
 _CLASS = str.maketrans({**{c: "0" for c in "0123456789"}, **{c: "a" for c in "abcdefghijklmnopqrstuvwxyz"}, **{c: "A" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}})
 
 
 def shape(token: str) -> str:
-    """Word shape: letters as a or A, digits as 0; runs are cut to one sign. The first 40 signs tell enough."""
-    return _SHAPE.sub(lambda m: m[0][0], token[:64].translate(_CLASS))[:40]
+    """Word shape: letters as a or A, digits as 0; runs are cut to one sign."""
+    return _SHAPE.sub(lambda m: m[0][0], token.translate(_CLASS))
 
 
 def _features(tokens: list[str], i: int) -> list[str]:
     core = tokens[i].strip(_TRIM)
-    digits = re.sub(r"[^0-9]", "", core[:64])
+    digits = re.sub(r"[^0-9]", "", core)
     out = ["bias", f"s:{shape(core)}", f"n:{min(len(digits), 24)}"]
     if "@" in core:
         out.append("mail" if _DOMAIN.search(core) and core[0] != "@" else "at")
     parts = core.split(".")
     if len(parts) == 4 and all(p.isdigit() and p.isascii() for p in parts):
-        out.append("quad" if all(len(p) < 4 and int(p) < 256 for p in parts) else "wide")
+        out.append("quad" if all(map(_octet, parts)) else "wide")
     if 13 <= len(digits) <= 19 and len(digits) + core.count("-") == len(core):
         out.append("luhn" if luhn(digits) else "no-luhn")
     if core[:1] == "+":
@@ -156,14 +172,19 @@ def _features(tokens: list[str], i: int) -> list[str]:
 
 
 def _runs(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Maximal runs of tokens that have a digit or @, as (start, end) pairs."""
+    """The chains of a text, as (start, end) pairs of their tokens: from a token with a digit or @ to the last such one that only joining marks part."""
     run: list[tuple[int, int]] = []
+    marks: list[tuple[int, int]] = []
     for m in _TOKEN.finditer(text):
         if _LIVE.search(m[0]):
-            run.append(m.span())
-        elif run:
-            yield run
-            run = []
+            run += [*marks, m.span()]
+            marks = []
+        elif run and len(marks) < len(run) and _JOINS.fullmatch(m[0]):
+            marks.append(m.span())
+        else:
+            if run:
+                yield run
+            run, marks = [], []
     if run:
         yield run
 
@@ -263,7 +284,7 @@ def plausible(kind: str, value: str) -> bool:
     if kind == "phone":
         return 9 <= len(digits) <= 15
     if kind == "ip":
-        return all(p.isdigit() and len(p) < 4 and int(p) < 256 for p in value.split("."))
+        return re.fullmatch(r"[0-9]+(\.[0-9]+){3}", value) is not None and all(map(_octet, value.split(".")))
     return "@" in value[1:-1]
 
 
@@ -331,7 +352,10 @@ def personal_data(docs: DataFrame, text: str = "text", labelled: tuple[str, ...]
 
 
 def redact(docs: DataFrame, text: str = "text", labelled: tuple[str, ...] = LABELLED) -> DataFrame:
-    """``docs`` with every found span of ``text`` replaced by its kind in angle brackets; overlapping spans become one."""
+    """``docs`` with every found span of ``text`` replaced by its kind in angle brackets; overlapping spans become one.
+
+    A null text stays null; the other columns are neither read nor changed, whatever their names; repeated rows get equal results.
+    """
     field = Field(labelled)
 
     @F.pandas_udf("string")

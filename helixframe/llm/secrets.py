@@ -26,6 +26,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of 24 or more
 _WORD = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _MARKS = re.compile(r"[:=]")
+_LETTER, _DIGIT = re.compile(r"[A-Za-z]"), re.compile(r"[0-9]")
 
 #: Ordinary identifiers, the second labelled sample: program names, paths, words in several languages, dates, versions.
 ORDINARY = (
@@ -94,18 +95,20 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def added_spans(text: str, base: list[tuple[str, int, int]], model: Markov, margin: float = 0.9, least: float = 15.0) -> list[tuple[str, int, int]]:
-    """Further tokens of 16 or more signs, with a letter and a digit, that look random and overlap no span of ``base``."""
+def added_spans(text: str, base: list[tuple[str, int, int]], model: Markov, margin: float = 0.9, least: float = 15.0, letters_margin: float = 1.0) -> list[tuple[str, int, int]]:
+    """Further tokens of 16 or more signs that look random and overlap no span of ``base``.
+
+    Tokens of letters and marks alone need ``letters_margin``; in capitals alone they are scored in lower case, as
+    the samples hold ordinary words in lower case. Tokens without a letter are numbers, not keys.
+    """
     out, taken = [], touches((a, b) for _, a, b in base)
     for m in _WORD.finditer(text):
-        token = m[0]
-        if not (any(map(str.isdigit, token)) and any(map(str.isalpha, token))):
-            continue
-        s, e = m.span()
-        if taken(s, e):
+        token, (s, e) = m[0], m.span()
+        if _LETTER.search(token) is None or taken(s, e):
             continue
-        total, mean = model.score(token)
-        if mean >= margin and total >= least:
+        mixed = _DIGIT.search(token) is not None
+        total, mean = model.score(token.lower() if not mixed and token.isupper() else token)
+        if mean >= (margin if mixed else letters_margin) and total >= least:
             out.append(("random", s, e))
     return out
 

@@ -152,41 +152,62 @@ def test_components_of_paths_and_stars(spark):
     assert common.connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def brute_leaks(patterns, text, share=leaks.SHARE):
+    """item -> (fewest edits, first end) over all patterns, by whole tables of edits."""
+    out = {}
+    for item, p in patterns:
+        if len(p) < leaks.EXACT:
+            ends = [m.end() for m in re.finditer(f"(?={re.escape(p)})", text) for m in [re.compile(re.escape(p)).match(text, m.start())]]
+            ends = [e for e in ends if not (e > len(p) and text[e - len(p) - 1].isalnum() and p[0].isalnum()) and not (text[e : e + 1].isalnum() and p[-1].isalnum())]
+            best = (0, min(ends)) if ends else None
+        else:
+            row = [0] * (len(text) + 1)
+            for i, c in enumerate(p, 1):
+                new = [i]
+                for j, x in enumerate(text, 1):
+                    new.append(min(row[j - 1] + (c != x), row[j] + 1, new[-1] + 1))
+                row = new
+            best = (min(row), row.index(min(row))) if min(row) <= int(len(p) * share) else None
+        if best is not None:
+            out[item] = min(out.get(item, best), best)
+    return out
+
+
 def test_leaks_equal_full_alignment(docs):
-    items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
-    index = leaks.Patterns(items)
+    """Items, edits and ends, with changed copies, ties of equal copies, and items of a few characters."""
+    items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()[:6] + [(901, "Zebra 17"), (902, "so"), (903, "x" * 29)]
+    patterns = [(i, p) for i, t in items for p in leaks.windows(leaks.normal(t))]
+    index = leaks.Patterns(patterns)
     rnd = random.Random(5)
-
-    def least(pattern, text):
-        row = [0] * (len(text) + 1)
-        for i, c in enumerate(pattern, 1):
-            new = [i]
-            for j, x in enumerate(text, 1):
-                new.append(min(row[j - 1] + (c != x), row[j] + 1, new[-1] + 1))
-            row = new
-        return min(row)
-
-    hits = 0
-    for _ in range(25):
-        item, text = rnd.choice(items)
+    hits = ties = 0
+    for n in range(24):
+        _, text = rnd.choice(items)
         x = list(leaks.normal(text))
-        for _ in range(rnd.randint(0, 70)):
+        for _ in range(rnd.randint(0, 40) if n % 3 else 0):
             p = rnd.randrange(len(x))
             x[p : p + rnd.randint(0, 1)] = [rnd.choice("abc ")] * rnd.randint(0, 1)
-        whole = leaks.normal(rnd.choice(docs)[1])[:80] + " " + leaks.normal("".join(x))
-        want = any(least(p, whole) <= index.budget[k] for k, p in enumerate(index.text) if index.item[k] == item)
-        hits += want
-        assert (item in {i for i, _, _ in index.find(whole)}) == want
-    assert 5 < hits < 25
+        again = "".join(x) if n % 2 else ""  # the same copy twice: the first counts
+        whole = leaks.normal(rnd.choice(docs)[1])[:60] + " " + "".join(x) + " so-so zebra 17a " + again + " zebra 17."
+        want = brute_leaks(patterns, whole)
+        assert {i: (e, at) for i, e, at in index.find(whole)} == want
+        hits += any(i < 900 for i in want)
+        ties += bool(again) and any(i < 900 for i in want)
+    assert hits > 8 and ties > 3
 
 
 def test_leaks_in_blocks(spark):
+    """Many blocks give what one gives; what is sent at once stays bounded as the benchmark grows tenfold."""
     docs, bench = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    bench = bench.unionByName(bench.limit(2).select("item_id", F.lit("another text of the same item, of more than thirty characters").alias("text")))
     one = leaks.find_leaks(docs, bench).orderBy("doc_id").collect()
-    assert leaks.find_leaks(docs, bench, block_chars=2500).orderBy("doc_id").collect() == one
+    assert leaks.find_leaks(docs, bench, block_chars=20000).orderBy("doc_id").collect() == one
+    assert leaks.find_leaks(docs, bench, block_chars=20000, only_clean=True).count() == sum(not r.leaks for r in one)
     items = {r.item_id: leaks.normal(r.text) for r in bench.collect()}
     for r in one:
         assert {i for i, t in items.items() if t in leaks.normal(r.text)} <= {x.item_id for x in r.leaks}
+    tenfold = bench.crossJoin(spark.range(10)).select((F.col("item_id") * 10 + F.col("id")).alias("item_id"), F.concat("text", F.lit(" "), F.col("id").cast("string")).alias("text"))
+    blocks = list(leaks._blocks(leaks.patterns_of(tenfold), 100_000))
+    assert len(blocks) > 2 and max(sum(len(p) for _, p in b) for b in blocks) < 150_000
 
 
 def test_quality_on_held_out_rows(spark):
@@ -196,6 +217,123 @@ def test_quality_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_trees_walk_and_split_as_by_hand():
+    """Flat trees against a walk from node to node, and the first split against every possible one."""
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(400, 5)).round(1)
+    y = ((x[:, 1] > 0.2) ^ (rnd.random(400) < 0.1)).astype(float)
+    trees = quality.fit(x, y, trees=7, depth=3, bins=500, least=5)
+
+    def walk(row):
+        total = trees.start
+        for at in trees.roots:
+            while trees.feature[at] >= 0:
+                at = trees.left[at] if row[trees.feature[at]] <= trees.threshold[at] else trees.right[at]
+            total += trees.value[at]
+        return 1 / (1 + np.exp(-total))
+
+    assert np.allclose(trees.score(x), [walk(r) for r in x])
+    p = 1 / (1 + np.exp(-trees.start))
+    g, h, best = p - y, np.full(len(y), p * (1 - p)), (0, None)
+    for j in range(5):
+        for cut in np.unique(x[:, j])[:-1]:
+            low = x[:, j] <= cut
+            if min(low.sum(), (~low).sum()) >= 5:
+                gain = g[low].sum() ** 2 / (h[low].sum() + 2) + g[~low].sum() ** 2 / (h[~low].sum() + 2) - g.sum() ** 2 / (h.sum() + 2)
+                if gain > best[0] + 1e-9:
+                    best = (gain, (j, low))
+    j, low = best[1]
+    root = trees.roots[0]
+    assert trees.feature[root] == j and ((x[:, j] <= trees.threshold[root]) == low).all()
+
+
+def test_viterbi_equals_all_tag_sequences():
+    import itertools
+
+    import numpy as np
+
+    field = pii.Field(rounds=30)
+    move = field.move + field.rules
+    for text in ["12 May 2020", "+44 20 7946", "a@b.example.org 10.0.0.1", "4111 1111"]:
+        run = [[text[s:e] for s, e in r] for r in pii._runs(text)]
+        chains = [[pii._features(t, i) for i in range(len(t))] for t in run]
+        for feats, tags in zip(chains, field.decode(chains)):
+            score = np.array([field.emit[[field.index[f] for f in x if f in field.index]].sum(axis=0) for x in feats])
+
+            def value(ys):
+                return field.first[ys[0]] + sum(score[t, y] for t, y in enumerate(ys)) + sum(move[a, b] for a, b in zip(ys, ys[1:]))
+
+            best = max(value(ys) for ys in itertools.product(range(len(pii.TAGS)), repeat=len(feats)))
+            assert abs(value(list(tags)) - best) < 1e-9
+
+
+def test_chain_scores_equal_sums():
+    """Markov ratios, pair by pair."""
+    import math
+
+    rows, plain = ["ab1", "b1a"], ["aaab", "abab"]
+    model = secrets.Markov(rows, plain)
+
+    def log_p(sample, trust, a, b):
+        single = {c: 0.5 for c in secrets._SIGNS}
+        for s in sample:
+            for c in s:
+                single[c] += 1
+        pairs = [(s[i], s[i + 1]) for s in sample for i in range(len(s) - 1)]
+        total = sum(single.values())
+        return math.log((pairs.count((a, b)) + trust * single[b] / total) / (sum(x == a for x, _ in pairs) + trust))
+
+    token = "ab1ba"
+    want = sum(log_p(rows, 20.0, a, b) - log_p(plain, 4.0, a, b) for a, b in zip(token, token[1:]))
+    assert abs(model.score(token)[0] - want) < 1e-9
+
+
+SENTENCES = "call {} now|Ring {} after ten.|her number is {}, weekdays|Tel. {} (office)".split("|")
+
+
+def test_recall_of_added_spans():
+    """Phones that the patterns miss, and random keys; clean sentences stay clean."""
+    rnd = random.Random(8)
+    digits = lambda n: "".join(rnd.choice("23456789") for _ in range(n))
+    forms = [lambda: f"({digits(3)}) {digits(3)}-{digits(4)}", lambda: f"{digits(3)} {digits(3)} {digits(4)}", lambda: f"{digits(3)}-{digits(3)}-{digits(4)}", lambda: f"020 {digits(4)} {digits(4)}"]
+    field = pii.Field()
+    texts = [(s.format(v), v) for f in forms for s in SENTENCES for v in [f() for _ in range(10)]]
+    found = pii.find([t for t, _ in texts], field)
+    hit = sum(any(t[s:e] == v for k, s, e in added) for (t, v), (_, added) in zip(texts, found))
+    assert hit >= 0.9 * len(texts)
+    clean = ["In 1998 they sold 12,500 of 40,000 units.", "year 1999 2000 2001", "From 2001-02-03 to 2004-05-06, 1000 days.", "version 1.2.3.400 came after 1.2.3.399", "Rooms 11 12 13 are free, 14 is not."]
+    assert not any(added for _, added in pii.find(clean, field))
+    model = secrets.Markov(secrets.random_sample(), list(secrets.ORDINARY))
+    signs = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    keys = ["".join(rnd.choice(signs) for _ in range(rnd.randint(20, 44))) for _ in range(400)]
+    assert sum(bool(secrets.added_spans(f"key {k} end", [], model)) for k in keys) >= 0.9 * len(keys)
+    letters = ["".join(rnd.choice(signs[:52]) for _ in range(32)) for _ in range(400)]
+    assert sum(bool(secrets.added_spans(f"key {k} end", [], model)) for k in letters) >= 0.75 * len(letters)
+
+
+def spans_of(kinds, rows):
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in rows)
+
+
+def test_pii_and_secrets_queries_end_to_end(spark, docs):
+    """Counts, digests and spans of both queries, from the functions' spans put together by hand."""
+    field, model = pii.Field(), secrets.Markov(secrets.random_sample(), list(secrets.ORDINARY))
+    got = {r.doc_id: r for r in QUERIES["op8_pii"](spark, SF).collect()}
+    for (d, t), (base, added) in zip(docs, pii.find([t for _, t in docs], field)):
+        base = sorted(base, key=lambda x: (pii.KINDS.index(x[0]), x[1]))
+        every = sorted([*base, *added], key=lambda x: (pii.KINDS.index(x[0]), x[1]))
+        assert got[d].base_sha256 == hashlib.sha256(spans_of(pii.KINDS, base).encode()).hexdigest() and got[d].spans == spans_of(pii.KINDS, every)
+        assert [got[d][f"n_{k}"] for k in pii.KINDS] == [sum(x[0] == k for x in base) for k in pii.KINDS]
+    got = {r.doc_id: r for r in QUERIES["op10_secrets"](spark, SF).collect()}
+    for d, t in docs:
+        base = secrets.base_spans(t or "")
+        every = sorted([*base, *secrets.added_spans(t or "", base, model)], key=lambda x: (x[1], secrets.KINDS.index(x[0])))
+        assert got[d].base_sha256 == hashlib.sha256(spans_of(secrets.KINDS, base).encode()).hexdigest() and got[d].spans == spans_of(secrets.KINDS, every)
+        assert [got[d][f"n_{k}"] for k in secrets.KINDS[:3]] == [sum(x[0] == k for x in base) for k in secrets.KINDS[:3]]
+
+
 def test_pii_equals_patterns(docs):
     patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
@@ -204,12 +342,12 @@ def test_pii_equals_patterns(docs):
         for k, p in patterns.items():
             for m in re.finditer(p, t):
                 d = re.sub("[^0-9]", "", m[0])
-                ok = {"email": True, "ip": k == "ip" and all(int(x) <= 255 for x in m[0].split(".")), "card": 13 <= len(d) <= 19 and pii.luhn(d), "phone": 9 <= len(d) <= 15}[k]
+                ok = {"email": True, "ip": k == "ip" and all(int(x.lstrip("0")[:9] or 0) <= 255 for x in m[0].split(".")), "card": 13 <= len(d) <= 19 and pii.luhn(d), "phone": 9 <= len(d) <= 15}[k]
                 out += [(k, *m.span())] * ok
         return out
 
     rnd = random.Random(2)
-    for t in [t or "" for _, t in docs] + ["".join(rnd.choice("a@.12 9-+()@..%") for _ in range(rnd.randint(1, 40))) for _ in range(3000)]:
+    for t in [t or "" for _, t in docs] + ["".join(rnd.choice("a@.12 9-+()@..%") for _ in range(rnd.randint(1, 40))) for _ in range(3000)] + ["0" * 5000 + "1.1.1.1", "1².2.3.4 ٣.1.1.1"]:
         assert pii.base_spans(t) == plain(t)
     field = pii.Field()
     (base, added), (none, nothing) = pii.find(["call (361) 555-8283 now", "The 3 of 1998 and 20 others, 4.5 in all."], field)
@@ -230,15 +368,33 @@ def test_secrets_equal_patterns(docs):
     assert not secrets.added_spans("get_user_by_id_2020_version3 and 4111111111111111 and Versicherungsgesellschaft2", [], model)
 
 
-def test_urls(spark):
-    canonical = '<link rel="canonical" href="https://d.example.org/x">'
-    rows = [(1, "HTTP://A.example.COM/en/1", None), (2, "http://a.example.com/en/7", ""), (3, None, ""), (4, "nothing", ""), (5, "http://d.example.org/x/", ""), (6, "http://b.net/q", canonical), (7, "http://z.org/es/1", canonical), (8, "http://www.z.org/es/1.html?x", ""), (9, "https://evil-com/en/", "")]
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
-    assert got[1] == ("a.example.com", "/en/1", "com/en/", "block") and got[2][2:] == ("example.com/en/7", "allow")
-    assert got[3] == got[4] == ("", "", None, "allow") and got[9][2] is None
-    assert got[7][3] == "block" and got[5][2:] == (None, "block") and got[6][2:] == (None, "block") and got[8][3] == "block"
-    extra = spark.createDataFrame([("http://d.example.org/x", "http://a.example.com/en/7")], "src string, dst string")
-    assert {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(rows, "page_id bigint, url string, html string"), redirects=extra).collect()}[5] == "allow"
+PAGES = [
+    (1, "http://b.org/es/1", '<link href="//c.example.io/x" rel=canonical>'), (2, "http://b.org/es/a/2", "<LINK rel='alternate canonical' href='../q/./z?a=1&amp;b=2'>"), (3, "http://c.example.io/x", None),
+    (4, "http://b.org/es/q/z?a=1&b=2", ""), (5, "http://b.org/q/z", ""), (5, "http://b.org/q/z", ""), (6, "http://k.org/es/7", "<meta content=\"0; URL='http://k2.io/y'\" http-equiv=refresh>"), (7, "http://k2.io/y#frag", ""),
+    (8, "http://k.org/es/9", '<base href="http://t.io/u/v"><meta http-equiv="refresh" content="3;url=w">'), (9, "http://t.io/u/w", ""), (10, "http://t.io", ""), (11, "HTTP://T.io/#x", '<link rel="canonical" href="http://a.example.com/en/7x">'),
+    (12, None, '<link rel="canonical" href="/p">'), (13, "nothing", None), (14, "http://n.io/1", '<link rel="canonical" href="http://other.org/es/1">'), (15, "http://m.io/1?x", '<link rel="canonical" href="?y"><meta http-equiv="refresh" content="5">'),
+    (16, "HTTP://A.example.COM/en/1", None), (17, "http://a.example.com/en/7", ""), (18, "https://evil-com/en/", ""), (19, "http://www.b.org/es/1.html?x", ""), (20, "http://www.k2.io/y.html", ""), (None, "", None),
+]
+
+
+def test_urls(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES, "page_id bigint, url string, html string")
+    rows = urls.judge(pages).collect()
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in rows}
+    assert got[16] == ("a.example.com", "/en/1", "com/en/", "block") and got[17][2:] == ("example.com/en/7", "allow") and got[18][2:] == (None, "allow")
+    assert got[12] == got[13] == got[None] == ("", "", None, "allow")
+    # blocked pages that point elsewhere: protocol-relative, relative with references, refresh with attributes turned round, against a base, to a page unseen
+    assert [got[i][3] for i in (3, 4, 7, 9, 14)] == ["block"] * 5
+    assert [got[i][2:] for i in (10, 11, 15, 5, 20)] == [(None, "allow")] * 5
+    assert {r.page_id: r.verdict for r in urls.judge(pages, spellings=True).collect()}[20] == "block"
+    pages.write.parquet(str(tmp_path / "pages"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages/*.parquet'")
+    want = con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({urls.OP9_SQL})").fetchall()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, want))
+    extra = spark.createDataFrame([("http://k2.io/y", "http://a.example.com/en/7"), (None, "http://b.org/q/z"), ("http://b.org/q/z", None)], "src string, dst string")
+    got = {r.page_id: r.verdict for r in urls.judge(pages, redirects=extra).collect()}
+    assert got[7] == "allow" and got[5] == "allow" and got[6] == "block"
 
 
 def test_reply_trees(spark):
@@ -252,6 +408,39 @@ def test_reply_trees(spark):
     assert {r.path for r in chat.format_paths(df).collect()} == {4, 9}
 
 
+#: Near-duplicate groups of ODD at five words: no word; the row of seven words and its repeat; and each other text (two of three shingles are no 0.8).
+ONCE = 8
+
+
+def test_no_tables_are_left_over(spark, odd):
+    """What stays of a run in the shared folder is what its result reads."""
+    import os
+
+    root = common.shared_dir(spark).removeprefix("file:")
+    count = lambda: len([x for x in os.listdir(root) if x.startswith("table-")])
+    for run, most in ((lambda: lines.line_dedup(odd), 1), (lambda: simhash.near_duplicates(odd), 2), (lambda: simhash.one_of_each(odd), 2), (lambda: urls.judge(odd.select("doc_id", F.col("text").alias("url")), html=None, page_id="doc_id"), 3)):
+        before = count()
+        run().count()
+        assert count() - before <= most
+
+
+def test_no_folder_on_a_cluster(monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_dir(Session())
+
+
 def test_odd_tables(spark, odd):
     """Nulls, empty and very long texts, repeated rows, further columns, and tables without rows."""
     bench = spark.createDataFrame([(1, "mail a.b@c.example.org, +1 (202) 555-0143, 4111111111111111"), (None, "x" * 50), (2, None), (3, "")], "item_id bigint, text string")
@@ -262,12 +451,13 @@ def test_odd_tables(spark, odd):
         out = lines.line_dedup(df).collect()
         assert len(out) == n and {c for c in out[0].asDict()} >= {"score", "fp"} if n else not out
         found = leaks.find_leaks(df, bench).collect()
-        assert len(found) == n and [r.doc_id for r in found if r.leaks] == ([-3] if n else [])
+        assert len(found) == n and sorted(r.doc_id for r in found if r.leaks) == ([-3] if n else [])
         assert quality.score(df, quality.train(df, labels)).where("score between 0 and 1").count() == n
+        assert all(r.text is None or "<phone>" not in r.text for r in pii.redact(df.where("doc_id = 8")).collect())
         assert rules.quality_rules(df).where("n_words is not null and kept is not null").count() == n
         same = simhash.near_duplicates(df)
         assert same.count() == n
-        assert simhash.one_of_each(df).count() == same.select("fp", "component_id").groupBy("component_id").count().count()
+        assert simhash.one_of_each(df).count() == (ONCE if n else 0)
         assert pii.personal_data(df).where("size(base) > 0").count() == (1 if n else 0)
         assert pii.redact(df).where("text like '%<email>%<phone>%<card>%'").count() == (1 if n else 0)
         assert secrets.secrets(df).where("size(base) >= 0").count() == n
@@ -283,11 +473,24 @@ def test_pipeline_equals_plain_version(spark, docs):
     roots, first = brute_components(fps.values()), {}
     for d, f in fps.items():
         first.setdefault(roots[f], d)
-    index = leaks.Patterns(duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall())
+    index = leaks.Patterns([(i, w) for i, t in duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall() for w in leaks.windows(leaks.normal(t))])
     left = [(d, t) for d, t in deduped if first[roots[fps[d]]] == d and not index.find(leaks.normal(t))]
     p = pieces.pieces(pieces.default_model())
     got = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id: bytes(r.ids_le) for r in got} == {d: p.encode_packed(t) for d, t in left}
     assert all(r.round_trip for r in got)
-    for _, stage in corpus_pipeline.STAGES:
+
+
+def test_stages_on_odd_tables(spark):
+    """Nulls, empty texts, repeats, ties and further columns of clashing names, stage by stage; then no rows."""
+    # the row without an id comes first, so the line of row 1 is within one word of an earlier one
+    good = "The first line of a good text has many different words in it, as prose has. " * 1 + " ".join(f"word{i}," for i in range(60)) + "."
+    rows = [(1, good, "en", "a", 5), (1, good, "en", "a", 5), (2, None, None, None, None), (3, "", "en", "a", 0), (None, good + " more", "en", "b", 1), (4, "  \n\t", "en", "a", 3), (5, "alone and short", "en", "b", 1), (5, "alone but other", "en", "b", 1)]
+    df = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(1) for c in ("leaks", "kept", "fp", "cleaned", "n_lines", "ids_le", "w")})
+    ids = lambda out: sorted((r.doc_id is None, r.doc_id or 0) for r in out.collect())
+    names = [c.split()[0] for c in DOCS.split(", ")]
+    for (name, stage), want in zip(corpus_pipeline.STAGES, ([1, 1, None], [2, 3, 4, 5, 5, None], [1, 2, 5, 5], [1, 1, 2, 3, 4, 5, 5, None], [1, 1, 2, 3, 4, 5, 5, None])):
+        out = stage(spark, df, SF)
+        assert ids(out) == [(x is None, x or 0) for x in want], name
+        assert out.columns == names or name == "sentencepiece"
         assert stage(spark, spark.createDataFrame([], DOCS), SF).count() == 0
