@@ -11,9 +11,9 @@ a task of its own, which returns a spanning forest in place of all pairs.
 The pipeline's stage also links texts by the similarity of their shingle sets, at
 ``SHARE`` or more and whatever their fingerprints: two such sets share a shingle
 among the first fifth (and one) of each in any fixed order. The order puts
-shingles last that a sample finds often; a poor sample costs time and no pair. A
-parity sketch bounds the difference of two sets from below, and what it leaves is
-verified on the shingles themselves.
+shingles last that a sample finds often; a poor sample costs time and no pair. Parity
+sketches bound the difference of two sets from below: a short one first, then one that grows
+with the set. Only what both leave is verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ BLOCK = 1500
 BLOCK_BYTES = 8 << 20
 #: Similarity of shingle sets (numerator and denominator) from which the pipeline takes texts for near copies.
 SHARE = (4, 5)
-#: Longs of a parity sketch; one text in so many is in the sample, and shingles of so many sampled texts go last.
+#: Longs of the short parity sketch; one text in so many is in the sample, and shingles of so many sampled texts go last.
 SKETCH, SAMPLE, OFTEN = 8, 16, 4
 #: More of them are not sent to the tasks, which costs time only.
 MOST_OFTEN = 200_000
@@ -163,27 +163,40 @@ def _often(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def with_shingles(docs: DataFrame, width: int = 5) -> DataFrame:
-    """``doc_id``, ``fp``, the hash ``tk`` of the text, and of its shingle set the hash ``key``, size ``n``, parity ``sketch`` and first shingles ``first``."""
+    """``doc_id``, ``fp``, the hash ``tk`` of the text, and of its shingle set the hash ``key``, size ``n``, parity sketches ``sketch`` (short) and ``wide`` (at least a bit for each shingle), and first shingles ``first``."""
     often = _often(small_batches(docs), width)
 
-    @F.pandas_udf("fp bigint, key bigint, n int, sketch array<bigint>, first array<bigint>")
+    @F.pandas_udf("fp bigint, key bigint, n int, sketch array<bigint>, wide array<bigint>, first array<bigint>")
     def facts(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
             raw = _digests(t, width)
             s = _shingles(raw)
             n = len(s)
-            odd = np.bincount((s & np.uint64(SKETCH * 64 - 1)).astype(np.int64), minlength=SKETCH * 64) & 1
+            size = max(SKETCH * 64, 1 << (n - 1).bit_length() if n else 0)
+            wide = np.packbits((np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)).view(np.int64)
             late = np.isin(s, often)
             ordered = np.concatenate([s[~late], s[late]])
             first = ordered[: n + (-n * SHARE[0]) // SHARE[1] + 1]
             key = np.uint64(xxhash.xxh3_64_intdigest(s.tobytes()))
-            rows.append((np.uint64(_majority(raw)).view(np.int64), key.view(np.int64), n, np.packbits(odd.astype(np.uint8)).view(np.int64), first.view(np.int64)))
-        return pd.DataFrame(rows, columns=["fp", "key", "n", "sketch", "first"])
+            rows.append((np.uint64(_majority(raw)).view(np.int64), key.view(np.int64), n, _folded(wide, SKETCH), wide, first.view(np.int64)))
+        return pd.DataFrame(rows, columns=["fp", "key", "n", "sketch", "wide", "first"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("tk"), facts("text").alias("f")).select("doc_id", "tk", "f.*")
 
 
+def _folded(wide: np.ndarray, size: int) -> np.ndarray:
+    """The parity sketch of ``size`` longs, from one of a power of two times as many."""
+    return np.bitwise_xor.reduce(wide.reshape(-1, size), axis=0)
+
+
+def _near(a: np.ndarray, b: np.ndarray, n: int) -> bool:
+    """Whether wide sketches leave two sets of ``n`` shingles in all a similarity of ``SHARE``."""
+    size = min(len(a), len(b))
+    apart = int(np.bitwise_count((_folded(a, size) ^ _folded(b, size)).view(np.uint64)).sum(dtype=np.int64))
+    return apart * sum(SHARE) <= (SHARE[1] - SHARE[0]) * n
+
+
 def _alike(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sets have the similarity of ``SHARE``: common / (all - common)."""
     common = len(np.intersect1d(a, b, assume_unique=True))
@@ -218,7 +231,7 @@ def shingle_links(docs: DataFrame, marked: DataFrame, width: int = 5) -> DataFra
     """
     num, den = SHARE
     some = marked.where("n > 0")
-    same = some.groupBy("key").agg(F.min("fp").alias("b"), F.min("tk").alias("tk"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("first").alias("first"))
+    same = some.groupBy("key").agg(F.min("fp").alias("b"), F.min("tk").alias("tk"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide"), F.first("first").alias("first"))
     same = written(same)
     copies = some.select("key", F.col("fp").alias("a")).join(same.select("key", "b"), "key").where("a <> b").select("a", "b")
     firsts = same.select("key", "n", F.explode("first").alias("s"))
@@ -240,6 +253,13 @@ def shingle_links(docs: DataFrame, marked: DataFrame, width: int = 5) -> DataFra
     apart = sum((F.bit_count(F.col("sketch1")[k].bitwiseXOR(F.col("sketch2")[k])) for k in range(SKETCH)), F.lit(0))
     near = (F.least("n1", "n2") * den >= F.greatest("n1", "n2") * num) & (apart * (den + num) <= (F.col("n1") + F.col("n2")) * (den - num))
     pairs = written(one.join(two, "s").where((F.col("key1") < F.col("key2")) & near).select("key1", "key2").distinct())
+
+    @F.pandas_udf("boolean")
+    def near_by_wide(a: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([_near(x, y, m) for x, y, m in zip(a, b, n)], dtype=bool)
+
+    wide1, wide2 = (same.select(F.col("key").alias("key" + k), F.col("n").alias("n" + k), F.col("wide").alias("wide" + k)) for k in ("1", "2"))
+    pairs = written(pairs.join(wide1, "key1").join(wide2, "key2").where(near_by_wide("wide1", "wide2", F.col("n1") + F.col("n2"))).select("key1", "key2"))
     sets = sets_of(pairs.select(F.col("key1").alias("key")).union(pairs.select(F.col("key2").alias("key"))))
 
     @F.pandas_udf("boolean")
@@ -250,10 +270,37 @@ def shingle_links(docs: DataFrame, marked: DataFrame, width: int = 5) -> DataFra
     links = copies.unionByName(pairs.join(left, "key1").join(right, "key2").where(alike("set1", "set2")).select("a", "b"))
     if counts.where(F.col("c") > BUSY).isEmpty():
         return links
-    many = shared.where(F.col("c") > BUSY).select("s", "key", "sketch", deal)
-    many = many.join(sets_of(many.select("key")), "key").withColumn("own", F.pmod(F.xxhash64("key"), F.col("nb")))
+    many = shared.where(F.col("c") > BUSY).select("s", "key", "n", deal)
     blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1))
-    dealt = many.withColumn("other", blocks).select("s", "fp", "sketch", "set", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("left"), (F.col("own") == F.col("other")).alias("both"))
+
+    def dealt(rows: DataFrame, *more: str) -> DataFrame:
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("key"), F.col("nb"))).withColumn("other", blocks)
+        return rows.select("s", "key", *more, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("left"), (F.col("own") == F.col("other")).alias("both"))
+
+    def partnered(part: pd.DataFrame) -> pd.DataFrame:
+        """Sets for which the wide sketches leave a partner across the two blocks."""
+        if part["both"].all():
+            left = right = part
+        else:
+            left, right = part[part["left"]], part[~part["left"]]
+        sizes = [len(x) for x in part["wide"]]
+        size = min(sizes)
+        sides = [(np.array([_folded(w, size) for w in x["wide"]]).view(np.uint64).reshape(-1, size), x["n"].to_numpy(dtype=np.int64), x["key"].to_numpy()) for x in (left, right)]
+        (a, na, ka), (b, nb, kb) = sides
+        found: set[int] = set()
+        for k in range(len(a)):
+            apart = np.bitwise_count(b ^ a[k]).sum(axis=1, dtype=np.int64)
+            hit = (apart * sum(SHARE) <= (SHARE[1] - SHARE[0]) * (nb + na[k])) & (kb != ka[k])
+            if hit.any():
+                found.add(int(ka[k]))
+                found.update(kb[hit].tolist())
+        return pd.DataFrame({"s": part["s"].iloc[0], "key": np.array(sorted(found), dtype=np.int64)})
+
+    wides = many.join(same.select("key", "wide"), "key")
+    some = written(dealt(wides, "n", "wide").groupBy("s", "i", "j").applyInPandas(partnered, "s bigint, key bigint").distinct())
+    few = many.join(some, ["s", "key"], "left_semi")
+    few = few.join(sets_of(some.select("key")), "key").join(same.select("key", "sketch"), "key")
+    dealt_sets = dealt(few, "fp", "sketch", "set")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         if part["both"].any():  # a block against itself stands on both sides
@@ -264,7 +311,7 @@ def shingle_links(docs: DataFrame, marked: DataFrame, width: int = 5) -> DataFra
         found = pd.DataFrame({"a": fp[edges[:, 0]], "b": fp[edges[:, 1]]})
         return found[found["a"] != found["b"]]
 
-    return links.unionByName(dealt.groupBy("s", "i", "j").applyInPandas(compare, "a bigint, b bigint"))
+    return links.unionByName(dealt_sets.groupBy("s", "i", "j").applyInPandas(compare, "a bigint, b bigint"))
 
 
 def fingerprint_classes(marked: DataFrame, most: int = 3, more: DataFrame | None = None) -> DataFrame:
