@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Terms, column names and labels of the file formats that these tables are exchanged in.
 ADAR, APOBEC3 = ("A>G", "T>C"), ("C>T", "G>A")
 MISSING = (".", "", "./.", ".|.", "NA", "-")
 CODING = ("frameshift_variant", "inframe_insertion", "inframe_deletion", "missense_variant")
@@ -55,7 +56,9 @@ def patient_name(sample: Column, labels: list[str]) -> Column:
 
 def renamed_read_group(sm: Column, label: str, name: str) -> Column:
     """One sample name for every lane of a label."""
-    return F.when(sm.rlike(rf"_?{label}(\.\d{{4}})?$"), F.lit(name)).otherwise(sm)
+    import re
+
+    return F.when(sm.rlike(rf"_?{re.escape(label)}(\.\d{{4}})?$"), F.lit(name)).otherwise(sm)
 
 
 def is_snv(ref: Column, alt: Column) -> Column:
@@ -95,7 +98,7 @@ def int_list(c: Column) -> Column:
 
 
 def alt_total(ad: Column) -> Column:
-    return F.when(F.size(ad) >= 2, F.aggregate(F.slice(ad, 2, 1000), F.lit(0).cast("long"), lambda a, x: a + x))
+    return F.when(F.size(ad) >= 2, F.aggregate(F.slice(ad, F.lit(2), F.greatest(F.size(ad) - 1, F.lit(0))), F.lit(0).cast("long"), lambda a, x: a + x))
 
 
 def depth_of(ad: Column) -> Column:
@@ -122,8 +125,9 @@ def info_map(info: Column) -> Column:
     """Key to value of ``k=v;flag``; a flag has the value 1; of repeated keys the last counts."""
     parts = F.filter(F.split(info, ";"), lambda p: (p != "") & (p != "."))
     pairs = F.transform(parts, lambda p: F.struct(F.substring_index(p, "=", 1).alias("key"), F.when(F.instr(p, "=") > 0, F.substring(p, F.instr(p, "=") + 1, F.length(p))).otherwise("1").alias("value")))
-    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["key"] == x["key"]))
-    return F.map_from_entries(last)
+    placed = F.array_sort(F.transform(pairs, lambda p, i: F.struct(p["key"].alias("key"), i.alias("i"), p["value"].alias("value"))))
+    runs = F.transform(F.array(placed), lambda s: F.filter(s, lambda x, i: ~F.coalesce(F.get(s, i + 1)["key"] == x["key"], F.lit(False))))
+    return F.map_from_entries(F.transform(F.get(runs, F.lit(0)), lambda x: F.struct(x["key"], x["value"])))
 
 
 def format_map(keys: Column, values: Column) -> Column:
@@ -217,12 +221,160 @@ def number_text(v: Column, digits: int = 6) -> Column:
     return F.when(v.isNull(), "NA").otherwise(text)
 
 
-def transcript_strand_of_read(flag: Column, protocol: str) -> Column:
+#: Names of library protocols and what they stand for.
+PROTOCOLS = {
+    "fr-firststrand": "fr-firststrand", "firststrand": "fr-firststrand", "reverse": "fr-firststrand", "reverse-stranded": "fr-firststrand", "1+-,1-+,2++,2--": "fr-firststrand",
+    "fr-secondstrand": "fr-secondstrand", "secondstrand": "fr-secondstrand", "forward": "fr-secondstrand", "forward-stranded": "fr-secondstrand", "1++,1--,2+-,2-+": "fr-secondstrand",
+}
+
+
+def protocol(name: str) -> str:
+    """The protocol that a name stands for, whatever its case; an unknown name is an error."""
+    known = PROTOCOLS.get(str(name).strip().lower())
+    if known is None:
+        raise ValueError(f"unknown library protocol {name!r}")
+    return known
+
+
+def transcript_strand_of_read(flag: Column, library: str) -> Column:
     """Strand of the transcript a read comes from; a single read counts as read 1."""
-    first_strand = {"fr-firststrand": True, "reverse": True, "rf": True, "fr-secondstrand": False, "forward": False, "fr": False}.get(protocol.lower())
-    if first_strand is None:
-        raise ValueError(f"unknown library protocol {protocol!r}")
+    first_strand = protocol(library) == "fr-firststrand"
     bit = lambda b: flag.bitwiseAND(F.lit(b)) != 0
     second = bit(1) & bit(128)
     plus = bit(16) == second  # the fragment's first read lies forward
     return F.when(plus, "-" if first_strand else "+").otherwise("+" if first_strand else "-")
+
+
+def known_text(c: Column) -> Column:
+    """A trimmed annotation value; null where it is empty, ``.`` or ``-``."""
+    return F.when(~F.trim(c).isin("", ".", "-"), F.trim(c))
+
+
+def chrom_norm_lower(c: Column) -> Column:
+    """As coverage tables have it: only a lower-case ``chr`` is taken off."""
+    return F.regexp_replace(F.trim(c), "^chr", "")
+
+
+# --- flags and lists of an INFO map ---------------------------------------------------------------------
+
+
+def info_list(info: Column, key: str) -> Column:
+    """The elements of a comma list in ``info``, without empty ones; an empty array if there is none."""
+    items = F.transform(F.split(F.coalesce(info[key], F.lit("")), ","), lambda x: F.trim(x))
+    return F.filter(items, lambda x: x != "")
+
+
+def flagged_signature(info: Column) -> Column:
+    """ADAR or APOBEC3 by flag, ADAR first; else OTHER."""
+    return F.when(F.map_contains_key(info, "ADAR_SIG"), "ADAR").when(F.map_contains_key(info, "APOBEC3_SIG"), "APOBEC3").otherwise("OTHER")
+
+
+def flag_names(info: Column) -> Column:
+    """Which of ADAR and APOBEC3 have their flag."""
+    return F.filter(F.array(*(F.when(F.map_contains_key(info, f"{n}_SIG"), n) for n in ("ADAR", "APOBEC3"))), lambda x: x.isNotNull())
+
+
+def edit_label(info: Column) -> Column:
+    """EDIT_SIG and flags as one label: different names, sorted, joined by ``|``; NA if there are none."""
+    names = F.array_sort(F.array_distinct(F.concat(info_list(info, "EDIT_SIG"), flag_names(info))))
+    return F.when(F.size(names) > 0, F.array_join(names, "|")).otherwise("NA")
+
+
+def with_flag(info: Column, key: str, wanted: Column | None = None) -> Column:
+    """``info`` with a flag, once, where ``wanted`` (default: everywhere)."""
+    added = F.map_concat(F.map_filter(info, lambda k, _: k != key), F.create_map(F.lit(key), F.coalesce(info[key], F.lit("1"))))
+    return added if wanted is None else F.when(F.coalesce(wanted, F.lit(False)), added).otherwise(info)
+
+
+def with_listed(info: Column, key: str, values: Column) -> Column:
+    """``info`` with the array ``values`` appended to the comma list ``key``, each once; unchanged if there are none."""
+    joined = F.array_join(F.array_union(info_list(info, key), values), ",")
+    return F.when(F.size(values) > 0, F.map_concat(F.map_filter(info, lambda k, _: k != key), F.create_map(F.lit(key), joined))).otherwise(info)
+
+
+def with_edit_list(info: Column) -> Column:
+    """``info`` with the names of its signature flags in EDIT_SIG."""
+    return with_listed(info, "EDIT_SIG", flag_names(info))
+
+
+def with_flags_restored(info: Column) -> Column:
+    """``info`` with the flags that SOURCE_SET and EDIT_SIG stand for, as a merge drops them."""
+    for key, name, flag in (("SOURCE_SET", "GERMLINE", "GERMLINE"), ("SOURCE_SET", "SOMATIC", "SOMATIC"), ("EDIT_SIG", "ADAR", "ADAR_SIG"), ("EDIT_SIG", "APOBEC3", "APOBEC3_SIG")):
+        info = with_flag(info, flag, F.array_contains(info_list(info, key), name))
+    return info
+
+
+def without_allele_keys(info: Column) -> Column:
+    """``info`` without allele-specific keys, those that begin with ``AS_``."""
+    return F.map_filter(info, lambda k, _: ~k.startswith("AS_"))
+
+
+def apobec3_candidate(info: Column) -> Column:
+    """Whether the APOBEC3 motif is worth looking up: by flag, or APOBEC anywhere in EDIT_SIG."""
+    return F.map_contains_key(info, "APOBEC3_SIG") | F.upper(F.coalesce(info["EDIT_SIG"], F.lit(""))).contains("APOBEC")
+
+
+# --- further fields -------------------------------------------------------------------------------------
+
+
+def sample_depth(dp: Column, ad: Column) -> Column:
+    """The depth field, else the sum of the counts."""
+    return F.coalesce(dp.cast("long"), depth_of(ad))
+
+
+def set_gt(gt: Column, value: str = "0/0") -> Column:
+    """The genotype, or ``value`` where it is missing."""
+    return F.when(gt_missing(gt), value).otherwise(gt)
+
+
+def first_alt_count(ad: Column, fad: Column, af: Column, dp: Column, info: Column) -> Column:
+    """Count of the first alternate: from AD, FAD, AF times DP of the sample, or DP times AF (else MLEAF) of INFO."""
+    second = lambda c: F.get(F.split(c, ","), F.lit(1)).try_cast("double")
+    number = lambda k: info[k].try_cast("double")
+    return F.coalesce(second(ad), second(fad), af.try_cast("double") * dp.try_cast("double"), number("DP") * F.coalesce(number("AF"), number("MLEAF")))
+
+
+def gene_and_transcript(info: Column) -> Column:
+    """``gene`` and ``transcript`` of the first ANN entry (fields 4 and 7), else a guess from the first CSQ entry; empty where unknown.
+
+    In CSQ the gene is the first field of two or more letters, digits or ``_.-`` that does not begin with ENST, the
+    transcript the first ENST accession before it.
+    """
+    fields = lambda key: F.split(F.get(F.split(info[key], ","), F.lit(0)), r"\|")
+    ann, csq = fields("ANN"), fields("CSQ")
+    names = F.transform(csq, lambda f: f.rlike(r"^[A-Za-z0-9_.-]{2,}$") & ~f.startswith("ENST"))
+    at = F.array_position(names, True)
+    before = F.when(at > 0, F.slice(csq, F.lit(1), at.cast("int"))).otherwise(csq)
+    guess = F.struct(F.when(at > 0, F.get(csq, (at - 1).cast("int"))).otherwise("").alias("gene"), F.coalesce(F.get(F.filter(before, lambda f: f.rlike(r"^ENST\d+")), F.lit(0)), F.lit("")).alias("transcript"))
+    sure = F.struct(F.coalesce(F.get(ann, F.lit(3)), F.lit("")).alias("gene"), F.coalesce(F.get(ann, F.lit(6)), F.lit("")).alias("transcript"))
+    none = F.struct(F.lit("").alias("gene"), F.lit("").alias("transcript"))
+    return F.when(F.map_contains_key(info, "ANN"), sure).when(F.map_contains_key(info, "CSQ"), guess).otherwise(none)
+
+
+def location_parts(location: Column) -> Column:
+    """``chrom:start[-end]`` as a struct of normalised ``chrom`` and ``pos``; null if it reads otherwise."""
+    s = F.trim(location)
+    pos = F.trim(F.get(F.split(F.substring(s, F.instr(s, ":") + 1, F.length(s)), "-"), F.lit(0))).try_cast("long")
+    return F.when((F.instr(s, ":") > 0) & pos.isNotNull(), F.struct(chrom_norm(F.substring_index(s, ":", 1)).alias("chrom"), pos.alias("pos")))
+
+
+def location_of(chrom: Column, pos: Column) -> Column:
+    return F.concat(chrom, F.lit(":"), pos.cast("string"))
+
+
+def amino_acid_pair(value: Column) -> Column:
+    """``R/A`` as a struct ``ref``, ``alt``; a value without slash is the reference alone; empty texts where it is missing."""
+    t = F.coalesce(known_text(value), F.lit(""))
+    return F.struct(F.substring_index(t, "/", 1).alias("ref"), F.when(F.instr(t, "/") > 0, F.substring(t, F.instr(t, "/") + 1, F.length(t))).otherwise("").alias("alt"))
+
+
+def af_into_format(keys: Column, values: Column, info: Column) -> Column:
+    """FORMAT keys and a sample's values with AF of INFO as third field, as a struct ``keys``, ``values``; unchanged where INFO has none."""
+    put = lambda text, x: F.array_join(F.concat(F.slice(F.split(text, ":"), 1, 2), F.array(x), F.slice(F.split(text, ":"), F.lit(3), F.greatest(F.size(F.split(text, ":")) - 2, F.lit(0)))), ":")
+    af = info["AF"].try_cast("double").cast("string")
+    return F.when(af.isNotNull(), F.struct(put(keys, F.lit("AF")).alias("keys"), put(values, af).alias("values"))).otherwise(F.struct(keys.alias("keys"), values.alias("values")))
+
+
+def format_subset(fields: Column, wanted: tuple[str, ...] = ("GT", "AD", "AF", "DP", "F1R2", "F2R1", "FAD", "SB")) -> Column:
+    """A sample's fields (a map) as a struct of just the wanted ones, in that order; missing ones are null."""
+    return F.struct(*(null_if_missing(fields[k]).alias(k) for k in wanted))

@@ -14,17 +14,40 @@ def joined_set(c: Column) -> Column:
     return F.coalesce(F.nullif(F.array_join(F.array_sort(F.collect_set(c)), "|"), F.lit("")), F.lit("NA"))
 
 
+#: The sets of ``collapse``, in the order of the variant table.
+SETS = ("uploaded_variation", "location", "protein_ref", "protein_alt", "protein_position", "amino_acids", "codons", "gene_id", "gene_symbol", "feature", "feature_type", "consequence", "existing_variation")
+
+
 def collapse(vep: DataFrame) -> DataFrame:
-    """One row per (patient, chromosome, position, alternate): sorted sets of what its annotation rows say."""
-    key = ["patient", v.chrom_norm(F.col("chrom")).alias("chrom_norm"), "pos", "alt"]
-    sets = {"genes": F.col("gene"), "features": F.col("feature"), "consequences": F.col("consequence"), "symbols": v.extra_value(F.col("extra"), "SYMBOL"), "strands": v.extra_strand(F.col("extra")), "biotypes": v.extra_value(F.col("extra"), "BIOTYPE")}
-    return vep.groupBy(*key).agg(*(joined_set(c).alias(n) for n, c in sets.items()))
+    """One row per (patient, chromosome, position, alternate): sorted sets of what its annotation rows say.
+
+    ``vep`` has ``patient`` and the annotation columns in lower case. Rows whose location does not read as one, or
+    without allele, are left out; empty values, ``.`` and ``-`` are in no set.
+    """
+    at, aa = v.location_parts(F.col("location")), v.amino_acid_pair(F.col("amino_acids"))
+    rows = vep.select(
+        "patient", at["chrom"].alias("chrom_norm"), at["pos"].alias("pos"), F.trim("allele").alias("alt"), "uploaded_variation", "location", aa["ref"].alias("protein_ref"), aa["alt"].alias("protein_alt"), "protein_position", "amino_acids", "codons",
+        F.col("gene").alias("gene_id"), v.extra_value(F.col("extra"), "SYMBOL").alias("gene_symbol"), "feature", "feature_type", "consequence", "existing_variation",
+    )
+    rows = rows.where("pos is not null and alt <> ''")
+    return rows.groupBy("patient", "chrom_norm", "pos", "alt").agg(*(joined_set(v.known_text(F.col(c))).alias(c) for c in SETS))
 
 
 def variant_table(calls: DataFrame, collapsed: DataFrame) -> DataFrame:
-    """Every call with its collapsed annotation; NA and a made-up id where there is none."""
-    rows = calls.withColumn("chrom_norm", v.chrom_norm(F.col("chrom"))).join(collapsed, ["patient", "chrom_norm", "pos", "alt"], "left")
-    return rows.withColumn("uploaded", v.uploaded_of(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alt"))).fillna("NA", ["genes", "features", "consequences", "symbols", "strands", "biotypes"])
+    """The variant table: 29 columns from SAMPLE to tumor_vaf, one row per call and alternate.
+
+    ``calls`` has ``patient``, ``chrom``, ``pos``, ``ref``, ``alt``, ``source_set``, ``filter``, and ``gt``, ``dp``, ``alt_count``, ``vaf`` with the prefixes
+    ``normal_`` and ``tumor_`` besides ``tumor_ps``. Germline rows keep genotype and phase of the tumour but no depth, count or frequency.
+    Without annotation the id and location are made up and the other sets NA; numbers stay numbers, null where missing.
+    """
+    rows = calls.withColumn("__c", v.chrom_norm(F.col("chrom"))).join(collapsed.withColumnRenamed("chrom_norm", "__c"), ["patient", "__c", "pos", "alt"], "left")
+    made = {"uploaded_variation": v.uploaded_of(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alt")), "location": v.location_of(F.col("chrom"), F.col("pos"))}
+    sets = {c: F.coalesce(c, made.get(c, F.lit("NA"))).alias(c) for c in SETS}
+    tumour = lambda c: F.when(F.col("source_set") != "GERMLINE", F.col(c)).alias(c)
+    return rows.select(
+        F.col("patient").alias("SAMPLE"), sets["uploaded_variation"], sets["location"], F.col("__c").alias("chrom"), "pos", "ref", "alt", *(sets[c] for c in SETS[2:]), "source_set", "filter",
+        "normal_gt", "tumor_gt", "tumor_ps", "normal_dp", "normal_alt_count", "normal_vaf", tumour("tumor_dp"), tumour("tumor_alt_count"), tumour("tumor_vaf"),
+    )
 
 
 def two_tier(rows: DataFrame, calls: DataFrame, values: list[str]) -> DataFrame:
@@ -37,53 +60,84 @@ def two_tier(rows: DataFrame, calls: DataFrame, values: list[str]) -> DataFrame:
 
 
 def best_transcript(vep: DataFrame) -> DataFrame:
-    """One annotation row per uploaded variant.
+    """One annotation row per uploaded variant; rows without an id go by ``location`` and ``alt``, if those columns are there.
 
     Transcripts first, then consequence rank, protein known, no decay, canonical, no
-    flags, the commoner amino-acid change, feature name, place in the file.
+    flags, the commoner amino-acid change, feature name, place in the file. Missing changes (empty, ``.``, ``-``, NA) are
+    not common. ``rows`` counts the variant's rows, ``aa_options`` its different changes (1 if none is known).
     """
-    key = ["patient", "uploaded"]
+    other = F.concat_ws("|", *(F.coalesce(c, F.lit("NA")) for c in ("location", "alt"))) if "location" in vep.columns else F.lit("")
+    vep = vep.withColumn("__key", F.coalesce(F.nullif(F.trim("uploaded"), F.lit("")), other))
+    key = ["patient", "__key"]
     own = W.partitionBy(*key)
-    protein = (F.col("protein_position") != "-") & (F.col("amino_acids") != "-")
-    rows = vep.withColumns({
+    change = F.when(F.trim("amino_acids") != "NA", v.known_text(F.col("amino_acids")))
+    protein = F.coalesce(v.known_text(F.col("protein_position")).isNotNull() & v.known_text(F.col("amino_acids")).isNotNull(), F.lit(False))
+    rows = vep.withColumn("__aa", change).withColumns({
         "rank": v.consequence_rank(F.col("consequence")),
         "primary": v.primary_consequence(F.col("consequence")),
-        "aa_count": F.count("*").over(W.partitionBy(*key, "amino_acids")),
+        "aa_count": F.count("__aa").over(W.partitionBy(*key, "__aa")),
+        "aa_options": F.greatest(F.size(F.collect_set("__aa").over(own)), F.lit(1)),
         "rows": F.count("*").over(own),
     })
     order = [
         F.when(F.col("feature_type") == "Transcript", 0).otherwise(1), F.col("rank"), F.when(protein, 0).otherwise(1), F.when(F.col("consequence").contains("NMD_transcript_variant"), 1).otherwise(0),
         F.when(v.extra_value(F.col("extra"), "CANONICAL") == "YES", 0).otherwise(1), F.when(v.extra_value(F.col("extra"), "FLAGS").isNull(), 0).otherwise(1), F.desc("aa_count"), F.col("feature"), F.col("rid"), F.col("t"),
     ]
-    return rows.withColumn("n", F.row_number().over(own.orderBy(*order))).where("n = 1").drop("n")
+    return rows.withColumn("n", F.row_number().over(own.orderBy(*order))).where("n = 1").drop("n", "__key", "__aa")
 
 
 def strand_summary(vep: DataFrame) -> DataFrame:
-    """Per uploaded variant: its strands, whether they are one, and the change as the transcript reads it."""
-    rows = vep.withColumn("strand", v.extra_strand(F.col("extra"))).groupBy("patient", "uploaded").agg(F.array_sort(F.collect_set("strand")).alias("s"), joined_set(F.col("consequence")).alias("consequences"), joined_set(F.col("feature")).alias("features"))
-    p = v.uploaded_parts(F.col("uploaded"))
-    rows = rows.withColumn("p", p)
+    """Per uploaded variant: its strands, whether they are one, the change as the transcript reads it, and what its rows say.
+
+    ``status`` (fixed values): UNPARSEABLE_UPLOADED_VARIATION, MISSING_TRANSCRIPT_STRAND, AMBIGUOUS_TRANSCRIPT_STRAND, NON_SNV or
+    UNIQUE_TRANSCRIPT_STRAND. ``change`` and ``class`` are NA without a single strand or for anything but single bases.
+    """
+    sets = {"symbols": v.extra_value(F.col("extra"), "SYMBOL"), "consequences": F.col("consequence"), "features": F.col("feature"), "feature_types": F.col("feature_type")}
+    if "location" in vep.columns:
+        sets["locations"] = F.col("location")
+    some = lambda c: F.nullif(F.trim(c), F.lit(""))
+    rows = vep.withColumn("strand", v.extra_strand(F.col("extra"))).groupBy("patient", "uploaded").agg(F.array_sort(F.collect_set("strand")).alias("s"), *(joined_set(some(c)).alias(n) for n, c in sets.items()))
+    rows = rows.withColumn("p", v.uploaded_parts(F.col("uploaded")))
     one = F.when(F.size("s") == 1, F.get("s", F.lit(0)))
-    status = F.when(F.col("p").isNull(), "UNPARSEABLE").when((F.length("p.ref") > 1) | (F.length("p.alt") > 1), "NON_SNV").when(F.size("s") == 0, "MISSING").when(F.size("s") > 1, "AMBIGUOUS").otherwise("UNIQUE")
-    rows = rows.withColumns({"status": status, "change": v.transcript_change(F.col("p.ref"), F.col("p.alt"), one)})
-    return rows.select("patient", "uploaded", F.array_join("s", "|").alias("strands"), "status", "change", v.transcript_class(F.col("change")).alias("class"), "consequences", "features")
+    rows = rows.withColumn("c", v.transcript_change(F.col("p.ref"), F.col("p.alt"), one))
+    status = (
+        F.when(F.col("p").isNull(), "UNPARSEABLE_UPLOADED_VARIATION").when(F.size("s") == 0, "MISSING_TRANSCRIPT_STRAND").when(F.size("s") > 1, "AMBIGUOUS_TRANSCRIPT_STRAND")
+        .when(F.col("c").isNull(), "NON_SNV").otherwise("UNIQUE_TRANSCRIPT_STRAND")
+    )
+    kind = F.when(F.col("c").isNull(), "NA").otherwise(v.transcript_class(F.col("c")))
+    return rows.select("patient", "uploaded", F.array_join("s", "|").alias("strands"), status.alias("status"), F.coalesce("c", F.lit("NA")).alias("change"), kind.alias("class"), *sets)
 
 
 def strand_filter(summary: DataFrame) -> DataFrame:
-    """``keep``: a single strand on which the change is an edit."""
-    return summary.withColumn("keep", (F.col("status") == "UNIQUE") & (F.col("class") != "OTHER"))
+    """``keep``: a single strand on which the change is an edit; ``reason`` says why not: the status, or NOT_EDIT_CHANGE; else PASS."""
+    unique, edit = F.col("status") == "UNIQUE_TRANSCRIPT_STRAND", F.col("class").isin("ADAR", "APOBEC3")
+    return summary.withColumns({"keep": unique & edit, "reason": F.when(~unique, F.col("status")).when(~edit, "NOT_EDIT_CHANGE").otherwise("PASS")})
 
 
 def position_conflicts(calls: DataFrame, summary: DataFrame) -> DataFrame:
-    """``decision`` for each one-alternate RNA-edit call at its position; other sources pass.
+    """``decision`` (fixed values) for each one-alternate RNA-edit call at its position; other sources pass as NON_RNA_EDIT.
 
-    Alone: kept. Several, of which just one has a single strand: that one is kept and the others go. Else all stay.
+    Alone: SINGLETON_KEEP. Several, of which just one has a single strand: that one is kept
+    (UNIQUE_STRAND_KEEP_IN_POSITION_CONFLICT) and the others go (POSITION_CONFLICT_NONUNIQUE_STRAND). Else all stay
+    (UNRESOLVED_POSITION_CONFLICT_KEEP_ALL).
     """
     up = F.regexp_replace(v.uploaded_of(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alt")), "(?i)^chr", "")
     known = summary.select("patient", F.regexp_replace("uploaded", "(?i)^chr", "").alias("__up"), F.col("status").alias("strand_status"))
     rows = calls.withColumn("__up", up).join(known, ["patient", "__up"], "left").drop("__up").withColumn("strand_status", F.coalesce("strand_status", F.lit("MISSING_VEP_ANNOTATION")))
     here = W.partitionBy("patient", "chrom", "pos")
-    edit, unique = F.col("source_set") == "RNA_EDIT", F.col("strand_status") == "UNIQUE"
+    edit, unique = F.col("source_set").contains("RNA_EDIT"), F.col("strand_status") == "UNIQUE_TRANSCRIPT_STRAND"
     n, u = F.count_if(edit).over(here), F.count_if(edit & unique).over(here)
-    decision = F.when(~edit, "PASS").when(n == 1, "SINGLETON_KEEP").when((u == 1) & unique, "UNIQUE_KEEP").when(u == 1, "CONFLICT_DROP").otherwise("KEEP_ALL")
+    decision = (
+        F.when(~edit, "NON_RNA_EDIT").when(n == 1, "SINGLETON_KEEP").when((u == 1) & unique, "UNIQUE_STRAND_KEEP_IN_POSITION_CONFLICT")
+        .when(u == 1, "POSITION_CONFLICT_NONUNIQUE_STRAND").otherwise("UNRESOLVED_POSITION_CONFLICT_KEEP_ALL")
+    )
     return rows.withColumn("decision", decision)
+
+
+def annotation_strands(calls: DataFrame, vep: DataFrame) -> DataFrame:
+    """``strands`` of each call from the annotation of its patient, chromosome, position and alternate, in place of gene intervals; empty without any."""
+    at = v.location_parts(F.col("location"))
+    rows = vep.select("patient", at["chrom"].alias("__c"), at["pos"].alias("pos"), F.trim("allele").alias("alt"), v.extra_strand(F.col("extra")).alias("s")).where("pos is not null")
+    sets = rows.groupBy("patient", "__c", "pos", "alt").agg(F.array_sort(F.collect_set("s")).alias("strands"))
+    out = calls.withColumn("__c", v.chrom_norm(F.col("chrom"))).join(sets, ["patient", "__c", "pos", "alt"], "left").drop("__c")
+    return out.withColumn("strands", F.coalesce("strands", F.array().cast("array<string>")))

@@ -23,7 +23,7 @@ def clusters(calls: DataFrame, distance: int = 33, least: int = 2) -> DataFrame:
 def cluster_summary(members: DataFrame) -> DataFrame:
     """One row per cluster; the top gene is the commonest, of tied ones that seen first."""
     m = members.withColumns({"sig": v.signature(F.col("ref"), F.col("alt")), "dp": (F.col("ad_ref") + F.col("ad_alt")).cast("double")})
-    one = F.count_distinct(F.when(~v.gt_missing(F.col("gt")), F.col("ps"))) <= 1
+    one = F.count_distinct(F.when(~v.gt_missing(F.col("gt")), F.col("ps"))) == 1
     out = m.groupBy("cluster_id").agg(
         F.min("pos").alias("start"), F.max("pos").alias("end"), F.count("*").alias("n"), *(F.count_if(F.col("sig") == s).alias(f"n_{s.lower()}") for s in ("ADAR", "APOBEC3", "OTHER")),
         F.coalesce(F.avg("dp"), F.lit(0.0)).alias("mean_dp"), one.alias("one_block"),
@@ -34,17 +34,22 @@ def cluster_summary(members: DataFrame) -> DataFrame:
 
 
 def first_same_copy(a: DataFrame, b: DataFrame, distance: int = 33) -> DataFrame:
-    """For each row of ``a`` with an alternate allele: whether it has a partner in ``b``, on its copy, and in cis.
+    """For each row of ``a`` with an alternate allele and a neighbour in ``b``: ``hom_any``, ``het_same``, ``het_cis``.
 
-    A homozygous ``a`` takes any neighbour; else the first of ``b`` (by position, rid) on the same copy counts, and says whether the pair is cis.
+    A homozygous ``a`` counts with any neighbour, whatever its genotype. For any other the first of ``b`` (by position,
+    rid) on the same copy counts; ``het_cis`` says that the two are phased in cis and ``b`` is no homozygote.
     """
     other = b.select("patient", "chrom", F.col("pos").alias("b_pos"), F.col("gt").alias("b_gt"), F.col("ps").alias("b_ps"), F.col("rid").alias("b_rid"))
-    pairs = near_pairs(a.where(v.has_alt(F.col("gt"))), other.where(v.has_alt(F.col("b_gt"))), ["patient", "chrom"], distance).where("rid <> b_rid")
+    pairs = near_pairs(a.where(v.has_alt(F.col("gt"))), other, ["patient", "chrom"], distance).where("rid <> b_rid")
+    return pairs.groupBy("rid", "patient").agg(*same_copy_flags())
+
+
+def same_copy_flags() -> list:
+    """The three flags of ``first_same_copy`` over the neighbours of one call (columns gt, ps, b_gt, b_ps, b_pos, b_rid)."""
     same, cis = v.same_copy(F.col("gt"), F.col("ps"), F.col("b_gt"), F.col("b_ps"))
-    pairs = pairs.withColumns({"hom": v.hom_alt(F.col("gt")), "same": same, "cis": cis})
-    return pairs.groupBy("rid", "patient").agg(
-        F.lit(True).alias("near"), F.max(F.col("hom") | F.col("same")).alias("same_copy"), F.coalesce(F.min_by(F.when(F.col("same"), F.col("cis")), F.when(F.col("same"), F.struct("b_pos", "b_rid"))), F.lit(False)).alias("cis")
-    )
+    hom = v.hom_alt(F.col("gt"))
+    first = F.min_by(F.when(same, cis & v.has_alt(F.col("b_gt")) & ~v.hom_alt(F.col("b_gt"))), F.when(same, F.struct("b_pos", "b_rid")))
+    return [F.max(hom).alias("hom_any"), F.max(~hom & same).alias("het_same"), (~F.max(hom) & F.coalesce(first, F.lit(False))).alias("het_cis")]
 
 
 def copy_lanes(calls: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import variant as v
 
-LABELS = ("none", "DN", "DT", "DN+DT", "RT", "DN+RT", "DT+RT", "DN+DT+RT")
+#: The category of each mask.
+LABELS = ("NONE", "DNA_NORMAL_only", "DNA_TUMOR_only", "DNA_NORMAL_DNA_TUMOR", "RNA_TUMOR_only", "DNA_NORMAL_RNA_TUMOR", "DNA_TUMOR_RNA_TUMOR", "ALL_THREE")
 
 
 def joined(coverage: DataFrame, depth: float = 20.0) -> DataFrame:
@@ -49,11 +50,12 @@ def summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("patient").agg(
         F.count("*").alias("n"), *(F.avg(x).alias(f"mean_{x}") for x in c), *(F.median(x).alias(f"median_{x}") for x in c),
         jaccard(1, 2, "jaccard_dn_dt"), jaccard(1, 4, "jaccard_dn_rt"), jaccard(2, 4, "jaccard_dt_rt"), pearson(c[0], c[1], "pearson_dn_dt"), pearson(c[0], c[2], "pearson_dn_rt"), pearson(c[1], c[2], "pearson_dt_rt"),
+        *(F.count_if(F.col("mask") == i).alias(f"n_{name}") for i, name in enumerate(LABELS)),
     )
 
 
 def cohort_bins(per_patient: DataFrame) -> DataFrame:
-    return per_patient.groupBy("chrom", "bin").agg(F.count("*").alias("patients"), F.avg("any").alias("any"), F.avg("all_three").alias("all_three"), F.avg("discordant").alias("discordant"))
+    return per_patient.groupBy("chrom", "bin").agg(F.count("*").alias("patients"), F.avg("any").alias("any"), F.avg("all_three").alias("all_three"), F.avg("discordant").alias("discordant"), *(F.avg(c).alias(c) for c in ("mean_dn", "mean_dt", "mean_rt")))
 
 
 def worst_bins(per_patient: DataFrame, n: int = 50) -> DataFrame:

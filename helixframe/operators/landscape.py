@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
+from .clusters import same_copy_flags
 from .ranges import in_intervals, near_pairs
 
 SOURCES = ("GERMLINE", "SOMATIC", "RNA_EDIT")
@@ -57,19 +58,20 @@ def log_density(bins: DataFrame, value: str) -> DataFrame:
     return bins.withColumn("density", F.when(top > 0, x / top).otherwise(0.0))
 
 
+#: What a directed pair of sources is counted by.
+COUNTERS = ("hom_any", "het_same", "het_cis")
+
+
 def same_copy_counts(calls: DataFrame, distance: int = 33) -> DataFrame:
-    """Per patient and directed pair of sources: calls of the first with a neighbour in the second, on the same copy, and in cis.
+    """Per patient and directed pair of sources: ``hom_any``, ``het_same`` and ``het_cis``, the calls of the first with those flags (see ``first_same_copy``).
 
-    One range join serves all six pairs. A homozygous call takes any neighbour; else its first
-    neighbour (by position, rid) on the same copy counts, and says whether the two are cis.
+    One range join serves all six pairs.
     """
-    there = calls.where(v.has_alt(F.col("gt")) & F.col("source_set").isin(*SOURCES)).select("patient", "chrom", "pos", "gt", "ps", "rid", F.col("source_set").alias("a"))
-    other = there.select("patient", "chrom", F.col("pos").alias("b_pos"), F.col("gt").alias("b_gt"), F.col("ps").alias("b_ps"), F.col("rid").alias("b_rid"), F.col("a").alias("b"))
-    same, cis = v.same_copy(F.col("gt"), F.col("ps"), F.col("b_gt"), F.col("b_ps"))
-    pairs = near_pairs(there, other, ["patient", "chrom"], distance).where("a <> b").withColumns({"hom": v.hom_alt(F.col("gt")), "same": same, "cis": cis})
-    first = F.min_by(F.when(F.col("same"), F.col("cis")), F.when(F.col("same"), F.struct("b_pos", "b_rid")))
-    each = pairs.groupBy("patient", "rid", "a", "b").agg(F.max(F.col("hom") | F.col("same")).alias("same"), F.coalesce(first, F.lit(False)).alias("cis"))
-    return each.groupBy("patient", "a", "b").agg(F.count("*").alias("near"), F.count_if("same").alias("same_copy"), F.count_if("cis").alias("cis"))
+    known = calls.where(F.col("source_set").isin(*SOURCES)).select("patient", "chrom", "pos", "gt", "ps", "rid", F.col("source_set").alias("a"))
+    other = known.select("patient", "chrom", F.col("pos").alias("b_pos"), F.col("gt").alias("b_gt"), F.col("ps").alias("b_ps"), F.col("rid").alias("b_rid"), F.col("a").alias("b"))
+    pairs = near_pairs(known.where(v.has_alt(F.col("gt"))), other, ["patient", "chrom"], distance).where("a <> b")
+    each = pairs.groupBy("patient", "rid", "a", "b").agg(*same_copy_flags())
+    return each.groupBy("patient", "a", "b").agg(*(F.count_if(c).alias(c) for c in COUNTERS))
 
 
 def same_copy_report(counters: DataFrame, counts: DataFrame) -> DataFrame:
@@ -79,6 +81,6 @@ def same_copy_report(counters: DataFrame, counts: DataFrame) -> DataFrame:
         for b in SOURCES:
             if a != b:
                 here = (F.col("a") == a) & (F.col("b") == b)
-                cells += [F.coalesce(F.sum(F.when(here, F.col(c))), F.lit(0)).alias(f"{a}_{b}_{c}".lower()) for c in ("near", "same_copy", "cis")]
+                cells += [F.coalesce(F.sum(F.when(here, F.col(c))), F.lit(0)).alias(f"{a}_{b}_{c}".lower()) for c in COUNTERS]
     wide = counts.groupBy("patient").agg(*cells)
     return counters.join(wide, "patient", "left").fillna(0, wide.columns[1:])

@@ -26,15 +26,16 @@ def merge_sources(calls: DataFrame) -> DataFrame:
 
 
 def compose(merged: DataFrame, dna_only: bool = False) -> DataFrame:
-    """``tumour_gt`` by a ladder, never missing, and which step it came from.
+    """``tumour_gt`` and ``normal_gt``, never missing, and which step of the ladder the tumour came from: dna, rna, backup, normal or hom_ref.
 
-    With RNA: edits try RNA before DNA, others DNA before RNA; then the merged tumour, the normal, and hom-ref.
+    Edits (``is_edit``) try genotyped RNA, genotyped DNA, merged RNA, merged DNA; others genotyped DNA, genotyped RNA, merged DNA, merged
+    RNA; then both the genotyped and the merged normal. Without RNA: genotyped and merged tumour, then the normals. Columns that
+    ``merged`` lacks of ``gt_dna``, ``gt_rna``, ``gt_dna_merged``, ``gt_rna_merged``, ``gt_normal``, ``gt_normal_merged`` count as missing.
     """
-    ok = lambda c: F.when(~v.gt_missing(F.col(c)), F.col(c))
-    ladder = lambda *steps: [(ok(c), n) for c, n in steps]
-    dna, rna, back, normal = ("gt_dna", "dna"), ("gt_rna", "rna"), ("gt_merged", "backup"), ("gt_normal", "normal")
-    first = ladder(dna, back, normal) if dna_only else ladder(dna, rna, back, normal)
-    edit = first if dna_only else ladder(rna, dna, back, normal)
+    ok = lambda c: F.when(~v.gt_missing(F.col(c)), F.col(c)) if c in merged.columns else F.lit(None).cast("string")
+    dna, rna = (ok("gt_dna"), "dna"), (ok("gt_rna"), "rna")
+    dna_back, rna_back = (ok("gt_dna_merged"), "backup"), (ok("gt_rna_merged"), "backup")
+    normals = [(ok("gt_normal"), "normal"), (ok("gt_normal_merged"), "normal")]
 
     def pick(steps):
         value = F.coalesce(*(c for c, _ in steps), F.lit("0/0"))
@@ -43,8 +44,19 @@ def compose(merged: DataFrame, dna_only: bool = False) -> DataFrame:
             name = F.when(c.isNotNull(), n).otherwise(name)
         return F.struct(value.alias("gt"), name.alias("step"))
 
-    chosen = F.when(F.col("is_edit"), pick(edit)).otherwise(pick(first))
-    return merged.withColumn("__c", chosen).withColumns({"tumour_gt": F.col("__c.gt"), "tumour_from": F.col("__c.step")}).drop("__c")
+    if dna_only:
+        chosen = pick([dna, dna_back, *normals])
+    else:
+        chosen = F.when(F.col("is_edit"), pick([rna, dna, rna_back, dna_back, *normals])).otherwise(pick([dna, rna, dna_back, rna_back, *normals]))
+    normal = F.coalesce(*(c for c, _ in normals), F.lit("0/0"))
+    return merged.withColumn("__c", chosen).withColumns({"tumour_gt": F.col("__c.gt"), "tumour_from": F.col("__c.step"), "normal_gt": normal}).drop("__c")
+
+
+def compose_counts(composed: DataFrame) -> DataFrame:
+    """Per patient: how many tumour genotypes came from DNA, RNA, and anything else."""
+    n = lambda c, name: F.count_if(c).alias(name)
+    step = F.col("tumour_from")
+    return composed.groupBy("patient").agg(n(step == "dna", "from_dna"), n(step == "rna", "from_rna"), n(~step.isin("dna", "rna"), "from_backup"))
 
 
 def allele_counts(genotypes: DataFrame, key: list[str]) -> DataFrame:

@@ -35,12 +35,14 @@ def signature_counts(calls: DataFrame) -> DataFrame:
 
 
 def paired_qc(calls: DataFrame, min_dp: int = 10, normal_max_alt: int = 1, normal_max_vaf: float = 0.05, rna_min_alt: int = 3, rna_min_vaf: float = 0.05) -> DataFrame:
-    """``drop_reason``, the first check that fails, else null. Counts are arrays ``normal_ad`` and ``rna_ad``."""
+    """``drop_reason``, the first check that fails, else null. Counts are arrays ``normal_ad`` and ``rna_ad``; where the columns
+    ``normal_dp`` and ``rna_dp`` are there and not null they are the depths, else the counts are added up."""
     n, r = F.col("normal_ad"), F.col("rna_ad")
+    depth = lambda side: v.sample_depth(F.col(f"{side}_dp") if f"{side}_dp" in calls.columns else F.lit(None).cast("long"), F.col(f"{side}_ad"))
     gone = v.vaf_of(n).isNull() | v.vaf_of(r).isNull()
     checks = [
-        (gone, "MISSING"), (v.depth_of(n) < min_dp, "NORMAL_DP"), (v.alt_total(n) > normal_max_alt, "NORMAL_ALT"), (v.vaf_of(n) >= normal_max_vaf, "NORMAL_VAF"),
-        (v.depth_of(r) < min_dp, "RNA_DP"), (v.alt_total(r) < rna_min_alt, "RNA_ALT"), (v.vaf_of(r) < rna_min_vaf, "RNA_VAF"),
+        (gone, "MISSING"), (depth("normal") < min_dp, "NORMAL_DP"), (v.alt_total(n) > normal_max_alt, "NORMAL_ALT"), (v.vaf_of(n) >= normal_max_vaf, "NORMAL_VAF"),
+        (depth("rna") < min_dp, "RNA_DP"), (v.alt_total(r) < rna_min_alt, "RNA_ALT"), (v.vaf_of(r) < rna_min_vaf, "RNA_VAF"),
     ]
     reason = F.lit(None).cast("string")
     for test, name in reversed(checks):
@@ -55,10 +57,13 @@ def with_known_sites(calls: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def collapse_lanes(lanes: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """One row per record: counts added element by element over lanes in order, depth, allele fraction and genotype made anew."""
-    lists = F.transform(F.sort_array(F.collect_list(F.struct(*order, "ad", "dp"))), lambda x: F.struct(x["ad"].alias("ad"), x["dp"].alias("dp")))
-    rows = lanes.groupBy(*key).agg(lists.alias("l"))
-    rows = rows.select(*key, v.add_lists(F.col("l.ad")).alias("ad"), F.filter("l.dp", lambda x: x.isNotNull()).alias("dps"))
+    """One row per record: counts added element by element over lanes in order, depth, allele fraction and genotype made anew.
+
+    The lists are ``ad`` and those of ``f1r2``, ``f2r1``, ``fad`` and ``sb`` that ``lanes`` has.
+    """
+    more = [c for c in ("f1r2", "f2r1", "fad", "sb") if c in lanes.columns]
+    rows = lanes.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(*order, "ad", "dp", *more))).alias("l"))
+    rows = rows.select(*key, v.add_lists(F.col("l.ad")).alias("ad"), *(v.add_lists(F.col(f"l.{c}")).alias(c) for c in more), F.filter("l.dp", lambda x: x.isNotNull()).alias("dps"))
     dp = F.when(F.size("dps") > 0, F.aggregate("dps", F.lit(0).cast("long"), lambda a, x: a + x)).otherwise(v.depth_of(F.col("ad")))
     rows = rows.withColumn("dp", dp)
     gt = F.when(F.col("ad").isNull(), "./.").when(v.alt_total(F.col("ad")) > 0, "0/1").otherwise("0/0")

@@ -39,15 +39,17 @@ def aligned_blocks(reads: DataFrame) -> DataFrame:
 def alt_support(calls: DataFrame, reads: DataFrame, protocol: str = "fr-firststrand", min_mapq: int = 20, min_qual: int = 20) -> DataFrame:
     """ALT reads of each call with one gene strand: on the expected strand, on the other, and all.
 
-    Primary, mapped, passing, non-duplicate reads count; a base counts if it equals the alternate, so longer alternates have no support.
+    Primary, mapped, passing, non-duplicate reads count. A base counts if it equals the alternate, whatever the case, so longer alternates have
+    no support, and if its own quality in the array ``quals`` reaches ``min_qual``; reads without qualities count.
     """
-    good = reads.where((F.col("mapq") >= min_mapq) & (F.col("flag").bitwiseAND(F.lit(0x4 | 0x100 | 0x200 | 0x400 | 0x800)) == 0) & (F.col("qual") >= min_qual))
+    good = reads.where((F.col("mapq") >= min_mapq) & (F.col("flag").bitwiseAND(F.lit(0x4 | 0x100 | 0x200 | 0x400 | 0x800)) == 0))
     blocks = aligned_blocks(good).withColumn("read_strand", v.transcript_strand_of_read(F.col("flag"), protocol))
-    blocks = blocks.select("patient", F.col("contig").alias("chrom"), "block_start", "block_end", "pos0", "q0", "seq", "read_strand")
+    blocks = blocks.select("patient", F.col("contig").alias("chrom"), "block_start", "block_end", "pos0", "q0", "seq", "quals", "read_strand")
     points = calls.where(F.size("strands") == 1).select("rid", "patient", "chrom", F.col("alt"), (F.col("pos") - 1).alias("p0"), F.get("strands", F.lit(0)).alias("strand"))
     hits = in_intervals(points, blocks, ["patient", "chrom"], "p0", "block_start", "block_end", 1000)
-    base = F.substring("seq", (F.col("p0") - F.col("block_start") + F.col("q0") + 1).cast("int"), F.lit(1))
-    hits = hits.where(base == F.col("alt"))
+    at = (F.col("p0") - F.col("block_start") + F.col("q0")).cast("int")
+    good = F.coalesce(F.get("quals", at) >= min_qual, F.lit(True))
+    hits = hits.where((F.upper(F.substring("seq", at + 1, F.lit(1))) == F.upper("alt")) & good)
     return hits.groupBy("rid").agg(F.count_if(F.col("read_strand") == F.col("strand")).alias("expected"), F.count_if(F.col("read_strand") != F.col("strand")).alias("opposite"), F.count("*").alias("alt_reads"))
 
 

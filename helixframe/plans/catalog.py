@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
-from ..operators import alternates, annotate, clusters, coverage, germline, landscape, merge, rna_edit, strand
+from ..operators import alternates, annotate, clusters, coverage, germline, landscape, merge, records, rna_edit, strand
 from ..operators.ranges import near_any
 from ..sources import lists
 from .fixtures import table, with_tables
@@ -136,18 +136,29 @@ _SET = "coalesce(nullif(string_agg(DISTINCT {0}, '|' ORDER BY {0}), ''), 'NA') A
 _X = "nullif(regexp_extract(extra, '(?:^|;){0}=([^;]*)', 1), '')"
 _STRAND = "CASE regexp_extract(extra, '(?:^|;)STRAND=([^;]*)', 1) WHEN '1' THEN '+' WHEN '-1' THEN '-' END"
 _VX = f"vx AS (SELECT *, {_X.format('SYMBOL')} AS symbol, {_STRAND} AS strand, {_X.format('BIOTYPE')} AS biotype, {_X.format('CANONICAL')} AS canonical, {_X.format('FLAGS')} AS flags FROM vep)"
-_COLLAPSED = "col AS (SELECT patient, chrom, pos, alt, " + ", ".join(_SET.format(a, b) for a, b in (("gene", "genes"), ("feature", "features"), ("consequence", "consequences"), ("symbol", "symbols"), ("strand", "strands"), ("biotype", "biotypes"))) + " FROM vx GROUP BY patient, chrom, pos, alt)"
-_SETS = ("genes", "features", "consequences", "symbols", "strands", "biotypes")
+_KNOWN = "CASE WHEN trim({0}) NOT IN ('', '.', '-') THEN trim({0}) END"
+_PARTS = {"protein_ref": "split_part(" + _KNOWN.format("amino_acids") + ", '/', 1)", "protein_alt": "CASE WHEN contains(amino_acids, '/') THEN split_part(amino_acids, '/', 2) END", "gene_id": "gene", "gene_symbol": "symbol"}
+_COLLAPSED = "col AS (SELECT patient, chrom, pos, alt, " + ", ".join(_SET.format(_KNOWN.format(f"({_PARTS.get(c, c)})"), c) for c in annotate.SETS) + " FROM vx GROUP BY patient, chrom, pos, alt)"
 
 
-@query("vep_collapse", "vep", f", {_VX}, {_COLLAPSED} SELECT patient, replace(chrom, 'chr', '') AS chrom_norm, pos, alt, {', '.join(_SETS)} FROM col")
+@query("vep_collapse", "vep", f", {_VX}, {_COLLAPSED} SELECT patient, replace(chrom, 'chr', '') AS chrom_norm, pos, alt, {', '.join(annotate.SETS)} FROM col")
 def vep_collapse(vep):
     return annotate.collapse(vep)
 
 
-@query("variant_table", "calls vep", f", {_VX}, {_COLLAPSED} SELECT rid, chrom || '_' || pos || '_' || ref || '/' || alt AS uploaded, {', '.join(f'''coalesce({c}, 'NA') AS {c}''' for c in _SETS)} FROM calls LEFT JOIN col USING (patient, chrom, pos, alt)")
+_COLUMNS = """rid, patient AS SAMPLE, {sets}, replace(chrom, 'chr', '') AS chrom, pos, ref, alt, source_set, CASE WHEN lane = 0 THEN 'PASS' ELSE '.' END AS filter, '0/0' AS normal_gt, gt AS tumor_gt, ps AS tumor_ps,
+  normal_ref + normal_alt AS normal_dp, normal_alt AS normal_alt_count, CASE WHEN normal_ref + normal_alt > 0 THEN normal_alt::DOUBLE / (normal_ref + normal_alt) END AS normal_vaf,
+  CASE WHEN source_set <> 'GERMLINE' THEN ad_ref + ad_alt END AS tumor_dp, CASE WHEN source_set <> 'GERMLINE' THEN ad_alt END AS tumor_alt_count, CASE WHEN source_set <> 'GERMLINE' AND ad_ref + ad_alt > 0 THEN ad_alt::DOUBLE / (ad_ref + ad_alt) END AS tumor_vaf"""
+_MADE = {"uploaded_variation": "chrom || '_' || pos || '_' || ref || '/' || alt", "location": "chrom || ':' || pos"}
+
+
+@query("variant_table", "calls vep", f", {_VX}, {_COLLAPSED} SELECT * EXCLUDE (rid) FROM (SELECT " + _COLUMNS.format(sets=", ".join(f"coalesce({c}, {_MADE.get(c, chr(39) + 'NA' + chr(39))}) AS {c}" for c in annotate.SETS)) + " FROM calls LEFT JOIN col USING (patient, chrom, pos, alt))")
 def variant_table(calls, vep):
-    return annotate.variant_table(calls, annotate.collapse(vep)).select("rid", "uploaded", *_SETS)
+    """All 29 columns."""
+    share = lambda n, of: F.try_divide(F.col(n).cast("double"), F.col(of))
+    rows = calls.withColumns({"filter": F.when(F.col("lane") == 0, "PASS").otherwise("."), "normal_gt": F.lit("0/0"), "tumor_gt": F.col("gt"), "tumor_ps": F.col("ps"), "normal_dp": F.col("normal_ref") + F.col("normal_alt"), "normal_alt_count": F.col("normal_alt"), "tumor_dp": F.col("ad_ref") + F.col("ad_alt"), "tumor_alt_count": F.col("ad_alt")})
+    rows = rows.withColumns({"normal_vaf": share("normal_alt", "normal_dp"), "tumor_vaf": share("ad_alt", "tumor_dp")})
+    return annotate.variant_table(rows, annotate.collapse(vep))
 
 
 @query("two_tier_lookup", "calls vep", """, f AS (SELECT patient, chrom, pos, ref, alt, arg_max(gt, rid) AS gt, arg_max(ps, rid) AS ps FROM calls WHERE source_set = 'SOMATIC' GROUP BY ALL),
@@ -160,15 +171,15 @@ def two_tier_lookup(calls, vep):
 
 _BEST = f""", {_VX}, rk AS (SELECT *, CASE WHEN regexp_matches(consequence, '(^|,)frameshift_variant(,|$)') THEN 1 WHEN regexp_matches(consequence, '(^|,)inframe_(insertion|deletion)(,|$)') THEN 2
   WHEN regexp_matches(consequence, '(^|,)missense_variant(,|$)') THEN 3 WHEN regexp_matches(consequence, '(^|,)synonymous_variant(,|$)') THEN 4 ELSE 9 END AS rank,
-  count(*) OVER (PARTITION BY patient, uploaded, amino_acids) AS aa_count, count(*) OVER (PARTITION BY patient, uploaded) AS rows FROM vx),
+  CASE WHEN amino_acids IN ('', '.', '-', 'NA') THEN 0 ELSE count(*) OVER (PARTITION BY patient, uploaded, amino_acids) END AS aa_count, greatest(1, count(DISTINCT CASE WHEN amino_acids NOT IN ('', '.', '-', 'NA') THEN amino_acids END) OVER (PARTITION BY patient, uploaded)) AS aa_options, count(*) OVER (PARTITION BY patient, uploaded) AS rows FROM vx),
 best AS (SELECT * FROM rk QUALIFY row_number() OVER (PARTITION BY patient, uploaded ORDER BY CASE feature_type WHEN 'Transcript' THEN 0 ELSE 1 END, rank, CASE WHEN protein_position <> '-' AND amino_acids <> '-' THEN 0 ELSE 1 END,
   CASE WHEN contains(consequence, 'NMD_transcript_variant') THEN 1 ELSE 0 END, CASE WHEN canonical = 'YES' THEN 0 ELSE 1 END, CASE WHEN flags IS NULL THEN 0 ELSE 1 END, aa_count DESC, feature, rid, t) = 1)"""
 _PRIMARY = "CASE rank WHEN 1 THEN 'frameshift_variant' WHEN 2 THEN 'inframe_deletion' WHEN 3 THEN 'missense_variant' WHEN 4 THEN 'synonymous_variant' ELSE split_part(consequence, ',', 1) END"
 
 
-@query("best_transcript", "vep", f"{_BEST} SELECT patient, uploaded, feature, rank, {_PRIMARY} AS primary_consequence, aa_count, rows FROM best")
+@query("best_transcript", "vep", f"{_BEST} SELECT patient, uploaded, feature, rank, {_PRIMARY} AS primary_consequence, aa_count, aa_options, rows FROM best")
 def best_transcript(vep):
-    return annotate.best_transcript(vep).select("patient", "uploaded", "feature", "rank", F.col("primary").alias("primary_consequence"), "aa_count", "rows")
+    return annotate.best_transcript(vep).select("patient", "uploaded", "feature", "rank", F.col("primary").alias("primary_consequence"), "aa_count", "aa_options", "rows")
 
 
 @query("dedup_counts", "vep", f"{_BEST} SELECT 'raw' AS stage, {_PRIMARY} AS primary_consequence, count(*) AS n FROM rk GROUP BY ALL UNION ALL SELECT 'kept', {_PRIMARY}, count(*) FROM best GROUP BY ALL")
@@ -183,23 +194,31 @@ def dedup_metrics(vep):
 
 
 _SUM = f""", {_VX}, st AS (SELECT patient, uploaded, any_value(ref) AS ref, any_value(alt) AS alt, coalesce(string_agg(DISTINCT strand, '|' ORDER BY strand), '') AS strands, count(DISTINCT strand) AS k,
-  {_SET.format('consequence', 'consequences')}, {_SET.format('feature', 'features')} FROM vx GROUP BY ALL),
-ss AS (SELECT *, CASE k WHEN 0 THEN 'MISSING' WHEN 1 THEN 'UNIQUE' ELSE 'AMBIGUOUS' END AS status, CASE strands WHEN '+' THEN ref || '>' || alt WHEN '-' THEN translate(ref, 'ACGT', 'TGCA') || '>' || translate(alt, 'ACGT', 'TGCA') END AS change FROM st),
-sm AS (SELECT *, CASE change WHEN 'A>G' THEN 'ADAR' WHEN 'C>T' THEN 'APOBEC3' ELSE 'OTHER' END AS class FROM ss)"""
+  {_SET.format('symbol', 'symbols')}, {_SET.format('consequence', 'consequences')}, {_SET.format('feature', 'features')}, {_SET.format('feature_type', 'feature_types')}, {_SET.format('location', 'locations')} FROM vx GROUP BY ALL),
+ss AS (SELECT *, CASE k WHEN 0 THEN 'MISSING_TRANSCRIPT_STRAND' WHEN 1 THEN 'UNIQUE_TRANSCRIPT_STRAND' ELSE 'AMBIGUOUS_TRANSCRIPT_STRAND' END AS status, CASE strands WHEN '+' THEN ref || '>' || alt WHEN '-' THEN translate(ref, 'ACGT', 'TGCA') || '>' || translate(alt, 'ACGT', 'TGCA') ELSE 'NA' END AS change FROM st),
+sm AS (SELECT *, CASE change WHEN 'NA' THEN 'NA' WHEN 'A>G' THEN 'ADAR' WHEN 'C>T' THEN 'APOBEC3' ELSE 'OTHER' END AS class FROM ss)"""
 
 
-@query("strand_summary", "vep", _SUM + " SELECT patient, uploaded, strands, status, change, class, consequences, features, status = 'UNIQUE' AND class <> 'OTHER' AS keep FROM sm")
+@query("strand_summary", "vep", _SUM + """ SELECT patient, uploaded, strands, status, change, class, symbols, consequences, features, feature_types, locations, k = 1 AND class IN ('ADAR', 'APOBEC3') AS keep,
+  CASE WHEN k <> 1 THEN status WHEN class NOT IN ('ADAR', 'APOBEC3') THEN 'NOT_EDIT_CHANGE' ELSE 'PASS' END AS reason FROM sm""")
 def strand_summary(vep):
     return annotate.strand_filter(annotate.strand_summary(vep))
 
 
 @query("position_conflicts", "calls vep", _SUM + """, j AS (SELECT c.rid, c.source_set, coalesce(status, 'MISSING_VEP_ANNOTATION') AS strand_status, c.patient, c.chrom, c.pos FROM calls c LEFT JOIN sm ON sm.patient = c.patient AND sm.uploaded = c.chrom || '_' || c.pos || '_' || c.ref || '/' || c.alt),
-k AS (SELECT *, count(*) FILTER (WHERE source_set = 'RNA_EDIT') OVER p AS n, count(*) FILTER (WHERE source_set = 'RNA_EDIT' AND strand_status = 'UNIQUE') OVER p AS u FROM j WINDOW p AS (PARTITION BY patient, chrom, pos))
-SELECT rid, strand_status, CASE WHEN source_set <> 'RNA_EDIT' THEN 'PASS' WHEN n = 1 THEN 'SINGLETON_KEEP' WHEN u = 1 AND strand_status = 'UNIQUE' THEN 'UNIQUE_KEEP' WHEN u = 1 THEN 'CONFLICT_DROP' ELSE 'KEEP_ALL' END AS decision FROM k""")
+k AS (SELECT *, count(*) FILTER (WHERE source_set = 'RNA_EDIT') OVER p AS n, count(*) FILTER (WHERE source_set = 'RNA_EDIT' AND strand_status = 'UNIQUE_TRANSCRIPT_STRAND') OVER p AS u FROM j WINDOW p AS (PARTITION BY patient, chrom, pos))
+SELECT rid, strand_status, CASE WHEN source_set <> 'RNA_EDIT' THEN 'NON_RNA_EDIT' WHEN n = 1 THEN 'SINGLETON_KEEP' WHEN u = 1 AND strand_status = 'UNIQUE_TRANSCRIPT_STRAND' THEN 'UNIQUE_STRAND_KEEP_IN_POSITION_CONFLICT' WHEN u = 1 THEN 'POSITION_CONFLICT_NONUNIQUE_STRAND'
+  ELSE 'UNRESOLVED_POSITION_CONFLICT_KEEP_ALL' END AS decision FROM k""")
 def position_conflicts(calls, vep):
     return annotate.position_conflicts(calls, annotate.strand_summary(vep)).select("rid", "strand_status", "decision")
 
 
+@query("annotation_strands", "calls vep", f""", {_VX}, ct AS (SELECT patient, chrom, pos, alt, string_agg(DISTINCT strand, '|' ORDER BY strand) AS s FROM vx GROUP BY ALL)
+SELECT rid, coalesce(s, '') AS strands FROM calls LEFT JOIN ct USING (patient, chrom, pos, alt)""")
+def annotation_strands(calls, vep):
+    return annotate.annotation_strands(calls, vep).select("rid", F.array_join("strands", "|").alias("strands"))
+
+
 @query("coding_calls", "calls vep", f""", {_VX} SELECT rid FROM calls c WHERE EXISTS (SELECT 1 FROM vx WHERE vx.patient = c.patient AND vx.chrom = c.chrom AND vx.pos = c.pos AND vx.alt = c.alt
   AND regexp_matches(consequence, '(^|[,&])(frameshift_variant|inframe_insertion|inframe_deletion|missense_variant)([,&]|$)') AND coalesce(biotype, 'protein_coding') = 'protein_coding')""")
 def coding_calls(calls, vep):
@@ -223,20 +242,30 @@ def merge_sources(calls):
 
 
 def _composable(merged):
-    return merged.select("patient", "chrom", "pos", F.col("source_set").contains("RNA_EDIT").alias("is_edit"), F.col("gt_somatic").alias("gt_dna"), F.col("gt_rna_edit").alias("gt_rna"), F.col("gt_germline").alias("gt_normal"), F.lit(None).cast("string").alias("gt_merged"))
+    """Genotyped columns are missing for positions of odd tens, so that merged ones are asked."""
+    asked = lambda c: F.when(F.floor(F.col("pos") / 10) % 2 == 0, F.col(c))
+    back = {"gt_dna_merged": "gt_somatic", "gt_rna_merged": "gt_rna_edit", "gt_normal_merged": "gt_germline"}
+    rows = merged.select("patient", "chrom", "pos", F.col("source_set").contains("RNA_EDIT").alias("is_edit"), *(F.col(c).alias(n) for n, c in back.items()))
+    own = merged.select("patient", "chrom", "pos", *(asked(c).alias(n.removesuffix("_merged")) for n, c in back.items()))
+    return rows.join(own, ["patient", "chrom", "pos"])
 
 
-_OK = "nullif({0}, './.')"
-_LADDER = _MERGED + """, c AS (SELECT patient, chrom, pos, contains(source_set, 'RNA_EDIT') AS e, nullif(gt_somatic, './.') AS d, nullif(gt_rna_edit, './.') AS r, nullif(gt_germline, './.') AS n FROM m)"""
+_LADDER = _MERGED + """, c AS (SELECT patient, chrom, pos, contains(source_set, 'RNA_EDIT') AS e, (pos // 10) % 2 = 0 AS q, nullif(gt_somatic, './.') AS dm, nullif(gt_rna_edit, './.') AS rm, nullif(gt_germline, './.') AS nm FROM m),
+ld AS (SELECT *, CASE WHEN q THEN dm END AS d, CASE WHEN q THEN rm END AS r, CASE WHEN q THEN nm END AS n FROM c)"""
 
 
-@query("compose_genotypes", "calls", _LADDER + """ SELECT patient, chrom, pos, CASE WHEN e THEN coalesce(r, d, n, '0/0') ELSE coalesce(d, r, n, '0/0') END AS tumour_gt,
-  CASE WHEN e AND r IS NOT NULL THEN 'rna' WHEN d IS NOT NULL THEN 'dna' WHEN r IS NOT NULL THEN 'rna' WHEN n IS NOT NULL THEN 'normal' ELSE 'hom_ref' END AS tumour_from FROM c""")
+@query("compose_genotypes", "calls", _LADDER + """ SELECT patient, chrom, pos, CASE WHEN e THEN coalesce(r, d, rm, dm, n, nm, '0/0') ELSE coalesce(d, r, dm, rm, n, nm, '0/0') END AS tumour_gt, coalesce(n, nm, '0/0') AS normal_gt,
+  CASE WHEN e AND r IS NOT NULL THEN 'rna' WHEN d IS NOT NULL THEN 'dna' WHEN r IS NOT NULL THEN 'rna' WHEN coalesce(dm, rm) IS NOT NULL THEN 'backup' WHEN coalesce(n, nm) IS NOT NULL THEN 'normal' ELSE 'hom_ref' END AS tumour_from FROM ld""")
 def compose_genotypes(calls):
-    return merge.compose(_composable(merge.merge_sources(calls))).select("patient", "chrom", "pos", "tumour_gt", "tumour_from")
+    return merge.compose(_composable(merge.merge_sources(calls))).select("patient", "chrom", "pos", "tumour_gt", "normal_gt", "tumour_from")
+
 
+@query("compose_counts", "calls", _LADDER + """ SELECT patient, count(*) FILTER (WHERE NOT (e AND r IS NOT NULL) AND d IS NOT NULL) AS from_dna, count(*) FILTER (WHERE r IS NOT NULL AND (e OR d IS NULL)) AS from_rna, count(*) FILTER (WHERE coalesce(d, r) IS NULL) AS from_backup FROM ld GROUP BY patient""")
+def compose_counts(calls):
+    return merge.compose_counts(merge.compose(_composable(merge.merge_sources(calls))))
 
-@query("compose_dna_only", "calls", _LADDER + " SELECT patient, coalesce(d, n, '0/0') AS tumour_gt, CASE WHEN d IS NOT NULL THEN 'dna' WHEN n IS NOT NULL THEN 'normal' ELSE 'hom_ref' END AS tumour_from, count(*) AS k FROM c GROUP BY ALL")
+
+@query("compose_dna_only", "calls", _LADDER + """ SELECT patient, coalesce(d, dm, n, nm, '0/0') AS tumour_gt, CASE WHEN d IS NOT NULL THEN 'dna' WHEN dm IS NOT NULL THEN 'backup' WHEN coalesce(n, nm) IS NOT NULL THEN 'normal' ELSE 'hom_ref' END AS tumour_from, count(*) AS k FROM ld GROUP BY ALL""")
 def compose_dna_only(calls):
     return merge.compose(_composable(merge.merge_sources(calls)), dna_only=True).groupBy("patient", "tumour_gt", "tumour_from").agg(F.count("*").alias("k"))
 
@@ -267,7 +296,7 @@ def edit_clusters(calls):
 @query("cluster_summary", "calls", _CL + f""", gn AS (SELECT cluster_id, 'G' || (gene_no % 50) AS gene, count(*) AS c, min((pos, rid)) AS first FROM mem GROUP BY ALL),
 top AS (SELECT cluster_id, gene AS top_gene FROM gn QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY c DESC, first) = 1)
 SELECT cluster_id, min(pos) AS start, max(pos) AS "end", count(*) AS n, count(*) FILTER (WHERE {_SIG} = 'ADAR') AS n_adar, count(*) FILTER (WHERE {_SIG} = 'APOBEC3') AS n_apobec3, count(*) FILTER (WHERE {_SIG} = 'OTHER') AS n_other,
-  avg(ad_ref + ad_alt) AS mean_dp, count(DISTINCT CASE WHEN gt <> './.' THEN ps END) <= 1 AS one_block, any_value(top_gene) AS top_gene FROM mem JOIN top USING (cluster_id) GROUP BY cluster_id""")
+  avg(ad_ref + ad_alt) AS mean_dp, count(DISTINCT CASE WHEN gt <> './.' THEN ps END) = 1 AS one_block, any_value(top_gene) AS top_gene FROM mem JOIN top USING (cluster_id) GROUP BY cluster_id""")
 def cluster_summary(calls):
     members = clusters.clusters(of(calls, "RNA_EDIT").withColumn("gene", F.concat(F.lit("G"), (F.col("gene_no") % 50).cast("string"))))
     return clusters.cluster_summary(members)
@@ -282,10 +311,10 @@ def top_clusters(calls):
     return clusters.clusters(of(calls, "RNA_EDIT")).groupBy("cluster_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cluster_id").limit(_TOP)
 
 
-@query("first_same_copy", "calls", """, a AS (SELECT *, gt = '1/1' AS h, CASE gt WHEN '1|0' THEN 1 WHEN '0|1' THEN 2 ELSE 0 END AS side FROM calls WHERE gt <> './.'),
+@query("first_same_copy", "calls", """, a AS (SELECT *, gt = '1/1' AS h, CASE gt WHEN '1|0' THEN 1 WHEN '0|1' THEN 2 ELSE 0 END AS side FROM calls),
 p AS (SELECT a.rid, a.patient, a.h, b.pos AS bp, b.rid AS br, (a.h OR b.h) OR (a.side > 0 AND a.side = b.side AND a.ps = b.ps) AS same, NOT (a.h OR b.h) AND (a.side > 0 AND a.side = b.side AND a.ps = b.ps) AS cis
-  FROM a JOIN a b ON a.source_set = 'GERMLINE' AND b.source_set = 'SOMATIC' AND a.patient = b.patient AND a.chrom = b.chrom AND b.pos BETWEEN a.pos - 33 AND a.pos + 33 AND a.rid <> b.rid)
-SELECT rid, patient, true AS near, bool_or(h OR same) AS same_copy, coalesce(arg_min(cis, (bp, br)) FILTER (WHERE same), false) AS cis FROM p GROUP BY rid, patient""")
+  FROM a JOIN a b ON a.gt <> './.' AND a.source_set = 'GERMLINE' AND b.source_set = 'SOMATIC' AND a.patient = b.patient AND a.chrom = b.chrom AND b.pos BETWEEN a.pos - 33 AND a.pos + 33 AND a.rid <> b.rid)
+SELECT rid, patient, bool_or(h) AS hom_any, bool_or(NOT h AND same) AS het_same, NOT bool_or(h) AND coalesce(arg_min(cis, (bp, br)) FILTER (WHERE same), false) AS het_cis FROM p GROUP BY rid, patient""")
 def first_same_copy(calls):
     return clusters.first_same_copy(of(calls, "GERMLINE"), of(calls, "SOMATIC"))
 
@@ -315,7 +344,7 @@ bn AS (SELECT patient, chrom, start_pos // 5000 * 5000 AS bin, count(*) AS n, av
 
 
 @query("coverage_categories", "coverage", _COV + """, t AS (SELECT patient, count(*) AS a, count(*) FILTER (WHERE mask > 0) AS c FROM k GROUP BY patient)
-SELECT patient, ['none', 'DN', 'DT', 'DN+DT', 'RT', 'DN+RT', 'DT+RT', 'DN+DT+RT'][mask + 1] AS category, count(*) AS intervals, sum(end_pos - start_pos)::BIGINT AS bp, count(*)::DOUBLE / any_value(a) AS share_all,
+SELECT patient, ['NONE', 'DNA_NORMAL_only', 'DNA_TUMOR_only', 'DNA_NORMAL_DNA_TUMOR', 'RNA_TUMOR_only', 'DNA_NORMAL_RNA_TUMOR', 'DNA_TUMOR_RNA_TUMOR', 'ALL_THREE'][mask + 1] AS category, count(*) AS intervals, sum(end_pos - start_pos)::BIGINT AS bp, count(*)::DOUBLE / any_value(a) AS share_all,
   CASE WHEN mask > 0 THEN count(*)::DOUBLE / any_value(c) ELSE 0 END AS share_covered FROM k JOIN t USING (patient) GROUP BY patient, mask""")
 def coverage_categories(cov):
     return coverage.categories(coverage.joined(cov))
@@ -333,12 +362,12 @@ def coverage_bins(cov):
 
 @query("coverage_summary", "coverage", _COV + """ SELECT patient, count(*) AS n, """ + ", ".join(f"round(avg(cov_{x}), 6) AS mean_cov_{x}, round(median(cov_{x}), 6) AS median_cov_{x}" for x in ("dn", "dt", "rt")) + ", " + ", ".join(
     f"round(count(*) FILTER (WHERE mask & {a} > 0 AND mask & {b} > 0)::DOUBLE / nullif(count(*) FILTER (WHERE mask & {a} > 0 OR mask & {b} > 0), 0), 6) AS jaccard_{x}_{y}, round(corr(cov_{x}, cov_{y}), 6) AS pearson_{x}_{y}"
-    for a, b, x, y in ((1, 2, "dn", "dt"), (1, 4, "dn", "rt"), (2, 4, "dt", "rt"))) + " FROM k GROUP BY patient")
+    for a, b, x, y in ((1, 2, "dn", "dt"), (1, 4, "dn", "rt"), (2, 4, "dt", "rt"))) + ", " + ", ".join(f"count(*) FILTER (WHERE mask = {i}) AS n_{c}" for i, c in enumerate(coverage.LABELS)) + " FROM k GROUP BY patient")
 def coverage_summary(cov):
     return _rounded(coverage.summary(coverage.joined(cov)), "patient")
 
 
-@query("cohort_bins", "coverage", _COV + """ SELECT chrom, bin, count(*) AS patients, round(avg("any"), 6) AS "any", round(avg(all_three), 6) AS all_three, round(avg(discordant), 6) AS discordant FROM bn GROUP BY ALL""")
+@query("cohort_bins", "coverage", _COV + """ SELECT chrom, bin, count(*) AS patients, round(avg("any"), 6) AS "any", round(avg(all_three), 6) AS all_three, round(avg(discordant), 6) AS discordant, round(avg(mean_dn), 6) AS mean_dn, round(avg(mean_dt), 6) AS mean_dt, round(avg(mean_rt), 6) AS mean_rt FROM bn GROUP BY ALL""")
 def cohort_bins(cov):
     return _rounded(coverage.cohort_bins(coverage.bins(coverage.joined(cov))), "chrom", "bin")
 
@@ -366,15 +395,17 @@ def gene_strands(calls, gtf):
 
 
 _DEC = _GS + """, blk(cigar, r0, q0, n) AS (VALUES ('50M', 0, 0, 50), ('10S40M', 0, 10, 40), ('20M2D30M', 0, 0, 20), ('20M2D30M', 22, 20, 30), ('30M100N15M5S', 0, 0, 30), ('30M100N15M5S', 130, 30, 15)),
-ab AS (SELECT r.*, pos0 + r0 AS bs, pos0 + r0 + n AS be, q0, CASE WHEN ((flag & 16) <> 0) = ((flag & 129) = 129) THEN '-' ELSE '+' END AS rs FROM reads r JOIN blk USING (cigar) WHERE mapq >= 20 AND qual >= 20 AND flag & 3844 = 0),
+ab AS (SELECT r.*, pos0 + r0 AS bs, pos0 + r0 + n AS be, q0, CASE WHEN ((flag & 16) <> 0) = ((flag & 129) = 129) THEN '-' ELSE '+' END AS rs FROM reads r JOIN blk USING (cigar) WHERE mapq >= 20 AND flag & 3844 = 0),
 sp AS (SELECT c.rid, count(*) FILTER (WHERE rs = strands[1]) AS expected, count(*) FILTER (WHERE rs <> strands[1]) AS opposite, count(*) AS alt_reads FROM cs c JOIN ab ON ab.patient = c.patient AND ab.contig = c.chrom AND c.pos - 1 >= bs AND c.pos - 1 < be
-  AND len(strands) = 1 AND substr(seq, c.pos - 1 - bs + q0 + 1, 1) = c.alt GROUP BY c.rid),
+  AND len(strands) = 1 AND substr(seq, c.pos - 1 - bs + q0 + 1, 1) = c.alt AND (qual % 11 = 0 OR qual + (c.pos - 1 - bs + q0) % 7 >= 20) GROUP BY c.rid),
 ct AS (SELECT DISTINCT patient, contig AS chrom, true AS there FROM reads),
 dec AS (SELECT cs.rid, coalesce(expected, 0) AS expected, coalesce(opposite, 0) AS opposite, coalesce(alt_reads, 0) AS alt_reads, CASE WHEN len(strands) = 0 THEN 'MISSING_TRANSCRIPT_STRAND' WHEN len(strands) > 1 THEN 'AMBIGUOUS_TRANSCRIPT_STRAND' WHEN there IS NULL THEN 'MISSING_BAM_CONTIG'
   WHEN alt_reads IS NULL THEN 'NO_ALT_READ_SUPPORT' WHEN expected::DOUBLE / alt_reads < 0.8 THEN 'OPPOSITE_STRAND_ENRICHED' ELSE 'PASS' END AS reason FROM cs LEFT JOIN sp USING (rid) LEFT JOIN ct ON ct.patient = cs.patient AND ct.chrom = cs.chrom)"""
 
 
 def _decided(calls, gtf, reads):
+    """Each base has a quality of its own; a few reads have none."""
+    reads = reads.withColumn("quals", F.when(F.col("qual") % 11 != 0, F.transform(F.sequence(F.lit(0), F.lit(49)), lambda i: F.col("qual") + i % 7)))
     rows = strand.gene_strands(calls, gtf)
     return strand.decide(rows, strand.alt_support(rows, reads), reads.select("patient", "contig"))
 
@@ -420,20 +451,19 @@ def log_density(cov):
     return landscape.log_density(coverage.bins(coverage.joined(cov)), "mean_dt").select("patient", "chrom", "bin", F.round("density", 6).alias("density"))
 
 
-_PAIRS = """, sa AS (SELECT *, gt = '1/1' AS h, CASE gt WHEN '1|0' THEN 1 WHEN '0|1' THEN 2 ELSE 0 END AS side FROM calls WHERE gt <> './.'),
+_PAIRS = """, sa AS (SELECT *, gt = '1/1' AS h, CASE gt WHEN '1|0' THEN 1 WHEN '0|1' THEN 2 ELSE 0 END AS side FROM calls),
 pr AS (SELECT x.patient, x.rid, x.source_set AS a, y.source_set AS b, x.h, y.pos AS bp, y.rid AS br, (x.h OR y.h) OR (x.side > 0 AND x.side = y.side AND x.ps = y.ps) AS same, NOT (x.h OR y.h) AND (x.side > 0 AND x.side = y.side AND x.ps = y.ps) AS cis
-  FROM sa x JOIN sa y ON x.patient = y.patient AND x.chrom = y.chrom AND x.source_set <> y.source_set AND y.pos BETWEEN x.pos - 33 AND x.pos + 33),
-ea AS (SELECT patient, rid, a, b, bool_or(h OR same) AS same, coalesce(arg_min(cis, (bp, br)) FILTER (WHERE same), false) AS cis FROM pr GROUP BY ALL)"""
+  FROM sa x JOIN sa y ON x.gt <> './.' AND x.patient = y.patient AND x.chrom = y.chrom AND x.source_set <> y.source_set AND y.pos BETWEEN x.pos - 33 AND x.pos + 33),
+ea AS (SELECT patient, rid, a, b, bool_or(h) AS hom_any, bool_or(NOT h AND same) AS het_same, NOT bool_or(h) AND coalesce(arg_min(cis, (bp, br)) FILTER (WHERE same), false) AS het_cis FROM pr GROUP BY ALL)"""
 
 
-@query("same_copy_counts", "calls", _PAIRS + " SELECT patient, a, b, count(*) AS near, count(*) FILTER (WHERE same) AS same_copy, count(*) FILTER (WHERE cis) AS cis FROM ea GROUP BY ALL")
+@query("same_copy_counts", "calls", _PAIRS + " SELECT patient, a, b, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {c}" for c in landscape.COUNTERS) + " FROM ea GROUP BY ALL")
 def same_copy_counts(calls):
     return landscape.same_copy_counts(calls)
 
 
 @query("same_copy_report", "calls", _PAIRS + ", pt AS (SELECT patient, count(*) AS merged_total FROM calls GROUP BY patient) SELECT pt.patient, merged_total, " + ", ".join(
-    f"count(*) FILTER (WHERE a = '{a}' AND b = '{b}'{w}) AS {a.lower()}_{b.lower()}_{c}"
-    for a in landscape.SOURCES for b in landscape.SOURCES if a != b for c, w in (("near", ""), ("same_copy", " AND same"), ("cis", " AND cis"))) + " FROM pt LEFT JOIN ea USING (patient) GROUP BY ALL")
+    f"count(*) FILTER (WHERE a = '{a}' AND b = '{b}' AND {c}) AS {a.lower()}_{b.lower()}_{c}" for a in landscape.SOURCES for b in landscape.SOURCES if a != b for c in landscape.COUNTERS) + " FROM pt LEFT JOIN ea USING (patient) GROUP BY ALL")
 def same_copy_report(calls):
     """Six directed pairs of sources, three counters each, beside the patient's number of calls."""
     totals = clusters.source_counters(calls).select("patient", "merged_total")
@@ -492,12 +522,125 @@ def edit_records(calls):
 
 
 @query("first_stage", "calls", """ SELECT patient, split_part(min(CASE lane WHEN 3 THEN '1' WHEN 0 THEN '2' ELSE '3' END || ' s' || lane || ' ' || rid), ' ', 2) AS stage, split_part(min(CASE lane WHEN 3 THEN '1' WHEN 0 THEN '2' ELSE '3' END || ' s' || lane || ' ' || rid), ' ', 3) AS path
-FROM calls WHERE lane <> 2 AND ad_alt = 0 AND ad_ref = 1 GROUP BY patient""")
+FROM calls WHERE lane <> 2 GROUP BY patient""")
 def first_stage(calls):
-    made = calls.where("ad_alt = 0 and ad_ref = 1").select("patient", F.concat(F.lit("s"), F.col("lane").cast("string")).alias("stage"), F.col("rid").alias("path"))
+    made = calls.select("patient", F.concat(F.lit("s"), F.col("lane").cast("string")).alias("stage"), F.col("rid").alias("path"))
     return alternates.first_stage(made, ["s3", "s0", "s1"])
 
 
-@query("routes", "calls", " SELECT patient, CASE WHEN bool_or(source_set = 'RNA_EDIT' AND ad_ref = 1 AND ad_alt = 0) THEN 'three_way' ELSE 'dna_only' END AS route FROM calls GROUP BY patient")
+@query("routes", "calls", " SELECT patient, CASE WHEN bool_or(source_set = 'RNA_EDIT') THEN 'three_way' ELSE 'dna_only' END AS route FROM calls GROUP BY patient")
 def routes(calls):
-    return alternates.routes(calls, of(calls, "RNA_EDIT").where("ad_ref = 1 and ad_alt = 0"))
+    return alternates.routes(calls, of(calls, "RNA_EDIT"))
+
+
+# --- records --------------------------------------------------------------------------------------------
+
+_INFO = f""", f AS (SELECT rid, patient, chrom, pos, source_set, lane, ad_ref, ad_alt, known_db, {_SIG} AS sig FROM calls),
+fl AS (SELECT *, CASE WHEN sig <> 'OTHER' AND lane < 2 THEN sig END AS flag, CASE lane WHEN 0 THEN 'OTHER_TOOL' WHEN 1 THEN sig || ',ADAR' END AS listed FROM f)"""
+
+
+def _with_info(calls):
+    """An INFO map: the signature's flag in lanes 0 and 1, EDIT_SIG in the same, sources, an allele-specific key, depth and frequency."""
+    sig = v.signature(F.col("ref"), F.col("alt"))
+    flag = F.when((sig != "OTHER") & (F.col("lane") < 2), F.concat(sig, F.lit("_SIG")))
+    listed = F.when(F.col("lane") == 0, "EDIT_SIG=OTHER_TOOL").when(F.col("lane") == 1, F.concat(F.lit("EDIT_SIG="), sig, F.lit(",ADAR")))
+    text = F.concat_ws(";", flag, listed, F.concat(F.lit("SOURCE_SET="), "source_set"), F.lit("AS_x=1"), F.concat(F.lit("DP="), F.col("ad_ref").cast("string")))
+    return calls.withColumn("info", v.info_map(text))
+
+
+@query("info_labels", "calls", _INFO + """ SELECT rid, CASE WHEN flag IS NULL THEN 'OTHER' ELSE flag END AS flagged, CASE WHEN flag IS NULL AND listed IS NULL THEN 'NA' ELSE array_to_string(list_sort(list_distinct(list_concat(
+  CASE WHEN listed IS NULL THEN [] ELSE string_split(listed, ',') END, CASE WHEN flag IS NULL THEN [] ELSE [flag] END))), '|') END AS label,
+  coalesce(flag = 'APOBEC3', false) OR coalesce(contains(listed, 'APOBEC'), false) AS candidate, CASE WHEN source_set = 'RNA_EDIT' THEN 3 ELSE 4 END + (CASE WHEN flag IS NULL THEN 0 ELSE 1 END) + (CASE WHEN listed IS NULL THEN 0 ELSE 1 END)
+  + CASE WHEN lane = 1 THEN (CASE WHEN coalesce(flag, '') <> 'ADAR' THEN 1 ELSE 0 END) + (CASE WHEN sig = 'APOBEC3' AND flag IS NULL THEN 1 ELSE 0 END) ELSE 0 END - 1 AS keys FROM fl""")
+def info_labels(calls):
+    """Labels of flags and lists, and the number of keys once flags are restored and allele-specific keys gone."""
+    rows = _with_info(calls)
+    info = F.col("info")
+    keys = F.size(v.with_flags_restored(v.without_allele_keys(info)))
+    return rows.select("rid", v.flagged_signature(info).alias("flagged"), v.edit_label(info).alias("label"), v.apobec3_candidate(info).alias("candidate"), keys.alias("keys"))
+
+
+@query("merged_info", "calls", _INFO + """, e AS (SELECT patient, chrom, pos, rid, unnest(list_concat(CASE WHEN listed IS NULL THEN [] ELSE string_split(listed, ',') END, CASE WHEN flag IS NULL OR contains(coalesce(listed, ''), flag) THEN [] ELSE [flag] END)) AS p,
+  generate_subscripts(list_concat(CASE WHEN listed IS NULL THEN [] ELSE string_split(listed, ',') END, CASE WHEN flag IS NULL OR contains(coalesce(listed, ''), flag) THEN [] ELSE [flag] END), 1) AS i FROM fl),
+e1 AS (SELECT patient, chrom, pos, p, min((rid, i)) AS f FROM e GROUP BY ALL), e2 AS (SELECT patient, chrom, pos, string_agg(p, ',' ORDER BY f) AS edit_sig FROM e1 GROUP BY ALL),
+s1 AS (SELECT patient, chrom, pos, source_set AS p, min(rid) AS f FROM fl GROUP BY ALL), s2 AS (SELECT patient, chrom, pos, string_agg(p, ',' ORDER BY f) AS source_set FROM s1 GROUP BY ALL),
+d AS (SELECT patient, chrom, pos, arg_min(ad_ref, rid) AS dp FROM fl GROUP BY ALL)
+SELECT patient, chrom, pos, source_set, edit_sig, dp::VARCHAR AS dp FROM s2 LEFT JOIN e2 USING (patient, chrom, pos) JOIN d USING (patient, chrom, pos)""")
+def merged_info(calls):
+    """Joined lists and first values of the records at each position, each tagged with its source before."""
+    rows = _with_info(calls)
+    one = lambda s: records.tagged(rows.where(F.col("source_set") == s), s, s)
+    every = one("GERMLINE").unionByName(one("SOMATIC")).unionByName(one("RNA_EDIT"))
+    out = records.merged_info(every, ["patient", "chrom", "pos"], ["rid"])
+    return out.select("patient", "chrom", "pos", F.col("info")["SOURCE_SET"].alias("source_set"), F.col("info")["EDIT_SIG"].alias("edit_sig"), F.col("info")["DP"].alias("dp"))
+
+
+@query("tumour_columns", "calls", """, s AS (SELECT DISTINCT patient, lane AS idx, CASE WHEN lane = 0 THEN patient || '_NORMAL' WHEN lane = 1 THEN 'x_RNA' WHEN lane = 2 AND patient < 'P20' THEN 'a_Tumour' ELSE 'TUMOR_' || lane END AS sample FROM calls)
+SELECT patient, arg_min(sample, (CASE WHEN regexp_matches(upper(sample), 'TUMOU?R') THEN 0 WHEN contains(sample, 'RNA') THEN 1 ELSE 2 END, idx)) AS sample FROM s GROUP BY patient""")
+def tumour_columns(calls):
+    name = F.when(F.col("lane") == 0, F.concat("patient", F.lit("_NORMAL"))).when(F.col("lane") == 1, "x_RNA").when((F.col("lane") == 2) & (F.col("patient") < "P20"), "a_Tumour").otherwise(F.concat(F.lit("TUMOR_"), F.col("lane").cast("string")))
+    samples = calls.select("patient", name.alias("sample"), F.col("lane").alias("idx")).distinct()
+    return records.tumour_column(samples, "merge").select("patient", "sample")
+
+
+@query("attached_normals", "calls", """, n AS (SELECT patient, chrom, pos, ref, alt, arg_max(gt, rid) AS g FROM calls WHERE source_set = 'GERMLINE' GROUP BY ALL)
+SELECT rid, gt, coalesce(g, './.') AS normal_gt FROM calls LEFT JOIN n USING (patient, chrom, pos, ref, alt) WHERE source_set <> 'GERMLINE'""")
+def attached_normals(calls):
+    return records.with_normals(calls.where("source_set <> 'GERMLINE'"), of(calls, "GERMLINE")).select("rid", "gt", "normal_gt")
+
+
+@query("unfiltered_calls", "calls", " SELECT rid FROM calls WHERE source_set = 'GERMLINE' AND lane <> 2")
+def unfiltered_calls(calls):
+    rows = of(calls, "GERMLINE").withColumn("filter", F.when(F.col("lane") == 0, "PASS").when(F.col("lane") == 2, "LowDepth").otherwise("."))
+    return records.unfiltered(rows).select("rid")
+
+
+@query("known_site_calls", "calls", " SELECT rid FROM calls WHERE source_set = 'RNA_EDIT' AND regexp_matches(coalesce(known_db, ''), 'KNO|OTHER')")
+def known_site_calls(calls):
+    return records.known_sites_only(of(calls, "RNA_EDIT"), "KNO|OTHER").select("rid")
+
+
+@query("limited_reasons", "calls gtf reads", _DEC + """ SELECT dec.rid, CASE WHEN source_set = 'RNA_EDIT' THEN reason ELSE 'PRESERVED' END AS reason, source_set = 'RNA_EDIT' AND reason <> 'PASS' AS blacklisted FROM dec JOIN calls USING (rid)""")
+def limited_reasons(calls, gtf, reads):
+    rows = _decided(calls, gtf, reads)
+    return records.limited_to(rows, "RNA_EDIT", F.col("reason")).select("rid", "reason", "blacklisted")
+
+
+@query("split_alternates", "calls", """, m AS (SELECT rid, ref, alt, gt, ad_ref, ad_alt, normal_alt, lane, CASE WHEN lane = 1 THEN replace(gt, '1', '2') WHEN lane = 2 THEN replace(gt, '0', '2') ELSE gt END AS g FROM calls)
+SELECT rid, i AS alt_index, CASE i WHEN 0 THEN alt ELSE ref || ref END AS alt, CASE i WHEN 0 THEN replace(g, '2', '0') ELSE replace(replace(g, '1', '0'), '2', '1') END AS gt, ad_ref || ',' || CASE i WHEN 0 THEN ad_alt ELSE normal_alt END AS ad FROM m, (VALUES (0), (1)) x(i)""")
+def split_alternates(calls):
+    g = F.when(F.col("lane") == 1, F.replace("gt", F.lit("1"), F.lit("2"))).when(F.col("lane") == 2, F.replace("gt", F.lit("0"), F.lit("2"))).otherwise(F.col("gt"))
+    rows = calls.select("rid", F.concat("alt", F.lit(","), "ref", "ref").alias("alts"), g.alias("gt"), F.array("ad_ref", "ad_alt", "normal_alt").alias("ad"))
+    return records.split_alternates(rows).select("rid", "alt_index", "alt", "gt", F.array_join(F.col("ad").cast("array<string>"), ",").alias("ad"))
+
+
+_METRICS = (("records", "true"), ("germline", "source_set = 'GERMLINE'"), ("somatic", "source_set = 'SOMATIC'"), ("rna_edit", "source_set = 'RNA_EDIT'"), ("known_site", "known_db IS NOT NULL"))
+
+
+@query("stage_counts", "calls", f", k AS (SELECT 'all' AS stage, * FROM calls UNION ALL SELECT 'signature', * FROM calls WHERE {_SIG} <> 'OTHER') " + " UNION ALL ".join(f"SELECT stage, patient, '{m}' AS metric, count(*) FILTER (WHERE {w}) AS value FROM k GROUP BY ALL" for m, w in _METRICS))
+def stage_counts(calls):
+    return records.stage_counts({"all": calls, "signature": rna_edit.edit_signature(calls)})
+
+
+@query("lane_lists", "calls", """, l AS (SELECT patient, chrom, pos, ref, alt, sum(ad_ref) AS r, sum(ad_alt) AS a, sum(normal_ref) AS f1, sum(normal_alt) AS f2, sum(lane) AS s FROM calls GROUP BY ALL)
+SELECT patient, chrom, pos, ref, alt, f1 || ',' || a AS f1r2, f2 || ',' || r AS f2r1, r || ',' || f2 AS fad, s || ',' || s || ',' || r || ',' || a AS sb FROM l""")
+def lane_lists(calls):
+    key = ["patient", "chrom", "pos", "ref", "alt"]
+    ints = lambda *cs: F.array(*(F.col(c).cast("int") for c in cs))
+    lanes = calls.select(*key, "lane", "rid", ints("ad_ref", "ad_alt").alias("ad"), F.lit(None).cast("int").alias("dp"), ints("normal_ref", "ad_alt").alias("f1r2"), ints("normal_alt", "ad_ref").alias("f2r1"), ints("ad_ref", "normal_alt").alias("fad"), ints("lane", "lane", "ad_ref", "ad_alt").alias("sb"))
+    out = rna_edit.collapse_lanes(lanes, key, ["lane", "rid"])
+    return out.select(*key, *(F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("f1r2", "f2r1", "fad", "sb")))
+
+
+@query("first_alt_counts", "calls", """ SELECT rid, CASE lane WHEN 0 THEN ad_alt::DOUBLE WHEN 1 THEN normal_alt::DOUBLE WHEN 2 THEN 0.25 * ad_ref ELSE ad_ref * 0.5 END AS n, CASE lane WHEN 0 THEN 'G' || (gene_no % 9) WHEN 1 THEN 'H' || (gene_no % 9) ELSE '' END AS gene,
+  CASE lane WHEN 0 THEN 'T1' WHEN 1 THEN 'ENST' || gene_no ELSE '' END AS transcript FROM calls""")
+def first_alt_counts(calls):
+    """One way to a count in each lane, and gene names from ANN, CSQ or nothing."""
+    lane = F.col("lane")
+    text = lambda c: F.col(c).cast("string")
+    nine = (F.col("gene_no") % 9).cast("string")
+    ann = F.concat(F.lit("ANN=T|x|HIGH|G"), nine, F.lit("|g|t|T1|,U|y"))
+    csq = F.concat(F.lit("CSQ=|ENST"), text("gene_no"), F.lit("|H"), nine, F.lit("|ENST9"))
+    info = v.info_map(F.concat_ws(";", F.concat(F.lit("DP="), text("ad_ref")), F.lit("MLEAF=0.5"), F.when(lane == 0, ann).when(lane == 1, csq)))
+    n = v.first_alt_count(F.when(lane == 0, F.concat_ws(",", text("ad_ref"), text("ad_alt"))).otherwise("."), F.when(lane == 1, F.concat_ws(",", text("ad_ref"), text("normal_alt"))), F.when(lane == 2, "0.25"), F.when(lane == 2, text("ad_ref")), info)
+    return calls.select("rid", n.alias("n"), v.gene_and_transcript(info).alias("g")).select("rid", "n", "g.gene", "g.transcript")

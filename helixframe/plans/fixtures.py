@@ -52,9 +52,11 @@ SELECT patient, chrom, pos, ref, alt, chrom || '_' || CAST(pos AS STRING) || '_'
   CASE CAST((gene_no + t) % 5 AS INT) WHEN 0 THEN 'frameshift_variant' WHEN 1 THEN 'splice_region_variant,inframe_deletion' WHEN 2 THEN 'missense_variant' WHEN 3 THEN 'synonymous_variant' ELSE 'intron_variant,NMD_transcript_variant' END AS consequence,
   CASE WHEN (gene_no + t) % 4 = 0 THEN '-' ELSE CAST(gene_no % 300 AS STRING) END AS protein_position,
   CASE WHEN (gene_no + t) % 4 = 0 THEN '-' ELSE substr('KRHDE', CAST(1 + gene_no % 5 AS INT), 1) || '/' || substr('AVLIM', CAST(1 + (gene_no + t) % 5 AS INT), 1) END AS amino_acids,
-  'STRAND=' || CASE WHEN (gene_no + t * (gene_no % 2)) % 2 = 0 THEN '1' ELSE '-1' END || ';SYMBOL=S' || CAST(gene_no % 50 AS STRING) || CASE WHEN t = 0 THEN ';CANONICAL=YES' ELSE '' END || CASE WHEN t = 2 THEN ';FLAGS=cds_start_NF' ELSE '' END || ';BIOTYPE=' || CASE WHEN gene_no % 6 = 0 THEN 'lncRNA' ELSE 'protein_coding' END AS extra, rid
-FROM ({calls}) c CROSS JOIN (SELECT 0 AS t UNION ALL SELECT 1 UNION ALL SELECT 2) k
-WHERE t <= gene_no % 3 AND source_set <> 'GERMLINE'"""
+  'STRAND=' || CASE WHEN (gene_no + t * (gene_no % 2)) % 2 = 0 THEN '1' ELSE '-1' END || ';SYMBOL=S' || CAST(gene_no % 50 AS STRING) || CASE WHEN t = 0 THEN ';CANONICAL=YES' ELSE '' END || CASE WHEN t = 2 THEN ';FLAGS=cds_start_NF' ELSE '' END || ';BIOTYPE=' || CASE WHEN gene_no % 6 = 0 THEN 'lncRNA' ELSE 'protein_coding' END AS extra, rid,
+  chrom || '_' || CAST(pos AS STRING) || '_' || ref || '/' || alt AS uploaded_variation, chrom || ':' || CAST(pos AS STRING) || CASE WHEN gene_no % 5 = 0 THEN '-' || CAST(pos + 1 AS STRING) ELSE '' END AS location, alt AS allele,
+  CASE WHEN gene_no % 4 = 1 THEN '.' ELSE 'a' || ref || 'g/a' || alt || 'g' END AS codons, CASE WHEN gene_no % 3 = 0 THEN '-' ELSE 'rs' || CAST(gene_no % 77 AS STRING) END AS existing_variation
+FROM ({calls}) c JOIN (SELECT 0 AS m, 0 AS t UNION ALL SELECT 1, 0 UNION ALL SELECT 1, 1 UNION ALL SELECT 2, 0 UNION ALL SELECT 2, 1 UNION ALL SELECT 2, 2) k ON c.gene_no % 3 = k.m
+WHERE source_set <> 'GERMLINE'"""
 
 TABLES = {"calls": (CALLS, "lineitem"), "coverage": (COVERAGE, "lineitem"), "gtf": (GTF, "supplier"), "reads": (READS, "orders"), "vep": (VEP.format(calls=CALLS), "lineitem")}
 

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from helixframe.functions import variant as v
-from helixframe.operators import clusters, germline, merge, ranges, rna_edit, strand
+from helixframe.operators import annotate, clusters, germline, merge, ranges, records, rna_edit, strand
 
 
 def values(spark, rows, schema, *columns):
@@ -26,8 +26,8 @@ def test_lists(spark):
 
 
 def test_info_and_format(spark):
-    got = values(spark, [("A=1;FLAG;B=x=y;A=2",), (".",), (None,)], "s string", v.info_map(F.col("s")))
-    assert got == [({"FLAG": "1", "B": "x=y", "A": "2"},), ({},), (None,)]
+    got = values(spark, [("A=1;FLAG;B=x=y;A=2",), (".",), (None,), (";".join(f"K{i % 500}={i}" for i in range(3000)),)], "s string", v.info_map(F.col("s")))
+    assert got[:3] == [({"FLAG": "1", "B": "x=y", "A": "2"},), ({},), (None,)] and got[3][0] == {f"K{i}": str(2500 + i) for i in range(500)}
     assert values(spark, [("GT:AD:DP", "0/1:3,4")], "k string, s string", v.format_map(F.col("k"), F.col("s"))) == [({"GT": "0/1", "AD": "3,4"},)]
 
 
@@ -75,9 +75,21 @@ def test_dense_calls(spark):
 
 
 def test_composition_ladder(spark):
-    rows = [(True, "0/1", "1/1", "0/0", None), (True, "0/1", "./.", None, None), (False, "./.", "1/1", "0/0", None), (False, None, None, "0/0", "0/1"), (False, None, None, "0/1", None), (True, None, ".", "./.", "")]
-    got = [(r.tumour_gt, r.tumour_from) for r in merge.compose(spark.createDataFrame(rows, "is_edit boolean, gt_dna string, gt_rna string, gt_normal string, gt_merged string")).collect()]
-    assert got == [("1/1", "rna"), ("0/1", "dna"), ("1/1", "rna"), ("0/1", "backup"), ("0/1", "normal"), ("0/0", "hom_ref")]
+    """Every step for edits and others, by the names of the columns that a row has."""
+    names = ("gt_dna", "gt_rna", "gt_dna_merged", "gt_rna_merged", "gt_normal", "gt_normal_merged")
+    # (is_edit, columns that hold a genotype) -> the one that wins
+    cases = [
+        (True, names, "gt_rna", "rna"), (True, ("gt_dna", "gt_rna_merged"), "gt_dna", "dna"), (True, ("gt_dna_merged", "gt_rna_merged", "gt_normal"), "gt_rna_merged", "backup"), (True, ("gt_dna_merged", "gt_normal"), "gt_dna_merged", "backup"),
+        (False, names, "gt_dna", "dna"), (False, ("gt_rna", "gt_dna_merged"), "gt_rna", "rna"), (False, ("gt_dna_merged", "gt_rna_merged"), "gt_dna_merged", "backup"), (False, ("gt_rna_merged", "gt_normal"), "gt_rna_merged", "backup"),
+        (False, ("gt_normal", "gt_normal_merged"), "gt_normal", "normal"), (True, ("gt_normal_merged",), "gt_normal_merged", "normal"), (True, (), None, "hom_ref"),
+    ]
+    value = {n: f"0/{i + 1}" for i, n in enumerate(names)}
+    rows = [(e, *(value[n] if n in have else ("./.", ".", "", None)[i % 4] for i, n in enumerate(names))) for e, have, _, _ in cases]
+    df = spark.createDataFrame(rows, "is_edit boolean, " + ", ".join(f"{n} string" for n in names))
+    got = [(r.tumour_gt, r.tumour_from) for r in merge.compose(df).collect()]
+    assert got == [(value.get(win, "0/0"), step) for _, _, win, step in cases]
+    got = [(r.tumour_gt, r.normal_gt) for r in merge.compose(df, dna_only=True).collect()]
+    assert got[0] == (value["gt_dna"], value["gt_normal"]) and got[2] == (value["gt_dna_merged"], value["gt_normal"]) and got[7] == (value["gt_normal"], value["gt_normal"]) and got[10] == ("0/0", "0/0")
 
 
 def test_clusters_chain_at_distance(spark):
@@ -115,3 +127,100 @@ def test_motif_gathers_chunks_only(spark):
     plan = catalog.QUERIES["motif"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     gathers = [x for x in plan.split("\n") if "collect_list" in x]
     assert gathers and all("chunk_id" in x.split("Aggregate [")[1].split("]")[0] for x in gathers)
+
+
+def test_flags_and_lists_of_info(spark):
+    """Each rule on maps with a flag, a list, both, none, repeats, and without sources."""
+    rows = [("ADAR_SIG;EDIT_SIG=APOBEC3,ADAR",), ("APOBEC3_SIG",), ("EDIT_SIG= x , ,x",), ("DP=3;AS_SB=1;SOURCE_SET=GERMLINE,RNA_EDIT",), ("SOURCE_SET=SOMATIC;SOMATIC;EDIT_SIG=APOBEC3",), (".",)]
+    info = v.info_map(F.col("s"))
+    got = values(spark, rows, "s string", v.edit_label(info), v.flagged_signature(info), v.with_edit_list(info)["EDIT_SIG"], v.apobec3_candidate(info))
+    assert got == [("ADAR|APOBEC3", "ADAR", "APOBEC3,ADAR", True), ("APOBEC3", "APOBEC3", "APOBEC3", True), ("x", "OTHER", " x , ,x", False), ("NA", "OTHER", None, False), ("APOBEC3", "OTHER", "APOBEC3", True), ("NA", "OTHER", None, False)]
+    got = [r[0] for r in values(spark, rows, "s string", v.with_flags_restored(v.without_allele_keys(info)))]
+    assert got[0] == {"ADAR_SIG": "1", "EDIT_SIG": "APOBEC3,ADAR", "APOBEC3_SIG": "1"} and got[3] == {"DP": "3", "SOURCE_SET": "GERMLINE,RNA_EDIT", "GERMLINE": "1"}
+    assert got[4] == {"SOURCE_SET": "SOMATIC", "SOMATIC": "1", "EDIT_SIG": "APOBEC3", "APOBEC3_SIG": "1"} and got[5] == {}
+
+
+def test_locations_amino_acids_and_protocols(spark):
+    rows = [("chr1:100-102", "K/R"), ("X:7", "K"), ("1_100", "-"), ("1:x", "K/R/S"), (None, None)]
+    got = values(spark, rows, "l string, a string", v.location_parts(F.col("l")), v.amino_acid_pair(F.col("a")))
+    assert got == [(("1", 100), ("K", "R")), (("X", 7), ("K", "")), (None, ("", "")), (None, ("K", "R/S")), (None, ("", ""))]
+    assert [v.protocol(n) for n in ("Reverse", "1++,1--,2+-,2-+", " firststrand ")] == ["fr-firststrand", "fr-secondstrand", "fr-firststrand"]
+    import pytest
+
+    for name in ("rf", "fr", "unstranded"):
+        with pytest.raises(ValueError):
+            v.protocol(name)
+    assert values(spark, [("a_L.1x0001",), ("a_L.10001",), ("a_L.1.0001",)], "s string", v.renamed_read_group(F.col("s"), "L.1", "N")) == [("a_L.1x0001",), ("a_L.10001",), ("N",)]
+
+
+def test_counts_genes_and_formats(spark):
+    rows = [("9,4", None, None, None, "DP=8;AF=0.5"), (".", "1,6", None, None, "."), (None, None, "0.5", "12", "."), (None, None, None, None, "DP=8;MLEAF=0.25"), (None, None, None, None, "DP=8")]
+    got = values(spark, rows, "ad string, fad string, af string, dp string, i string", v.first_alt_count(*(F.col(c) for c in ("ad", "fad", "af", "dp")), v.info_map(F.col("i"))))
+    assert got == [(4.0,), (6.0,), (6.0,), (2.0,), (None,)]
+    rows = [("ANN=T|m|H|GENE|id|x|TX1|y,U|z",), ("ANN=T|m",), ("CSQ=T|ENST001|B|GENE2|ENST9",), ("CSQ=x|ENST1",), ("DP=1",)]
+    assert [tuple(r[0]) for r in values(spark, rows, "s string", v.gene_and_transcript(v.info_map(F.col("s"))))] == [("GENE", "TX1"), ("", ""), ("GENE2", "ENST001"), ("", "ENST1"), ("", "")]
+    rows = [("GT:AD:PS", "0/1:3,4:9", "DP=2;AF=0.5"), ("GT", "0/1", "AF=0.25"), ("GT:AD", "0/1:1,1", "DP=2")]
+    assert [tuple(r[0]) for r in values(spark, rows, "k string, s string, i string", v.af_into_format(F.col("k"), F.col("s"), v.info_map(F.col("i"))))] == [("GT:AD:AF:PS", "0/1:3,4:0.5:9"), ("GT:AF", "0/1:0.25"), ("GT:AD", "0/1:1,1")]
+    got = values(spark, [("AD:GT:XX:DP", "3,4:0/1:z:.")], "k string, s string", v.format_subset(v.format_map(F.col("k"), F.col("s"))))
+    assert tuple(got[0][0]) == ("0/1", "3,4", None, None, None, None, None, None)
+    assert values(spark, [([1] * 1500,), ([7],)], "a array<int>", v.alt_total(F.col("a"))) == [(1499,), (None,)]
+    assert values(spark, [("./.",), ("0|1",), (None,)], "g string", v.set_gt(F.col("g"))) == [("0/0",), ("0|1",), ("0/0",)]
+
+
+def test_depth_field_comes_first(spark):
+    rows = [([10, 0], 9, [10, 3], None), ([5, 0], 12, [6, 3], 10), ([10, 0], None, [10, 3], None)]
+    got = [r.drop_reason for r in rna_edit.paired_qc(spark.createDataFrame(rows, "normal_ad array<int>, normal_dp int, rna_ad array<int>, rna_dp int")).collect()]
+    assert got == ["NORMAL_DP", None, None]
+
+
+def test_best_transcript_prefers_known_changes(spark):
+    """Missing changes are no common change; rows without an id go by place and alternate."""
+    extra = "SYMBOL=A"
+    rows = [("P", "u1", "-", "-", "T1", "r1"), ("P", "u1", "-", "-", "T2", "r2"), ("P", "u1", "-", "K/R", "T3", "r3"), ("P", "", "5", "K/R", "T4", "r4"), ("P", None, "5", "K/R", "T5", "r5"), ("P", "", "6", "K/S", "T1", "r6")]
+    df = spark.createDataFrame([(*r, "Transcript", "missense_variant", extra, 0, "1:7" if r[5] != "r6" else "1:8", "G") for r in rows], "patient string, uploaded string, protein_position string, amino_acids string, feature string, rid string, feature_type string, consequence string, extra string, t int, location string, alt string")
+    got = {(r.feature, r.aa_count, r.aa_options, r.rows) for r in annotate.best_transcript(df).collect()}
+    assert got == {("T3", 1, 1, 3), ("T4", 2, 1, 2), ("T1", 1, 1, 1)}
+
+
+def test_position_conflict_branches(spark):
+    calls = [("P", "chr1", 1, "A", "G", "RNA_EDIT", "a"), ("P", "chr1", 2, "A", "G", "RNA_EDIT", "b"), ("P", "chr1", 2, "A", "C", "RNA_EDIT", "c"), ("P", "chr1", 3, "A", "G", "RNA_EDIT", "d"), ("P", "chr1", 3, "A", "C", "RNA_EDIT", "e"), ("P", "chr1", 2, "A", "T", "GERMLINE", "f")]
+    unique, other = "UNIQUE_TRANSCRIPT_STRAND", "AMBIGUOUS_TRANSCRIPT_STRAND"
+    summary = [("P", "1_2_A/G", unique), ("P", "chr1_2_A/C", other), ("P", "chr1_3_A/G", unique), ("P", "chr1_3_A/C", unique)]
+    out = annotate.position_conflicts(spark.createDataFrame(calls, "patient string, chrom string, pos bigint, ref string, alt string, source_set string, rid string"), spark.createDataFrame(summary, "patient string, uploaded string, status string"))
+    got = {r.rid: (r.decision, r.strand_status) for r in out.collect()}
+    assert got == {
+        "a": ("SINGLETON_KEEP", "MISSING_VEP_ANNOTATION"), "b": ("UNIQUE_STRAND_KEEP_IN_POSITION_CONFLICT", unique), "c": ("POSITION_CONFLICT_NONUNIQUE_STRAND", other), "d": ("UNRESOLVED_POSITION_CONFLICT_KEEP_ALL", unique),
+        "e": ("UNRESOLVED_POSITION_CONFLICT_KEEP_ALL", unique), "f": ("NON_RNA_EDIT", "MISSING_VEP_ANNOTATION"),
+    }
+
+
+def test_same_copy_flags(spark):
+    """Homozygous A with a neighbour that has no alternate; het A with a homozygous B before a cis B; unequal blocks; no neighbour."""
+    a = [("P", "1", 100, "1/1", 5, "a1"), ("P", "1", 300, "0|1", 5, "a2"), ("P", "1", 500, "0|1", 5, "a3"), ("P", "1", 700, "0|1", 5, "a4"), ("P", "1", 900, "0/0", 5, "a5")]
+    b = [("P", "1", 110, "0/0", 5, "b1"), ("P", "1", 290, "1/1", 5, "b2"), ("P", "1", 310, "0|1", 5, "b3"), ("P", "1", 533, "0|1", 5, "b4"), ("P", "1", 534, "1/1", 5, "b5"), ("P", "1", 701, "0|1", 6, "b6"), ("P", "1", 901, "1/1", 5, "b7")]
+    schema = "patient string, chrom string, pos bigint, gt string, ps bigint, rid string"
+    got = {r.rid: (r.hom_any, r.het_same, r.het_cis) for r in clusters.first_same_copy(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)).collect()}
+    assert got == {"a1": (True, False, False), "a2": (False, True, False), "a3": (False, True, True), "a4": (False, False, False)}
+
+
+def test_base_quality_and_case(spark):
+    calls = spark.createDataFrame([("c", "P", "1", "G", 11, ["+"])], "rid string, patient string, chrom string, alt string, pos bigint, strands array<string>")
+    reads = [(10, "g", [19]), (10, "g", [20]), (10, "G", None), (10, "A", [40]), (10, "G", [])]
+    df = spark.createDataFrame([("P", "1", p, 16, 60, "1M", s, q) for p, s, q in reads], "patient string, contig string, pos0 bigint, flag int, mapq int, cigar string, seq string, quals array<int>")
+    assert [(r.expected, r.alt_reads) for r in strand.alt_support(calls, df).collect()] == [(3, 3)]
+
+
+def test_record_filters_and_columns(spark):
+    lines = [("a", "##x"), ("a", "#CHROM\tPOS"), ("a", "1\t2"), ("b", "1\t2"), ("c", "#CHROM POS"), ("c", "")]
+    assert {(r.file, r.status, r.records) for r in records.input_validity(spark.createDataFrame(lines, "file string, line string")).collect()} == {("a", "OK", 1), ("b", "NO_HEADER", 1), ("c", "EMPTY", 0)}
+    names = {"1": ["x", "DNA_TUMOR"], "2": ["x_N", "y"], "3": ["a", "b", "my_tumour"], "4": ["n", "TUMOUR"], "5": ["a", "b", "c"], "6": ["p_DNA_NORMAL", "some_rna", "z"]}
+    df = spark.createDataFrame([(p, s, i) for p, x in names.items() for i, s in enumerate(x)], "patient string, sample string, idx int")
+    pick = lambda way: {r.patient: r["sample"] for r in records.tumour_column(df, way).collect()}
+    assert pick("report") == {"1": "DNA_TUMOR", "2": "y", "3": "my_tumour", "4": "TUMOUR", "5": "a", "6": "p_DNA_NORMAL"}
+    assert pick("merge") == {"1": "DNA_TUMOR", "2": "y", "3": "my_tumour", "4": "TUMOUR", "5": "c", "6": "some_rna"}
+    assert pick("dna_only") == {"1": "DNA_TUMOR", "2": "y", "3": "a", "4": "n", "5": "a", "6": "some_rna"}
+    rows = spark.createDataFrame([("P", "x", "GERMLINE,RNA_EDIT"), ("Q", None, None)], "patient string, known_db string, source_set string")
+    assert [r.patient for r in records.empty_patients(rows, records.known_sites_only(rows, "x")).collect()] == ["Q"]
+    assert [(r.reason, r.blacklisted) for r in records.limited_to(rows, "RNA_EDIT", F.lit("BAD")).collect()] == [("BAD", True), ("PRESERVED", False)]
+    got = values(spark, [([9, 1, 2], ["G", "T"], ["C", "T", "G"])], "ad array<int>, own array<string>, joint array<string>", records.reindexed_counts(F.col("ad"), F.col("own"), F.col("joint")))
+    assert got == [([9, None, 2, 1],)]
