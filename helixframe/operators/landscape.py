@@ -46,7 +46,7 @@ def cluster_of(calls: DataFrame, clusters: DataFrame) -> DataFrame:
     ``clusters`` has ``patient``, ``chrom``, ``start``, ``end``, ``cluster_id``; ``calls`` has a unique ``rid``.
     """
     spans = clusters.select("patient", "chrom", "start", "end", (F.col("end") + 1).alias("stop"), "cluster_id").where("start <= end")
-    hits = in_intervals(calls.select("rid", "patient", "chrom", "pos"), spans, ["patient", "chrom"], "pos", "start", "stop")
+    hits = in_intervals(calls.select("rid", "patient", "chrom", "pos"), spans, ["patient", "chrom"], "pos", "start", "stop", 1000)
     first = hits.groupBy("rid").agg(F.min(F.struct("start", "end", "cluster_id")).alias("c")).select("rid", F.col("c.cluster_id").alias("cluster_id"))
     return calls.drop("cluster_id").join(first, "rid", "left")
 
