@@ -131,25 +131,38 @@ class Patterns:
                 out[key] = [*(have or []), int(pos[i]), end]
         return [(p, b * max(int(self.budget[p]), 1) - int(self.size.max()), v[j], v[j + 1]) for (p, b), v in out.items() for j in range(0, len(v), 2)]
 
-    def align(self, codes: np.ndarray, p: int, diagonal: int) -> tuple[int, int]:
-        """Least edits of pattern ``p`` on the diagonals of a band and one budget to each side, and where it ends."""
-        pattern, e = self.codes[p], int(self.budget[p])
-        low, width = diagonal - e, 4 * max(e, 1) + 1
-        # row i, column c: pattern[:i] ends at text place i + low + c
-        cols = np.arange(width)
-        place = low + cols
-        big = 1 << 20
-        row = np.where((place >= 0) & (place <= len(codes)), 0, big)
-        for i in range(1, len(pattern) + 1):
-            place = i + low + cols
-            inside = (place >= 1) & (place <= len(codes))
-            other = codes[np.clip(place - 1, 0, len(codes) - 1)] != pattern[i - 1]
-            new = np.where(inside, row + other, big)
-            new[:-1] = np.minimum(new[:-1], row[1:] + 1)  # a pattern character without partner
-            new = np.where((place >= 0) & (place <= len(codes)), new, big)
-            row = np.minimum.accumulate(new - cols) + cols  # text characters without partner
-        best = int(row.argmin())
-        return int(row[best]), len(pattern) + low + best
+    def align(self, codes: np.ndarray, asked: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """For each (pattern, least diagonal of a band): its least edits on the band and one budget to each side, and where it ends.
+
+        Patterns of one length go through the dynamic program as one array.
+        """
+        out: list[tuple[int, int]] = [(0, 0)] * len(asked)
+        by_size: dict[int, list[int]] = {}
+        for k, (p, _) in enumerate(asked):
+            by_size.setdefault(int(self.size[p]), []).append(k)
+        big, n = 1 << 20, len(codes)
+        for size, every in by_size.items():
+            for at in range(0, len(every), 512):
+                which = every[at : at + 512]
+                pattern = np.stack([self.codes[asked[k][0]] for k in which])
+                e = int(self.budget[asked[which[0]][0]])
+                low = np.array([asked[k][1] - e for k in which])[:, None]
+                # row i, column c: pattern[:i] ends at text place i + low + c
+                cols = np.arange(4 * max(e, 1) + 1)
+                place = low + cols
+                row = np.where((place >= 0) & (place <= n), 0, big)
+                for i in range(1, size + 1):
+                    place = i + low + cols
+                    there = (place >= 0) & (place <= n)
+                    other = codes[np.clip(place - 1, 0, n - 1)] != pattern[:, i - 1 : i]
+                    new = np.where(there & (place >= 1), row + other, big)
+                    new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)  # a pattern character without partner
+                    new = np.where(there, new, big)
+                    row = np.minimum.accumulate(new - cols, axis=1) + cols  # text characters without partner
+                best = row.argmin(axis=1)
+                for j, k in enumerate(which):
+                    out[k] = int(row[j, best[j]]), size + int(low[j, 0]) + int(best[j])
+        return out
 
     def _whole(self, text: str) -> Iterator[tuple[int, int]]:
         """(item, end) of the items of under ``EXACT`` characters that stand in the text."""
@@ -171,13 +184,10 @@ class Patterns:
         for start in range(0, max(len(codes), 1), _PIECE):
             part = codes[max(0, start - reach) : start + _PIECE + reach]
             base = max(0, start - reach)
-            for p, diagonal, _, _ in self.candidates(part):
-                item, e = self.item[p], int(self.budget[p])
-                # an exact copy that ends no later than this band can has nothing to gain here
-                if found.get(item, (1, 0)) <= (0, base + int(self.size[p]) + diagonal - e):
-                    continue
-                edits, end = self.align(part, p, diagonal)
-                if edits <= e:
+            asked = list(dict.fromkeys((p, diagonal) for p, diagonal, _, _ in self.candidates(part)))
+            for (p, _), (edits, end) in zip(asked, self.align(part, asked)):
+                if edits <= self.budget[p]:
+                    item = self.item[p]
                     found[item] = min(found.get(item, (1 << 20, 0)), (edits, base + end))
         return [(i, *v) for i, v in sorted(found.items())]
 
