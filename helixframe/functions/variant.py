@@ -179,6 +179,11 @@ def source_priority(text: Column) -> Column:
     return F.when(text.contains("GERMLINE"), "GERMLINE").when(text.contains("SOMATIC"), "SOMATIC").when(text.contains("RNA_EDIT"), "RNA_EDIT").otherwise("OTHER")
 
 
+def known_site(known_db: Column) -> Column:
+    """Whether a record names a known site; never null."""
+    return F.coalesce(~known_db.isin("", ".", "NA"), F.lit(False))
+
+
 def extra_value(extra: Column, key: str) -> Column:
     return F.nullif(F.regexp_extract(extra, rf"(?:^|;){key}=([^;]*)", 1), F.lit(""))
 

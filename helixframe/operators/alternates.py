@@ -62,6 +62,21 @@ def first_stage(outputs: DataFrame, order: list[str]) -> DataFrame:
     return there.groupBy("patient").agg(F.min(F.struct("rank", "stage", "path")).alias("m")).select("patient", "m.stage", "m.path")
 
 
+def proximity_source(patients: DataFrame, outputs: DataFrame, order: list[str], mode: str = "auto") -> DataFrame:
+    """Each patient's ``stage`` and ``path`` of ``first_stage``, and ``status``: USED, NONE_FOUND (auto), REQUESTED_NOT_FOUND (1) or DISABLED (0).
+
+    ``mode`` is auto, or 1 (true, yes, on), or 0 (false, no, off), in either case; only USED goes beyond DNA. Any other mode is an error.
+    """
+    word = mode.lower()
+    if word not in ("auto", "1", "true", "yes", "on", "0", "false", "no", "off"):
+        raise ValueError(f"mode {mode!r} is none of auto, 1, 0")
+    off = word in ("0", "false", "no", "off")
+    found = first_stage(outputs.limit(0) if off else outputs, order)
+    none = "DISABLED" if off else "NONE_FOUND" if word == "auto" else "REQUESTED_NOT_FOUND"
+    every = patients.select("patient").distinct().join(found, "patient", "left")
+    return every.withColumn("status", F.when(F.col("stage").isNotNull(), "USED").otherwise(none))
+
+
 def routes(patients: DataFrame, with_rna: DataFrame, allow_with_rna: bool = False) -> DataFrame:
     """``route`` of each patient: three_way with RNA calls, else dna_only (or dna_only for all, if allowed)."""
     has = with_rna.select("patient", F.lit(True).alias("__has")).distinct()

@@ -56,11 +56,11 @@ def two_tier(rows: DataFrame, calls: DataFrame, values: list[str]) -> DataFrame:
     alt = ["patient", "chrom", "pos", "alt"]
     found = rows.join(last([*alt, "ref"], "full"), [*alt, "ref"], "left").join(last(alt, "by_alt"), alt, "left")
     tier = F.when(F.col("full").isNotNull(), "full").when(F.col("by_alt").isNotNull(), "alt").otherwise("none")
-    return found.select(*rows.columns, tier.alias("tier"), *(F.coalesce(f"full.{c}", f"by_alt.{c}").alias(c) for c in values))
+    return found.select(*rows.columns, tier.alias("tier"), *(F.coalesce("full", "by_alt")[c].alias(c) for c in values))
 
 
-def best_transcript(vep: DataFrame) -> DataFrame:
-    """One annotation row per uploaded variant; rows without an id go by ``location`` and ``alt``, if those columns are there.
+def ranked_transcripts(vep: DataFrame) -> DataFrame:
+    """Annotation rows with ``n``, their place among those of their uploaded variant; rows without an id go by ``location`` and ``alt``, if those columns are there.
 
     Transcripts first, then consequence rank, protein known, no decay, canonical, no
     flags, the commoner amino-acid change, feature name, place in the file. Missing changes (empty, ``.``, ``-``, NA) are
@@ -83,7 +83,39 @@ def best_transcript(vep: DataFrame) -> DataFrame:
         F.when(F.col("feature_type") == "Transcript", 0).otherwise(1), F.col("rank"), F.when(protein, 0).otherwise(1), F.when(F.col("consequence").contains("NMD_transcript_variant"), 1).otherwise(0),
         F.when(v.extra_value(F.col("extra"), "CANONICAL") == "YES", 0).otherwise(1), F.when(v.extra_value(F.col("extra"), "FLAGS").isNull(), 0).otherwise(1), F.desc("aa_count"), F.col("feature"), F.col("rid"), F.col("t"),
     ]
-    return rows.withColumn("n", F.row_number().over(own.orderBy(*order))).where("n = 1").drop("n", "__key", "__aa")
+    return rows.withColumn("n", F.row_number().over(own.orderBy(*order))).drop("__key", "__aa")
+
+
+def best_transcript(vep: DataFrame) -> DataFrame:
+    """The first annotation row of each uploaded variant; see ``ranked_transcripts``."""
+    return ranked_transcripts(vep).where("n = 1").drop("n")
+
+
+def dedup_counts(ranked: DataFrame) -> DataFrame:
+    """``patient``, ``stage``, ``source_set``, ``primary_consequence``, ``known_db_hit`` and ``count`` of ``ranked_transcripts``; the cohort's counts have a null patient.
+
+    ``ranked`` has ``source_set`` and ``known_db`` of its calls besides (null source: NA). Stages (fixed values) are raw_rows, dedup_kept_rows and filtered_transcript_rows.
+    """
+    key = {"source_set": F.coalesce("source_set", F.lit("NA")), "primary_consequence": F.col("primary"), "known_db_hit": F.when(v.known_site(F.col("known_db")), "1").otherwise("0")}
+    n = ranked.groupBy("patient", *(c.alias(name) for name, c in key.items())).agg(F.count("*").alias("raw_rows"), F.count_if(F.col("n") == 1).alias("dedup_kept_rows"), F.count_if(F.col("n") > 1).alias("filtered_transcript_rows"))
+    each = n.unpivot(["patient", *key], ["raw_rows", "dedup_kept_rows", "filtered_transcript_rows"], "stage", "count").where("count > 0")
+    cohort = each.groupBy("stage", *key).agg(F.sum("count").alias("count")).withColumn("patient", F.lit(None).cast("string"))
+    return each.where("patient is not null").unionByName(cohort)
+
+
+def dedup_metrics(ranked: DataFrame) -> DataFrame:
+    """Per patient: rows, variants, those with several rows, rows kept and left out, and rows without a call (``tier`` none, see ``two_tier``)."""
+    first = F.col("n") == 1
+    n = lambda ok, name: F.count_if(ok).alias(name)
+    return ranked.groupBy("patient").agg(
+        F.count("*").alias("raw_vep_rows"), n(first, "raw_unique_variants"), n(first & (F.col("rows") > 1), "variants_with_multiple_transcript_rows"), n(first, "dedup_variants_kept"),
+        n(~first, "filtered_transcript_rows"), n(F.col("tier") == "none", "rows_missing_vcf_annotation"),
+    )
+
+
+def cohort_metrics(metrics: DataFrame) -> DataFrame:
+    """One row: ``patients``, and the sums of ``dedup_metrics`` over them."""
+    return metrics.agg(F.count("*").alias("patients"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in metrics.columns if c != "patient"))
 
 
 def strand_summary(vep: DataFrame) -> DataFrame:

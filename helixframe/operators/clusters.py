@@ -21,16 +21,18 @@ def clusters(calls: DataFrame, distance: int = 33, least: int = 2) -> DataFrame:
 
 
 def cluster_summary(members: DataFrame) -> DataFrame:
-    """One row per cluster; the top gene is the commonest, of tied ones that seen first."""
+    """One row per cluster; the top gene and transcript are the commonest, of tied ones those seen first, null where no member names one."""
     m = members.withColumns({"sig": v.signature(F.col("ref"), F.col("alt")), "dp": (F.col("ad_ref") + F.col("ad_alt")).cast("double")})
     one = F.count_distinct(F.when(~v.gt_missing(F.col("gt")), F.col("ps"))) == 1
     out = m.groupBy("cluster_id").agg(
         F.min("pos").alias("start"), F.max("pos").alias("end"), F.count("*").alias("n"), *(F.count_if(F.col("sig") == s).alias(f"n_{s.lower()}") for s in ("ADAR", "APOBEC3", "OTHER")),
-        F.coalesce(F.avg("dp"), F.lit(0.0)).alias("mean_dp"), one.alias("one_block"),
+        F.round(F.coalesce(F.avg("dp"), F.lit(0.0)), 3).alias("mean_dp"), one.alias("one_block"),
     )
-    genes = m.groupBy("cluster_id", "gene").agg(F.count("*").alias("c"), F.min(F.struct("pos", "rid")).alias("first"))
-    top = genes.groupBy("cluster_id").agg(F.min_by("gene", F.struct(-F.col("c"), F.col("first"))).alias("top_gene"))
-    return out.join(top, "cluster_id")
+    for name in ("gene", "transcript"):
+        seen = m.where(F.col(name) != "").groupBy("cluster_id", name).agg(F.count("*").alias("c"), F.min(F.struct("pos", "rid")).alias("first"))
+        top = seen.groupBy("cluster_id").agg(F.min_by(name, F.struct(-F.col("c"), F.col("first"))).alias(f"top_{name}"))
+        out = out.join(top, "cluster_id", "left")
+    return out
 
 
 def first_same_copy(a: DataFrame, b: DataFrame, distance: int = 33) -> DataFrame:
@@ -67,12 +69,21 @@ def phase_segments(calls: DataFrame) -> DataFrame:
 
 
 def source_counters(calls: DataFrame) -> DataFrame:
-    """Counts by source, phase and zygosity for each patient."""
-    out = []
+    """Twenty counters of the calls of each patient by source, signature, phase and zygosity.
+
+    ``calls`` has ``patient``, ``source_set``, ``gt``, ``edit_sig``, ``known_db`` and, after ``records.has_allowed``, ``allowed``: somatic calls and edits
+    that are not allowed count in the total only. Null fields count as empty; a genotype without two alleles has no zygosity.
+    """
+    source = v.source_priority(F.coalesce("source_set", F.lit("")))
+    gt, sig = F.coalesce("gt", F.lit("")), F.upper(F.coalesce("edit_sig", F.lit("")))
+    n = lambda name, ok: F.count_if(F.coalesce(ok, F.lit(False))).alias(f"merged_{name}")
+    out = [F.count("*").alias("merged_total"), n("other_total", source == "OTHER")]
     for s in ("GERMLINE", "SOMATIC", "RNA_EDIT"):
-        mine = v.source_priority(F.col("source_set")) == s
-        name = s.lower()
-        phased = F.instr("gt", "|") > 0
-        out += [F.count_if(mine).alias(f"{name}_total"), F.count_if(mine & phased).alias(f"{name}_phased"), F.count_if(mine & v.hom_alt(F.col("gt"))).alias(f"{name}_hom"), F.count_if(mine & ~phased & v.has_alt(F.col("gt")) & ~v.hom_alt(F.col("gt"))).alias(f"{name}_unphased_het")]
-    known = (F.col("source_set") == "RNA_EDIT") & F.col("known_db").isNotNull()
-    return calls.groupBy("patient").agg(F.count("*").alias("merged_total"), *out, F.count_if(known).alias("rna_known"))
+        mine = source == s
+        if s != "GERMLINE" and "allowed" in calls.columns:
+            mine = mine & F.col("allowed")
+        low, hom = s.lower(), F.coalesce(v.hom_alt(gt), F.lit(False))
+        out += [n(f"{low}_total", mine), n(f"{low}_gt_phased", mine & gt.contains("|")), n(f"{low}_gt_unphased", mine & ~gt.contains("|") & gt.contains("/"))]
+        out += [n(f"{low}_hom_alt", mine & hom), n(f"{low}_het_alt", mine & v.has_alt(gt) & ~hom)]
+    out += [n("rna_edit_adar_total", mine & sig.contains("ADAR")), n("rna_edit_apobec3_total", mine & sig.contains("APOBEC3")), n("rna_edit_known_db_total", mine & v.known_site(F.col("known_db")))]
+    return calls.groupBy("patient").agg(*out)

@@ -65,22 +65,35 @@ COUNTERS = ("hom_any", "het_same", "het_cis")
 def same_copy_counts(calls: DataFrame, distance: int = 33) -> DataFrame:
     """Per patient and directed pair of sources: ``hom_any``, ``het_same`` and ``het_cis``, the calls of the first with those flags (see ``first_same_copy``).
 
-    One range join serves all six pairs.
+    Of the edits only those at known sites (``known_db``) take part. One range join serves all six pairs.
     """
-    known = calls.where(F.col("source_set").isin(*SOURCES)).select("patient", "chrom", "pos", "gt", "ps", "rid", F.col("source_set").alias("a"))
+    known = calls.where(F.col("source_set").isin(*SOURCES) & ((F.col("source_set") != "RNA_EDIT") | v.known_site(F.col("known_db")))).select("patient", "chrom", "pos", "gt", "ps", "rid", F.col("source_set").alias("a"))
     other = known.select("patient", "chrom", F.col("pos").alias("b_pos"), F.col("gt").alias("b_gt"), F.col("ps").alias("b_ps"), F.col("rid").alias("b_rid"), F.col("a").alias("b"))
     pairs = near_pairs(known.where(v.has_alt(F.col("gt"))), other, ["patient", "chrom"], distance).where("a <> b")
     each = pairs.groupBy("patient", "rid", "a", "b").agg(*same_copy_flags())
     return each.groupBy("patient", "a", "b").agg(*(F.count_if(c).alias(c) for c in COUNTERS))
 
 
-def same_copy_report(counters: DataFrame, counts: DataFrame) -> DataFrame:
-    """The patients of ``counters`` with three columns for each directed pair of sources; pairs without a neighbour count 0."""
+def input_totals(germline: DataFrame, somatic: DataFrame, rna: DataFrame) -> DataFrame:
+    """What each patient's three inputs hold; patients that lack one are left out. With ``allowed`` (see ``records.has_allowed``), somatic calls and edits are those allowed."""
+    n = lambda df: F.count_if("allowed") if "allowed" in df.columns else F.count("*")
+    out = germline.groupBy("patient").agg(F.count("*").alias("germline_selected_total"))
+    out = out.join(somatic.groupBy("patient").agg(n(somatic).alias("somatic_filtered_total")), "patient")
+    return out.join(rna.groupBy("patient").agg(n(rna).alias("rna_filtered_total"), F.count("*").alias("rna_filtered_total_with_noncoding")), "patient")
+
+
+#: Column names of the report: its sources, and the counters of a pair in the order of ``COUNTERS`` (fixed values).
+SHORT = {"GERMLINE": "germline", "SOMATIC": "somatic", "RNA_EDIT": "rna"}
+PAIR_COLUMNS = ("{a}_hom_adj_{b}_any", "{a}_het_samecopy_with_{b}", "{a}_het_samecopy_with_{b}_phasedcis")
+
+
+def same_copy_report(totals: DataFrame, counters: DataFrame, counts: DataFrame) -> DataFrame:
+    """43 columns for each patient of ``totals`` and ``counters``: both tables' columns, and three for each directed pair of sources, 0 without a neighbour."""
     cells = []
     for a in SOURCES:
         for b in SOURCES:
             if a != b:
                 here = (F.col("a") == a) & (F.col("b") == b)
-                cells += [F.coalesce(F.sum(F.when(here, F.col(c))), F.lit(0)).alias(f"{a}_{b}_{c}".lower()) for c in COUNTERS]
+                cells += [F.coalesce(F.sum(F.when(here, F.col(c))), F.lit(0)).alias(name.format(a=SHORT[a], b=SHORT[b])) for c, name in zip(COUNTERS, PAIR_COLUMNS)]
     wide = counts.groupBy("patient").agg(*cells)
-    return counters.join(wide, "patient", "left").fillna(0, wide.columns[1:])
+    return totals.join(counters, "patient").join(wide, "patient", "left").fillna(0, wide.columns[1:])

@@ -66,6 +66,17 @@ def allele_counts(genotypes: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("an"), F.count_if(F.col("a") != "0").alias("ac")).withColumn("af", F.try_divide("ac", "an"))
 
 
+def joint_allele_counts(merged: DataFrame, samples: list[str], alts: str = "alts") -> DataFrame:
+    """One row per record and alternate of the comma list ``alts``: ``alt``, ``an`` (alleles called in any sample), ``ac`` and ``af`` of that alternate, null where nothing is called.
+
+    ``samples`` names the genotype columns. Nothing is shuffled.
+    """
+    alleles = F.flatten(F.array(*(F.coalesce(v.gt_alleles(F.col(c)), F.array().cast("array<string>")) for c in samples)))
+    rows = merged.withColumn("__a", F.filter(alleles, lambda x: x != ".")).select("*", F.posexplode(F.split(alts, ",")).alias("__i", "alt"))
+    own = F.filter("__a", lambda x: x == (F.col("__i") + 1).cast("string"))
+    return rows.withColumns({"an": F.size("__a").cast("long"), "ac": F.size(own).cast("long")}).withColumn("af", F.try_divide("ac", "an")).drop("__a", "__i")
+
+
 def missing_gate(composed: DataFrame) -> DataFrame:
     """Patients with a missing tumour genotype and how many they have."""
     return composed.groupBy("patient").agg(F.count_if(v.gt_missing(F.col("tumour_gt"))).alias("missing"), F.count("*").alias("records"))

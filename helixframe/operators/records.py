@@ -64,6 +64,16 @@ def with_normals(tumours: DataFrame, normals: DataFrame) -> DataFrame:
     return tumours.join(last, key, "left").withColumn("normal_gt", v.set_gt(F.col("normal_gt"), "./."))
 
 
+def has_allowed(records: DataFrame, allowed: DataFrame, alts: str = "alt") -> DataFrame:
+    """``records`` with ``allowed``: whether any alternate of the comma list ``alts`` is named at its patient and position by the table ``allowed``.
+
+    ``allowed`` has ``patient``, ``chrom``, ``pos``, ``alt``; chromosomes match with or without chr. Rows are neither lost nor repeated.
+    """
+    there = allowed.groupBy("patient", v.chrom_norm(F.col("chrom")).alias("__c"), "pos").agg(F.collect_set("alt").alias("__a"))
+    rows = records.withColumn("__c", v.chrom_norm(F.col("chrom"))).join(there, ["patient", "__c", "pos"], "left")
+    return rows.withColumn("allowed", F.coalesce(F.arrays_overlap(F.split(alts, ","), F.col("__a")), F.lit(False))).drop("__c", "__a")
+
+
 def unfiltered(records: DataFrame) -> DataFrame:
     """Records that passed, or that no filter has judged."""
     return records.where(F.col("filter").isin("PASS", "."))

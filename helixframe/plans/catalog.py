@@ -182,15 +182,33 @@ def best_transcript(vep):
     return annotate.best_transcript(vep).select("patient", "uploaded", "feature", "rank", F.col("primary").alias("primary_consequence"), "aa_count", "aa_options", "rows")
 
 
-@query("dedup_counts", "vep", f"{_BEST} SELECT 'raw' AS stage, {_PRIMARY} AS primary_consequence, count(*) AS n FROM rk GROUP BY ALL UNION ALL SELECT 'kept', {_PRIMARY}, count(*) FROM best GROUP BY ALL")
-def dedup_counts(vep):
-    one = lambda df, stage: df.groupBy(F.lit(stage).alias("stage"), v.primary_consequence(F.col("consequence")).alias("primary_consequence")).agg(F.count("*").alias("n"))
-    return one(vep, "raw").unionByName(one(annotate.best_transcript(vep), "kept"))
+_TIERED = """, fl AS (SELECT patient, chrom, pos, ref, alt, arg_max({'s': source_set, 'k': known_db}, rid) AS x FROM calls WHERE source_set = 'SOMATIC' GROUP BY ALL),
+al AS (SELECT patient, chrom, pos, alt, arg_max({'s': source_set, 'k': known_db}, rid) AS y FROM calls WHERE source_set = 'SOMATIC' GROUP BY ALL),
+tr AS (SELECT rk.*, coalesce(x, y) AS z, best.rid IS NOT NULL AS kept FROM rk LEFT JOIN fl USING (patient, chrom, pos, ref, alt) LEFT JOIN al USING (patient, chrom, pos, alt) LEFT JOIN best ON best.rid = rk.rid AND best.t = rk.t)"""
+_METRICS = "count(*) AS raw_vep_rows, count(DISTINCT (patient, uploaded)) AS raw_unique_variants, count(DISTINCT CASE WHEN rows > 1 THEN (patient, uploaded) END) AS variants_with_multiple_transcript_rows, count(*) FILTER (WHERE kept) AS dedup_variants_kept, count(*) FILTER (WHERE NOT kept) AS filtered_transcript_rows, count(*) FILTER (WHERE z IS NULL) AS rows_missing_vcf_annotation"
 
 
-@query("dedup_metrics", "vep", f"{_BEST} SELECT patient, sum(rows)::BIGINT AS raw_rows, count(*) AS variants, count(*) FILTER (WHERE rows > 1) AS several, (sum(rows) - count(*))::BIGINT AS filtered FROM best GROUP BY patient")
-def dedup_metrics(vep):
-    return annotate.best_transcript(vep).groupBy("patient").agg(F.sum("rows").alias("raw_rows"), F.count("*").alias("variants"), F.count_if(F.col("rows") > 1).alias("several"), (F.sum("rows") - F.count("*")).alias("filtered"))
+def _ranked(calls, vep):
+    found = annotate.two_tier(vep, of(calls, "SOMATIC").select("patient", "chrom", "pos", "ref", "alt", "rid", "source_set", "known_db"), ["source_set", "known_db"])
+    return annotate.ranked_transcripts(found)
+
+
+@query("dedup_counts", "calls vep", f"""{_BEST}{_TIERED}, st AS (SELECT *, 'raw_rows' AS stage FROM tr UNION ALL SELECT *, CASE WHEN kept THEN 'dedup_kept_rows' ELSE 'filtered_transcript_rows' END FROM tr),
+k AS (SELECT patient, stage, coalesce(z.s, 'NA') AS source_set, {_PRIMARY} AS primary_consequence, CASE WHEN z.k IS NULL THEN '0' ELSE '1' END AS known_db_hit FROM st)
+SELECT *, count(*) AS count FROM k GROUP BY ALL UNION ALL SELECT NULL, * EXCLUDE (patient), count(*) FROM k GROUP BY ALL""")
+def dedup_counts(calls, vep):
+    """By patient and, with a null patient, over the cohort."""
+    return annotate.dedup_counts(_ranked(calls, vep))
+
+
+@query("dedup_metrics", "calls vep", f"{_BEST}{_TIERED} SELECT patient, {_METRICS} FROM tr GROUP BY patient")
+def dedup_metrics(calls, vep):
+    return annotate.dedup_metrics(_ranked(calls, vep))
+
+
+@query("dedup_cohort_metrics", "calls vep", f"{_BEST}{_TIERED} SELECT count(DISTINCT patient) AS patients, {_METRICS} FROM tr")
+def dedup_cohort_metrics(calls, vep):
+    return annotate.cohort_metrics(annotate.dedup_metrics(_ranked(calls, vep)))
 
 
 _SUM = f""", {_VX}, st AS (SELECT patient, uploaded, any_value(ref) AS ref, any_value(alt) AS alt, coalesce(string_agg(DISTINCT strand, '|' ORDER BY strand), '') AS strands, count(DISTINCT strand) AS k,
@@ -219,11 +237,16 @@ def annotation_strands(calls, vep):
     return annotate.annotation_strands(calls, vep).select("rid", F.array_join("strands", "|").alias("strands"))
 
 
-@query("coding_calls", "calls vep", f""", {_VX} SELECT rid FROM calls c WHERE EXISTS (SELECT 1 FROM vx WHERE vx.patient = c.patient AND vx.chrom = c.chrom AND vx.pos = c.pos AND vx.alt = c.alt
-  AND regexp_matches(consequence, '(^|[,&])(frameshift_variant|inframe_insertion|inframe_deletion|missense_variant)([,&]|$)') AND coalesce(biotype, 'protein_coding') = 'protein_coding')""")
+_CODING = r"""regexp_matches(consequence, '(^|[,&])(frameshift_variant|inframe_insertion|inframe_deletion|missense_variant)([,&]|$)') AND coalesce(biotype, 'protein_coding') = 'protein_coding'"""
+
+
+def _coding(vep):
+    return vep.where(v.coding(F.col("consequence"), v.extra_value(F.col("extra"), "BIOTYPE"))).select("patient", "chrom", "pos", "alt")
+
+
+@query("coding_calls", "calls vep", f", {_VX} SELECT rid FROM calls c WHERE EXISTS (SELECT 1 FROM vx WHERE vx.patient = c.patient AND vx.chrom = c.chrom AND vx.pos = c.pos AND vx.alt = c.alt AND {_CODING})")
 def coding_calls(calls, vep):
-    allowed = vep.where(v.coding(F.col("consequence"), v.extra_value(F.col("extra"), "BIOTYPE"))).select("patient", "chrom", "pos", "alt").distinct()
-    return calls.join(allowed, ["patient", "chrom", "pos", "alt"], "left_semi").select("rid")
+    return records.has_allowed(calls, _coding(vep)).where("allowed").select("rid")
 
 
 # --- merge and composition ------------------------------------------------------------------------------
@@ -241,6 +264,20 @@ def merge_sources(calls):
     return merge.merge_sources(calls)
 
 
+@query("coding_records", "calls vep", f"""{_MERGED}, {_VX} SELECT patient, chrom, pos, alts FROM m WHERE EXISTS (SELECT 1 FROM vx WHERE vx.patient = m.patient AND vx.chrom = m.chrom AND vx.pos = m.pos AND list_contains(string_split(m.alts, ','), vx.alt) AND {_CODING})""")
+def coding_records(calls, vep):
+    """Merged records, several alternates included, of which any is coding."""
+    return records.has_allowed(merge.merge_sources(calls), _coding(vep), "alts").where("allowed").select("patient", "chrom", "pos", "alts")
+
+
+@query("joint_allele_counts", "calls", _MERGED + """, e AS (SELECT patient, chrom, pos, list_filter(regexp_split_to_array(gt_germline || '/' || gt_somatic || '/' || gt_rna_edit, '[/|]'), lambda x: x <> '.') AS a, string_split(alts, ',') AS l FROM m),
+u AS (SELECT patient, chrom, pos, a, unnest(l) AS alt, unnest(range(1, len(l) + 1)) AS i FROM e)
+SELECT patient, chrom, pos, alt, len(a) AS an, len(list_filter(a, lambda x: x = i::VARCHAR)) AS ac, CASE WHEN len(a) > 0 THEN len(list_filter(a, lambda x: x = i::VARCHAR))::DOUBLE / len(a) END AS af FROM u""")
+def joint_allele_counts(calls):
+    """Each alternate of the merged records, over the genotypes of all sources."""
+    return merge.joint_allele_counts(merge.merge_sources(calls), ["gt_germline", "gt_somatic", "gt_rna_edit"]).select("patient", "chrom", "pos", "alt", "an", "ac", "af")
+
+
 def _composable(merged):
     """Genotyped columns are missing for positions of odd tens, so that merged ones are asked."""
     asked = lambda c: F.when(F.floor(F.col("pos") / 10) % 2 == 0, F.col(c))
@@ -294,12 +331,14 @@ def edit_clusters(calls):
 
 
 @query("cluster_summary", "calls", _CL + f""", gn AS (SELECT cluster_id, 'G' || (gene_no % 50) AS gene, count(*) AS c, min((pos, rid)) AS first FROM mem GROUP BY ALL),
-top AS (SELECT cluster_id, gene AS top_gene FROM gn QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY c DESC, first) = 1)
+tn AS (SELECT cluster_id, 'T' || (gene_no % 7) AS tx, count(*) AS c, min((pos, rid)) AS first FROM mem WHERE gene_no % 7 > 2 GROUP BY ALL),
+top AS (SELECT cluster_id, gene AS top_gene FROM gn QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY c DESC, first) = 1), tt AS (SELECT cluster_id, tx AS top_transcript FROM tn QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY c DESC, first) = 1)
 SELECT cluster_id, min(pos) AS start, max(pos) AS "end", count(*) AS n, count(*) FILTER (WHERE {_SIG} = 'ADAR') AS n_adar, count(*) FILTER (WHERE {_SIG} = 'APOBEC3') AS n_apobec3, count(*) FILTER (WHERE {_SIG} = 'OTHER') AS n_other,
-  avg(ad_ref + ad_alt) AS mean_dp, count(DISTINCT CASE WHEN gt <> './.' THEN ps END) = 1 AS one_block, any_value(top_gene) AS top_gene FROM mem JOIN top USING (cluster_id) GROUP BY cluster_id""")
+  round(avg(ad_ref + ad_alt), 3) AS mean_dp, count(DISTINCT CASE WHEN gt <> './.' THEN ps END) = 1 AS one_block, any_value(top_gene) AS top_gene, any_value(top_transcript) AS top_transcript FROM mem JOIN top USING (cluster_id) LEFT JOIN tt USING (cluster_id) GROUP BY cluster_id""")
 def cluster_summary(calls):
-    members = clusters.clusters(of(calls, "RNA_EDIT").withColumn("gene", F.concat(F.lit("G"), (F.col("gene_no") % 50).cast("string"))))
-    return clusters.cluster_summary(members)
+    """Some members name no transcript."""
+    named = {"gene": F.concat(F.lit("G"), (F.col("gene_no") % 50).cast("string")), "transcript": F.when(F.col("gene_no") % 7 > 2, F.concat(F.lit("T"), (F.col("gene_no") % 7).cast("string"))).otherwise("")}
+    return clusters.cluster_summary(clusters.clusters(of(calls, "RNA_EDIT").withColumns(named)))
 
 
 _TOP = 20
@@ -329,11 +368,19 @@ def phase_segments(calls):
     return clusters.phase_segments(calls).select("rid", "pos", "next_pos")
 
 
-@query("source_counters", "calls", " SELECT patient, count(*) AS merged_total, " + ", ".join(
-    f"count(*) FILTER (WHERE source_set = '{s}') AS {s.lower()}_total, count(*) FILTER (WHERE source_set = '{s}' AND gt LIKE '%|%') AS {s.lower()}_phased, count(*) FILTER (WHERE source_set = '{s}' AND gt = '1/1') AS {s.lower()}_hom, count(*) FILTER (WHERE source_set = '{s}' AND gt = '0/1') AS {s.lower()}_unphased_het"
-    for s in ("GERMLINE", "SOMATIC", "RNA_EDIT")) + ", count(*) FILTER (WHERE source_set = 'RNA_EDIT' AND known_db IS NOT NULL) AS rna_known FROM calls GROUP BY patient")
+_COUNTERS = "count(*) AS merged_total, count(*) FILTER (WHERE source_set NOT IN ('GERMLINE', 'SOMATIC', 'RNA_EDIT')) AS merged_other_total, " + ", ".join(
+    f"count(*) FILTER (WHERE ok AND source_set = '{s}'{more}) AS merged_{s.lower()}_{name}" for s in ("GERMLINE", "SOMATIC", "RNA_EDIT")
+    for name, more in (("total", ""), ("gt_phased", " AND gt LIKE '%|%'"), ("gt_unphased", " AND gt LIKE '%/%'"), ("hom_alt", " AND gt = '1/1'"), ("het_alt", " AND gt IN ('0/1', '0|1', '1|0')"))) + ", " + ", ".join(
+    f"count(*) FILTER (WHERE ok AND source_set = 'RNA_EDIT' AND {test}) AS merged_rna_edit_{name}_total" for name, test in (("adar", f"{_SIG} = 'ADAR'"), ("apobec3", f"{_SIG} = 'APOBEC3'"), ("known_db", "known_db IS NOT NULL")))
+
+
+def _signed(calls):
+    return calls.withColumn("edit_sig", v.signature(F.col("ref"), F.col("alt")))
+
+
+@query("source_counters", "calls", f", k AS (SELECT *, true AS ok FROM calls) SELECT patient, {_COUNTERS} FROM k GROUP BY patient")
 def source_counters(calls):
-    return clusters.source_counters(calls)
+    return clusters.source_counters(_signed(calls))
 
 
 # --- coverage -------------------------------------------------------------------------------------------
@@ -451,68 +498,31 @@ def log_density(cov):
     return landscape.log_density(coverage.bins(coverage.joined(cov)), "mean_dt").select("patient", "chrom", "bin", F.round("density", 6).alias("density"))
 
 
-_PAIRS = """, sa AS (SELECT *, gt = '1/1' AS h, CASE gt WHEN '1|0' THEN 1 WHEN '0|1' THEN 2 ELSE 0 END AS side FROM calls),
+_PAIRS = """, sa AS (SELECT *, gt = '1/1' AS h, CASE gt WHEN '1|0' THEN 1 WHEN '0|1' THEN 2 ELSE 0 END AS side FROM k WHERE ok AND (source_set <> 'RNA_EDIT' OR known_db IS NOT NULL)),
 pr AS (SELECT x.patient, x.rid, x.source_set AS a, y.source_set AS b, x.h, y.pos AS bp, y.rid AS br, (x.h OR y.h) OR (x.side > 0 AND x.side = y.side AND x.ps = y.ps) AS same, NOT (x.h OR y.h) AND (x.side > 0 AND x.side = y.side AND x.ps = y.ps) AS cis
   FROM sa x JOIN sa y ON x.gt <> './.' AND x.patient = y.patient AND x.chrom = y.chrom AND x.source_set <> y.source_set AND y.pos BETWEEN x.pos - 33 AND x.pos + 33),
 ea AS (SELECT patient, rid, a, b, bool_or(h) AS hom_any, bool_or(NOT h AND same) AS het_same, NOT bool_or(h) AND coalesce(arg_min(cis, (bp, br)) FILTER (WHERE same), false) AS het_cis FROM pr GROUP BY ALL)"""
 
 
-@query("same_copy_counts", "calls", _PAIRS + " SELECT patient, a, b, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {c}" for c in landscape.COUNTERS) + " FROM ea GROUP BY ALL")
+@query("same_copy_counts", "calls", ", k AS (SELECT *, true AS ok FROM calls)" + _PAIRS + " SELECT patient, a, b, " + ", ".join(f"count(*) FILTER (WHERE {c}) AS {c}" for c in landscape.COUNTERS) + " FROM ea GROUP BY ALL")
 def same_copy_counts(calls):
     return landscape.same_copy_counts(calls)
 
 
-@query("same_copy_report", "calls", _PAIRS + ", pt AS (SELECT patient, count(*) AS merged_total FROM calls GROUP BY patient) SELECT pt.patient, merged_total, " + ", ".join(
-    f"count(*) FILTER (WHERE a = '{a}' AND b = '{b}' AND {c}) AS {a.lower()}_{b.lower()}_{c}" for a in landscape.SOURCES for b in landscape.SOURCES if a != b for c in landscape.COUNTERS) + " FROM pt LEFT JOIN ea USING (patient) GROUP BY ALL")
-def same_copy_report(calls):
-    """Six directed pairs of sources, three counters each, beside the patient's number of calls."""
-    totals = clusters.source_counters(calls).select("patient", "merged_total")
-    return landscape.same_copy_report(totals, landscape.same_copy_counts(calls))
-
-
-# --- small inputs ---------------------------------------------------------------------------------------
-
-
-@query("first_values", "calls", " SELECT patient AS key, arg_min(gene_no, rid) AS value FROM calls GROUP BY patient")
-def first_values(calls):
-    return lists.first_values(calls.select(F.col("patient").alias("key"), F.col("gene_no").alias("value"), F.col("rid").alias("line_no")))
-
-
-@query("typing_alleles", "calls", """, f AS (SELECT patient, 'HLA-A:0' || (gene_no % 4) || ':0' || (ad_ref % 3) AS allele, rid FROM calls WHERE lane <> 3
-  UNION ALL SELECT patient, 'HLA-B:0' || (ad_alt % 5), rid || '~' FROM calls), m AS (SELECT patient, allele, min(rid) AS r FROM f GROUP BY ALL)
-SELECT patient, string_agg(allele, ',' ORDER BY r) AS alleles FROM m GROUP BY patient""")
-def typing_alleles(calls):
-    """Lines spelt by the calls: a starred allele, unless the lane is 3, then one of two parts."""
-    own = F.when(F.col("lane") != 3, F.concat(F.lit("typed HLA-A*0"), (F.col("gene_no") % 4).cast("string"), F.lit(":0"), (F.col("ad_ref") % 3).cast("string"))).otherwise(F.lit("none"))
-    line = F.concat(own, F.lit(" or HLA-B:0"), (F.col("ad_alt") % 5).cast("string"))
-    return lists.typing_alleles(calls.select("patient", F.col("rid").alias("line_no"), line.alias("line")))
+_CELLS = {name.format(a=landscape.SHORT[a], b=landscape.SHORT[b]): f"a = '{a}' AND b = '{b}' AND {c}" for a in landscape.SOURCES for b in landscape.SOURCES if a != b for c, name in zip(landscape.COUNTERS, landscape.PAIR_COLUMNS)}
 
 
-@query("common_patients", "calls", " SELECT patient FROM calls WHERE source_set = 'GERMLINE' INTERSECT SELECT patient FROM calls WHERE source_set = 'RNA_EDIT' AND known_db IS NULL")
-def common_patients(calls):
-    return lists.common_patients(of(calls, "GERMLINE"), of(calls, "RNA_EDIT").where("known_db is null"))
-
-
-# --- alternates and stages ------------------------------------------------------------------------------
-
-
-@query("per_alternate", "calls", """, t AS (SELECT rid, ref, alt, CASE WHEN lane = 1 THEN '.' ELSE ad_ref || ',' || ad_alt || ',' || normal_alt END AS ad, lane, ad_ref, ad_alt, normal_alt, normal_ref FROM calls),
-x AS (SELECT rid, i AS alt_index, CASE i WHEN 0 THEN alt ELSE ref || ref END AS alt, lane, ad_ref::DOUBLE AS r, (CASE i WHEN 0 THEN ad_alt ELSE normal_alt END)::DOUBLE AS a, ad_alt, normal_alt, normal_ref::DOUBLE AS nr FROM t, (VALUES (0), (1)) v(i)),
-y AS (SELECT *, CASE WHEN lane = 2 THEN nr WHEN lane = 1 THEN NULL ELSE r + ad_alt + normal_alt END AS depth, CASE WHEN lane = 3 THEN 0.25 WHEN lane <> 1 AND r + a > 0 THEN a / (r + a) END AS share FROM x)
-SELECT rid, alt_index, alt, depth, round(share, 9) AS share, CASE WHEN lane <> 1 THEN a END AS alt_count FROM y""")
-def per_alternate(calls):
-    """Records of two alternates, with a field or another missing in each lane."""
-    ad = F.when(F.col("lane") == 1, ".").otherwise(F.concat_ws(",", *(F.col(c).cast("string") for c in ("ad_ref", "ad_alt", "normal_alt"))))
-    dp, af = F.when(F.col("lane") == 2, F.col("normal_ref").cast("string")), F.when(F.col("lane") == 3, "0.25")
-    rows = calls.select("rid", F.concat("alt", F.lit(","), "ref", "ref").alias("alts"), ad.alias("ad"), F.lit(None).cast("string").alias("fad"), dp.alias("dp"), af.alias("af"))
-    return alternates.per_alternate(rows).select("rid", "alt_index", "alt", "depth", F.round("share", 9).alias("share"), "alt_count")
-
-
-@query("backfill_af", "calls", """, l AS (SELECT patient, chrom, pos, arg_max(ad_alt, rid) AS af FROM calls WHERE source_set = 'SOMATIC' GROUP BY ALL)
-SELECT rid, af FROM calls LEFT JOIN l USING (patient, chrom, pos) WHERE source_set = 'SOMATIC' AND gt LIKE '%|%'""")
-def backfill_af(calls):
-    somatic = of(calls, "SOMATIC")
-    return alternates.backfill_af(somatic, somatic.withColumn("af", F.col("ad_alt"))).select("rid", "af")
+@query("same_copy_report", "calls vep", f""", {_VX}, k AS (SELECT c.*, source_set = 'GERMLINE' OR EXISTS (SELECT 1 FROM vx WHERE vx.patient = c.patient AND vx.chrom = c.chrom AND vx.pos = c.pos AND vx.alt = c.alt AND {_CODING}) AS ok FROM calls c){_PAIRS},
+pt AS (SELECT patient, count(*) FILTER (WHERE source_set = 'GERMLINE') AS germline_selected_total, count(*) FILTER (WHERE source_set = 'SOMATIC' AND ok) AS somatic_filtered_total, count(*) FILTER (WHERE source_set = 'RNA_EDIT' AND ok) AS rna_filtered_total,
+  count(*) FILTER (WHERE source_set = 'RNA_EDIT') AS rna_filtered_total_with_noncoding, {_COUNTERS} FROM k GROUP BY patient HAVING count(DISTINCT source_set) = 3),
+pc AS (SELECT patient, {', '.join(f'count(*) FILTER (WHERE {test}) AS {name}' for name, test in _CELLS.items())} FROM ea GROUP BY patient)
+SELECT pt.*, {', '.join(f'coalesce({name}, 0) AS {name}' for name in _CELLS)} FROM pt LEFT JOIN pc USING (patient)""")
+def same_copy_report(calls, vep):
+    """All 43 columns; somatic calls and edits are the coding ones."""
+    rows = records.has_allowed(_signed(calls), _coding(vep))
+    totals = landscape.input_totals(of(rows, "GERMLINE"), of(rows, "SOMATIC"), of(rows, "RNA_EDIT"))
+    pairs = landscape.same_copy_counts(rows.where("source_set = 'GERMLINE' OR allowed"))
+    return landscape.same_copy_report(totals, clusters.source_counters(rows), pairs)
 
 
 @query("edit_records", "calls", f" SELECT rid FROM calls WHERE (source_set = 'RNA_EDIT' OR {_SIG} <> 'OTHER' OR known_db IS NOT NULL) AND ad_alt >= 10")
@@ -528,6 +538,13 @@ def first_stage(calls):
     return alternates.first_stage(made, ["s3", "s0", "s1"])
 
 
+@query("proximity_source", "calls", """ SELECT patient, CASE WHEN bool_or(lane = 3 AND ad_ref > 49) THEN 's3' WHEN bool_or(lane = 0 AND ad_ref > 49) THEN 's0' END AS stage,
+  coalesce(min(rid) FILTER (WHERE lane = 3 AND ad_ref > 49), min(rid) FILTER (WHERE lane = 0 AND ad_ref > 49)) AS path, CASE WHEN bool_or(lane IN (0, 3) AND ad_ref > 49) THEN 'USED' ELSE 'NONE_FOUND' END AS status FROM calls GROUP BY patient""")
+def proximity_source(calls):
+    made = calls.where("ad_ref > 49").select("patient", F.concat(F.lit("s"), F.col("lane").cast("string")).alias("stage"), F.col("rid").alias("path"))
+    return alternates.proximity_source(calls, made, ["s3", "s0"])
+
+
 @query("routes", "calls", " SELECT patient, CASE WHEN bool_or(source_set = 'RNA_EDIT') THEN 'three_way' ELSE 'dna_only' END AS route FROM calls GROUP BY patient")
 def routes(calls):
     return alternates.routes(calls, of(calls, "RNA_EDIT"))
