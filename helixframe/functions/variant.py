@@ -309,6 +309,24 @@ def with_flags_restored(info: Column) -> Column:
     return info
 
 
+def info_text(info: Column, before: Column, flags: tuple[str, ...] = ("GERMLINE", "SOMATIC", "ADAR_SIG", "APOBEC3_SIG")) -> Column:
+    """An INFO map as text: keys in the order of the text ``before``, each once, then new keys by name; ``.`` if there are none.
+
+    A key without = in ``before`` stays a bare flag while its value is 1, as do new keys among ``flags``. A null map gives null.
+    """
+    parts = F.filter(F.split(F.coalesce(before, F.lit("")), ";"), lambda p: ~p.isin("", "."))
+    old = F.array_distinct(F.transform(parts, lambda p: F.substring_index(p, "=", 1)))
+    bare = F.array_union(F.filter(parts, lambda p: F.instr(p, "=") == 0), F.array_except(F.array(*map(F.lit, flags)), old))
+    keys = F.concat(F.filter(old, lambda k: F.map_contains_key(info, k)), F.array_sort(F.array_except(F.map_keys(info), old)))
+    text = F.transform(keys, lambda k: F.when(F.array_contains(bare, k) & (info[k] == "1"), k).otherwise(F.concat_ws("=", k, info[k])))
+    return F.when(info.isNotNull(), F.when(F.size(keys) > 0, F.array_join(text, ";")).otherwise("."))
+
+
+def sample_text(keys: Column, fields: Column) -> Column:
+    """A sample's fields (a map) as text in the order of the FORMAT ``keys``; ``.`` for those it lacks."""
+    return F.array_join(F.transform(F.split(keys, ":"), lambda k: F.coalesce(fields[k], F.lit("."))), ":")
+
+
 def without_allele_keys(info: Column) -> Column:
     """``info`` without allele-specific keys, those that begin with ``AS_``."""
     return F.map_filter(info, lambda k, _: ~k.startswith("AS_"))

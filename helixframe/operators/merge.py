@@ -6,23 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
+from .records import reindexed_counts
 
 
 def merge_sources(calls: DataFrame) -> DataFrame:
     """One row per position: all alternates in order of first rid, sources, and each source's genotype re-indexed to the joint list.
 
-    The genotype of a source is that of its first call; sources without a call have ``./.``.
+    ``alt`` may be a comma list. The genotype of a source is that of its first call; sources without a call have ``./.``, and
+    an allele that its call does not name is missing. Where ``calls`` has ``ad`` (an array), each source's counts come with it, one for
+    the reference and one for each joint alternate, null for those that its call does not have.
     """
     key = ["patient", "chrom", "pos"]
-    rows = calls.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("rid", "ref", "alt", "source_set", "gt"))).alias("c"))
-    rows = rows.withColumns({"alts": F.array_distinct(F.col("c.alt")), "sources": F.array_sort(F.array_distinct(F.col("c.source_set"))), "ref": F.get("c.ref", F.lit(0))})
+    counted = "ad" in calls.columns
+    rows = calls.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("rid", "ref", "alt", "source_set", "gt", *(["ad"] if counted else [])))).alias("c"))
+    own_alts = lambda x: F.coalesce(F.split(x["alt"], ","), F.array().cast("array<string>"))
+    rows = rows.withColumns({"joint": F.array_distinct(F.flatten(F.transform("c", own_alts))), "sources": F.array_sort(F.array_distinct(F.col("c.source_set"))), "ref": F.get("c.ref", F.lit(0))})
+    names = ("GERMLINE", "SOMATIC", "RNA_EDIT")
+    call_of = lambda source: F.get(F.filter("c", lambda x: x["source_set"] == source), F.lit(0))
+    rows = rows.withColumns({f"of_{s}": call_of(s) for s in names})
+    rows = rows.withColumns({f"alts_{s}": own_alts(F.col(f"of_{s}")) for s in names})
 
     def gt(source: str):
-        first = F.get(F.filter("c", lambda x: x["source_set"] == source), F.lit(0))
-        index = F.array_position("alts", first["alt"]).cast("string")
-        return F.coalesce(F.regexp_replace(first["gt"], "1", index), F.lit("./."))
-
-    return rows.select(*key, "ref", F.array_join("alts", ",").alias("alts"), F.array_join("sources", ",").alias("source_set"), *(gt(s).alias(f"gt_{s.lower()}") for s in ("GERMLINE", "SOMATIC", "RNA_EDIT")))
+        given = F.col(f"of_{source}.gt")
+        place = lambda a: F.array_position("joint", F.get(F.col(f"alts_{source}"), a.try_cast("int") - 1))
+        alleles = F.transform(F.split(given, r"[|/]"), lambda a: F.when(a.isin("0", "."), a).when(place(a) > 0, place(a).cast("string")).otherwise("."))
+        text = F.when(F.instr(given, "|") > 0, F.array_join(alleles, "|")).otherwise(F.array_join(alleles, "/"))
+        return F.coalesce(text, F.lit("./.")).alias(f"gt_{source.lower()}")
+
+    counts = [reindexed_counts(F.col(f"of_{s}.ad"), F.col(f"alts_{s}"), F.col("joint")).alias(f"ad_{s.lower()}") for s in names if counted]
+    return rows.select(*key, "ref", F.array_join("joint", ",").alias("alts"), F.array_join("sources", ",").alias("source_set"), *map(gt, names), *counts)
 
 
 def compose(merged: DataFrame, dna_only: bool = False) -> DataFrame:

@@ -264,6 +264,16 @@ def merge_sources(calls):
     return merge.merge_sources(calls)
 
 
+@query("merge_counts", "calls", _MERGED + """, n AS (SELECT patient, chrom, pos, source_set AS s, arg_min(alt, rid) AS a, arg_min(ad_ref, rid) AS r, arg_min(ad_alt, rid) AS k FROM calls GROUP BY ALL),
+t AS (SELECT patient, chrom, pos, s, r || ',' || array_to_string(list_transform(string_split(alts, ','), lambda x: CASE WHEN x = a THEN k::VARCHAR ELSE '.' END), ',') AS ad FROM n JOIN m USING (patient, chrom, pos))
+SELECT patient, chrom, pos, any_value(ad) FILTER (WHERE s = 'GERMLINE') AS ad_germline, any_value(ad) FILTER (WHERE s = 'SOMATIC') AS ad_somatic, any_value(ad) FILTER (WHERE s = 'RNA_EDIT') AS ad_rna_edit FROM t GROUP BY ALL""")
+def merge_counts(calls):
+    """Counts of each source, for the joint alternates of its position."""
+    merged = merge.merge_sources(calls.withColumn("ad", F.array("ad_ref", "ad_alt")))
+    text = lambda c: F.array_join(F.transform(c, lambda x: F.coalesce(x.cast("string"), F.lit("."))), ",").alias(c)
+    return merged.select("patient", "chrom", "pos", text("ad_germline"), text("ad_somatic"), text("ad_rna_edit"))
+
+
 @query("coding_records", "calls vep", f"""{_MERGED}, {_VX} SELECT patient, chrom, pos, alts FROM m WHERE EXISTS (SELECT 1 FROM vx WHERE vx.patient = m.patient AND vx.chrom = m.chrom AND vx.pos = m.pos AND list_contains(string_split(m.alts, ','), vx.alt) AND {_CODING})""")
 def coding_records(calls, vep):
     """Merged records, several alternates included, of which any is coding."""

@@ -65,13 +65,42 @@ def read_annotation(spark: SparkSession, path: str | list[str], patient: str = r
     standard order where a file has none. Short rows are filled with empty strings.
     """
     lines = _lines(spark, path)
-    header = lines.where(F.col("value").startswith("#Uploaded_variation")).groupBy("file").agg(F.split(F.substring(F.min("value"), 2, 1 << 20), "\t").alias("names"))
+    header = lines.where(F.col("value").startswith("#Uploaded_variation")).groupBy("file").agg(F.split(F.substr(F.min("value"), F.lit(2)), "\t").alias("names"))
     rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select("file", F.split("value", "\t").alias("f")).join(header, "file", "left")
     rows = rows.withColumn("names", F.coalesce("names", F.lit(list(VEP_COLUMNS))))
     field = lambda c: F.coalesce(F.get("f", F.array_position("names", c).cast("int") - 1), F.lit("")).alias(c)
     return rows.select(patient_of(F.col("file"), patient).alias("patient"), "file", *map(field, VEP_COLUMNS))
 
 
+def read_annotation_fields(spark: SparkSession, path: str | list[str], patient: str = r"([^/.]+)[^/]*$") -> DataFrame:
+    """Annotation rows by place, whatever the header says: ``patient``, ``file``, ``Location``, ``Allele``, ``Consequence`` and ``Extra``.
+
+    These are fields 2, 3, 7 and 14. Lines with # and lines of fewer than seven fields are left out; of
+    shorter ones than fourteen ``Extra`` is empty. Locations and alleles are trimmed.
+    """
+    rows = _lines(spark, path).where(~F.col("value").startswith("#")).select("file", F.split("value", "\t").alias("f")).where(F.size("f") >= 7)
+    at = lambda i, name: F.coalesce(F.get("f", F.lit(i)), F.lit("")).alias(name)
+    out = rows.select(patient_of(F.col("file"), patient).alias("patient"), "file", at(1, "Location"), at(2, "Allele"), at(6, "Consequence"), at(13, "Extra"))
+    return out.withColumns({c: F.trim(c) for c in ("Location", "Allele", "Consequence")})
+
+
+def read_alignments(spark: SparkSession, path: str | list[str], patient: str = r"([^/.]+)[^/]*$") -> DataFrame:
+    """Aligned reads from their text form: ``patient``, ``file``, ``contig``, ``pos0``, ``flag``, ``mapq``, ``cigar``, ``seq`` and ``quals``.
+
+    Header lines (@), lines of fewer than eleven fields and reads without a place are left out. ``quals`` is null where
+    the field is ``*``. Which reads count is for ``strand.alt_support`` to say.
+    """
+    rows = _lines(spark, path).where(~F.col("value").startswith("@")).select("file", F.split("value", "\t").alias("f")).where(F.size("f") >= 11)
+    at = lambda i: F.get("f", F.lit(i))
+    quals = F.when(at(10) != "*", F.transform(F.filter(F.split(at(10), ""), lambda c: c != ""), lambda c: F.ascii(c) - 33))
+    number = lambda i, kind: at(i).try_cast(kind)
+    out = rows.select(
+        patient_of(F.col("file"), patient).alias("patient"), "file", at(2).alias("contig"), (number(3, "long") - 1).alias("pos0"), number(1, "int").alias("flag"),
+        number(4, "int").alias("mapq"), at(5).alias("cigar"), at(9).alias("seq"), quals.alias("quals"),
+    )
+    return out.where("contig <> '*' and pos0 >= 0 and flag is not null and mapq is not null")
+
+
 def read_features(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Gene features as half-open intervals: ``chrom``, ``start0``, ``end0``, ``feature``, ``tier`` (exonic, transcript), ``strand``.
 

@@ -4,7 +4,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from helixframe.sources import sinks, text
+from helixframe.functions import variant as v
+from helixframe.operators import alternates, merge, strand
+from helixframe.sources import lists, sinks, text
 
 
 def put(path, content):
@@ -53,6 +55,65 @@ def test_annotation_features_coverage(spark, tmp_path):
     assert rows(text.read_known_sites(spark, sites), "pos", "known_db") == [(5, "db1")]
 
 
+def test_annotation_by_place(spark, tmp_path):
+    long = "\t".join(["id", " 1:5 ", "G ", "g", "f", "t", "missense_variant", *"1234567"[1:], "BIOTYPE=x"])
+    path = put(tmp_path / "P1.vep", f"#Uploaded_variation\tLocation\n{long}\nid\t1:6\tA\tg\tf\tt\tx\nid\t1:7\tA\n")
+    got = text.read_annotation_fields(spark, path)
+    assert rows(got, "patient", "Location", "Allele", "Consequence", "Extra") == [("P1", "1:5", "G", "missense_variant", "BIOTYPE=x"), ("P1", "1:6", "A", "x", "")]
+
+
+def test_alignments(spark, tmp_path):
+    read = lambda flag, at, cigar="4M", seq="ACGT", quals="I5!I", mapq=60, contig="chr1": f"r\t{flag}\t{contig}\t{at}\t{mapq}\t{cigar}\t*\t0\t0\t{seq}\t{quals}"
+    lines = ["@SQ\tSN:chr1", read(0, 9), read(16, 9, quals="*"), read(4, 0, contig="*"), read(0, 9, mapq="x"), read(1024, 9), "short\t0"]
+    got = text.read_alignments(spark, put(tmp_path / "P1.sam", "\n".join(lines) + "\n"))
+    assert rows(got, "patient", "contig", "pos0", "flag", "quals") == [("P1", "chr1", 8, 0, [40, 20, 0, 40]), ("P1", "chr1", 8, 1024, [40, 20, 0, 40]), ("P1", "chr1", 8, 16, None)]
+    calls = spark.createDataFrame([("a", "P1", "chr1", 10, "c", ["+"]), ("b", "P1", "chr1", 11, "G", ["+"])], "rid string, patient string, chrom string, pos bigint, alt string, strands array<string>")
+    assert rows(strand.alt_support(calls, got), "rid", "expected", "opposite", "alt_reads") == [("a", 1, 1, 2), ("b", 1, 0, 1)]
+
+
+def test_presence_and_stage_outputs(spark, tmp_path):
+    for name in ("P1.s5.vcf.gz", "P1.s4.vcf", "P2.s4.vcf"):
+        put(tmp_path / name, "x")
+    files = lists.listed_files(spark, str(tmp_path))
+    assert files.count() == 3
+    items = spark.createDataFrame([(f"P1={tmp_path}/P1.s4.vcf=r",), (f"P2=file://{tmp_path}/P2.s4.vcf",), (f"P3={tmp_path}/no.vcf",), (None,)], "item string")
+    marked = lists.with_presence(lists.manifest(items), files.union(files))
+    assert rows(marked, "patient", "reads", "status") == [("P1", "r", "OK"), ("P2", None, "OK"), ("P3", None, "MISSING")]
+    patients = spark.createDataFrame([("P1",), ("P1",), ("P2",), ("P3",), (None,)], "patient string")
+    outputs = lists.stage_outputs(patients, files, {"5": f"{tmp_path}/{{patient}}.s5", "4": f"{tmp_path}/{{patient}}.s4.vcf", "3": ""})
+    assert rows(outputs, "patient", "stage") == [("P1", "4"), ("P1", "5"), ("P2", "4")]
+    chosen = alternates.proximity_source(patients, outputs, ["5", "4", "3"])
+    assert rows(chosen.where("patient is not null"), "patient", "stage", "status") == [("P1", "5", "USED"), ("P2", "4", "USED"), ("P3", None, "NONE_FOUND")]
+    assert lists.stage_outputs(patients, files, {"3": ""}).count() == 0
+
+
+def test_rewritten_fields_go_back_to_text(spark):
+    texts = ["B=2;DB;A=1", ".", "", None, "GERMLINE=x;B=1;B=2", "FLAG=1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    info = v.info_map(F.coalesce("t", F.lit(".")))
+    assert [r.x for r in df.select("i", v.info_text(info, F.col("t")).alias("x")).orderBy("i").collect()] == ["B=2;DB;A=1", ".", ".", ".", "GERMLINE=x;B=2", "FLAG=1"]
+    more = v.with_flag(v.with_listed(info, "SOURCE_SET", F.array(F.lit("GERMLINE"))), "GERMLINE")
+    assert [r.x for r in df.select("i", v.info_text(more, F.col("t")).alias("x")).orderBy("i").collect()] == [
+        "B=2;DB;A=1;GERMLINE;SOURCE_SET=GERMLINE", *["GERMLINE;SOURCE_SET=GERMLINE"] * 3, "GERMLINE=x;B=2;SOURCE_SET=GERMLINE", "FLAG=1;GERMLINE;SOURCE_SET=GERMLINE",
+    ]
+    assert df.select(v.info_text(F.lit(None).cast("map<string,string>"), F.col("t")).alias("x")).first().x is None
+    fields = v.format_map(F.lit("GT:DP"), F.lit("0/1:7"))
+    assert df.select(v.sample_text(F.lit("DP:GT:AD"), fields).alias("x")).first().x == "7:0/1:."
+
+
+def test_merge_of_several_alternates(spark):
+    calls = spark.createDataFrame(
+        [
+            ("P", "chr1", 5, "A", "G", "GERMLINE", "0|1", [9, 3], "1"), ("P", "chr1", 5, "A", "T,G", "SOMATIC", "1/2", [8, 1, 2], "2"),
+            ("P", "chr1", 5, "A", "C", "SOMATIC", "1/1", [0, 9], "3"), ("P", "chr1", 6, "A", "C", "RNA_EDIT", "1/2", [1], "4"), ("P", "chr1", 7, "A", None, "RNA_EDIT", None, None, "5"),
+        ],
+        "patient string, chrom string, pos bigint, ref string, alt string, source_set string, gt string, ad array<int>, rid string",
+    )
+    got = merge.merge_sources(calls)
+    assert rows(got, "pos", "alts", "gt_germline", "gt_somatic", "gt_rna_edit") == [(5, "G,T,C", "0|1", "2/1", "./."), (6, "C", "./.", "./.", "1/."), (7, "", "./.", "./.", "./.")]
+    assert rows(got, "pos", "ad_germline", "ad_somatic", "ad_rna_edit") == [(5, [9, 3, None, None], [8, 2, 1, None], None), (6, None, None, [1, None]), (7, None, None, None)]
+
+
 def test_sample_sheet(spark, tmp_path):
     sheet = put(tmp_path / "samples.txt", "# note\nB_DN,x\n\nA_RT other\nB_RT\nC_DT\ty\n")
     labels = ["DN", "DT", "RT"]
