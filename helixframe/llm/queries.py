@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, leaks, lines, pieces, pii, quality, rules, secrets, simhash, urls
+from . import alignment, chat, leaks, lines, pieces, pii, quality, rules, secrets, simhash, urls
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_urls": urls.op9_urls,
     "op10_secrets": secrets.op10_secrets,
+    "op11_alignment": alignment.op11_alignment,
 }
 ORACLE = {"op2_lines": lines.OP2_SQL, "op5_rules": rules.OP5_SQL, "op6_chat": chat.OP6_SQL, "op9_urls": urls.OP9_SQL}
