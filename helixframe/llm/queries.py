@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, chat, leaks, lines, pieces, pii, quality, rules, secrets, simhash, urls
+from . import alignment, chat, leaks, lines, pieces, pii, quality, rules, secrets, simhash, spelling, urls
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -16,5 +16,6 @@ QUERIES = {
     "op9_urls": urls.op9_urls,
     "op10_secrets": secrets.op10_secrets,
     "op11_alignment": alignment.op11_alignment,
+    "op12_spelling": spelling.op12_spelling,
 }
-ORACLE = {"op2_lines": lines.OP2_SQL, "op5_rules": rules.OP5_SQL, "op6_chat": chat.OP6_SQL, "op9_urls": urls.OP9_SQL}
+ORACLE = {"op2_lines": lines.OP2_SQL, "op5_rules": rules.OP5_SQL, "op6_chat": chat.OP6_SQL, "op9_urls": urls.OP9_SQL, "op12_spelling": spelling.OP12_SQL}
