@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, chat, leaks, lines, pieces, pii, quality, rules, secrets, simhash, spelling, urls
+from . import alignment, chat, fingerprints, leaks, lines, pieces, pii, quality, rules, secrets, simhash, spelling, urls
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -17,5 +17,6 @@ QUERIES = {
     "op10_secrets": secrets.op10_secrets,
     "op11_alignment": alignment.op11_alignment,
     "op12_spelling": spelling.op12_spelling,
+    "op13_fingerprints": fingerprints.op13_fingerprints,
 }
 ORACLE = {"op2_lines": lines.OP2_SQL, "op5_rules": rules.OP5_SQL, "op6_chat": chat.OP6_SQL, "op9_urls": urls.OP9_SQL, "op12_spelling": spelling.OP12_SQL}
