@@ -2,39 +2,85 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
 from .records import reindexed_counts
 
 
+SOURCES = ("GERMLINE", "SOMATIC", "RNA_EDIT")
+
+
+def _padded(alts: Column, ref: Column, longest: Column) -> Column:
+    """Alternates of a record with reference ``ref``, as they read from the ``longest`` reference of the position; symbolic ones stay."""
+    rest = F.substr(longest, F.length(ref) + 1)
+    return F.transform(alts, lambda a: F.when(a.rlike("^[ACGTNacgtn]+$"), F.concat(a, rest)).otherwise(a))
+
+
+def _folded(calls: Column, joint: Column) -> Column:
+    """One genotype of all ``calls`` of a source, each a struct of ``alleles`` (in terms of ``joint``), ``phased`` and ``ps``.
+
+    A single call stays as it is. Calls that are all phased on two copies in one block, and name at most one alternate for each copy, are
+    joined copy by copy. Otherwise each alternate is there as often as in the call that has most of it, in order of ``joint``, and reference
+    copies (missing ones, if no call has a reference) fill up what is left of the copies; more alternates than copies add copies.
+    """
+    called = lambda a: ~a.isin("0", ".")
+    all_alleles = F.flatten(calls["alleles"])
+    fill = F.when(F.array_contains(all_alleles, "0"), "0").otherwise(".")
+
+    def copy(k: int) -> Column:
+        return F.array_distinct(F.filter(F.transform(calls, lambda c: F.get(c["alleles"], F.lit(k))), called))
+
+    def copy_text(k: int) -> Column:
+        held = F.exists(calls, lambda c: F.get(c["alleles"], F.lit(k)) == "0")
+        return F.coalesce(F.get(copy(k), F.lit(0)), F.when(held, "0").otherwise("."))
+
+    alike = F.forall(calls, lambda c: c["phased"] & (F.size(c["alleles"]) == 2)) & (F.size(F.array_distinct(calls["ps"])) == 1) & (F.size(copy(0)) <= 1) & (F.size(copy(1)) <= 1)
+    most = lambda n: F.array_repeat(n, F.array_max(F.transform(calls, lambda c: F.size(F.filter(c["alleles"], lambda a: a == n)))))
+    alts = F.flatten(F.transform(joint, lambda a: most(F.array_position(joint, a).cast("string"))))
+    copies = F.array_max(F.transform(calls, lambda c: F.size(c["alleles"])))
+    unphased = F.array_join(F.concat(F.array_repeat(fill, F.greatest(copies - F.size(alts), F.lit(0))), alts), "/")
+    single = F.get(calls, F.lit(0))
+    one = F.array_join(single["alleles"], "/")
+    return F.when(F.size(calls) == 0, "./.").when(F.size(calls) == 1, F.when(single["phased"], F.array_join(single["alleles"], "|")).otherwise(one)).when(alike, F.concat(copy_text(0), F.lit("|"), copy_text(1))).otherwise(unphased)
+
+
 def merge_sources(calls: DataFrame) -> DataFrame:
-    """One row per position: all alternates in order of first rid, sources, and each source's genotype re-indexed to the joint list.
+    """One row per position: the longest reference, all alternates, sources, and one genotype of each source in terms of the joint alternates.
 
-    ``alt`` may be a comma list. The genotype of a source is that of its first call; sources without a call have ``./.``, and
-    an allele that its call does not name is missing. Where ``calls`` has ``ad`` (an array), each source's counts come with it, one for
-    the reference and one for each joint alternate, null for those that its call does not have.
+    ``alt`` may be a comma list; ``.`` and null name no alternate. Alternates are padded to the longest reference of the position (of equal
+    ones the first by rid), so that ``AT>GT`` and ``A>G`` are one, and come in order of first rid. All calls of a source count
+    (see ``_folded``; ``ps`` is used where ``calls`` has it); a source without a call has ``./.``, and an allele that its call does not name is missing.
+    Where ``calls`` has ``ad`` (an array), each source's counts come with it, one for the reference and one for each joint alternate: that of the
+    source's first call by rid which has it, else null. Calls of one position are held together; nothing else is.
     """
     key = ["patient", "chrom", "pos"]
     counted = "ad" in calls.columns
-    rows = calls.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("rid", "ref", "alt", "source_set", "gt", *(["ad"] if counted else [])))).alias("c"))
-    own_alts = lambda x: F.coalesce(F.split(x["alt"], ","), F.array().cast("array<string>"))
-    rows = rows.withColumns({"joint": F.array_distinct(F.flatten(F.transform("c", own_alts))), "sources": F.array_sort(F.array_distinct(F.col("c.source_set"))), "ref": F.get("c.ref", F.lit(0))})
-    names = ("GERMLINE", "SOMATIC", "RNA_EDIT")
-    call_of = lambda source: F.get(F.filter("c", lambda x: x["source_set"] == source), F.lit(0))
-    rows = rows.withColumns({f"of_{s}": call_of(s) for s in names})
-    rows = rows.withColumns({f"alts_{s}": own_alts(F.col(f"of_{s}")) for s in names})
+    ps = F.col("ps") if "ps" in calls.columns else F.lit(None).cast("long")
+    own = F.filter(F.coalesce(F.split("alt", ","), F.array().cast("array<string>")), lambda a: a != ".")
+    call = F.struct("rid", F.coalesce("ref", F.lit("")).alias("ref"), own.alias("alts"), "source_set", "gt", ps.alias("ps"), *(["ad"] if counted else []))
+    rows = calls.groupBy(*key).agg(F.array_sort(F.collect_list(call)).alias("c"))
+    longest = F.aggregate("c", F.lit(""), lambda best, x: F.when(F.length(x["ref"]) > F.length(best), x["ref"]).otherwise(best))
+    rows = rows.withColumn("ref", longest)
+    rows = rows.withColumn("c", F.transform("c", lambda x: x.withField("alts", _padded(x["alts"], x["ref"], F.col("ref")))))
+    rows = rows.withColumns({"joint": F.array_distinct(F.flatten(F.transform("c", lambda x: x["alts"]))), "sources": F.array_sort(F.array_distinct(F.col("c.source_set")))})
+
+    def mapped(x: Column) -> Column:
+        place = lambda a: F.array_position("joint", F.get(x["alts"], a.try_cast("int") - 1))
+        alleles = F.transform(F.split(x["gt"], r"[|/]"), lambda a: F.when(a.isin("0", "."), a).when(place(a) > 0, place(a).cast("string")).otherwise("."))
+        return F.struct(alleles.alias("alleles"), F.contains(x["gt"], F.lit("|")).alias("phased"), x["ps"].alias("ps"))
+
+    of = lambda s, keep=lambda x: F.lit(True): F.filter("c", lambda x: (x["source_set"] == s) & keep(x))
+    genotype = {f"gt_{s.lower()}": F.transform(of(s, lambda x: x["gt"].isNotNull()), mapped) for s in SOURCES}
+    rows = rows.withColumns(genotype)
+    counts = [_first_counts(F.transform(of(s, lambda x: x["ad"].isNotNull()), lambda x: reindexed_counts(x["ad"], x["alts"], F.col("joint")))).alias(f"ad_{s.lower()}") for s in SOURCES if counted]
+    return rows.select(*key, "ref", F.array_join("joint", ",").alias("alts"), F.array_join("sources", ",").alias("source_set"), *(_folded(F.col(c), F.col("joint")).alias(c) for c in genotype), *counts)
 
-    def gt(source: str):
-        given = F.col(f"of_{source}.gt")
-        place = lambda a: F.array_position("joint", F.get(F.col(f"alts_{source}"), a.try_cast("int") - 1))
-        alleles = F.transform(F.split(given, r"[|/]"), lambda a: F.when(a.isin("0", "."), a).when(place(a) > 0, place(a).cast("string")).otherwise("."))
-        text = F.when(F.instr(given, "|") > 0, F.array_join(alleles, "|")).otherwise(F.array_join(alleles, "/"))
-        return F.coalesce(text, F.lit("./.")).alias(f"gt_{source.lower()}")
 
-    counts = [reindexed_counts(F.col(f"of_{s}.ad"), F.col(f"alts_{s}"), F.col("joint")).alias(f"ad_{s.lower()}") for s in names if counted]
-    return rows.select(*key, "ref", F.array_join("joint", ",").alias("alts"), F.array_join("sources", ",").alias("source_set"), *map(gt, names), *counts)
+def _first_counts(lists: Column) -> Column:
+    """The first known number at each place of ``lists``; null without lists."""
+    return F.aggregate(F.slice(lists, 2, 1_000_000), F.get(lists, F.lit(0)), lambda best, x: F.zip_with(best, x, lambda a, b: F.coalesce(a, b)))
 
 
 def compose(merged: DataFrame, dna_only: bool = False) -> DataFrame:
@@ -65,17 +111,25 @@ def compose(merged: DataFrame, dna_only: bool = False) -> DataFrame:
 
 
 def compose_counts(composed: DataFrame) -> DataFrame:
-    """Per patient: how many tumour genotypes came from DNA, RNA, and anything else."""
-    n = lambda c, name: F.count_if(c).alias(name)
-    step = F.col("tumour_from")
-    return composed.groupBy("patient").agg(n(step == "dna", "from_dna"), n(step == "rna", "from_rna"), n(~step.isin("dna", "rna"), "from_backup"))
+    """Per patient: how many tumour genotypes came from DNA, from RNA, and from merged ones.
+
+    A normal counts with the merged ones only where the record is no edit; hom-ref counts nowhere.
+    """
+    n = lambda c, name: F.count_if(F.coalesce(c, F.lit(False))).alias(name)
+    step, edit = F.col("tumour_from"), F.coalesce("is_edit", F.lit(False)) if "is_edit" in composed.columns else F.lit(False)
+    return composed.groupBy("patient").agg(n(step == "dna", "from_dna"), n(step == "rna", "from_rna"), n((step == "backup") | ((step == "normal") & ~edit), "from_backup"))
+
+
+def _called(gt: Column) -> Column:
+    """The called alleles of a genotype of any number of copies."""
+    return F.filter(F.split(gt, r"[|/]"), lambda x: ~x.isin(".", ""))
 
 
 def allele_counts(genotypes: DataFrame, key: list[str]) -> DataFrame:
-    """AN, AC and AF of each key from genotypes of one alternate."""
-    a = F.explode(F.filter(v.gt_alleles(F.col("gt")), lambda x: x != "."))
-    rows = genotypes.select(*key, a.alias("a"))
-    return rows.groupBy(*key).agg(F.count("*").alias("an"), F.count_if(F.col("a") != "0").alias("ac")).withColumn("af", F.try_divide("ac", "an"))
+    """AN, AC and AF of each key from genotypes of one alternate; a key without a called allele has AN and AC 0 and no AF."""
+    called = _called(F.col("gt"))
+    size = lambda c: F.coalesce(F.sum(F.when(c.isNotNull(), F.size(c))), F.lit(0)).cast("long")
+    return genotypes.groupBy(*key).agg(size(called).alias("an"), size(F.filter(called, lambda x: x != "0")).alias("ac")).withColumn("af", F.try_divide("ac", "an"))
 
 
 def joint_allele_counts(merged: DataFrame, samples: list[str], alts: str = "alts") -> DataFrame:
@@ -83,8 +137,8 @@ def joint_allele_counts(merged: DataFrame, samples: list[str], alts: str = "alts
 
     ``samples`` names the genotype columns. Nothing is shuffled.
     """
-    alleles = F.flatten(F.array(*(F.coalesce(v.gt_alleles(F.col(c)), F.array().cast("array<string>")) for c in samples)))
-    rows = merged.withColumn("__a", F.filter(alleles, lambda x: x != ".")).select("*", F.posexplode(F.split(alts, ",")).alias("__i", "alt"))
+    alleles = F.flatten(F.array(*(F.coalesce(_called(F.col(c)), F.array().cast("array<string>")) for c in samples)))
+    rows = merged.withColumn("__a", alleles).select("*", F.posexplode(F.split(alts, ",")).alias("__i", "alt"))
     own = F.filter("__a", lambda x: x == (F.col("__i") + 1).cast("string"))
     return rows.withColumns({"an": F.size("__a").cast("long"), "ac": F.size(own).cast("long")}).withColumn("af", F.try_divide("ac", "an")).drop("__a", "__i")
 

@@ -251,12 +251,23 @@ def coding_calls(calls, vep):
 
 # --- merge and composition ------------------------------------------------------------------------------
 
-_MERGED = """, f AS (SELECT patient, chrom, pos, alt, min(rid) AS r FROM calls GROUP BY ALL), al AS (SELECT patient, chrom, pos, list(alt ORDER BY r) AS alts FROM f GROUP BY ALL),
-g AS (SELECT patient, chrom, pos, arg_min(ref, rid) AS ref, string_agg(DISTINCT source_set, ',' ORDER BY source_set) AS source_set,
-  arg_min(gt, rid) FILTER (WHERE source_set = 'GERMLINE') AS g1, arg_min(alt, rid) FILTER (WHERE source_set = 'GERMLINE') AS a1, arg_min(gt, rid) FILTER (WHERE source_set = 'SOMATIC') AS g2, arg_min(alt, rid) FILTER (WHERE source_set = 'SOMATIC') AS a2,
-  arg_min(gt, rid) FILTER (WHERE source_set = 'RNA_EDIT') AS g3, arg_min(alt, rid) FILTER (WHERE source_set = 'RNA_EDIT') AS a3 FROM calls GROUP BY ALL),
-m AS (SELECT patient, chrom, pos, ref, array_to_string(alts, ',') AS alts, source_set, coalesce(replace(g1, '1', list_position(alts, a1)::VARCHAR), './.') AS gt_germline,
-  coalesce(replace(g2, '1', list_position(alts, a2)::VARCHAR), './.') AS gt_somatic, coalesce(replace(g3, '1', list_position(alts, a3)::VARCHAR), './.') AS gt_rna_edit FROM g JOIN al USING (patient, chrom, pos))"""
+#: Position by position: padded alternates, each call's alleles by their place among them, and the fold of a source's calls. {0} is the table of calls.
+_MERGE = """, r0 AS (SELECT patient, chrom, pos, arg_min(ref, (-length(ref), rid)) AS ref, string_agg(DISTINCT source_set, ',' ORDER BY source_set) AS source_set FROM {0} GROUP BY ALL),
+pa AS (SELECT c.patient, c.chrom, c.pos, c.rid, c.source_set AS s, unnest(string_split(c.alt, ',')) || substr(r0.ref, length(c.ref) + 1) AS a, unnest(range(1, len(string_split(c.alt, ',')) + 1)) AS o FROM {0} c JOIN r0 USING (patient, chrom, pos)),
+jo AS (SELECT patient, chrom, pos, a, row_number() OVER (PARTITION BY patient, chrom, pos ORDER BY f) AS i FROM (SELECT patient, chrom, pos, a, min((rid, o)) AS f FROM pa GROUP BY ALL)),
+ja AS (SELECT patient, chrom, pos, list(a ORDER BY i) AS l FROM jo GROUP BY ALL),
+un AS (SELECT patient, chrom, pos, rid, source_set AS s, contains(gt, '|') AS ph, ps, unnest(regexp_split_to_array(gt, '[/|]')) AS x, unnest(range(len(regexp_split_to_array(gt, '[/|]')))) AS k FROM {0}),
+un2 AS (SELECT un.* EXCLUDE (x), CASE WHEN x IN ('0', '.') THEN x ELSE coalesce(jo.i::VARCHAR, '.') END AS x FROM un LEFT JOIN pa ON un.rid = pa.rid AND un.patient = pa.patient AND un.x = pa.o::VARCHAR LEFT JOIN jo ON jo.patient = pa.patient AND jo.chrom = pa.chrom AND jo.pos = pa.pos AND jo.a = pa.a),
+one AS (SELECT patient, chrom, pos, s, rid, any_value(ph) AS ph, any_value(ps) AS ps, CASE WHEN any_value(ph) THEN string_agg(x, '|' ORDER BY k) ELSE string_agg(x, '/' ORDER BY k) END AS t, count(*) AS n FROM un2 GROUP BY patient, chrom, pos, s, rid),
+src AS (SELECT patient, chrom, pos, s, count(*) AS calls, min(t) AS t, bool_and(ph AND n = 2) AND count(DISTINCT ps) = 1 AS ph, max(n) AS n FROM one GROUP BY ALL),
+cp AS (SELECT patient, chrom, pos, s, k, count(DISTINCT x) FILTER (WHERE x NOT IN ('0', '.')) AS n, coalesce(min(x) FILTER (WHERE x NOT IN ('0', '.')), CASE WHEN bool_or(x = '0') THEN '0' ELSE '.' END) AS x FROM un2 GROUP BY ALL),
+cps AS (SELECT patient, chrom, pos, s, max(n) AS n, string_agg(x, '|' ORDER BY k) AS t FROM cp GROUP BY ALL),
+ca AS (SELECT patient, chrom, pos, s, x, max(c) AS c FROM (SELECT patient, chrom, pos, s, rid, x, count(*) AS c FROM un2 GROUP BY ALL) GROUP BY ALL),
+cas AS (SELECT patient, chrom, pos, s, coalesce(sum(c) FILTER (WHERE x NOT IN ('0', '.')), 0)::INT AS c, coalesce(string_agg(repeat('/' || x, c::INT), '' ORDER BY TRY_CAST(x AS INT)) FILTER (WHERE x NOT IN ('0', '.')), '') AS t, CASE WHEN bool_or(x = '0') THEN '0' ELSE '.' END AS f FROM ca GROUP BY ALL),
+gtx AS (SELECT patient, chrom, pos, s, CASE WHEN calls = 1 THEN src.t WHEN ph AND cps.n <= 1 THEN cps.t ELSE substr(repeat('/' || f, greatest(src.n - cas.c, 0)::INT) || cas.t, 2) END AS gt FROM src JOIN cps USING (patient, chrom, pos, s) JOIN cas USING (patient, chrom, pos, s)),
+m AS (SELECT patient, chrom, pos, ref, array_to_string(l, ',') AS alts, source_set, coalesce(max(gt) FILTER (WHERE s = 'GERMLINE'), './.') AS gt_germline, coalesce(max(gt) FILTER (WHERE s = 'SOMATIC'), './.') AS gt_somatic, coalesce(max(gt) FILTER (WHERE s = 'RNA_EDIT'), './.') AS gt_rna_edit
+  FROM r0 JOIN ja USING (patient, chrom, pos) LEFT JOIN gtx USING (patient, chrom, pos) GROUP BY patient, chrom, pos, ref, l, source_set)"""
+_MERGED = _MERGE.format("calls")
 
 
 @query("merge_sources", "calls", _MERGED + " SELECT * FROM m")
@@ -264,14 +275,35 @@ def merge_sources(calls):
     return merge.merge_sources(calls)
 
 
-@query("merge_counts", "calls", _MERGED + """, n AS (SELECT patient, chrom, pos, source_set AS s, arg_min(alt, rid) AS a, arg_min(ad_ref, rid) AS r, arg_min(ad_alt, rid) AS k FROM calls GROUP BY ALL),
-t AS (SELECT patient, chrom, pos, s, r || ',' || array_to_string(list_transform(string_split(alts, ','), lambda x: CASE WHEN x = a THEN k::VARCHAR ELSE '.' END), ',') AS ad FROM n JOIN m USING (patient, chrom, pos))
+@query("merge_indels", "sites", _MERGE.format("sites") + " SELECT * FROM m")
+def merge_indels(sites):
+    """Records of unequal reference, several of one source at a position, some with two alternates."""
+    return merge.merge_sources(sites)
+
+
+@query("merge_indel_counts", "sites", _MERGE.format("sites") + """, n AS (SELECT patient, chrom, pos, source_set AS s, arg_min(ad_ref, rid) AS r FROM sites WHERE kind <> 4 GROUP BY ALL),
+k AS (SELECT pa.patient, pa.chrom, pa.pos, pa.s, pa.a, arg_min(CASE o WHEN 1 THEN ad_alt ELSE ad_more END, (pa.rid, o)) AS v FROM pa JOIN sites ON pa.rid = sites.rid AND pa.patient = sites.patient WHERE kind <> 4 GROUP BY ALL),
+t AS (SELECT n.patient, n.chrom, n.pos, n.s, any_value(n.r)::VARCHAR || ',' || string_agg(coalesce(k.v::VARCHAR, '.'), ',' ORDER BY jo.i) AS ad FROM n JOIN jo ON n.patient = jo.patient AND n.chrom = jo.chrom AND n.pos = jo.pos
+  LEFT JOIN k ON k.patient = n.patient AND k.chrom = n.chrom AND k.pos = n.pos AND k.s = n.s AND k.a = jo.a GROUP BY ALL)
+SELECT m.patient, m.chrom, m.pos, max(ad) FILTER (WHERE s = 'GERMLINE') AS ad_germline, max(ad) FILTER (WHERE s = 'SOMATIC') AS ad_somatic, max(ad) FILTER (WHERE s = 'RNA_EDIT') AS ad_rna_edit FROM m LEFT JOIN t USING (patient, chrom, pos) GROUP BY ALL""")
+def merge_indel_counts(sites):
+    """Counts of each source for the joint alternates; records of one kind have none."""
+    merged = merge.merge_sources(sites.withColumn("ad", F.when(F.col("kind") != 4, F.array("ad_ref", "ad_alt", "ad_more"))))
+    return merged.select("patient", "chrom", "pos", *(_count_text(f"ad_{s.lower()}") for s in merge.SOURCES))
+
+
+def _count_text(c):
+    return F.array_join(F.transform(c, lambda x: F.coalesce(x.cast("string"), F.lit("."))), ",").alias(c)
+
+
+@query("merge_counts", "calls", _MERGED + """, n AS (SELECT patient, chrom, pos, source_set AS s, arg_min(ad_ref, rid) AS r FROM calls GROUP BY ALL), k AS (SELECT patient, chrom, pos, source_set AS s, alt, arg_min(ad_alt, rid) AS v FROM calls GROUP BY ALL),
+t AS (SELECT n.patient, n.chrom, n.pos, n.s, any_value(n.r)::VARCHAR || ',' || string_agg(coalesce(k.v::VARCHAR, '.'), ',' ORDER BY jo.i) AS ad FROM n JOIN jo ON n.patient = jo.patient AND n.chrom = jo.chrom AND n.pos = jo.pos
+  LEFT JOIN k ON k.patient = n.patient AND k.chrom = n.chrom AND k.pos = n.pos AND k.s = n.s AND k.alt = jo.a GROUP BY ALL)
 SELECT patient, chrom, pos, any_value(ad) FILTER (WHERE s = 'GERMLINE') AS ad_germline, any_value(ad) FILTER (WHERE s = 'SOMATIC') AS ad_somatic, any_value(ad) FILTER (WHERE s = 'RNA_EDIT') AS ad_rna_edit FROM t GROUP BY ALL""")
 def merge_counts(calls):
     """Counts of each source, for the joint alternates of its position."""
     merged = merge.merge_sources(calls.withColumn("ad", F.array("ad_ref", "ad_alt")))
-    text = lambda c: F.array_join(F.transform(c, lambda x: F.coalesce(x.cast("string"), F.lit("."))), ",").alias(c)
-    return merged.select("patient", "chrom", "pos", text("ad_germline"), text("ad_somatic"), text("ad_rna_edit"))
+    return merged.select("patient", "chrom", "pos", *(_count_text(f"ad_{s.lower()}") for s in merge.SOURCES))
 
 
 @query("coding_records", "calls vep", f"""{_MERGED}, {_VX} SELECT patient, chrom, pos, alts FROM m WHERE EXISTS (SELECT 1 FROM vx WHERE vx.patient = m.patient AND vx.chrom = m.chrom AND vx.pos = m.pos AND list_contains(string_split(m.alts, ','), vx.alt) AND {_CODING})""")
@@ -307,7 +339,7 @@ def compose_genotypes(calls):
     return merge.compose(_composable(merge.merge_sources(calls))).select("patient", "chrom", "pos", "tumour_gt", "normal_gt", "tumour_from")
 
 
-@query("compose_counts", "calls", _LADDER + """ SELECT patient, count(*) FILTER (WHERE NOT (e AND r IS NOT NULL) AND d IS NOT NULL) AS from_dna, count(*) FILTER (WHERE r IS NOT NULL AND (e OR d IS NULL)) AS from_rna, count(*) FILTER (WHERE coalesce(d, r) IS NULL) AS from_backup FROM ld GROUP BY patient""")
+@query("compose_counts", "calls", _LADDER + """ SELECT patient, count(*) FILTER (WHERE NOT (e AND r IS NOT NULL) AND d IS NOT NULL) AS from_dna, count(*) FILTER (WHERE r IS NOT NULL AND (e OR d IS NULL)) AS from_rna, count(*) FILTER (WHERE coalesce(d, r) IS NULL AND (coalesce(dm, rm) IS NOT NULL OR (NOT e AND coalesce(n, nm) IS NOT NULL))) AS from_backup FROM ld GROUP BY patient""")
 def compose_counts(calls):
     return merge.compose_counts(merge.compose(_composable(merge.merge_sources(calls))))
 
@@ -322,8 +354,8 @@ def missing_gate(calls):
     return merge.missing_gate(calls.withColumnRenamed("gt", "tumour_gt"))
 
 
-@query("allele_counts", "calls", """, a AS (SELECT chrom, pos, ref, alt, unnest(regexp_extract_all(gt, '[0-9]')) AS x FROM calls)
-SELECT chrom, pos, ref, alt, count(*) AS an, count(*) FILTER (WHERE x <> '0') AS ac, count(*) FILTER (WHERE x <> '0')::DOUBLE / count(*) AS af FROM a GROUP BY ALL""")
+@query("allele_counts", "calls", """, a AS (SELECT chrom, pos, ref, alt, sum(len(regexp_extract_all(gt, '[0-9]')))::BIGINT AS an, sum(len(regexp_extract_all(gt, '[1-9]')))::BIGINT AS ac FROM calls GROUP BY ALL)
+SELECT chrom, pos, ref, alt, an, ac, CASE WHEN an > 0 THEN ac::DOUBLE / an END AS af FROM a""")
 def allele_counts(calls):
     return merge.allele_counts(calls, ["chrom", "pos", "ref", "alt"])
 
@@ -671,3 +703,45 @@ def first_alt_counts(calls):
     info = v.info_map(F.concat_ws(";", F.concat(F.lit("DP="), text("ad_ref")), F.lit("MLEAF=0.5"), F.when(lane == 0, ann).when(lane == 1, csq)))
     n = v.first_alt_count(F.when(lane == 0, F.concat_ws(",", text("ad_ref"), text("ad_alt"))).otherwise("."), F.when(lane == 1, F.concat_ws(",", text("ad_ref"), text("normal_alt"))), F.when(lane == 2, "0.25"), F.when(lane == 2, text("ad_ref")), info)
     return calls.select("rid", n.alias("n"), v.gene_and_transcript(info).alias("g")).select("rid", "n", "g.gene", "g.transcript")
+
+
+# --- lists, alternates ------------------------------------------------------------------------------------
+
+
+@query("first_values", "calls", " SELECT patient AS key, arg_min(gene_no, rid) AS value FROM calls GROUP BY patient")
+def first_values(calls):
+    return lists.first_values(calls.select(F.col("patient").alias("key"), F.col("gene_no").alias("value"), F.col("rid").alias("line_no")))
+
+
+@query("typing_alleles", "calls", """, f AS (SELECT patient, 'HLA-A:0' || (gene_no % 4) || ':0' || (ad_ref % 3) AS allele, rid FROM calls WHERE lane <> 3
+  UNION ALL SELECT patient, 'HLA-B:0' || (ad_alt % 5), rid || '~' FROM calls), m AS (SELECT patient, allele, min(rid) AS r FROM f GROUP BY ALL)
+SELECT patient, string_agg(allele, ',' ORDER BY r) AS alleles FROM m GROUP BY patient""")
+def typing_alleles(calls):
+    """Lines spelt by the calls: a starred allele, unless the lane is 3, then one of two parts."""
+    own = F.when(F.col("lane") != 3, F.concat(F.lit("typed HLA-A*0"), (F.col("gene_no") % 4).cast("string"), F.lit(":0"), (F.col("ad_ref") % 3).cast("string"))).otherwise(F.lit("none"))
+    line = F.concat(own, F.lit(" or HLA-B:0"), (F.col("ad_alt") % 5).cast("string"))
+    return lists.typing_alleles(calls.select("patient", F.col("rid").alias("line_no"), line.alias("line")))
+
+
+@query("common_patients", "calls", " SELECT patient FROM calls WHERE source_set = 'GERMLINE' INTERSECT SELECT patient FROM calls WHERE source_set = 'RNA_EDIT' AND known_db IS NULL")
+def common_patients(calls):
+    return lists.common_patients(of(calls, "GERMLINE"), of(calls, "RNA_EDIT").where("known_db is null"))
+
+
+@query("per_alternate", "calls", """, t AS (SELECT rid, ref, alt, CASE WHEN lane = 1 THEN '.' ELSE ad_ref || ',' || ad_alt || ',' || normal_alt END AS ad, lane, ad_ref, ad_alt, normal_alt, normal_ref FROM calls),
+x AS (SELECT rid, i AS alt_index, CASE i WHEN 0 THEN alt ELSE ref || ref END AS alt, lane, ad_ref::DOUBLE AS r, (CASE i WHEN 0 THEN ad_alt ELSE normal_alt END)::DOUBLE AS a, ad_alt, normal_alt, normal_ref::DOUBLE AS nr FROM t, (VALUES (0), (1)) v(i)),
+y AS (SELECT *, CASE WHEN lane = 2 THEN nr WHEN lane = 1 THEN NULL ELSE r + ad_alt + normal_alt END AS depth, CASE WHEN lane = 3 THEN 0.25 WHEN lane <> 1 AND r + a > 0 THEN a / (r + a) END AS share FROM x)
+SELECT rid, alt_index, alt, depth, round(share, 9) AS share, CASE WHEN lane <> 1 THEN a END AS alt_count FROM y""")
+def per_alternate(calls):
+    """Records of two alternates, with a field or another missing in each lane."""
+    ad = F.when(F.col("lane") == 1, ".").otherwise(F.concat_ws(",", *(F.col(c).cast("string") for c in ("ad_ref", "ad_alt", "normal_alt"))))
+    dp, af = F.when(F.col("lane") == 2, F.col("normal_ref").cast("string")), F.when(F.col("lane") == 3, "0.25")
+    rows = calls.select("rid", F.concat("alt", F.lit(","), "ref", "ref").alias("alts"), ad.alias("ad"), F.lit(None).cast("string").alias("fad"), dp.alias("dp"), af.alias("af"))
+    return alternates.per_alternate(rows).select("rid", "alt_index", "alt", "depth", F.round("share", 9).alias("share"), "alt_count")
+
+
+@query("backfill_af", "calls", """, l AS (SELECT patient, chrom, pos, arg_max(ad_alt, rid) AS af FROM calls WHERE source_set = 'SOMATIC' GROUP BY ALL)
+SELECT rid, af FROM calls LEFT JOIN l USING (patient, chrom, pos) WHERE source_set = 'SOMATIC' AND gt LIKE '%|%'""")
+def backfill_af(calls):
+    somatic = of(calls, "SOMATIC")
+    return alternates.backfill_af(somatic, somatic.withColumn("af", F.col("ad_alt"))).select("rid", "af")

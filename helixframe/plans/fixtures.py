@@ -24,6 +24,22 @@ SELECT 'P' || lpad(CAST(l_orderkey % 40 AS STRING), 2, '0') AS patient,
   lpad(CAST(l_orderkey AS STRING), 12, '0') || '-' || CAST(l_linenumber AS STRING) || '-' || lpad(CAST(l_partkey AS STRING), 10, '0') || '-' || lpad(CAST(l_suppkey AS STRING), 9, '0') || '-' || CAST(CAST(l_shipdate AS DATE) AS STRING) AS rid
 FROM lineitem"""
 
+_SITE = "CAST(1 + (l_partkey*61 + l_linenumber*7919 + l_orderkey*13) % 500 AS BIGINT)"
+_BASES = "repeat('ACGTTGCAGATC', 43)"
+
+#: Records of few positions, many to one: the bases of a position are the same for all, references are one to three bases long, and a fifth have two alternates.
+SITES = f"""
+SELECT patient, chrom, pos, ref, CASE WHEN kind = 0 THEN substr(ref, 1, 1) WHEN kind = 1 THEN ref || 'TT' WHEN kind = 2 THEN ref || ',' || substr(ref, 1, 1) WHEN kind = 3 THEN substr(replace('ACGT', substr(ref, 1, 1), ''), pick, 1) || substr(ref, 2)
+    ELSE substr(replace('ACGT', ref, ''), pick, 1) END AS alt,
+  source_set, CASE WHEN kind = 2 AND g = 1 THEN '1/2' WHEN kind = 2 AND g = 2 THEN '2|0' ELSE split_part('1/1,0/1,0|1,1|0,./.,0|.', ',', g + 1) END AS gt, ps, ad_ref, ad_alt, ad_alt + 1 AS ad_more, kind, rid
+FROM (
+  SELECT 'P' || CAST(l_orderkey % 8 AS STRING) AS patient, 'chr' || CAST(1 + l_suppkey % 4 AS STRING) AS chrom, {_SITE} AS pos, CAST(l_partkey % 5 AS INT) AS kind,
+    substr({_BASES}, CAST({_SITE} AS INT), CASE CAST(l_partkey % 5 AS INT) WHEN 0 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 2 ELSE 1 END) AS ref, CAST(1 + l_linenumber % 3 AS INT) AS pick,
+    CASE l_returnflag WHEN 'A' THEN 'GERMLINE' WHEN 'N' THEN 'SOMATIC' ELSE 'RNA_EDIT' END AS source_set, CAST(round(l_discount*100) AS INT) % 6 AS g, {_SITE} - {_SITE} % 100 AS ps,
+    CAST(l_quantity AS INT) AS ad_ref, CAST(round(l_tax*100) AS INT) * 2 AS ad_alt,
+    lpad(CAST(l_orderkey AS STRING), 12, '0') || '-' || CAST(l_linenumber AS STRING) || '-' || lpad(CAST(l_partkey AS STRING), 10, '0') || '-' || lpad(CAST(l_suppkey AS STRING), 9, '0') || '-' || CAST(CAST(l_shipdate AS DATE) AS STRING) AS rid
+  FROM lineitem) x"""
+
 #: Coverage intervals of three labels, one row per patient, interval and label.
 COVERAGE = """
 SELECT patient, chrom, st AS start_pos, st + 500 AS end_pos, label, CAST(avg(q) AS DOUBLE) AS cov FROM (
@@ -58,7 +74,7 @@ SELECT patient, chrom, pos, ref, alt, chrom || '_' || CAST(pos AS STRING) || '_'
 FROM ({calls}) c JOIN (SELECT 0 AS m, 0 AS t UNION ALL SELECT 1, 0 UNION ALL SELECT 1, 1 UNION ALL SELECT 2, 0 UNION ALL SELECT 2, 1 UNION ALL SELECT 2, 2) k ON c.gene_no % 3 = k.m
 WHERE source_set <> 'GERMLINE'"""
 
-TABLES = {"calls": (CALLS, "lineitem"), "coverage": (COVERAGE, "lineitem"), "gtf": (GTF, "supplier"), "reads": (READS, "orders"), "vep": (VEP.format(calls=CALLS), "lineitem")}
+TABLES = {"calls": (CALLS, "lineitem"), "sites": (SITES, "lineitem"), "coverage": (COVERAGE, "lineitem"), "gtf": (GTF, "supplier"), "reads": (READS, "orders"), "vep": (VEP.format(calls=CALLS), "lineitem")}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
