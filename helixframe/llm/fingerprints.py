@@ -129,14 +129,14 @@ def with_next(docs: DataFrame, columns: list[str], order: str = "doc_id", tie: s
     """``docs`` with ``next_<column>`` of the row that follows in order of ``order`` (a number; nulls first, then by the hash of ``tie``); the first follows the last.
 
     Rows are split by quantiles of ``order``; the first row of each range goes to the one before as well, so each range is a task of its own
-    and no window spans the table. Rows of one id share a range.
+    and no window spans the table. Rows of one id share a range. ``docs`` is read three times and must hold the same rows each time.
     """
     spark = docs.sparkSession
     n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = F.coalesce(F.col(order).cast("double"), F.lit(float("-inf")))
     keyed = docs.withColumns({"__place": place, "__tie": F.xxhash64(tie)})
     splits = sorted(set(keyed.where(F.col(order).isNotNull()).approxQuantile("__place", [i / n for i in range(1, n)], 1 / (4 * n))))
-    ranges = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="__place", outputCol="__range")
+    ranges = Bucketizer(splits=[float("-inf"), *(splits or [0.0]), float("inf")], inputCol="__place", outputCol="__range")
     rows = ranges.transform(keyed).withColumn("__range", F.col("__range").cast("int"))
     least = rows.groupBy("__range").agg(F.min("__place").alias("__place"))
     heads = rows.join(F.broadcast(least), ["__range", "__place"]).groupBy("__range").agg(F.min_by(F.struct(*columns), F.struct("__place", "__tie")).alias("__head"))
