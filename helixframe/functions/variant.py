@@ -153,7 +153,9 @@ def hom_alt(gt: Column) -> Column:
 
 
 def has_alt(gt: Column) -> Column:
-    return F.coalesce(F.exists(gt_alleles(gt), lambda x: ~x.isin("0", ".")), F.lit(False))
+    """Whether any copy carries an alternate; genotypes of one copy count as none, those of more than two do count."""
+    parts = F.split(gt, r"[|/]")
+    return F.coalesce((F.size(parts) > 1) & F.exists(parts, lambda x: ~x.isin("0", ".", "")), F.lit(False))
 
 
 def alt_sides(gt: Column) -> Column:
@@ -170,9 +172,11 @@ def same_copy(gt_a: Column, ps_a: Column, gt_b: Column, ps_b: Column) -> tuple[C
     return hom | cis, ~hom & cis
 
 
-def source_exact(sources: Column) -> Column:
-    one = F.array_distinct(sources)
-    return F.when(F.size(one) == 1, F.get(one, F.lit(0))).otherwise(F.coalesce(F.nullif(F.array_join(sources, ","), F.lit("")), F.lit("NA")))
+def source_exact(text: Column) -> Column:
+    """The one source that a comma list names, however often; else the trimmed text itself, NA if it is empty or null."""
+    names = F.array_distinct(F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != ""))
+    only = F.get(names, F.lit(0))
+    return F.when((F.size(names) == 1) & only.isin("GERMLINE", "SOMATIC", "RNA_EDIT"), only).otherwise(F.coalesce(F.nullif(F.trim(text), F.lit("")), F.lit("NA")))
 
 
 def source_priority(text: Column) -> Column:
@@ -201,7 +205,8 @@ def uploaded_parts(uploaded: Column) -> Column:
 
 
 def uploaded_of(chrom: Column, pos: Column, ref: Column, alt: Column) -> Column:
-    return F.concat(chrom, F.lit("_"), pos.cast("string"), F.lit("_"), ref, F.lit("/"), alt)
+    """A made-up id ``chrom_pos_ref/alt``; the chromosome goes without its prefix."""
+    return F.concat(chrom_norm(chrom), F.lit("_"), pos.cast("string"), F.lit("_"), ref, F.lit("/"), alt)
 
 
 def consequence_rank(c: Column) -> Column:
@@ -220,10 +225,10 @@ def coding(consequence: Column, biotype: Column) -> Column:
     return F.arrays_overlap(F.split(consequence, "[,&]"), F.lit(list(CODING))) & F.coalesce(biotype == "protein_coding", F.lit(True))
 
 
-def number_text(v: Column, digits: int = 6) -> Column:
-    """A number for a sink: no trailing zeros, NA for null."""
+def number_text(v: Column, digits: int = 6, missing: str = "NA") -> Column:
+    """A number for a sink: no trailing zeros, ``missing`` for null (``NA`` in tables, ``.`` in records)."""
     text = F.regexp_replace(F.regexp_replace(F.format_string(f"%.{digits}f", v.cast("double")), "0+$", ""), r"\.$", "")
-    return F.when(v.isNull(), "NA").otherwise(text)
+    return F.when(v.isNull(), missing).otherwise(text)
 
 
 #: Names of library protocols and what they stand for.
@@ -382,7 +387,8 @@ def location_parts(location: Column) -> Column:
 
 
 def location_of(chrom: Column, pos: Column) -> Column:
-    return F.concat(chrom, F.lit(":"), pos.cast("string"))
+    """A made-up location ``chrom:pos``; the chromosome goes without its prefix."""
+    return F.concat(chrom_norm(chrom), F.lit(":"), pos.cast("string"))
 
 
 def amino_acid_pair(value: Column) -> Column:
@@ -398,6 +404,11 @@ def af_into_format(keys: Column, values: Column, info: Column) -> Column:
     return F.when(af.isNotNull(), F.struct(put(keys, F.lit("AF")).alias("keys"), put(values, af).alias("values"))).otherwise(F.struct(keys.alias("keys"), values.alias("values")))
 
 
+def origin(values: Column) -> Column:
+    """The last but one element of a sample's text, which names its origin in records without SOURCE_SET."""
+    return F.element_at(F.concat(F.array(F.lit(None).cast("string"), F.lit(None).cast("string")), F.split(values, ":")), -2)
+
+
 def format_subset(fields: Column, wanted: tuple[str, ...] = ("GT", "AD", "AF", "DP", "F1R2", "F2R1", "FAD", "SB")) -> Column:
     """A sample's fields (a map) as a struct of just the wanted ones, in that order; missing ones are null."""
     return F.struct(*(null_if_missing(fields[k]).alias(k) for k in wanted))

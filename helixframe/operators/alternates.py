@@ -21,17 +21,17 @@ def alternate_metrics(i: Column, ad: Column, fad: Column, dp: Column, af: Column
     """Depth, allele frequency and alternate count of alternate ``i`` (from 0), from the text fields of a sample.
 
     Depth: the field, else the sum of AD, else of FAD. Frequency: its own element of AF (one value
-    serves all), else AD over reference plus alternate. Count: AD, else FAD, else frequency times depth.
+    serves all), else AD over reference plus alternate. Count: AD, else FAD, else frequency times depth. Count of the reference: AD, else FAD.
     """
     depth = F.coalesce(dp.try_cast("double"), _total(ad), _total(fad))
     ref, alt = _at(ad, F.lit(0)), _at(ad, i + 1)
     given = F.when(F.size(F.split(af, ",")) == 1, af.try_cast("double")).otherwise(_at(af, i))
     share = F.coalesce(given, F.when(ref + alt > 0, alt / (ref + alt)))
-    return {"depth": depth, "share": share, "alt_count": F.coalesce(alt, _at(fad, i + 1), share * depth)}
+    return {"depth": depth, "share": share, "alt_count": F.coalesce(alt, _at(fad, i + 1), share * depth), "ref_count": F.coalesce(ref, _at(fad, F.lit(0)))}
 
 
 def per_alternate(records: DataFrame, alts: str = "alts") -> DataFrame:
-    """One row per alternate of the comma list ``alts``: ``alt``, ``alt_index``, and ``depth``, ``share``, ``alt_count`` of ``ad``, ``fad``, ``dp``, ``af``.
+    """One row per alternate of the comma list ``alts``: ``alt``, ``alt_index``, and ``depth``, ``share``, ``alt_count``, ``ref_count`` of ``ad``, ``fad``, ``dp``, ``af``.
 
     A record without alternates keeps one row with null alternate. Further columns stay.
     """

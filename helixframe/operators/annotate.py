@@ -11,18 +11,23 @@ from ..functions import variant as v
 
 def joined_set(c: Column) -> Column:
     """Different values, sorted, joined by ``|``; NA if there are none."""
-    return F.coalesce(F.nullif(F.array_join(F.array_sort(F.collect_set(c)), "|"), F.lit("")), F.lit("NA"))
+    return _set_text(F.collect_set(c))
+
+
+def _set_text(values: Column) -> Column:
+    return F.coalesce(F.nullif(F.array_join(F.array_sort(values), "|"), F.lit("")), F.lit("NA"))
 
 
 #: The sets of ``collapse``, in the order of the variant table.
 SETS = ("uploaded_variation", "location", "protein_ref", "protein_alt", "protein_position", "amino_acids", "codons", "gene_id", "gene_symbol", "feature", "feature_type", "consequence", "existing_variation")
 
 
-def collapse(vep: DataFrame) -> DataFrame:
+def collapse(vep: DataFrame, called: DataFrame | None = None) -> DataFrame:
     """One row per (patient, chromosome, position, alternate): sorted sets of what its annotation rows say.
 
     ``vep`` has ``patient`` and the annotation columns in lower case. Rows whose location does not read as one, or
-    without allele, are left out; empty values, ``.`` and ``-`` are in no set.
+    without allele, are left out; empty values, ``.``, ``-`` and NA are in no set. With ``called`` (``patient``, ``chrom``, ``pos``, ``alt``) only keys that
+    it holds are collapsed. A key has one set, of the different rows of values; the sets of the fields are taken from it.
     """
     at, aa = v.location_parts(F.col("location")), v.amino_acid_pair(F.col("amino_acids"))
     rows = vep.select(
@@ -30,7 +35,13 @@ def collapse(vep: DataFrame) -> DataFrame:
         F.col("gene").alias("gene_id"), v.extra_value(F.col("extra"), "SYMBOL").alias("gene_symbol"), "feature", "feature_type", "consequence", "existing_variation",
     )
     rows = rows.where("pos is not null and alt <> ''")
-    return rows.groupBy("patient", "chrom_norm", "pos", "alt").agg(*(joined_set(v.known_text(F.col(c))).alias(c) for c in SETS))
+    key = ["patient", "chrom_norm", "pos", "alt"]
+    if called is not None:
+        rows = rows.join(called.select("patient", v.chrom_norm(F.col("chrom")).alias("chrom_norm"), "pos", "alt"), key, "left_semi")
+    known = lambda c: F.when(F.trim(c) != "NA", v.known_text(F.col(c))).alias(c)
+    sets = rows.groupBy(*key).agg(F.collect_set(F.struct(*map(known, SETS))).alias("__rows"))
+    own = lambda c: F.filter(F.array_distinct(F.col("__rows")[c]), lambda x: x.isNotNull())
+    return sets.select(*key, *(_set_text(own(c)).alias(c) for c in SETS))
 
 
 def variant_table(calls: DataFrame, collapsed: DataFrame) -> DataFrame:
@@ -141,9 +152,9 @@ def strand_summary(vep: DataFrame) -> DataFrame:
 
 
 def strand_filter(summary: DataFrame) -> DataFrame:
-    """``keep``: a single strand on which the change is an edit; ``reason`` says why not: the status, or NOT_EDIT_CHANGE; else PASS."""
+    """``keep``: a single strand on which the change is an edit; ``reason`` says why not: the status, or NOT_TRANSCRIPT_CANONICAL_RNA_EDIT (a fixed value); else PASS."""
     unique, edit = F.col("status") == "UNIQUE_TRANSCRIPT_STRAND", F.col("class").isin("ADAR", "APOBEC3")
-    return summary.withColumns({"keep": unique & edit, "reason": F.when(~unique, F.col("status")).when(~edit, "NOT_EDIT_CHANGE").otherwise("PASS")})
+    return summary.withColumns({"keep": unique & edit, "reason": F.when(~unique, F.col("status")).when(~edit, "NOT_TRANSCRIPT_CANONICAL_RNA_EDIT").otherwise("PASS")})
 
 
 def position_conflicts(calls: DataFrame, summary: DataFrame) -> DataFrame:
@@ -153,7 +164,7 @@ def position_conflicts(calls: DataFrame, summary: DataFrame) -> DataFrame:
     (UNIQUE_STRAND_KEEP_IN_POSITION_CONFLICT) and the others go (POSITION_CONFLICT_NONUNIQUE_STRAND). Else all stay
     (UNRESOLVED_POSITION_CONFLICT_KEEP_ALL).
     """
-    up = F.regexp_replace(v.uploaded_of(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alt")), "(?i)^chr", "")
+    up = v.uploaded_of(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alt"))
     known = summary.select("patient", F.regexp_replace("uploaded", "(?i)^chr", "").alias("__up"), F.col("status").alias("strand_status"))
     rows = calls.withColumn("__up", up).join(known, ["patient", "__up"], "left").drop("__up").withColumn("strand_status", F.coalesce("strand_status", F.lit("MISSING_VEP_ANNOTATION")))
     here = W.partitionBy("patient", "chrom", "pos")

@@ -38,8 +38,14 @@ def near_tumour(germline: DataFrame, *tumour: DataFrame, distance: int = 33) ->
 
 
 def near_phased(germline: DataFrame, somatic: DataFrame, distance: int = 33) -> DataFrame:
-    """Germline calls near a somatic one that are homozygous, or phased alike in one block."""
+    """Germline calls near a somatic one that are homozygous, or phased alike in one block (null blocks match nothing)."""
     other = somatic.select("patient", "chrom", F.col("pos").alias("b_pos"), F.col("gt").alias("b_gt"), F.col("ps").alias("b_ps"))
     phased = (F.instr("gt", "|") > 0) & (F.col("gt") == F.col("b_gt")) & (F.col("ps") == F.col("b_ps"))
-    hits = near_pairs(germline, other, ["patient", "chrom"], distance).where((F.col("gt") == "1/1") | phased)
+    hits = near_pairs(germline, other, ["patient", "chrom"], distance).where(F.col("gt").isin("1/1", "1|1") | phased)
     return germline.join(hits.select("rid").distinct(), "rid", "left_semi")
+
+
+def with_somatic(calls: DataFrame, distance: int = 33) -> DataFrame:
+    """All somatic calls and the germline ones of ``near_phased``; calls of other sources (``source_set``) go. Each patient stands for itself."""
+    somatic = calls.where("source_set = 'SOMATIC'")
+    return somatic.unionByName(near_phased(calls.where("source_set = 'GERMLINE'"), somatic, distance))

@@ -116,6 +116,23 @@ def split_alternates(records: DataFrame) -> DataFrame:
     return rows.withColumns({"gt": F.when(F.instr("gt", "|") > 0, F.array_join(alleles, "|")).otherwise(F.array_join(alleles, "/")), "ad": ad})
 
 
+def signal_sample(first: Column, second: Column, first_name: Column, second_name: Column) -> Column:
+    """The sample that speaks for a record: the first, or the second where only that has a genotype; a struct of ``sample`` and ``fields`` (a map)."""
+    swap = v.gt_missing(first["GT"]) & ~v.gt_missing(second["GT"])
+    return F.when(F.coalesce(swap, F.lit(False)), F.struct(second_name.alias("sample"), second.alias("fields"))).otherwise(F.struct(first_name.alias("sample"), first.alias("fields")))
+
+
+def af_to_format(records: DataFrame) -> DataFrame:
+    """Records whose sample (``format``, ``sample``: texts) is of germline or somatic origin; germline ones get AF of ``info`` (a map) as third field.
+
+    The origin is the last element but one of the sample's text (see ``variant.origin``); records of any other origin go.
+    """
+    kind, moved = v.origin(F.col("sample")), v.af_into_format(F.col("format"), F.col("sample"), F.col("info"))
+    germline = kind == "GERMLINE"
+    kept = records.where(kind.isin("GERMLINE", "SOMATIC"))
+    return kept.withColumns({"format": F.when(germline, moved["keys"]).otherwise(F.col("format")), "sample": F.when(germline, moved["values"]).otherwise(F.col("sample"))})
+
+
 def reindexed_counts(ad: Column, own: Column, joint: Column) -> Column:
     """Counts (reference first) of a record with the alternates ``own``, for the ``joint`` list of alternates; null for those it does not have."""
     count = lambda x: F.when(F.array_position(own, x) > 0, F.get(ad, F.array_position(own, x).cast("int")))

@@ -124,6 +124,14 @@ def near_tumour(calls):
     return germline.near_tumour(of(calls, "GERMLINE"), of(calls, "SOMATIC"), of(calls, "RNA_EDIT")).select("rid")
 
 
+@query("with_somatic", "calls", """ SELECT rid FROM calls g WHERE source_set = 'SOMATIC' OR (source_set = 'GERMLINE' AND EXISTS (SELECT 1 FROM calls s WHERE s.source_set = 'SOMATIC' AND s.patient = g.patient AND s.chrom = g.chrom
+  AND s.pos BETWEEN g.pos - 33 AND g.pos + 33 AND (CASE WHEN g.lane = 1 THEN replace(g.gt, '/', '|') ELSE g.gt END IN ('1/1', '1|1') OR (CASE WHEN g.lane = 1 THEN replace(g.gt, '/', '|') ELSE g.gt END LIKE '%|%'
+    AND CASE WHEN g.lane = 1 THEN replace(g.gt, '/', '|') ELSE g.gt END = CASE WHEN s.lane = 1 THEN replace(s.gt, '/', '|') ELSE s.gt END AND g.ps = s.ps))))""")
+def with_somatic(calls):
+    """Genotypes of one lane are all phased."""
+    return germline.with_somatic(calls.withColumn("gt", F.when(F.col("lane") == 1, F.replace("gt", F.lit("/"), F.lit("|"))).otherwise(F.col("gt")))).select("rid")
+
+
 @query("near_phased", "calls", """ SELECT rid FROM calls g WHERE source_set = 'GERMLINE' AND EXISTS (SELECT 1 FROM calls s WHERE s.source_set = 'SOMATIC' AND s.patient = g.patient AND s.chrom = g.chrom
   AND s.pos BETWEEN g.pos - 33 AND g.pos + 33 AND (g.gt = '1/1' OR (g.gt LIKE '%|%' AND g.gt = s.gt AND g.ps = s.ps)))""")
 def near_phased(calls):
@@ -149,7 +157,7 @@ def vep_collapse(vep):
 _COLUMNS = """rid, patient AS SAMPLE, {sets}, replace(chrom, 'chr', '') AS chrom, pos, ref, alt, source_set, CASE WHEN lane = 0 THEN 'PASS' ELSE '.' END AS filter, '0/0' AS normal_gt, gt AS tumor_gt, ps AS tumor_ps,
   normal_ref + normal_alt AS normal_dp, normal_alt AS normal_alt_count, CASE WHEN normal_ref + normal_alt > 0 THEN normal_alt::DOUBLE / (normal_ref + normal_alt) END AS normal_vaf,
   CASE WHEN source_set <> 'GERMLINE' THEN ad_ref + ad_alt END AS tumor_dp, CASE WHEN source_set <> 'GERMLINE' THEN ad_alt END AS tumor_alt_count, CASE WHEN source_set <> 'GERMLINE' AND ad_ref + ad_alt > 0 THEN ad_alt::DOUBLE / (ad_ref + ad_alt) END AS tumor_vaf"""
-_MADE = {"uploaded_variation": "chrom || '_' || pos || '_' || ref || '/' || alt", "location": "chrom || ':' || pos"}
+_MADE = {"uploaded_variation": "replace(chrom, 'chr', '') || '_' || pos || '_' || ref || '/' || alt", "location": "replace(chrom, 'chr', '') || ':' || pos"}
 
 
 @query("variant_table", "calls vep", f", {_VX}, {_COLLAPSED} SELECT * EXCLUDE (rid) FROM (SELECT " + _COLUMNS.format(sets=", ".join(f"coalesce({c}, {_MADE.get(c, chr(39) + 'NA' + chr(39))}) AS {c}" for c in annotate.SETS)) + " FROM calls LEFT JOIN col USING (patient, chrom, pos, alt))")
@@ -158,7 +166,7 @@ def variant_table(calls, vep):
     share = lambda n, of: F.try_divide(F.col(n).cast("double"), F.col(of))
     rows = calls.withColumns({"filter": F.when(F.col("lane") == 0, "PASS").otherwise("."), "normal_gt": F.lit("0/0"), "tumor_gt": F.col("gt"), "tumor_ps": F.col("ps"), "normal_dp": F.col("normal_ref") + F.col("normal_alt"), "normal_alt_count": F.col("normal_alt"), "tumor_dp": F.col("ad_ref") + F.col("ad_alt"), "tumor_alt_count": F.col("ad_alt")})
     rows = rows.withColumns({"normal_vaf": share("normal_alt", "normal_dp"), "tumor_vaf": share("ad_alt", "tumor_dp")})
-    return annotate.variant_table(rows, annotate.collapse(vep))
+    return annotate.variant_table(rows, annotate.collapse(vep, rows))
 
 
 @query("two_tier_lookup", "calls vep", """, f AS (SELECT patient, chrom, pos, ref, alt, arg_max(gt, rid) AS gt, arg_max(ps, rid) AS ps FROM calls WHERE source_set = 'SOMATIC' GROUP BY ALL),
@@ -218,7 +226,7 @@ sm AS (SELECT *, CASE change WHEN 'NA' THEN 'NA' WHEN 'A>G' THEN 'ADAR' WHEN 'C>
 
 
 @query("strand_summary", "vep", _SUM + """ SELECT patient, uploaded, strands, status, change, class, symbols, consequences, features, feature_types, locations, k = 1 AND class IN ('ADAR', 'APOBEC3') AS keep,
-  CASE WHEN k <> 1 THEN status WHEN class NOT IN ('ADAR', 'APOBEC3') THEN 'NOT_EDIT_CHANGE' ELSE 'PASS' END AS reason FROM sm""")
+  CASE WHEN k <> 1 THEN status WHEN class NOT IN ('ADAR', 'APOBEC3') THEN 'NOT_TRANSCRIPT_CANONICAL_RNA_EDIT' ELSE 'PASS' END AS reason FROM sm""")
 def strand_summary(vep):
     return annotate.strand_filter(annotate.strand_summary(vep))
 
@@ -731,13 +739,13 @@ def common_patients(calls):
 @query("per_alternate", "calls", """, t AS (SELECT rid, ref, alt, CASE WHEN lane = 1 THEN '.' ELSE ad_ref || ',' || ad_alt || ',' || normal_alt END AS ad, lane, ad_ref, ad_alt, normal_alt, normal_ref FROM calls),
 x AS (SELECT rid, i AS alt_index, CASE i WHEN 0 THEN alt ELSE ref || ref END AS alt, lane, ad_ref::DOUBLE AS r, (CASE i WHEN 0 THEN ad_alt ELSE normal_alt END)::DOUBLE AS a, ad_alt, normal_alt, normal_ref::DOUBLE AS nr FROM t, (VALUES (0), (1)) v(i)),
 y AS (SELECT *, CASE WHEN lane = 2 THEN nr WHEN lane = 1 THEN NULL ELSE r + ad_alt + normal_alt END AS depth, CASE WHEN lane = 3 THEN 0.25 WHEN lane <> 1 AND r + a > 0 THEN a / (r + a) END AS share FROM x)
-SELECT rid, alt_index, alt, depth, round(share, 9) AS share, CASE WHEN lane <> 1 THEN a END AS alt_count FROM y""")
+SELECT rid, alt_index, alt, depth, round(share, 9) AS share, CASE WHEN lane <> 1 THEN a END AS alt_count, CASE WHEN lane <> 1 THEN r END AS ref_count FROM y""")
 def per_alternate(calls):
     """Records of two alternates, with a field or another missing in each lane."""
     ad = F.when(F.col("lane") == 1, ".").otherwise(F.concat_ws(",", *(F.col(c).cast("string") for c in ("ad_ref", "ad_alt", "normal_alt"))))
     dp, af = F.when(F.col("lane") == 2, F.col("normal_ref").cast("string")), F.when(F.col("lane") == 3, "0.25")
     rows = calls.select("rid", F.concat("alt", F.lit(","), "ref", "ref").alias("alts"), ad.alias("ad"), F.lit(None).cast("string").alias("fad"), dp.alias("dp"), af.alias("af"))
-    return alternates.per_alternate(rows).select("rid", "alt_index", "alt", "depth", F.round("share", 9).alias("share"), "alt_count")
+    return alternates.per_alternate(rows).select("rid", "alt_index", "alt", "depth", F.round("share", 9).alias("share"), "alt_count", "ref_count")
 
 
 @query("backfill_af", "calls", """, l AS (SELECT patient, chrom, pos, arg_max(ad_alt, rid) AS af FROM calls WHERE source_set = 'SOMATIC' GROUP BY ALL)
