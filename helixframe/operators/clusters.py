@@ -11,28 +11,51 @@ from .ranges import near_pairs
 
 
 def clusters(calls: DataFrame, distance: int = 33, least: int = 2) -> DataFrame:
-    """Calls of clusters with ``cluster_id``: chains of at least ``least`` calls whose steps are at most ``distance``."""
+    """Calls of clusters with ``cluster_id``: chains of at least ``least`` calls whose steps are at most ``distance``.
+
+    Ids are ``CL`` and six digits or more, without gaps, in order of patients (by the first of their calls, as ``rid`` orders them), of chromosomes within a
+    patient (likewise) and of positions. They come from the counts of each chromosome: no window spans calls of several
+    chromosomes, and the one over patients has a row for each.
+    """
     w = W.partitionBy("patient", "chrom").orderBy("pos", "rid")
     start = F.coalesce(F.col("pos") - F.lag("pos").over(w) > distance, F.lit(True))
     rows = calls.withColumn("__new", start.cast("int")).withColumn("__no", F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, 0)))
     rows = rows.withColumn("__n", F.count("*").over(W.partitionBy("patient", "chrom", "__no"))).where(F.col("__n") >= least)
-    name = F.concat_ws(":", "patient", "chrom", F.min("pos").over(W.partitionBy("patient", "chrom", "__no")).cast("string"))
-    return rows.withColumn("cluster_id", name).drop("__new", "__no", "__n")
+    rows = rows.withColumn("__place", F.dense_rank().over(W.partitionBy("patient", "chrom").orderBy("__no")))
+    found = rows.groupBy("patient", "chrom").agg(F.max("__place").alias("k"))
+    each = calls.groupBy("patient", "chrom").agg(F.min("rid").alias("first")).join(found, ["patient", "chrom"], "left")
+    own = W.partitionBy("patient").orderBy("first").rowsBetween(W.unboundedPreceding, -1)
+    ahead = W.orderBy("first").rowsBetween(W.unboundedPreceding, -1)
+    none = lambda c: F.coalesce(c, F.lit(0))
+    patients = each.groupBy("patient").agg(F.min("first").alias("first"), F.sum("k").alias("k")).select("patient", none(F.sum("k").over(ahead)).alias("__ahead"))
+    offsets = each.select("patient", "chrom", none(F.sum("k").over(own)).alias("__own")).join(patients, "patient")
+    number = F.col("__ahead") + F.col("__own") + F.col("__place")
+    return rows.join(offsets, ["patient", "chrom"]).withColumn("cluster_id", F.format_string("CL%06d", number)).drop("__new", "__no", "__n", "__place", "__own", "__ahead")
 
 
 def cluster_summary(members: DataFrame) -> DataFrame:
-    """One row per cluster; the top gene and transcript are the commonest, of tied ones those seen first, null where no member names one."""
-    m = members.withColumns({"sig": v.signature(F.col("ref"), F.col("alt")), "dp": (F.col("ad_ref") + F.col("ad_alt")).cast("double")})
-    one = F.count_distinct(F.when(~v.gt_missing(F.col("gt")), F.col("ps"))) == 1
-    out = m.groupBy("cluster_id").agg(
-        F.min("pos").alias("start"), F.max("pos").alias("end"), F.count("*").alias("n"), *(F.count_if(F.col("sig") == s).alias(f"n_{s.lower()}") for s in ("ADAR", "APOBEC3", "OTHER")),
-        F.round(F.coalesce(F.avg("dp"), F.lit(0.0)), 3).alias("mean_dp"), one.alias("one_block"),
+    """One row per cluster: its span, calls by ``signature``, mean of ``dp``, whether its calls name one phase block, commonest gene and transcript.
+
+    Null depths do not count, and the mean is 0 without any, to three digits. Blocks (``ps``) count whatever the genotype; null, empty and ``.`` name none.
+    Of equally common genes or transcripts the one seen first (``pos``, ``rid``) wins; empty where no call names one. Column names are fixed values.
+    """
+    block = F.nullif(F.nullif(F.col("ps").cast("string"), F.lit(".")), F.lit(""))
+    names = F.array(*(F.struct(F.lit(kind).alias("kind"), F.coalesce(name, F.lit("")).alias("name")) for kind, name in (("", F.lit("")), ("gene", F.col("gene")), ("transcript", F.col("transcript")))))
+    rows = members.withColumns({"__block": block, "__x": F.explode(names)}).where("__x.kind = '' OR __x.name <> ''")
+    key = ["patient", "chrom", "cluster_id"]
+    # the name is told from its kind; both steps keep the partitioning of the clusters
+    of_name = rows.groupBy(*key, F.col("__x.kind").alias("kind"), F.col("__x.name").alias("name")).agg(
+        F.count("*").alias("n"), F.min(F.struct("pos", "rid")).alias("seen"), F.min("pos").alias("start"), F.max("pos").alias("end"), F.sum(F.col("dp").cast("double")).alias("dp"), F.count("dp").alias("n_dp"),
+        F.min("__block").alias("low"), F.max("__block").alias("high"), *(F.count_if(F.col("signature") == s).alias(s) for s in ("ADAR", "APOBEC3", "OTHER")),
+    )
+    all_of = lambda c: F.max(F.when(F.col("kind") == "", c))
+    value = lambda c: all_of(F.col(c))
+    top = lambda kind: F.coalesce(F.min_by("name", F.when(F.col("kind") == kind, F.struct(-F.col("n"), F.col("seen")))), F.lit(""))
+    return of_name.groupBy(*key).agg(
+        value("start").alias("start"), value("end").alias("end"), value("n").alias("n_variants"), value("ADAR").alias("adar_count"), value("APOBEC3").alias("apobec_count"), value("OTHER").alias("other_count"),
+        F.round(F.coalesce(all_of(F.try_divide("dp", "n_dp")), F.lit(0.0)), 3).alias("mean_rna_dp"), F.coalesce(all_of(((F.col("low") == F.col("high")) & (F.col("n") > 1)).cast("int")), F.lit(0)).alias("single_ps_block"),
+        top("gene").alias("top_gene"), top("transcript").alias("top_transcript"),
     )
-    for name in ("gene", "transcript"):
-        seen = m.where(F.col(name) != "").groupBy("cluster_id", name).agg(F.count("*").alias("c"), F.min(F.struct("pos", "rid")).alias("first"))
-        top = seen.groupBy("cluster_id").agg(F.min_by(name, F.struct(-F.col("c"), F.col("first"))).alias(f"top_{name}"))
-        out = out.join(top, "cluster_id", "left")
-    return out
 
 
 def first_same_copy(a: DataFrame, b: DataFrame, distance: int = 33) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
+from ..sources.sequence import chunks
 
 
 def without_positions(calls: DataFrame, other: DataFrame) -> DataFrame:
@@ -89,11 +90,7 @@ def piece_chunks(pieces: DataFrame, order: str, size: int = 10_000, overlap: int
     upto = lambda by, *place: F.coalesce(F.sum("n").over(before.partitionBy(*by).orderBy(*place)), F.lit(0))
     runs = rows.groupBy("contig", "run").agg(F.sum("n").alias("n")).select("contig", F.col("run").alias("of"), upto(["contig"], "run").alias("at"))
     placed = rows.withColumn("within", upto(["contig", "run"], "o", "seq")).join(runs.withColumnRenamed("contig", "on"), (F.col("contig") == F.col("on")) & F.col("run").eqNullSafe(F.col("of")))
-    bases = placed.select("contig", (F.col("at") + F.col("within")).alias("first"), F.posexplode(F.split("seq", "")).alias("k", "base")).select("contig", (F.col("first") + F.col("k")).alias("place"), "base")
-    own = F.floor(F.col("place") / size).cast("int")
-    ids = F.when((own > 0) & (F.col("place") % size < overlap), F.array(own - 1, own)).otherwise(F.array(own))
-    chunks = bases.select("contig", F.explode(ids).alias("chunk_id"), "place", "base").groupBy("contig", "chunk_id").agg(F.array_sort(F.collect_list(F.struct("place", "base"))).alias("l"))
-    return chunks.select("contig", "chunk_id", (F.col("chunk_id") * size + 1).alias("start1"), F.array_join(F.col("l.base"), "").alias("seq"))
+    return chunks(placed.select("contig", (F.col("at") + F.col("within")).alias("start"), F.col("seq").alias("bases")), size, overlap)
 
 
 def with_motif(calls: DataFrame, chunks: DataFrame, size: int = 10_000) -> DataFrame:

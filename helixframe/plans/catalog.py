@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import variant as v
 from ..operators import alternates, annotate, clusters, coverage, germline, landscape, merge, records, rna_edit, strand
 from ..operators.ranges import near_any
-from ..sources import lists
+from ..sources import lists, sequence
 from .fixtures import table, with_tables
 
 QUERIES: dict = {}
@@ -110,6 +110,25 @@ def motif(calls):
     return rna_edit.with_motif(calls, chunks, 1000).select("rid", "motif")
 
 
+_PLACED = """, l AS (SELECT *, CASE WHEN value LIKE '>%' THEN split_part(substr(value, 2), ' ', 1) END AS nm FROM lines WHERE value <> ''), r AS (SELECT *, count(nm) OVER (PARTITION BY file ORDER BY block, line) AS run FROM l),
+pl AS (SELECT first_value(nm) OVER w AS contig, sum(CASE WHEN nm IS NULL THEN length(value) ELSE 0 END) OVER w - length(value) AS start, upper(value) AS bases, nm, run, file FROM r WHERE run > 0 WINDOW w AS (PARTITION BY file, run ORDER BY block, line)),
+pp AS (SELECT contig, start::BIGINT AS start, bases FROM pl WHERE nm IS NULL)"""
+
+
+@query("placed_lines", "lines", _PLACED + " SELECT * FROM pp")
+def placed_lines(lines):
+    return sequence.place_lines(lines)
+
+
+@query("contexts", "lines", _PLACED + """, whole AS (SELECT contig, string_agg(bases, '' ORDER BY start) AS seq FROM pp GROUP BY contig), q AS (SELECT contig, start - length(bases) AS s, start + 2 * length(bases) AS e FROM pp)
+SELECT q.contig, s, e, CASE WHEN s >= 1 AND e <= length(seq) THEN substr(seq, s, e - s + 1) END AS context FROM q JOIN whole USING (contig)""")
+def contexts(lines):
+    """What stands around the end of each line, as long as three times the line; some reach beyond their contig."""
+    placed = sequence.place_lines(lines)
+    asked = placed.select("contig", (F.col("start") - F.length("bases")).alias("s"), (F.col("start") + 2 * F.length("bases")).alias("e"))
+    return sequence.with_context(asked, placed, "contig", F.col("s"), F.col("e"), "context", 64)
+
+
 # --- germline branch ------------------------------------------------------------------------------------
 
 
@@ -372,7 +391,8 @@ def allele_counts(calls):
 
 _CL = """, s AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY patient, chrom ORDER BY pos, rid) <= 33 THEN 0 ELSE 1 END AS nw FROM calls WHERE source_set = 'RNA_EDIT'),
 n AS (SELECT *, sum(nw) OVER (PARTITION BY patient, chrom ORDER BY pos, rid ROWS UNBOUNDED PRECEDING) AS no FROM s),
-mem AS (SELECT *, patient || ':' || chrom || ':' || min(pos) OVER g AS cluster_id FROM n WINDOW g AS (PARTITION BY patient, chrom, no) QUALIFY count(*) OVER g >= 2)"""
+mm AS (SELECT * FROM n QUALIFY count(*) OVER (PARTITION BY patient, chrom, no) >= 2), fi AS (SELECT patient, chrom, min(rid) AS f FROM s GROUP BY ALL), pf AS (SELECT patient, min(f) AS f FROM fi GROUP BY ALL),
+nr AS (SELECT patient, chrom, no, format('CL{:06d}', row_number() OVER (ORDER BY pf.f, fi.f, no)) AS cluster_id FROM (SELECT DISTINCT patient, chrom, no FROM mm) JOIN fi USING (patient, chrom) JOIN pf USING (patient)), mem AS (SELECT * FROM mm JOIN nr USING (patient, chrom, no))"""
 
 
 @query("edit_clusters", "calls", _CL + " SELECT rid, cluster_id FROM mem")
@@ -381,14 +401,16 @@ def edit_clusters(calls):
 
 
 @query("cluster_summary", "calls", _CL + f""", gn AS (SELECT cluster_id, 'G' || (gene_no % 50) AS gene, count(*) AS c, min((pos, rid)) AS first FROM mem GROUP BY ALL),
-tn AS (SELECT cluster_id, 'T' || (gene_no % 7) AS tx, count(*) AS c, min((pos, rid)) AS first FROM mem WHERE gene_no % 7 > 2 GROUP BY ALL),
+tn AS (SELECT cluster_id, 'T' || (gene_no % 7) AS tx, count(*) AS c, min((pos, rid)) AS first FROM mem WHERE gene_no % 7 > 2 GROUP BY ALL), fs AS (SELECT *, CASE WHEN lane < 2 THEN {_SIG} ELSE 'OTHER' END AS sg FROM mem),
 top AS (SELECT cluster_id, gene AS top_gene FROM gn QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY c DESC, first) = 1), tt AS (SELECT cluster_id, tx AS top_transcript FROM tn QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY c DESC, first) = 1)
-SELECT cluster_id, min(pos) AS start, max(pos) AS "end", count(*) AS n, count(*) FILTER (WHERE {_SIG} = 'ADAR') AS n_adar, count(*) FILTER (WHERE {_SIG} = 'APOBEC3') AS n_apobec3, count(*) FILTER (WHERE {_SIG} = 'OTHER') AS n_other,
-  round(avg(ad_ref + ad_alt), 3) AS mean_dp, count(DISTINCT CASE WHEN gt <> './.' THEN ps END) = 1 AS one_block, any_value(top_gene) AS top_gene, any_value(top_transcript) AS top_transcript FROM mem JOIN top USING (cluster_id) LEFT JOIN tt USING (cluster_id) GROUP BY cluster_id""")
+SELECT cluster_id, patient, chrom, min(pos) AS start, max(pos) AS "end", count(*) AS n_variants, count(*) FILTER (WHERE sg = 'ADAR') AS adar_count, count(*) FILTER (WHERE sg = 'APOBEC3') AS apobec_count, count(*) FILTER (WHERE sg = 'OTHER') AS other_count,
+  round(coalesce(avg(CASE WHEN lane <> 3 THEN ad_ref + ad_alt END), 0), 3) AS mean_rna_dp, (count(DISTINCT ps) FILTER (WHERE lane <> 2) = 1)::INT AS single_ps_block, any_value(top_gene) AS top_gene, coalesce(any_value(top_transcript), '') AS top_transcript
+FROM fs JOIN top USING (cluster_id) LEFT JOIN tt USING (cluster_id) GROUP BY ALL""")
 def cluster_summary(calls):
-    """Some members name no transcript."""
+    """Signatures by flag; some members name no transcript, depth or phase block."""
     named = {"gene": F.concat(F.lit("G"), (F.col("gene_no") % 50).cast("string")), "transcript": F.when(F.col("gene_no") % 7 > 2, F.concat(F.lit("T"), (F.col("gene_no") % 7).cast("string"))).otherwise("")}
-    return clusters.cluster_summary(clusters.clusters(of(calls, "RNA_EDIT").withColumns(named)))
+    fields = {"signature": v.flagged_signature(F.col("info")), "dp": F.when(F.col("lane") != 3, F.col("ad_ref") + F.col("ad_alt")), "ps": F.when(F.col("lane") != 2, F.col("ps"))}
+    return clusters.cluster_summary(clusters.clusters(_with_info(of(calls, "RNA_EDIT")).withColumns(named | fields)))
 
 
 _TOP = 20

@@ -40,6 +40,14 @@ FROM (
     lpad(CAST(l_orderkey AS STRING), 12, '0') || '-' || CAST(l_linenumber AS STRING) || '-' || lpad(CAST(l_partkey AS STRING), 10, '0') || '-' || lpad(CAST(l_suppkey AS STRING), 9, '0') || '-' || CAST(CAST(l_shipdate AS DATE) AS STRING) AS rid
   FROM lineitem) x"""
 
+#: Lines of sequence files in blocks: names, lines of 1 to 50 bases, and some that are empty.
+LINES = """
+SELECT 'f' || CAST(l_suppkey % 3 AS STRING) AS file, CAST(l_orderkey - l_orderkey % 500 AS BIGINT) AS block,
+  lpad(CAST(l_orderkey AS STRING), 12, '0') || '-' || CAST(l_linenumber AS STRING) || '-' || lpad(CAST(l_partkey AS STRING), 10, '0') || '-' || lpad(CAST(l_suppkey AS STRING), 9, '0') || '-' || CAST(CAST(l_shipdate AS DATE) AS STRING) AS line,
+  CASE WHEN l_partkey % 97 = 0 THEN '>chr' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(CAST(l_shipdate AS DATE) AS STRING) || ' of ' || CAST(l_suppkey AS STRING) WHEN l_partkey % 31 = 0 THEN ''
+    ELSE substr(repeat('acgtTGCAGATC', 6), CAST(1 + l_partkey % 12 AS INT), CAST(l_quantity AS INT)) END AS value
+FROM lineitem"""
+
 #: Coverage intervals of three labels, one row per patient, interval and label.
 COVERAGE = """
 SELECT patient, chrom, st AS start_pos, st + 500 AS end_pos, label, CAST(avg(q) AS DOUBLE) AS cov FROM (
@@ -74,7 +82,7 @@ SELECT patient, chrom, pos, ref, alt, chrom || '_' || CAST(pos AS STRING) || '_'
 FROM ({calls}) c JOIN (SELECT 0 AS m, 0 AS t UNION ALL SELECT 1, 0 UNION ALL SELECT 1, 1 UNION ALL SELECT 2, 0 UNION ALL SELECT 2, 1 UNION ALL SELECT 2, 2) k ON c.gene_no % 3 = k.m
 WHERE source_set <> 'GERMLINE'"""
 
-TABLES = {"calls": (CALLS, "lineitem"), "sites": (SITES, "lineitem"), "coverage": (COVERAGE, "lineitem"), "gtf": (GTF, "supplier"), "reads": (READS, "orders"), "vep": (VEP.format(calls=CALLS), "lineitem")}
+TABLES = {"calls": (CALLS, "lineitem"), "sites": (SITES, "lineitem"), "lines": (LINES, "lineitem"), "coverage": (COVERAGE, "lineitem"), "gtf": (GTF, "supplier"), "reads": (READS, "orders"), "vep": (VEP.format(calls=CALLS), "lineitem")}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -144,32 +144,3 @@ def read_patients(spark: SparkSession, path: str, labels: list[str], selected: l
     if selected is not None:
         rows = rows.where(F.col("sample").isin(*selected) | F.col("patient").isin(*selected))
     return rows.groupBy("patient").agg(F.min("place").alias("place"))
-
-
-def read_sequence(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Reference sequences as a table of their lines: ``contig``, ``line``, ``width`` (of the contig's lines), ``bases`` (upper case).
-
-    All lines of a contig but its last have one width, as sequence indexes require.
-    """
-    parts = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "").select(F.split("value", r"\r?\n").alias("l"))
-    named = parts.select(F.get(F.split(F.get("l", F.lit(0)), r"\s+"), F.lit(0)).alias("contig"), F.length(F.get("l", F.lit(1))).alias("width"), F.posexplode("l").alias("at", "bases"))
-    return named.where((F.col("at") > 0) & (F.col("bases") != "")).select("contig", (F.col("at") - 1).cast("long").alias("line"), "width", F.upper("bases").alias("bases"))
-
-
-def with_context(df: DataFrame, sequence: DataFrame, chrom: str, start: Column, end: Column, out: str) -> DataFrame:
-    """``df`` with ``out``: the bases from ``start`` to ``end``, both 1-based and included.
-
-    Null if the contig is unknown, ``start`` is below 1, or the contig ends before ``end``. Contig names match with or
-    without chr. A place joins the lines it lies on, each by contig and line number.
-    """
-    ref = sequence.select(chrom_norm(F.col("contig")).alias("__c"), "line", "width", "bases")
-    width = ref.groupBy("__c").agg(F.max("width").alias("__w"))
-    asked = df.withColumns({"__c": chrom_norm(F.col(chrom)), "__s": start.cast("long"), "__e": end.cast("long")})
-    places = asked.select("__c", "__s", "__e").where("__c is not null and __s >= 1 and __e >= __s").distinct().join(width, "__c")
-    of_line = places.withColumn("line", F.explode(F.sequence(F.floor((F.col("__s") - 1) / F.col("__w")), F.floor((F.col("__e") - 1) / F.col("__w")))))
-    first = F.greatest(F.col("__s") - 1 - F.col("line") * F.col("__w"), F.lit(0))
-    last = F.least(F.col("__e") - F.col("line") * F.col("__w"), F.col("__w").cast("long"))
-    cut = of_line.join(ref, ["__c", "line"]).select("__c", "__s", "__e", F.struct("line", F.substring(F.col("bases"), (first + 1).cast("int"), (last - first).cast("int")).alias("b")).alias("p"))
-    text = cut.groupBy("__c", "__s", "__e").agg(F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["b"]), "").alias(out))
-    text = text.where(F.length(out) == F.col("__e") - F.col("__s") + 1)
-    return asked.drop(out).join(text, ["__c", "__s", "__e"], "left").drop("__c", "__s", "__e")

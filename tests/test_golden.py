@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from helixframe.functions import variant as v
-from helixframe.operators import annotate, clusters, germline, merge, ranges, records, rna_edit, strand
+from helixframe.operators import alternates, annotate, clusters, germline, merge, ranges, records, rna_edit, strand
 
 
 def values(spark, rows, schema, *columns):
@@ -95,7 +95,62 @@ def test_composition_ladder(spark):
 def test_clusters_chain_at_distance(spark):
     rows = [("P", "1", p, f"{i}") for i, p in enumerate((10, 43, 77, 77, 200))]
     got = sorted((r.pos, r.cluster_id) for r in clusters.clusters(spark.createDataFrame(rows, "patient string, chrom string, pos bigint, rid string")).collect())
-    assert got == [(10, "P:1:10"), (43, "P:1:10"), (77, "P:1:77"), (77, "P:1:77")]
+    assert got == [(10, "CL000001"), (43, "CL000001"), (77, "CL000002"), (77, "CL000002")]
+
+
+def test_clusters_are_numbered_in_reading_order(spark):
+    """Patients as their files are read, chromosomes as they come first in a file, then positions; chromosomes without clusters take no number."""
+    at = {"Q": [("X", 5), ("2", 9), ("2", 12), ("2", 90), ("2", 91), ("10", 1), ("10", 3)], "A": [("1", 1), ("7", 4), ("7", 5), ("1", 2)], "B": [("1", 3)], "C": [("1", 8), ("1", 9), ("1", 10)]}
+    rows = [(p, c, pos, f"{i:02d}{j:02d}") for i, (p, calls) in enumerate(at.items()) for j, (c, pos) in enumerate(calls)]
+    df = spark.createDataFrame(rows, "patient string, chrom string, pos bigint, rid string").repartition(5)
+    got = {(r.patient, r.chrom, r.pos): r.cluster_id for r in clusters.clusters(df).collect()}
+    want = {("Q", "2", 9): 1, ("Q", "2", 12): 1, ("Q", "2", 90): 2, ("Q", "2", 91): 2, ("Q", "10", 1): 3, ("Q", "10", 3): 3, ("A", "1", 1): 4, ("A", "1", 2): 4, ("A", "7", 4): 5, ("A", "7", 5): 5, ("C", "1", 8): 6, ("C", "1", 9): 6, ("C", "1", 10): 6}
+    assert got == {k: f"CL{n:06d}" for k, n in want.items()} and clusters.clusters(df.limit(0)).count() == 0
+
+
+def test_merge_of_unequal_references(spark):
+    """An SNV and a deletion, an insertion, phased calls of one block, a symbolic alternate, calls without genotype."""
+    calls = [
+        ("P", "1", 5, "A", "G", "SOMATIC", "0/1", 1, "a"), ("P", "1", 5, "AT", "A", "RNA_EDIT", "0|1", 1, "b"),
+        ("P", "1", 6, "A", "G", "SOMATIC", "0|1", 1, "c"), ("P", "1", 6, "A", "T", "SOMATIC", "1|0", 1, "d"), ("P", "1", 7, "A", "G", "SOMATIC", "0|1", 1, "e"), ("P", "1", 7, "A", "T", "SOMATIC", "1|0", 2, "f"),
+        ("P", "1", 8, "AC", "GC", "GERMLINE", "1/1", None, "g"), ("P", "1", 8, "A", "G", "RNA_EDIT", "0/1", None, "h"), ("P", "1", 8, "A", "<DEL>", "RNA_EDIT", None, None, "i"), ("P", "1", 9, "C", ".", "GERMLINE", "0/0", None, "j"),
+        ("P", "1", 10, "A", "G", "SOMATIC", "0/1", None, "k"), ("P", "1", 10, "A", "T", "SOMATIC", "0/1", None, "l"), ("P", "1", 10, "A", "C", "SOMATIC", "./.", None, "m"),
+    ]
+    df = spark.createDataFrame(calls, "patient string, chrom string, pos bigint, ref string, alt string, source_set string, gt string, ps bigint, rid string").repartition(3)
+    got = {r.pos: (r.ref, r.alts, r.gt_germline, r.gt_somatic, r.gt_rna_edit) for r in merge.merge_sources(df).collect()}
+    assert got == {
+        5: ("AT", "GT,A", "./.", "0/1", "0|2"), 6: ("A", "G,T", "./.", "2|1", "./."), 7: ("A", "G,T", "./.", "1/2", "./."), 8: ("AC", "GC,<DEL>", "1/1", "./.", "0/1"),
+        9: ("C", "", "0/0", "./.", "./."), 10: ("A", "G,T,C", "./.", "1/2", "./."),
+    }
+    assert merge.merge_sources(df.limit(0)).count() == 0
+
+
+def test_counts_without_called_alleles_and_of_backups(spark):
+    df = spark.createDataFrame([("a", "./."), ("a", None), ("b", "0|1"), ("b", "."), ("b", "1/2/0")], "k string, gt string")
+    assert sorted(tuple(r) for r in merge.allele_counts(df, ["k"]).collect()) == [("a", 0, 0, None), ("b", 5, 3, 0.6)]
+    steps = [("dna", False), ("rna", True), ("backup", True), ("normal", True), ("normal", False), ("hom_ref", True), ("hom_ref", False), ("normal", None)]
+    composed = spark.createDataFrame([("P", *s) for s in steps], "patient string, tumour_from string, is_edit boolean")
+    assert tuple(merge.compose_counts(composed).first()) == ("P", 1, 1, 3)
+
+
+def test_germline_with_somatic(spark):
+    rows = [("P", "1", 100, "1|1", 1, "GERMLINE", "a"), ("P", "1", 110, "0|1", 1, "SOMATIC", "b"), ("P", "1", 120, "0|1", 1, "GERMLINE", "c"), ("P", "1", 120, "0|1", 2, "GERMLINE", "d"), ("P", "1", 121, "1/1", None, "GERMLINE", "e"), ("P", "1", 900, "1/1", 1, "GERMLINE", "f"), ("P", "1", 99, "0/1", 1, "RNA_EDIT", "g"), ("Q", "1", 100, "1/1", 1, "GERMLINE", "h")]
+    df = spark.createDataFrame(rows, "patient string, chrom string, pos bigint, gt string, ps bigint, source_set string, rid string")
+    assert sorted(r.rid for r in germline.with_somatic(df).collect()) == ["a", "b", "c", "e"]
+
+
+def test_source_class_numbers_and_samples(spark):
+    got = values(spark, [("GERMLINE, GERMLINE",), ("SOMATIC",), ("RNA_EDIT,",), ("GERMLINE,SOMATIC",), (" other ",), ("",), (None,)], "s string", v.source_exact(F.col("s")))
+    assert [g for g, in got] == ["GERMLINE", "SOMATIC", "RNA_EDIT", "GERMLINE,SOMATIC", "other", "NA", "NA"]
+    assert values(spark, [(None,), (0.5,)], "x double", v.number_text(F.col("x"), missing=".")) == [(".",), ("0.5",)]
+    maps = "a map<string,string>, b map<string,string>"
+    got = values(spark, [({"GT": "./."}, {"GT": "0/1"}), ({"GT": "0/1"}, {"GT": "1/1"}), ({"GT": "."}, {"GT": "./."}), (None, {"GT": "0/1"}), ({"GT": "."}, None)], maps, records.signal_sample(F.col("a"), F.col("b"), F.lit("rna"), F.lit("dna"))["sample"])
+    assert [g for g, in got] == ["dna", "rna", "rna", "dna", "rna"]
+    kinds = spark.createDataFrame([("GT:AD:S:PS", "0/1:3:GERMLINE:9", "X=1;AF=0.5"), ("GT:S:PS", "0/1:SOMATIC:.", "AF=0.1"), ("GT:S:PS", "0/1:OTHER:.", "AF=0.1"), ("GT", "0/1", "AF=1")], "format string, sample string, i string")
+    got = records.af_to_format(kinds.withColumn("info", v.info_map(F.col("i")))).select("format", "sample").collect()
+    assert [tuple(r) for r in got] == [("GT:AD:AF:S:PS", "0/1:3:0.5:GERMLINE:9"), ("GT:S:PS", "0/1:SOMATIC:.")]
+    ref = spark.createDataFrame([("G,T", "3,4,5", None, None, None), ("G", ".,1", "7,2", None, None), ("G", None, None, None, None)], "alts string, ad string, fad string, dp string, af string")
+    assert [r.ref_count for r in alternates.per_alternate(ref).collect()] == [3.0, 3.0, 7.0, None]
 
 
 def test_read_blocks_and_strand(spark):

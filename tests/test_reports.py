@@ -93,10 +93,13 @@ def test_dedup_counts_and_metrics(spark):
 
 def test_top_names_of_a_cluster(spark):
     df = spark.createDataFrame(
-        [("c", 1, "A", "G", 1, 1, "0|1", 1, "", None, "a"), ("c", 2, "A", "G", 1, 2, "0|1", 1, "g", "", "b"), ("d", 1, "A", "G", 5, 5, "0|1", 1, None, "t2", "x"), ("d", 2, "A", "G", 5, 6, "0|1", 2, None, "t1", "y"), ("d", 3, "A", "G", 5, 6, "0|1", 2, None, "t1", "z")],
-        "cluster_id string, pos bigint, ref string, alt string, ad_ref int, ad_alt int, gt string, ps bigint, gene string, transcript string, rid string",
-    )
-    assert rows(clusters.cluster_summary(df), "cluster_id", "top_gene", "top_transcript", "mean_dp", "one_block") == [("c", "g", None, 2.5, True), ("d", None, "t1", 10.667, False)]
+        [("P", "1", "c", 1, "ADAR", 2.0, "1", "", None, "a"), ("P", "1", "c", 2, "ADAR", None, "1", "g", "", "b"), ("P", "1", "d", 1, "OTHER", 10.0, "1", None, "t2", "x"), ("P", "1", "d", 2, "APOBEC3", 11.0, "2", None, "t1", "y"), ("P", "1", "d", 3, "ADAR", 11.0, "2", None, "t1", "z"),
+         ("P", "2", "e", 3, None, None, ".", "g2", None, "z"), ("P", "2", "e", 4, "ADAR", None, None, "g1", None, "z")],
+        "patient string, chrom string, cluster_id string, pos bigint, signature string, dp double, ps string, gene string, transcript string, rid string",
+    )
+    names = ("cluster_id", "start", "end", "n_variants", "adar_count", "apobec_count", "other_count", "mean_rna_dp", "single_ps_block", "top_gene", "top_transcript")
+    assert rows(clusters.cluster_summary(df), *names) == [("c", 1, 2, 2, 2, 0, 0, 2.0, 1, "g", ""), ("d", 1, 3, 3, 1, 1, 1, 10.667, 0, "", "t1"), ("e", 3, 4, 2, 1, 0, 0, 0.0, 0, "g2", "")]
+    assert clusters.cluster_summary(df.limit(0)).count() == 0
 
 
 def test_a_full_match_without_a_value_takes_none_from_the_other_tier(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import variant as v
 from helixframe.operators import alternates, merge, strand
-from helixframe.sources import lists, sinks, text
+from helixframe.sources import lists, sequence, sinks, text
 
 
 def put(path, content):
@@ -110,8 +110,8 @@ def test_merge_of_several_alternates(spark):
         "patient string, chrom string, pos bigint, ref string, alt string, source_set string, gt string, ad array<int>, rid string",
     )
     got = merge.merge_sources(calls)
-    assert rows(got, "pos", "alts", "gt_germline", "gt_somatic", "gt_rna_edit") == [(5, "G,T,C", "0|1", "2/1", "./."), (6, "C", "./.", "./.", "1/."), (7, "", "./.", "./.", "./.")]
-    assert rows(got, "pos", "ad_germline", "ad_somatic", "ad_rna_edit") == [(5, [9, 3, None, None], [8, 2, 1, None], None), (6, None, None, [1, None]), (7, None, None, None)]
+    assert rows(got, "pos", "alts", "gt_germline", "gt_somatic", "gt_rna_edit") == [(5, "G,T,C", "0|1", "1/2/3/3", "./."), (6, "C", "./.", "./.", "1/."), (7, "", "./.", "./.", "./.")]
+    assert rows(got, "pos", "ad_germline", "ad_somatic", "ad_rna_edit") == [(5, [9, 3, None, None], [8, 2, 1, 9], None), (6, None, None, [1, None]), (7, None, None, None)]
 
 
 def test_sample_sheet(spark, tmp_path):
@@ -124,10 +124,22 @@ def test_sample_sheet(spark, tmp_path):
 def test_context_equals_slices(spark, tmp_path):
     rnd = random.Random(3)
     seqs = {c: "".join(rnd.choice("acgtACGT") for _ in range(n)) for c, n in (("chr1", 203), ("2", 20), ("chrX", 61))}
-    fasta = put(tmp_path / "r.fa", "".join(f">{c} note\n" + "".join(s[i : i + 20] + "\n" for i in range(0, len(s), 20)) for c, s in seqs.items()))
+    widths = lambda n: [0, *sorted(rnd.sample(range(1, n), n // 20)), n]
+    cut = {c: [s[i:j] for w in [widths(len(s))] for i, j in zip(w, w[1:])] for c, s in seqs.items()}
+    fasta = put(tmp_path / "r.fa", "ACGT\n" + "".join(f">{c} note\n" + "\n\n".join(lines) + "\r\n" for c, lines in cut.items()) + ">empty\n")
     asks = [(i, rnd.choice(["chr1", "1", "chr2", "X", "9", None]), rnd.randint(-2, 205), rnd.choice([0, 4, 45])) for i in range(150)]
     df = spark.createDataFrame(asks, "i int, chrom string, s int, more int")
-    got = text.with_context(df, text.read_sequence(spark, fasta), "chrom", F.col("s"), F.col("s") + F.col("more"), "ctx")
+    lines = sequence.read_sequence(spark, fasta)
+    placed = {(r.contig, r.start, r.bases) for r in lines.collect()}
+    assert placed == {(c, sum(map(len, part[:i])), part[i].upper()) for c, part in cut.items() for i in range(len(part))}
+    blocks = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(blocks)
+    spark.conf.set(blocks, "37")
+    try:
+        assert {(r.contig, r.start, r.bases) for r in sequence.read_sequence(spark, fasta).collect()} == placed
+    finally:
+        spark.conf.set(blocks, before)
+    got = sequence.with_context(df, lines, "chrom", F.col("s"), F.col("s") + F.col("more"), "ctx", 16)
     plain = {c.removeprefix("chr"): s.upper() for c, s in seqs.items()}
     want = {}
     for i, c, s, more in asks:
