@@ -110,8 +110,9 @@ def dedup_counts(ranked: DataFrame) -> DataFrame:
     key = {"source_set": F.coalesce("source_set", F.lit("NA")), "primary_consequence": F.col("primary"), "known_db_hit": F.when(v.known_site(F.col("known_db")), "1").otherwise("0")}
     n = ranked.groupBy("patient", *(c.alias(name) for name, c in key.items())).agg(F.count("*").alias("raw_rows"), F.count_if(F.col("n") == 1).alias("dedup_kept_rows"), F.count_if(F.col("n") > 1).alias("filtered_transcript_rows"))
     each = n.unpivot(["patient", *key], ["raw_rows", "dedup_kept_rows", "filtered_transcript_rows"], "stage", "count").where("count > 0")
-    cohort = each.groupBy("stage", *key).agg(F.sum("count").alias("count")).withColumn("patient", F.lit(None).cast("string"))
-    return each.where("patient is not null").unionByName(cohort)
+    # each count goes to its patient and to the cohort, from one pass over the rows
+    both = each.withColumn("__cohort", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn("patient", F.when(~F.col("__cohort"), F.col("patient")))
+    return both.where("__cohort or patient is not null").groupBy("__cohort", "patient", "stage", *key).agg(F.sum("count").alias("count")).drop("__cohort")
 
 
 def dedup_metrics(ranked: DataFrame) -> DataFrame:

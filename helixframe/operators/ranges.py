@@ -1,8 +1,9 @@
-"""Range joins as equi-joins on bins. Spark has no range join of its own; without bins these would be nested loops."""
+"""Range joins as equi-joins on bins, and a sweep where only counts of covering intervals are asked. Spark has no range join of its own; these would be nested loops."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -41,3 +42,30 @@ def in_intervals(points: DataFrame, intervals: DataFrame, keys: list[str], point
     right = intervals.withColumn("__bin", cover)
     left = points.withColumn("__bin", _bin(F.col(point), bin_size))
     return left.join(right, [*keys, "__bin"]).where((F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))).drop("__bin")
+
+
+def covering(points: DataFrame, intervals: DataFrame, keys: list[str], point: str, start: str, end: str, kinds: dict[str, Column], block: int = 1_000_000) -> DataFrame:
+    """Different points (``keys``, ``point``) and, for each of ``kinds``, how many intervals of that kind (a condition) cover them, half open.
+
+    A sweep: an interval counts from its start and no longer from its end, so its cost does not depend on its length. Positions
+    are swept by blocks, each with the sum of all blocks before it, which is one row a block. Intervals that end at or before their start cover nothing;
+    null keys and positions are left out.
+    """
+    names = list(kinds)
+    size = {n: F.when(F.coalesce(c, F.lit(False)), 1).otherwise(0).cast("long") for n, c in kinds.items()}
+    ranges = intervals.where(F.col(end) > F.col(start)).select(*keys, F.col(start).cast("long").alias("__s"), F.col(end).cast("long").alias("__e"), *(c.alias(n) for n, c in size.items()))
+    edge = lambda at, sign: ranges.select(*keys, F.col(at).alias("__at"), *((F.col(n) * sign).alias(n) for n in names))
+    changes = edge("__s", 1).unionByName(edge("__e", -1)).groupBy(*keys, "__at").agg(*(F.sum(n).alias(n) for n in names)).withColumn("__point", F.lit(False))
+    asked = points.select(*keys, F.col(point).cast("long").alias("__at")).distinct().select("*", *(F.lit(0).cast("long").alias(n) for n in names), F.lit(True).alias("__point"))
+    known = F.col("__at").isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    of_block = lambda rows: rows.where(known).withColumn("__block", F.floor(F.col("__at") / block))
+    before = W.partitionBy(*keys).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+    sums = of_block(changes).groupBy(*keys, "__block").agg(*(F.sum(n).alias(n) for n in names))
+    # blocks that are asked but have no change of their own take what the last one before them leaves
+    blocks = sums.unionByName(of_block(asked).select(*keys, "__block", *names).distinct()).groupBy(*keys, "__block").agg(*(F.sum(n).alias(n) for n in names))
+    carried = blocks.select(*keys, "__block", *(F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"__{n}") for n in names))
+    within = W.partitionBy(*keys, "__block").orderBy("__at", "__point").rowsBetween(W.unboundedPreceding, 0)
+    swept = of_block(changes.unionByName(asked)).select(*keys, "__block", "__at", "__point", *(F.sum(n).over(within).alias(n) for n in names)).where("__point")
+    return swept.join(carried, [*keys, "__block"]).select(*keys, F.col("__at").alias(point), *((F.col(n) + F.col(f"__{n}")).alias(n) for n in names))

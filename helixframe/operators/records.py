@@ -80,8 +80,8 @@ def unfiltered(records: DataFrame) -> DataFrame:
 
 
 def known_sites_only(records: DataFrame, pattern: str, keep_all: bool = False) -> DataFrame:
-    """Records whose ``known_db`` matches ``pattern``; all of them with ``keep_all``. See ``empty_patients`` for the gate."""
-    return records if keep_all else records.where(F.coalesce(F.col("known_db").rlike(pattern), F.lit(False)))
+    """Records whose ``known_db`` matches ``pattern`` (null, empty and ``.`` match nothing); all of them with ``keep_all``. See ``gates.known_sites_gate``."""
+    return records if keep_all else records.where(F.coalesce(F.col("known_db").rlike(pattern) & ~F.col("known_db").isin("", "."), F.lit(False)))
 
 
 def empty_patients(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
-from .ranges import in_intervals
+from .ranges import covering, in_intervals
 
 
-def gene_strands(calls: DataFrame, gtf: DataFrame, bin_size: int = 100_000) -> DataFrame:
-    """``strands`` of each call (by rid): those of exonic features over it, else those of transcripts, else empty."""
-    points = calls.select("rid", v.chrom_norm(F.col("chrom")).alias("chrom_norm"), (F.col("pos") - 1).alias("p0"))
-    genes = gtf.where(F.col("strand").isin("+", "-")).select(v.chrom_norm(F.col("chrom")).alias("chrom_norm"), "start0", "end0", "strand", F.col("feature").isin(*v.EXONIC).alias("exonic"))
-    hits = in_intervals(points, genes, ["chrom_norm"], "p0", "start0", "end0", bin_size)
-    sets = hits.groupBy("rid").agg(F.array_sort(F.collect_set(F.when(F.col("exonic"), F.col("strand")))).alias("e"), F.array_sort(F.collect_set(F.when(~F.col("exonic"), F.col("strand")))).alias("t"))
-    best = F.when(F.size("e") > 0, F.col("e")).otherwise(F.col("t"))
-    return calls.join(sets.select("rid", best.alias("strands")), "rid", "left").withColumn("strands", F.coalesce("strands", F.array().cast("array<string>")))
+def gene_strands(calls: DataFrame, gtf: DataFrame, block: int = 1_000_000) -> DataFrame:
+    """``strands`` of each call: those of exonic features over it, else those of transcripts, else empty; worked out once for each position."""
+    chrom = v.chrom_norm(F.col("chrom"))
+    genes = gtf.where(F.col("strand").isin("+", "-")).select(chrom.alias("__c"), "start0", "end0", "strand", F.col("feature").isin(*v.EXONIC).alias("exonic"))
+    kinds = {f"__{tier}{i}": (F.col("exonic") == (tier == "e")) & (F.col("strand") == s) for tier in "et" for i, s in enumerate("+-")}
+    rows = calls.withColumns({"__c": chrom, "__p": F.col("pos") - 1})
+    counts = covering(rows, genes, ["__c"], "__p", "start0", "end0", kinds, block)
+    own = lambda tier: F.filter(F.array(*(F.when(F.col(f"__{tier}{i}") > 0, s) for i, s in enumerate("+-"))), lambda x: x.isNotNull())
+    sets = counts.select("__c", "__p", F.when(F.size(own("e")) > 0, own("e")).otherwise(own("t")).alias("strands"))
+    out = rows.join(sets, ["__c", "__p"], "left").select(*calls.columns, "strands")
+    return out.withColumn("strands", F.coalesce("strands", F.array().cast("array<string>")))
 
 
 def aligned_blocks(reads: DataFrame) -> DataFrame:
