@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from helixframe.llm import leaks, lines, pieces, rules, simhash
-from helixframe.llm.common import read_table, written
+from helixframe.llm.common import drop, passing, read_table, written
 
 STAGES = [
     ("quality rules", rules.stage),
@@ -25,10 +25,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for ``documents`` of ``sf_dir``."""
+    """The last stage's rows for ``documents`` of ``sf_dir``.
+
+    What a stage has written beside its result goes when the result is written, and that goes when the next stage's is; the
+    last stage's rows read one table. Nulls, empty texts, repeated rows and empty tables are for the stages, which say what becomes of them.
+    """
     docs = read_table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = written(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        with passing() as keep:
+            kept = keep(written(stage(spark, docs, sf_dir)))
+        drop(docs)
+        docs = kept
+    return STAGES[-1][1](spark, docs, sf_dir)
