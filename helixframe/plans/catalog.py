@@ -2,34 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
 from ..operators import alternates, annotate, clusters, coverage, germline, landscape, merge, records, rna_edit, strand
 from ..operators.ranges import near_any
 from ..sources import lists, sequence
-from .fixtures import table, with_tables
+from .registry import QUERIES, SQL, query
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, tables: str = "", sql: str | None = None):
-    """Registers a query; ``sql`` follows the projections ``tables`` as further common table expressions."""
-
-    def add(f):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(*(table(spark, sf_dir, t) for t in tables.split()))
-
-        run.__name__ = name
-        run.__doc__ = f.__doc__
-        QUERIES[name] = run
-        if sql:
-            SQL[name] = with_tables(sql, *tables.split())
-        return f
-
-    return add
+__all__ = ["QUERIES", "SQL"]
 
 
 def of(calls: DataFrame, source: str) -> DataFrame:
