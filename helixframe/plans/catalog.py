@@ -51,10 +51,13 @@ def edit_signature(calls):
     return rna_edit.edit_signature(calls).select("rid", "ref", "alt", v.signature(F.col("ref"), F.col("alt")).alias("signature"))
 
 
-@query("signature_counts", "calls", f""" SELECT patient, count(*) AS total, 0 AS non_snv, count(*) FILTER (WHERE {_SIG} = 'OTHER') AS no_signature,
-  count(*) FILTER (WHERE {_SIG} = 'ADAR') AS adar_only, count(*) FILTER (WHERE {_SIG} = 'APOBEC3') AS apobec3_only, 0 AS both FROM calls GROUP BY patient""")
-def signature_counts(calls):
-    return rna_edit.signature_counts(calls)
+@query("signature_counts", "sites", """, w AS (SELECT patient, ref, string_split(CASE WHEN kind = 4 AND ad_ref % 2 = 0 THEN alt || ',' || 'G' ELSE alt END, ',') AS alts FROM sites),
+f AS (SELECT patient, length(ref) = 1 AND len(list_filter(alts, lambda x: length(x) <> 1)) = 0 AS snv, len(list_filter(alts, lambda x: ref || '>' || x IN ('A>G', 'T>C'))) > 0 AS a, len(list_filter(alts, lambda x: ref || '>' || x IN ('C>T', 'G>A'))) > 0 AS b FROM w)
+SELECT patient, count(*) AS total, count(*) FILTER (WHERE NOT snv) AS non_snv, count(*) FILTER (WHERE snv AND NOT a AND NOT b) AS no_signature, count(*) FILTER (WHERE snv AND a AND NOT b) AS adar_only,
+  count(*) FILTER (WHERE snv AND b AND NOT a) AS apobec3_only, count(*) FILTER (WHERE snv AND a AND b) AS both FROM f GROUP BY patient""")
+def signature_counts(sites):
+    """Insertions, deletions and records of several alternates among them."""
+    return rna_edit.signature_counts(sites.withColumn("alt", F.when((F.col("kind") == 4) & (F.col("ad_ref") % 2 == 0), F.concat("alt", F.lit(",G"))).otherwise(F.col("alt"))))
 
 
 @query("paired_qc", "calls", f" SELECT rid, {_QC} AS drop_reason FROM calls")
@@ -579,10 +582,11 @@ def same_copy_report(calls, vep):
     return landscape.same_copy_report(totals, clusters.source_counters(rows), pairs)
 
 
-@query("edit_records", "calls", f" SELECT rid FROM calls WHERE (source_set = 'RNA_EDIT' OR {_SIG} <> 'OTHER' OR known_db IS NOT NULL) AND ad_alt >= 10")
+@query("edit_records", "calls", f" SELECT rid FROM calls WHERE (source_set = 'RNA_EDIT' OR ({_SIG} <> 'OTHER' AND lane < 2) OR known_db IS NOT NULL) AND ad_alt >= 10")
 def edit_records(calls):
-    edit = alternates.edit_record(F.col("source_set"), v.signature(F.col("ref"), F.col("alt")), F.col("known_db"))
-    return calls.where(edit & alternates.enough_alternates(F.col("ad_alt"))).select("rid")
+    """Signatures by flag."""
+    edit = alternates.edit_record(F.col("source_set"), v.flagged_signature(F.col("info")), F.col("known_db"))
+    return _with_info(calls).where(edit & alternates.enough_alternates(F.col("ad_alt"))).select("rid")
 
 
 @query("first_stage", "calls", """ SELECT patient, split_part(min(CASE lane WHEN 3 THEN '1' WHEN 0 THEN '2' ELSE '3' END || ' s' || lane || ' ' || rid), ' ', 2) AS stage, split_part(min(CASE lane WHEN 3 THEN '1' WHEN 0 THEN '2' ELSE '3' END || ' s' || lane || ' ' || rid), ' ', 3) AS path
@@ -595,7 +599,9 @@ def first_stage(calls):
 @query("proximity_source", "calls", """ SELECT patient, CASE WHEN bool_or(lane = 3 AND ad_ref > 49) THEN 's3' WHEN bool_or(lane = 0 AND ad_ref > 49) THEN 's0' END AS stage,
   coalesce(min(rid) FILTER (WHERE lane = 3 AND ad_ref > 49), min(rid) FILTER (WHERE lane = 0 AND ad_ref > 49)) AS path, CASE WHEN bool_or(lane IN (0, 3) AND ad_ref > 49) THEN 'USED' ELSE 'NONE_FOUND' END AS status FROM calls GROUP BY patient""")
 def proximity_source(calls):
-    made = calls.where("ad_ref > 49").select("patient", F.concat(F.lit("s"), F.col("lane").cast("string")).alias("stage"), F.col("rid").alias("path"))
+    """Outputs of other stages (drafts) do not count."""
+    stage = F.when(F.col("ad_ref") > 49, F.concat(F.lit("s"), F.col("lane").cast("string"))).otherwise("draft")
+    made = calls.select("patient", stage.alias("stage"), F.col("rid").alias("path"))
     return alternates.proximity_source(calls, made, ["s3", "s0"])
 
 
