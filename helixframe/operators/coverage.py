@@ -36,6 +36,11 @@ def categories(rows: DataFrame) -> DataFrame:
     return out.select("patient", "category", "intervals", "bp", share("all_n").alias("share_all"), F.when(F.col("mask") > 0, share("cov_n")).otherwise(0.0).alias("share_covered"))
 
 
+def category_matrix(rows: DataFrame) -> DataFrame:
+    """One row per patient and a column per category (0 where a patient has none); bins, whose number has no bound, stay long (see ``bins``)."""
+    return rows.groupBy("patient").pivot("category", list(LABELS)).count().fillna(0)
+
+
 def bins(rows: DataFrame, size: int = 5000) -> DataFrame:
     at = (F.floor(F.col("start_pos") / size) * size).cast("long").alias("bin")
     share = lambda c, n: F.avg(c.cast("int")).alias(n)

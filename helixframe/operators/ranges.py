@@ -36,12 +36,22 @@ def near_any(a: DataFrame, b: DataFrame, keys: list[str], distance: int, pos: st
     return left.join(right, cond, "left_semi").drop("__bin")
 
 
-def in_intervals(points: DataFrame, intervals: DataFrame, keys: list[str], point: str, start: str, end: str, bin_size: int = 100_000) -> DataFrame:
-    """Pairs of points and half-open intervals that hold them; each interval is repeated for the bins it touches."""
-    cover = F.explode(F.sequence(_bin(F.col(start), bin_size), _bin(F.greatest(F.col(end) - 1, F.col(start)), bin_size)))
-    right = intervals.withColumn("__bin", cover)
-    left = points.withColumn("__bin", _bin(F.col(point), bin_size))
-    return left.join(right, [*keys, "__bin"]).where((F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))).drop("__bin")
+def in_intervals(points: DataFrame, intervals: DataFrame, keys: list[str], point: str, start: str, end: str, bin_size: int = 1000) -> DataFrame:
+    """Pairs of points and half-open intervals that hold them, for intervals of any length.
+
+    Intervals are binned by their length: bins are the least of ``bin_size`` times a power of four that is no shorter, so an interval is repeated for two
+    bins at most, however long it is. A point looks into one bin of each size that occurs (16 sizes at most, in one broadcast row).
+    An interval that ends at or before its start holds nothing; null keys and positions pair with nothing.
+    """
+    length = F.col(end) - F.col(start)
+    size = F.least(F.greatest(F.ceil(F.log(4.0, length.cast("double") / bin_size) - 1e-9), F.lit(0)), F.lit(15)).cast("int")
+    width = lambda c: (F.lit(bin_size) * F.pow(F.lit(4.0), c)).cast("long")
+    sized = intervals.where(length > 0).withColumn("__size", size)
+    step = width(F.col("__size"))
+    right = sized.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(start) / step), F.floor((F.col(end) - 1) / step))))
+    sizes = F.broadcast(sized.agg(F.collect_set("__size").alias("__sizes")))
+    left = points.crossJoin(sizes).withColumn("__size", F.explode("__sizes")).drop("__sizes").withColumn("__bin", F.floor(F.col(point) / step))
+    return left.join(right, [*keys, "__size", "__bin"]).where((F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))).drop("__size", "__bin")
 
 
 def covering(points: DataFrame, intervals: DataFrame, keys: list[str], point: str, start: str, end: str, kinds: dict[str, Column], block: int = 1_000_000) -> DataFrame:

@@ -71,16 +71,8 @@ def collapse_lanes(lanes: DataFrame, key: list[str], order: list[str]) -> DataFr
     return rows.withColumns({"af": v.recomputed_af(F.col("ad"), F.col("dp")), "gt": gt}).drop("dps")
 
 
-def reference_chunks(sequences: DataFrame, size: int = 10_000, overlap: int = 8) -> DataFrame:
-    """Contig sequences (``contig``, ``seq``) as overlapping chunks ``chunk_id``, ``start1``, ``seq``."""
-    # one pass over a sequence, which is not carried beside its chunks: each match looks ahead further than it goes
-    parts = F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{1,{size + overlap}}})).{{1,{size}}}"), F.lit(1))
-    parts = F.when(F.length("seq") > 0, parts).when(F.col("seq").isNotNull(), F.array(F.lit("")))
-    return sequences.select("contig", F.posexplode(parts).alias("chunk_id", "seq")).select("contig", "chunk_id", (F.col("chunk_id") * size + 1).alias("start1"), "seq")
-
-
 def piece_chunks(pieces: DataFrame, order: str, size: int = 10_000, overlap: int = 8, prefix: int = 9) -> DataFrame:
-    """As ``reference_chunks``, of sequences that are spelt by the rows of ``pieces`` (``contig``, ``seq``) in order of the string ``order``.
+    """Chunks (see ``sequence.chunks``) of sequences that are spelt by the rows of ``pieces`` (``contig``, ``seq``) in order of the string ``order``.
 
     No sequence is built as a whole: rows are placed within runs of an equal ``prefix`` of
     ``order`` (which sorts as ``order`` does), and runs by the sums of those before.
@@ -102,3 +94,8 @@ def with_motif(calls: DataFrame, chunks: DataFrame, size: int = 10_000) -> DataF
     rows = rows.join(chunks.withColumnRenamed("contig", "chrom"), ["chrom", "chunk_id"], "left")
     rows = rows.select(*calls.columns, context(-3, "__b"), context(-1, "__a"))
     return rows.select(*calls.columns, v.motif_hit(F.col("ref"), F.col("alt"), F.col("__b"), F.col("__a")).alias("motif"))
+
+
+def drop_counts(judged: DataFrame, reason: str = "drop_reason") -> DataFrame:
+    """``patient``, the reason and ``n``: calls dropped for each reason of ``paired_qc``; those without one are the kept ones."""
+    return judged.groupBy("patient", reason).agg(F.count("*").alias("n"))

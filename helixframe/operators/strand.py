@@ -65,3 +65,8 @@ def decide(calls: DataFrame, support: DataFrame, contigs: DataFrame, min_fractio
         .when(F.col("alt_reads") == 0, "NO_ALT_READ_SUPPORT").when(fraction < min_fraction, "OPPOSITE_STRAND_ENRICHED").otherwise("PASS")
     )
     return rows.withColumns({"fraction": fraction, "reason": reason}).drop("__there")
+
+
+def reason_counts(decided: DataFrame) -> DataFrame:
+    """Calls by ``reason`` of ``decide``."""
+    return decided.groupBy("reason").agg(F.count("*").alias("n"))

@@ -67,7 +67,7 @@ def paired_qc(calls):
 
 @query("qc_drop_counts", "calls", f" SELECT patient, {_QC} AS drop_reason, count(*) AS n FROM calls GROUP BY ALL")
 def qc_drop_counts(calls):
-    return rna_edit.paired_qc(qc_ready(calls)).groupBy("patient", "drop_reason").agg(F.count("*").alias("n"))
+    return rna_edit.drop_counts(rna_edit.paired_qc(qc_ready(calls)))
 
 
 @query("known_sites", "calls", """, known AS (SELECT chrom, pos, ref, alt, min(known_db) AS db FROM calls WHERE source_set = 'RNA_EDIT' AND known_db IS NOT NULL GROUP BY ALL)
@@ -483,7 +483,7 @@ def worst_bins(cov):
 
 @query("category_matrix", "coverage", _COV + " SELECT patient, " + ", ".join(f'count(*) FILTER (WHERE mask = {i}) AS "{c}"' for i, c in enumerate(coverage.LABELS)) + " FROM k GROUP BY patient")
 def category_matrix(cov):
-    return coverage.joined(cov).groupBy("patient").pivot("category", list(coverage.LABELS)).agg(F.count("mask")).fillna(0)
+    return coverage.category_matrix(coverage.joined(cov))
 
 
 # --- strand ---------------------------------------------------------------------------------------------
@@ -521,7 +521,7 @@ def strand_support(calls, gtf, reads):
 
 @query("strand_reasons", "calls gtf reads", _DEC + " SELECT reason, count(*) AS n FROM dec GROUP BY reason")
 def strand_reasons(calls, gtf, reads):
-    return _decided(calls, gtf, reads).groupBy("reason").agg(F.count("*").alias("n"))
+    return strand.reason_counts(_decided(calls, gtf, reads))
 
 
 # --- landscape ------------------------------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions import variant as v
 from helixframe.operators import alternates, annotate, clusters, germline, merge, ranges, records, rna_edit, strand
+from helixframe.sources import sequence
 
 
 def values(spark, rows, schema, *columns):
@@ -171,8 +172,9 @@ def test_chunks_of_sequences_and_pieces(spark):
     for prefix in (1, 3, 9):
         got = rna_edit.piece_chunks(df, "o", 10, 3, prefix)
         assert sorted(map(tuple, got.collect())) == want
-    got = rna_edit.reference_chunks(spark.createDataFrame([*whole.items(), ("e", ""), ("n", None)], "contig string, seq string"), 10, 3)
-    assert sorted(map(tuple, got.collect())) == sorted([*want, ("e", 0, 1, "")])
+    lines = [(c, i, s[i:j]) for c, s in whole.items() for cuts in [[0, *sorted(rnd.sample(range(1, len(s)), 9)), len(s)]] for i, j in zip(cuts, cuts[1:])]
+    got = sequence.chunks(spark.createDataFrame([*lines, ("e", 0, ""), ("n", 0, None)], "contig string, start bigint, bases string").repartition(3), 10, 3)
+    assert sorted(map(tuple, got.collect())) == want
 
 
 def test_motif_gathers_chunks_only(spark):
