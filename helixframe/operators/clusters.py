@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -97,16 +97,21 @@ def source_counters(calls: DataFrame) -> DataFrame:
     ``calls`` has ``patient``, ``source_set``, ``gt``, ``edit_sig``, ``known_db`` and, after ``records.has_allowed``, ``allowed``: somatic calls and edits
     that are not allowed count in the total only. Null fields count as empty; a genotype without two alleles has no zygosity.
     """
+    return calls.groupBy("patient").agg(*source_counter_columns("allowed" in calls.columns))
+
+
+def source_counter_columns(allowed: bool) -> list[Column]:
+    """The aggregates of ``source_counters``; ``allowed`` says whether there is a column of that name."""
     source = v.source_priority(F.coalesce("source_set", F.lit("")))
     gt, sig = F.coalesce("gt", F.lit("")), F.upper(F.coalesce("edit_sig", F.lit("")))
     n = lambda name, ok: F.count_if(F.coalesce(ok, F.lit(False))).alias(f"merged_{name}")
     out = [F.count("*").alias("merged_total"), n("other_total", source == "OTHER")]
     for s in ("GERMLINE", "SOMATIC", "RNA_EDIT"):
         mine = source == s
-        if s != "GERMLINE" and "allowed" in calls.columns:
+        if s != "GERMLINE" and allowed:
             mine = mine & F.col("allowed")
         low, hom = s.lower(), F.coalesce(v.hom_alt(gt), F.lit(False))
         out += [n(f"{low}_total", mine), n(f"{low}_gt_phased", mine & gt.contains("|")), n(f"{low}_gt_unphased", mine & ~gt.contains("|") & gt.contains("/"))]
         out += [n(f"{low}_hom_alt", mine & hom), n(f"{low}_het_alt", mine & v.has_alt(gt) & ~hom)]
     out += [n("rna_edit_adar_total", mine & sig.contains("ADAR")), n("rna_edit_apobec3_total", mine & sig.contains("APOBEC3")), n("rna_edit_known_db_total", mine & v.known_site(F.col("known_db")))]
-    return calls.groupBy("patient").agg(*out)
+    return out

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
-from .clusters import same_copy_flags
+from .clusters import same_copy_flags, source_counter_columns
 from .ranges import in_intervals, near_pairs
 
 SOURCES = ("GERMLINE", "SOMATIC", "RNA_EDIT")
@@ -33,11 +33,14 @@ def depth_trend(calls: DataFrame, depth: str, bins: int = 300) -> DataFrame:
 
     Calls without a depth or position are left out; where all positions are equal there is one bin.
     """
-    rows = calls.select("gpos", F.col(depth).cast("double").alias("depth")).where("gpos is not null and depth is not null")
-    ends = rows.agg(F.min("gpos").alias("low"), F.max("gpos").alias("high"))  # one row
+    rows = calls.where(F.col("gpos").isNotNull() & F.col(depth).isNotNull())
+    # summed by position first: its shuffle serves the ends and the bins, so the calls are read once
+    at = rows.groupBy("gpos").agg(F.sum(F.col(depth).cast("double")).alias("depth"), F.count("*").alias("n"))
+    ends = at.agg(F.min("gpos").alias("low"), F.max("gpos").alias("high"))  # one row
     width = F.greatest(F.col("high") - F.col("low"), F.lit(1))
-    at = F.greatest(F.ceil((F.col("gpos") - F.col("low")) * bins / width) - 1, F.lit(0)).cast("int")
-    return rows.crossJoin(F.broadcast(ends)).groupBy(at.alias("bin")).agg(F.avg("gpos").alias("mean_gpos"), F.avg("depth").alias("mean_depth"))
+    place = F.greatest(F.ceil((F.col("gpos") - F.col("low")) * bins / width) - 1, F.lit(0)).cast("int")
+    mean = lambda c: F.sum(c) / F.sum("n")
+    return at.crossJoin(F.broadcast(ends)).groupBy(place.alias("bin")).agg(mean(F.col("gpos") * F.col("n").cast("double")).alias("mean_gpos"), mean("depth").alias("mean_depth"))
 
 
 def cluster_of(calls: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -89,11 +92,31 @@ PAIR_COLUMNS = ("{a}_hom_adj_{b}_any", "{a}_het_samecopy_with_{b}", "{a}_het_sam
 
 def same_copy_report(totals: DataFrame, counters: DataFrame, counts: DataFrame) -> DataFrame:
     """43 columns for each patient of ``totals`` and ``counters``: both tables' columns, and three for each directed pair of sources, 0 without a neighbour."""
-    cells = []
-    for a in SOURCES:
-        for b in SOURCES:
-            if a != b:
-                here = (F.col("a") == a) & (F.col("b") == b)
-                cells += [F.coalesce(F.sum(F.when(here, F.col(c))), F.lit(0)).alias(name.format(a=SHORT[a], b=SHORT[b])) for c, name in zip(COUNTERS, PAIR_COLUMNS)]
-    wide = counts.groupBy("patient").agg(*cells)
-    return totals.join(counters, "patient").join(wide, "patient", "left").fillna(0, wide.columns[1:])
+    return _with_pairs(totals.join(counters, "patient"), counts)
+
+
+def pair_columns() -> dict[str, Column]:
+    """Name and value of each column of the report that speaks of a directed pair."""
+    return {
+        name.format(a=SHORT[a], b=SHORT[b]): F.sum(F.when((F.col("a") == a) & (F.col("b") == b), F.col(c)))
+        for a in SOURCES for b in SOURCES if a != b for c, name in zip(COUNTERS, PAIR_COLUMNS)
+    }
+
+
+def _with_pairs(sums: DataFrame, counts: DataFrame) -> DataFrame:
+    wide = counts.groupBy("patient").agg(*(F.coalesce(c, F.lit(0)).alias(n) for n, c in pair_columns().items()))
+    return sums.join(wide, "patient", "left").fillna(0, wide.columns[1:])
+
+
+def report_of(calls: DataFrame) -> DataFrame:
+    """``same_copy_report`` of one table of calls with ``source_set`` and ``allowed``: totals and counters come from one aggregate over it.
+
+    Patients that lack one of the three sources are left out. Only germline calls and allowed others are neighbours.
+    """
+    mine = {s: F.coalesce(F.col("source_set") == s, F.lit(False)) for s in SOURCES}
+    ok = F.coalesce(F.col("allowed"), F.lit(False))
+    inputs = {"germline_selected_total": mine["GERMLINE"], "somatic_filtered_total": mine["SOMATIC"] & ok, "rna_filtered_total": mine["RNA_EDIT"] & ok, "rna_filtered_total_with_noncoding": mine["RNA_EDIT"]}
+    present = F.count_if(mine["SOMATIC"]).alias("__somatic")
+    sums = calls.groupBy("patient").agg(present, *(F.count_if(c).alias(n) for n, c in inputs.items()), *source_counter_columns(True))
+    sums = sums.where("germline_selected_total > 0 and __somatic > 0 and rna_filtered_total_with_noncoding > 0").drop("__somatic")
+    return _with_pairs(sums, same_copy_counts(calls.where(mine["GERMLINE"] | ok)))

@@ -576,10 +576,7 @@ pc AS (SELECT patient, {', '.join(f'count(*) FILTER (WHERE {test}) AS {name}' fo
 SELECT pt.*, {', '.join(f'coalesce({name}, 0) AS {name}' for name in _CELLS)} FROM pt LEFT JOIN pc USING (patient)""")
 def same_copy_report(calls, vep):
     """All 43 columns; somatic calls and edits are the coding ones."""
-    rows = records.has_allowed(_signed(calls), _coding(vep))
-    totals = landscape.input_totals(of(rows, "GERMLINE"), of(rows, "SOMATIC"), of(rows, "RNA_EDIT"))
-    pairs = landscape.same_copy_counts(rows.where("source_set = 'GERMLINE' OR allowed"))
-    return landscape.same_copy_report(totals, clusters.source_counters(rows), pairs)
+    return landscape.report_of(records.has_allowed(_signed(calls), _coding(vep)))
 
 
 @query("edit_records", "calls", f" SELECT rid FROM calls WHERE (source_set = 'RNA_EDIT' OR ({_SIG} <> 'OTHER' AND lane < 2) OR known_db IS NOT NULL) AND ad_alt >= 10")
