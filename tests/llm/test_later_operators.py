@@ -264,6 +264,23 @@ def test_next_document_over_ranges(spark):
     assert len(one) == 1 and one[0].near_next == 1.0 and fingerprints.edited(df.limit(0)).count() == 0
 
 
+def test_no_tables_are_left_over(spark, tmp_path, monkeypatch):
+    """What stays in the shared folder is what a result reads; the pipeline's last stage reads one table."""
+    import os
+
+    import corpus_pipeline
+    from helixframe.llm import common
+
+    root = tmp_path / "shared"
+    root.mkdir()
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(root))
+    tables = lambda: sorted(x for x in os.listdir(root) if x.startswith("table-"))
+    for run, most in ((lambda: QUERIES["op11_alignment"](spark, SF), 2), (lambda: QUERIES["op12_spelling"](spark, SF), 2), (lambda: QUERIES["op13_fingerprints"](spark, SF), 0), (lambda: corpus_pipeline.run(spark, SF), 1)):
+        before = tables()
+        assert run().count() > 0
+        assert len(set(tables()) - set(before)) <= most
+
+
 # --- odd tables -----------------------------------------------------------------------------------------
 
 
