@@ -158,6 +158,12 @@ def strand_filter(summary: DataFrame) -> DataFrame:
     return summary.withColumns({"keep": unique & edit, "reason": F.when(~unique, F.col("status")).when(~edit, "NOT_TRANSCRIPT_CANONICAL_RNA_EDIT").otherwise("PASS")})
 
 
+def decided_ids(filtered: DataFrame) -> DataFrame:
+    """Different ``uploaded`` ids of ``strand_filter`` with ``list`` (keep or blacklist): per patient, and with a null patient those of the cohort."""
+    each = filtered.select(F.when(F.col("keep"), "keep").otherwise("blacklist").alias("list"), F.explode(F.array(F.col("patient"), F.lit(None).cast("string"))).alias("patient"), "uploaded")
+    return each.distinct().select("patient", "list", "uploaded")
+
+
 def position_conflicts(calls: DataFrame, summary: DataFrame) -> DataFrame:
     """``decision`` (fixed values) for each one-alternate RNA-edit call at its position; other sources pass as NON_RNA_EDIT.
 

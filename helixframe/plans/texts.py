@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
-from ..operators import gates, records
+from ..operators import annotate, gates, records
 from ..sources import lists, sinks, text
 from .registry import query
 
@@ -214,3 +217,42 @@ def manifest_items(calls):
     files = calls.select(F.concat(F.lit("file://"), path).alias("path")).where("path like '%1.vcf' or path like '%2.vcf'")
     both = lists.common_patients(items, calls.where("source_set = 'SOMATIC'"))
     return lists.with_presence(items, files).join(both, "patient", "left_semi").select("patient", "path", "reads", "status")
+
+
+@query("decided_ids", "vep", """, s AS (SELECT patient, uploaded, CASE regexp_extract(extra, '(?:^|;)STRAND=([^;]*)', 1) WHEN '1' THEN '+' WHEN '-1' THEN '-' END AS strand, ref, alt FROM vep),
+k AS (SELECT patient, uploaded, count(DISTINCT strand) = 1 AND (any_value(CASE strand WHEN '+' THEN ref || '>' || alt ELSE translate(ref, 'ACGT', 'TGCA') || '>' || translate(alt, 'ACGT', 'TGCA') END)) IN ('A>G', 'C>T') AS ok FROM s GROUP BY patient, uploaded),
+l AS (SELECT patient, CASE WHEN ok THEN 'keep' ELSE 'blacklist' END AS list, uploaded FROM k) SELECT * FROM l UNION SELECT NULL, list, uploaded FROM l""")
+def decided_ids(vep):
+    """Ids that the strand filter keeps and those it does not, by patient and over the cohort."""
+    return annotate.decided_ids(annotate.strand_filter(annotate.strand_summary(vep)))
+
+
+@query("tumour_ladders", "calls", r""", s AS (SELECT DISTINCT patient, lane AS idx, CASE WHEN lane = 0 THEN CASE WHEN patient < 'P12' THEN patient || '_N' ELSE 'x_DNA_NORMAL' END WHEN lane = 1 THEN CASE WHEN patient < 'P08' THEN 'a_DNA_TUMOUR' ELSE 'x_RNA' END
+  WHEN lane = 2 THEN CASE WHEN patient < 'P04' THEN 'DNA_TUMOR' WHEN patient < 'P20' THEN 'tumour' ELSE 'b' END ELSE 'c' END AS sample FROM calls WHERE patient < 'P30' OR lane < 2),
+z AS (SELECT patient, count(*) AS n, count(*) FILTER (WHERE contains(upper(sample), 'NORMAL') OR upper(sample) LIKE '%\_N' ESCAPE '\') AS k, max(idx) AS l FROM s GROUP BY patient),
+t AS (SELECT s.*, contains(upper(sample), 'NORMAL') OR upper(sample) LIKE '%\_N' ESCAPE '\' AS nm, n, k, l, regexp_matches(upper(sample), 'TUMOU?R') AS tm FROM s JOIN z USING (patient)),
+w AS (SELECT patient, idx, sample, CASE WHEN sample = 'DNA_TUMOR' THEN 0 WHEN upper(sample) IN ('TUMOR', 'TUMOUR') THEN 1 WHEN tm THEN 2 WHEN n = 2 AND k = 1 AND NOT nm THEN 3 ELSE 4 END AS r, CASE WHEN tm THEN 0 WHEN contains(upper(sample), 'RNA') THEN 1 WHEN idx = l THEN 2 ELSE 3 END AS m,
+  CASE WHEN upper(sample) IN ('DNA_TUMOR', 'DNA_TUMOUR') THEN 0 WHEN regexp_matches(upper(sample), '_DNA_TUMOU?R$') THEN 1 WHEN NOT regexp_matches(upper(sample), 'DNA_NORMAL$|_N$') THEN 3 WHEN idx = l THEN 4 ELSE 5 END AS d FROM t)
+SELECT 'report' AS way, patient, arg_min(sample, (r, idx)) AS sample FROM w GROUP BY patient UNION ALL SELECT 'merge', patient, arg_min(sample, (m, idx)) FROM w GROUP BY patient UNION ALL SELECT 'dna_only', patient, arg_min(sample, (d, idx)) FROM w GROUP BY patient""")
+def tumour_ladders(calls):
+    """The tumour column of each patient in all three ways."""
+    p = F.col("patient")
+    name = (
+        F.when(F.col("lane") == 0, F.when(p < "P12", F.concat(p, F.lit("_N"))).otherwise("x_DNA_NORMAL")).when(F.col("lane") == 1, F.when(p < "P08", "a_DNA_TUMOUR").otherwise("x_RNA"))
+        .when(F.col("lane") == 2, F.when(p < "P04", "DNA_TUMOR").when(p < "P20", "tumour").otherwise("b")).otherwise("c")
+    )
+    samples = calls.where("patient < 'P30' or lane < 2").select("patient", name.alias("sample"), F.col("lane").alias("idx")).distinct()
+    ways = [records.tumour_column(samples, way).select(F.lit(way).alias("way"), "patient", "sample") for way in ("report", "merge", "dna_only")]
+    return reduce(DataFrame.unionByName, ways)
+
+
+@query("signal_samples", "calls", """ SELECT rid, CASE WHEN lane = 0 AND gt <> './.' THEN 'tumour' WHEN lane = 1 AND gt = './.' THEN 'tumour' ELSE 'rna' END AS sample, CASE WHEN lane = 0 THEN gt WHEN lane = 1 AND gt = './.' THEN '0/1' ELSE gt END AS gt FROM calls""")
+def signal_samples(calls):
+    """The first sample of a record, or the second where only that has a genotype."""
+    sample = lambda gt: F.create_map(F.lit("GT"), gt)
+    first = sample(F.when(F.col("lane") == 0, ".").otherwise(F.col("gt")))
+    second = sample(F.when(F.col("lane") == 0, F.col("gt")).otherwise("0/1"))
+    second = F.when(F.col("lane") < 2, second).otherwise(sample(F.lit("./.")))
+    chosen = records.signal_sample(first, second, F.lit("rna"), F.lit("tumour"))
+    gt = F.when((F.col("lane") == 0) & (chosen["sample"] == "rna"), F.col("gt")).otherwise(chosen["fields"]["GT"])
+    return calls.select("rid", chosen["sample"].alias("sample"), gt.alias("gt"))
