@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as v
-from ..operators import annotate, gates, records
+from ..operators import annotate, clusters, edits, gates, records
 from ..sources import lists, sinks, text
 from .registry import query
 
@@ -256,3 +256,60 @@ def signal_samples(calls):
     chosen = records.signal_sample(first, second, F.lit("rna"), F.lit("tumour"))
     gt = F.when((F.col("lane") == 0) & (chosen["sample"] == "rna"), F.col("gt")).otherwise(chosen["fields"]["GT"])
     return calls.select("rid", chosen["sample"].alias("sample"), gt.alias("gt"))
+
+
+# --- RNA edits ------------------------------------------------------------------------------------------
+
+
+def _phased_lines(calls):
+    """Phased records with two samples; what they lack differs by lane, what their samples are called by patient."""
+    lane, text = F.col("lane"), lambda c: F.col(c).cast("string")
+    p = F.col("patient")
+    ad = F.concat_ws(",", text("ad_ref"), text("ad_alt"))
+    own = F.concat_ws(":", F.when(lane == 3, "./.").otherwise(F.col("gt")), F.when(lane == 0, ad).otherwise("."), F.when(lane == 1, F.concat_ws(",", text("ad_ref"), text("normal_ref"))).otherwise("."), F.when(lane == 2, "0.25").otherwise("."), F.when(lane == 1, ".").otherwise(text("ad_ref")), text("ps"))
+    other = F.concat_ws(":", F.lit("0|1"), F.concat(F.lit("9,"), text("ad_alt")))
+    flag = F.when((v.signature(F.col("ref"), F.col("alt")) != "OTHER") & (lane < 2), F.concat(v.signature(F.col("ref"), F.col("alt")), F.lit("_SIG")))
+    info = F.concat_ws(";", flag, F.concat(F.lit("SOURCE_SET="), "source_set"), F.concat(F.lit("KNOWN_RNAEDIT_DB="), F.coalesce("known_db", F.lit("."))), F.when(lane == 0, F.concat(F.lit("ANN=T|x|HIGH|G"), (F.col("gene_no") % 9).cast("string"), F.lit("|g|t|T1|"))))
+    file = F.concat(F.lit("/in/"), p, F.lit(".vcf"))
+    names = F.when(p < "P10", "x_TUMOUR\tx_rna_tumor.0001").when(p < "P20", "DNA_NORMAL\tx_DNA_TUMOR").when(p < "P30", "x_DNA_NORMAL\tb").otherwise("DNA_NORMAL\tc_DNA_NORMAL")
+    # the sample with the record's own numbers is the second column; where both may speak the other one stands in
+    values = F.concat(F.when(p < "P10", other).otherwise("0/0"), F.lit("\t"), own)
+    rows = calls.select(file.alias("file"), _line(F.col("chrom"), F.col("pos"), F.col("rid"), F.col("ref"), F.col("alt"), ".", "PASS", info, "GT:AD:FAD:AF:DP:PS", values).alias("value")).select("file", F.explode(F.array("value")).alias("value"))
+    heads = calls.select("patient").distinct().select(file.alias("file"), F.concat(_line("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"), F.lit("\t"), names).alias("value"))
+    return rows.unionByName(heads)
+
+
+_EDITS = """, e AS (SELECT *, CASE WHEN ref || '>' || alt IN ('A>G', 'T>C') AND lane < 2 THEN 'ADAR' WHEN ref || '>' || alt IN ('C>T', 'G>A') AND lane < 2 THEN 'APOBEC3' ELSE 'OTHER' END AS sg, (lane = 3 OR gt = './.') AND patient < 'P10' AS sw FROM calls WHERE patient < 'P30'),
+f AS (SELECT *, CASE WHEN sw THEN '0|1' WHEN lane = 3 THEN './.' ELSE gt END AS rna_gt, CASE WHEN sw THEN '9,' || ad_alt WHEN lane = 0 THEN ad_ref || ',' || ad_alt ELSE '' END AS rna_ad,
+  CASE WHEN sw THEN ad_alt WHEN lane = 0 THEN ad_alt WHEN lane = 1 THEN normal_ref WHEN lane = 2 THEN 0.25 * ad_ref END::DOUBLE AS n,
+  CASE WHEN sw THEN ad_alt / (9.0 + ad_alt) WHEN lane = 0 AND ad_ref + ad_alt > 0 THEN ad_alt::DOUBLE / (ad_ref + ad_alt) WHEN lane = 2 THEN 0.25 END AS af, CASE WHEN sw OR lane = 1 THEN NULL ELSE ad_ref END::DOUBLE AS rna_dp
+  FROM e WHERE source_set = 'RNA_EDIT' OR sg <> 'OTHER' OR known_db IS NOT NULL),
+cq AS (SELECT patient, chrom, pos, alt, string_agg(DISTINCT consequence, '|' ORDER BY consequence) AS c FROM vep GROUP BY ALL),
+ec AS (SELECT patient, chrom, pos, ref, alt, coalesce(c, '') AS "Consequence", sg AS signature, CASE WHEN sw THEN 'x_TUMOUR' WHEN patient < 'P10' THEN 'x_rna_tumor.0001' WHEN patient < 'P20' THEN 'x_DNA_TUMOR' ELSE 'b' END AS rna_sample, rna_gt, rna_ad, round(n, 3) AS rna_alt_count, round(af, 6) AS rna_af, rna_dp,
+  CASE WHEN sw THEN '' ELSE ps::VARCHAR END AS ps, '' AS pid, CASE WHEN lane = 0 THEN 'G' || (gene_no % 9) ELSE '' END AS gene, CASE WHEN lane = 0 THEN 'T1' ELSE '' END AS transcript, source_set, coalesce(known_db, '.') AS known_db, rid
+  FROM f LEFT JOIN cq USING (patient, chrom, pos, alt) WHERE n IS NULL OR n >= 10)"""
+
+
+def _edit_calls(calls, vep):
+    places = vep.select("patient", F.col("location").alias("Location"), F.col("allele").alias("Allele"), F.col("consequence").alias("Consequence"))
+    records = text.records_of(_phased_lines(calls))
+    return edits.edit_calls(records.withColumn("rid", F.col("id")), places)
+
+
+@query("edit_calls", "calls vep", _EDITS + " SELECT * FROM ec")
+def edit_calls(calls, vep):
+    """From lines of records to the table of edits, annotation included."""
+    return _edit_calls(calls, vep)
+
+
+@query("edit_call_clusters", "calls vep", _EDITS + """, s AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY patient, chrom ORDER BY pos, rid) <= 33 THEN 0 ELSE 1 END AS nw FROM ec),
+n AS (SELECT *, sum(nw) OVER (PARTITION BY patient, chrom ORDER BY pos, rid ROWS UNBOUNDED PRECEDING) AS no FROM s), mm AS (SELECT * FROM n QUALIFY count(*) OVER (PARTITION BY patient, chrom, no) >= 2),
+fi AS (SELECT patient, chrom, min(rid) AS f FROM s GROUP BY ALL), pf AS (SELECT patient, min(f) AS f FROM fi GROUP BY ALL),
+nr AS (SELECT patient, chrom, no, format('CL{:06d}', row_number() OVER (ORDER BY pf.f, fi.f, no)) AS cluster_id FROM (SELECT DISTINCT patient, chrom, no FROM mm) JOIN fi USING (patient, chrom) JOIN pf USING (patient)),
+gn AS (SELECT patient, chrom, no, gene, count(*) AS c, min((pos, rid)) AS first FROM mm WHERE gene <> '' GROUP BY ALL), tg AS (SELECT patient, chrom, no, gene AS top_gene FROM gn QUALIFY row_number() OVER (PARTITION BY patient, chrom, no ORDER BY c DESC, first) = 1)
+SELECT cluster_id, mm.patient, mm.chrom, min(pos) AS start, max(pos) AS "end", count(*) AS n_variants, count(*) FILTER (WHERE signature = 'ADAR') AS adar_count, count(*) FILTER (WHERE signature = 'APOBEC3') AS apobec_count, count(*) FILTER (WHERE signature = 'OTHER') AS other_count,
+  round(coalesce(avg(rna_dp), 0), 3) AS mean_rna_dp, (count(DISTINCT ps) FILTER (WHERE ps <> '') = 1)::INT AS single_ps_block, coalesce(any_value(top_gene), '') AS top_gene, CASE WHEN count(*) FILTER (WHERE transcript <> '') > 0 THEN 'T1' ELSE '' END AS top_transcript
+FROM mm JOIN nr USING (patient, chrom, no) LEFT JOIN tg USING (patient, chrom, no) GROUP BY cluster_id, mm.patient, mm.chrom""")
+def edit_call_clusters(calls, vep):
+    """The clusters of that table."""
+    return clusters.cluster_summary(clusters.clusters(_edit_calls(calls, vep).withColumn("dp", F.col("rna_dp"))))
