@@ -44,17 +44,24 @@ def tagged(records: DataFrame, source: str, sample: str) -> DataFrame:
 
 
 def merged_info(records: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """One INFO map for each position: SOURCE_SET, EDIT_SIG and KNOWN_RNAEDIT_DB join the values of all records, of other keys the first counts; flags are restored."""
-    joined = ("SOURCE_SET", "EDIT_SIG", "KNOWN_RNAEDIT_DB")
-    entries = records.select(*key, F.struct(*order).alias("o"), F.explode("info").alias("k", "x"))
-    first = entries.where(~F.col("k").isin(*joined)).groupBy(*key, "k").agg(F.min_by("x", "o").alias("x"))
-    parts = entries.where(F.col("k").isin(*joined)).select(*key, "k", "o", F.posexplode(F.split("x", ",")).alias("i", "p")).where("p <> ''")
-    each = parts.groupBy(*key, "k", "p").agg(F.min(F.struct("o", "i")).alias("at"))
-    lists = each.groupBy(*key, "k").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "p"))), lambda x: x["p"]), ",").alias("x"))
-    maps = first.unionByName(lists).groupBy(*key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "x")))).alias("info"))
-    every = records.select(*key).distinct().join(maps, key, "left")
-    empty = F.create_map().cast("map<string,string>")
-    return every.withColumn("info", v.with_flags_restored(F.coalesce("info", empty)))
+    """One INFO map for each position: SOURCE_SET, EDIT_SIG and KNOWN_RNAEDIT_DB join the values of all records, of other keys the first counts; flags are restored.
+
+    The records of a position meet by one shuffle, before their maps are taken apart; what follows keeps that partitioning, and no position is held as one row.
+    """
+    joined = F.col("k").isin("SOURCE_SET", "EDIT_SIG", "KNOWN_RNAEDIT_DB")
+    # a list of entries, not the map itself: Spark would test that for null and size first, and work out its expression each time
+    met = records.select(*key, F.struct(*order).alias("o"), F.map_entries("info").alias("info")).repartition(*key)
+    entries = met.select(*key, "o", F.explode_outer("info").alias("e")).select(*key, "o", F.col("e.key").alias("k"), F.col("e.value").alias("x"))
+    parts = entries.select(*key, "k", "o", F.posexplode(F.when(joined, F.split(F.coalesce("x", F.lit("")), ",")).otherwise(F.array("x"))).alias("i", "x"))
+    # records without any entry, and empty parts, keep their position by a null key
+    parts = parts.withColumn("k", F.when(~joined | (F.col("x") != ""), F.col("k")))
+    each = parts.groupBy(*key, "k", F.when(joined, F.col("x")).alias("p")).agg(F.min(F.struct("o", "i", "x")).alias("first"))
+    # any other key has one part
+    in_order = F.array_sort(F.collect_list("first"))
+    values = each.groupBy(*key, "k").agg(in_order.alias("all"))
+    values = values.select(*key, "k", F.when(joined, F.array_join(F.col("all.x"), ",")).otherwise(F.get("all.x", F.lit(0))).alias("x"))
+    maps = values.groupBy(*key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "x"))))).alias("info"))
+    return maps.withColumn("info", v.with_flags_restored(F.col("info")))
 
 
 def with_normals(tumours: DataFrame, normals: DataFrame) -> DataFrame:
