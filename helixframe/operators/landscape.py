@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import variant as v
 from .clusters import same_copy_flags, source_counter_columns
-from .ranges import in_intervals, near_pairs
+from .ranges import in_intervals
 
 SOURCES = ("GERMLINE", "SOMATIC", "RNA_EDIT")
 
@@ -68,13 +68,13 @@ COUNTERS = ("hom_any", "het_same", "het_cis")
 def same_copy_counts(calls: DataFrame, distance: int = 33) -> DataFrame:
     """Per patient and directed pair of sources: ``hom_any``, ``het_same`` and ``het_cis``, the calls of the first with those flags (see ``first_same_copy``).
 
-    Of the edits only those at known sites (``known_db``) take part. One range join serves all six pairs.
+    Of the edits only those at known sites (``known_db``) take part. One pass serves all six pairs; rids are unique within a source.
     """
     known = calls.where(F.col("source_set").isin(*SOURCES) & ((F.col("source_set") != "RNA_EDIT") | v.known_site(F.col("known_db")))).select("patient", "chrom", "pos", "gt", "ps", "rid", F.col("source_set").alias("a"))
-    other = known.select("patient", "chrom", F.col("pos").alias("b_pos"), F.col("gt").alias("b_gt"), F.col("ps").alias("b_ps"), F.col("rid").alias("b_rid"), F.col("a").alias("b"))
-    pairs = near_pairs(known.where(v.has_alt(F.col("gt"))), other, ["patient", "chrom"], distance).where("a <> b")
-    each = pairs.groupBy("patient", "rid", "a", "b").agg(*same_copy_flags())
-    return each.groupBy("patient", "a", "b").agg(*(F.count_if(c).alias(c) for c in COUNTERS))
+    flags = same_copy_flags(known, v.has_alt(F.col("gt")), {s: F.col("a") == s for s in SOURCES}, distance)
+    others = F.array(*(F.struct(F.lit(s).alias("b"), F.col("__flags")[s].alias("f")) for s in SOURCES))
+    each = flags.select("patient", "a", F.explode(others).alias("x")).where("a <> x.b and x.f is not null")
+    return each.groupBy("patient", "a", F.col("x.b").alias("b")).agg(*(F.count_if(F.col("x.f")[c]).alias(c) for c in COUNTERS))
 
 
 def input_totals(germline: DataFrame, somatic: DataFrame, rna: DataFrame) -> DataFrame:

@@ -17,3 +17,37 @@ def test_merged_info_keeps_empty_positions(spark):
     rows = [("P", 1, "a", {"SOURCE_SET": "", "DP": None}), ("P", 1, "b", {"SOURCE_SET": "X,Y", "DP": "2"}), ("P", 1, "c", {"SOURCE_SET": "Y,,Z"}), ("P", 2, "d", {}), ("P", 3, "e", None), ("P", 4, "f", {"EDIT_SIG": ""}), ("P", 5, "g", {"EDIT_SIG": "ADAR"})]
     out = records.merged_info(spark.createDataFrame(rows, "patient string, pos long, rid string, info map<string,string>"), ["patient", "pos"], ["rid"])
     assert {r.pos: r.info for r in out.collect()} == {1: {"DP": None, "SOURCE_SET": "X,Y,Z"}, 2: {}, 3: {}, 4: {}, 5: {"EDIT_SIG": "ADAR", "ADAR_SIG": "1"}}
+
+
+def _brute(a, b, distance):
+    """The flags by definition, over all pairs."""
+    alleles = lambda gt: gt.replace("|", "/").split("/")
+    hom = lambda gt: len(alleles(gt)) == 2 and alleles(gt)[0] == alleles(gt)[1] and alleles(gt)[0] not in "0."
+    sides = lambda gt: {i for i, x in enumerate(alleles(gt)) if "|" in gt and len(alleles(gt)) == 2 and gt != ".|." and x not in "0."}
+    out = {}
+    for x in a:
+        if not any(i not in "0." for i in alleles(x[3])):
+            continue
+        near = sorted((y[2], y[5], y) for y in b if y[:2] == x[:2] and abs(y[2] - x[2]) <= distance and y[5] != x[5])
+        cis = lambda y, x=x: not hom(x[3]) and not hom(y[3]) and x[4] is not None and x[4] == y[4] and bool(sides(x[3]) & sides(y[3]))
+        same = [y for _, _, y in near if hom(x[3]) or hom(y[3]) or cis(y)]
+        if near:
+            out[x[5]] = (hom(x[3]), not hom(x[3]) and bool(same), not hom(x[3]) and bool(same) and cis(same[0]))
+    return out
+
+
+def test_same_copy_equals_brute_force(spark):
+    """Dense rows, ties of position, rows of both tables, null blocks; and no join, so that the cost does not grow with the neighbours."""
+    import random
+
+    from helixframe.operators import clusters
+
+    r = random.Random(3)
+    make = lambda tag, n: [(f"P{r.randrange(2)}", "chr1", r.randrange(60), r.choice(["0|1", "1|0", "1|2", "1/1", "0/1", "2|2", "./.", ".|1", "0|0"]), r.choice([None, 1, 2]), f"{tag}{i:03}") for i in range(n)]
+    both = make("z", 40)
+    a, b = make("a", 80) + both, make("b", 60) + both
+    schema = "patient string, chrom string, pos long, gt string, ps long, rid string"
+    out = clusters.first_same_copy(spark.createDataFrame(a + a[:5], schema), spark.createDataFrame(b, schema), 5)
+    assert {x.rid: (x.hom_any, x.het_same, x.het_cis) for x in out.collect()} == _brute(a, b, 5)
+    assert out.count() == len(_brute(a, b, 5))
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
