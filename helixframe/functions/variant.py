@@ -16,7 +16,7 @@ VEP_COLUMNS = (
 EXONIC = ("CDS", "UTR", "exon", "five_prime_utr", "three_prime_utr", "5UTR", "3UTR", "start_codon", "stop_codon")
 
 
-def _once(value: Column, of) -> Column:
+def once(value: Column, of) -> Column:
     """``of`` of a value that is worked out once, however often ``of`` names it; chained steps would else repeat all before them, each several times."""
     return F.get(F.transform(F.array(value), of), F.lit(0))
 
@@ -129,14 +129,14 @@ def add_lists(lists: Column) -> Column:
 def info_map(info: Column) -> Column:
     """Key to value of ``k=v;flag``; a flag has the value 1; of repeated keys the last counts."""
     parts = F.filter(F.split(info, ";"), lambda p: (p != "") & (p != "."))
-    pairs = F.transform(parts, lambda p: _once(F.instr(p, "="), lambda at: F.when(at > 0, F.struct(F.substring(p, F.lit(1), at - 1).alias("key"), F.substring(p, at + 1, F.length(p)).alias("value"))).otherwise(F.struct(p.alias("key"), F.lit("1").alias("value")))))
+    pairs = F.transform(parts, lambda p: once(F.instr(p, "="), lambda at: F.when(at > 0, F.struct(F.substring(p, F.lit(1), at - 1).alias("key"), F.substring(p, at + 1, F.length(p)).alias("value"))).otherwise(F.struct(p.alias("key"), F.lit("1").alias("value")))))
     # keys are sorted only where one repeats
-    return _once(pairs, lambda x: F.when(F.size(F.array_distinct(x["key"])) == F.size(x), F.map_from_entries(x)).otherwise(_last_of_keys(x)))
+    return once(pairs, lambda x: F.when(F.size(F.array_distinct(x["key"])) == F.size(x), F.map_from_entries(x)).otherwise(_last_of_keys(x)))
 
 
 def _last_of_keys(pairs: Column) -> Column:
     placed = F.sort_array(F.transform(pairs, lambda p, i: F.struct(p["key"].alias("key"), i.alias("i"), p["value"].alias("value"))))
-    return _once(placed, lambda s: F.map_from_entries(F.transform(F.filter(s, lambda x, i: ~F.coalesce(F.get(s, i + 1)["key"] == x["key"], F.lit(False))), lambda x: F.struct(x["key"], x["value"]))))
+    return once(placed, lambda s: F.map_from_entries(F.transform(F.filter(s, lambda x, i: ~F.coalesce(F.get(s, i + 1)["key"] == x["key"], F.lit(False))), lambda x: F.struct(x["key"], x["value"]))))
 
 
 def format_map(keys: Column, values: Column) -> Column:
@@ -301,7 +301,7 @@ def edit_label(info: Column) -> Column:
 
 def with_flag(info: Column, key: str, wanted: Column | None = None) -> Column:
     """``info`` with a flag, once, where ``wanted`` (default: everywhere)."""
-    return _once(info, lambda m: _flagged(m, key, F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))))
+    return once(info, lambda m: _flagged(m, key, F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))))
 
 
 def _flagged(info: Column, key: str, wanted: Column) -> Column:
@@ -311,7 +311,7 @@ def _flagged(info: Column, key: str, wanted: Column) -> Column:
 
 def with_listed(info: Column, key: str, values: Column) -> Column:
     """``info`` with the array ``values`` appended to the comma list ``key``, each once; unchanged if there are none."""
-    return _once(info, lambda m: _listed(m, key, values))
+    return once(info, lambda m: _listed(m, key, values))
 
 
 def _listed(info: Column, key: str, values: Column) -> Column:
@@ -321,14 +321,14 @@ def _listed(info: Column, key: str, values: Column) -> Column:
 
 def with_edit_list(info: Column) -> Column:
     """``info`` with the names of its signature flags in EDIT_SIG."""
-    return _once(info, lambda m: _listed(m, "EDIT_SIG", flag_names(m)))
+    return once(info, lambda m: _listed(m, "EDIT_SIG", flag_names(m)))
 
 
 def with_flags_restored(info: Column) -> Column:
     """``info`` with the flags that SOURCE_SET and EDIT_SIG stand for, as a merge drops them."""
     restored = lambda key, name, flag: lambda m: _flagged(m, flag, F.array_contains(info_list(m, key), name))
     for key, name, flag in (("SOURCE_SET", "GERMLINE", "GERMLINE"), ("SOURCE_SET", "SOMATIC", "SOMATIC"), ("EDIT_SIG", "ADAR", "ADAR_SIG"), ("EDIT_SIG", "APOBEC3", "APOBEC3_SIG")):
-        info = _once(info, restored(key, name, flag))
+        info = once(info, restored(key, name, flag))
     return info
 
 

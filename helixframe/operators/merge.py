@@ -19,7 +19,7 @@ def _padded(alts: Column, ref: Column, longest: Column) -> Column:
 
 
 def _folded(calls: Column, joint: Column) -> Column:
-    """One genotype of all ``calls`` of a source, each a struct of ``alleles`` (in terms of ``joint``), ``phased`` and ``ps``.
+    """One genotype of all ``calls`` of a source, each a struct of ``alleles`` (in terms of ``joint``), ``phased``, ``ps`` and ``n``, how many calls are like it.
 
     A single call stays as it is. Calls that are all phased on two copies in one block, and name at most one alternate for each copy, are
     joined copy by copy. Otherwise each alternate is there as often as in the call that has most of it, in order of ``joint``, and reference
@@ -43,7 +43,7 @@ def _folded(calls: Column, joint: Column) -> Column:
     unphased = F.array_join(F.concat(F.array_repeat(fill, F.greatest(copies - F.size(alts), F.lit(0))), alts), "/")
     single = F.get(calls, F.lit(0))
     one = F.array_join(single["alleles"], "/")
-    return F.when(F.size(calls) == 0, "./.").when(F.size(calls) == 1, F.when(single["phased"], F.array_join(single["alleles"], "|")).otherwise(one)).when(alike, F.concat(copy_text(0), F.lit("|"), copy_text(1))).otherwise(unphased)
+    return F.when(F.size(calls) == 0, "./.").when((F.size(calls) == 1) & (single["n"] == 1), F.when(single["phased"], F.array_join(single["alleles"], "|")).otherwise(one)).when(alike, F.concat(copy_text(0), F.lit("|"), copy_text(1))).otherwise(unphased)
 
 
 def merge_sources(calls: DataFrame) -> DataFrame:
@@ -53,14 +53,19 @@ def merge_sources(calls: DataFrame) -> DataFrame:
     ones the first by rid), so that ``AT>GT`` and ``A>G`` are one, and come in order of first rid. All calls of a source count
     (see ``_folded``; ``ps`` is used where ``calls`` has it); a source without a call has ``./.``, and an allele that its call does not name is missing.
     Where ``calls`` has ``ad`` (an array), each source's counts come with it, one for the reference and one for each joint alternate: that of the
-    source's first call by rid which has it, else null. Calls of one position are held together; nothing else is.
+    source's first call by rid which has it, else null. Calls alike in all but rid and counts are one with their number and first rid; the different ones
+    of a position are held together, nothing else is.
     """
     key = ["patient", "chrom", "pos"]
     counted = "ad" in calls.columns
     ps = F.col("ps") if "ps" in calls.columns else F.lit(None).cast("long")
     own = F.filter(F.coalesce(F.split("alt", ","), F.array().cast("array<string>")), lambda a: a != ".")
-    call = F.struct("rid", F.coalesce("ref", F.lit("")).alias("ref"), own.alias("alts"), "source_set", "gt", ps.alias("ps"), *(["ad"] if counted else []))
-    rows = calls.groupBy(*key).agg(F.array_sort(F.collect_list(call)).alias("c"))
+    like = {"ref": F.coalesce("ref", F.lit("")), "alts": own, "source_set": F.col("source_set"), "gt": F.col("gt"), "ps": ps}
+    # the first counts stand for all that are known at the same places
+    first = {"places": F.transform("ad", lambda x: x.isNull())} if counted else {}
+    each = calls.repartition(*key).groupBy(*key, *(c.alias(f"__{n}") for n, c in (like | first).items())).agg(F.min("rid").alias("rid"), F.count("*").alias("n"), *([F.min_by("ad", "rid").alias("ad")] if counted else []))
+    call = F.struct("rid", *(F.col(f"__{n}").alias(n) for n in like), "n", *(["ad"] if counted else []))
+    rows = each.groupBy(*key).agg(F.array_sort(F.collect_list(call)).alias("c"))
     longest = F.aggregate("c", F.lit(""), lambda best, x: F.when(F.length(x["ref"]) > F.length(best), x["ref"]).otherwise(best))
     rows = rows.withColumn("ref", longest)
     rows = rows.withColumn("c", F.transform("c", lambda x: x.withField("alts", _padded(x["alts"], x["ref"], F.col("ref")))))
@@ -69,7 +74,7 @@ def merge_sources(calls: DataFrame) -> DataFrame:
     def mapped(x: Column) -> Column:
         place = lambda a: F.array_position("joint", F.get(x["alts"], a.try_cast("int") - 1))
         alleles = F.transform(F.split(x["gt"], r"[|/]"), lambda a: F.when(a.isin("0", "."), a).when(place(a) > 0, place(a).cast("string")).otherwise("."))
-        return F.struct(alleles.alias("alleles"), F.contains(x["gt"], F.lit("|")).alias("phased"), x["ps"].alias("ps"))
+        return F.struct(alleles.alias("alleles"), F.contains(x["gt"], F.lit("|")).alias("phased"), x["ps"].alias("ps"), x["n"].alias("n"))
 
     of = lambda s, keep=lambda x: F.lit(True): F.filter("c", lambda x: (x["source_set"] == s) & keep(x))
     genotype = {f"gt_{s.lower()}": F.transform(of(s, lambda x: x["gt"].isNotNull()), mapped) for s in SOURCES}
@@ -80,7 +85,8 @@ def merge_sources(calls: DataFrame) -> DataFrame:
 
 def _first_counts(lists: Column) -> Column:
     """The first known number at each place of ``lists``; null without lists."""
-    return F.aggregate(F.slice(lists, 2, 1_000_000), F.get(lists, F.lit(0)), lambda best, x: F.zip_with(best, x, lambda a, b: F.coalesce(a, b)))
+    first = lambda all_of: F.aggregate(F.slice(all_of, 2, 1_000_000), F.get(all_of, F.lit(0)), lambda best, x: F.zip_with(best, x, lambda a, b: F.coalesce(a, b)))
+    return v.once(lists, first)
 
 
 def compose(merged: DataFrame, dna_only: bool = False) -> DataFrame:

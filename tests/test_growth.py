@@ -51,3 +51,19 @@ def test_same_copy_equals_brute_force(spark):
     assert {x.rid: (x.hom_any, x.het_same, x.het_cis) for x in out.collect()} == _brute(a, b, 5)
     assert out.count() == len(_brute(a, b, 5))
     assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_like_calls_are_held_once(spark):
+    """3,000 calls of one position are a few different ones; the counts are those of the first that knows them."""
+    from helixframe.operators import merge
+    from helixframe.plans import catalog
+
+    rows = [("P", "chr1", 1, f"r{i:04}", "A", "G" if i % 2 else "GT,G", "SOMATIC", ("0/1", "0|1", "1|1")[i % 3], 7, None if i < 9 else [i, None if i % 5 else i, i]) for i in range(3000)] + [("P", "chr1", 1, "z", "AC", "A", "GERMLINE", "0/1", 7, [1, 2])]
+    out = merge.merge_sources(spark.createDataFrame(rows, "patient string, chrom string, pos long, rid string, ref string, alt string, source_set string, gt string, ps long, ad array<int>"))
+    r = out.collect()[0]
+    assert (r.ref, r.alts, r.gt_somatic, r.gt_germline, r.gt_rna_edit) == ("AC", "GTC,GC,A", "1/1/2/2", "0/1" if r.alts.startswith("A") else "0/3", "./.")
+    # place 1 of the lists with two alternates is known at multiples of five; GC from r0009, which names nothing else, is unknown there until r0010
+    assert r.ad_somatic == [9, 10, 10, None]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate ") == 2
+    plan = catalog.QUERIES["compose_counts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
