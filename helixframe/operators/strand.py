@@ -43,22 +43,39 @@ def alt_support(calls: DataFrame, reads: DataFrame, protocol: str = "fr-firststr
     """ALT reads of each call with one gene strand: on the expected strand, on the other, and all.
 
     Primary, mapped, passing, non-duplicate reads count. A base counts if it equals the alternate, whatever the case, so longer alternates have
-    no support, and if its own quality in the array ``quals`` reaches ``min_qual``; reads without qualities count.
+    no support, and if its own quality in the array ``quals`` reaches ``min_qual``; reads without qualities count. Calls without any such read are left out.
+    """
+    return with_alt_support(calls.select("rid", "patient", "chrom", "pos", "alt", "strands"), reads, protocol, min_mapq, min_qual).where("alt_reads > 0").select("rid", "expected", "opposite", "alt_reads")
+
+
+def with_alt_support(calls: DataFrame, reads: DataFrame, protocol: str = "fr-firststrand", min_mapq: int = 20, min_qual: int = 20) -> DataFrame:
+    """``calls`` with ``expected``, ``opposite`` and ``alt_reads`` of ``alt_support``, 0 without any.
+
+    Reads that are alike are one with their number, and bases are counted once for each different position that a call with one strand asks for; the calls
+    take their counts from there by position and base. So pairs of calls and reads are never made.
     """
     good = reads.where((F.col("mapq") >= min_mapq) & (F.col("flag").bitwiseAND(F.lit(0x4 | 0x100 | 0x200 | 0x400 | 0x800)) == 0))
-    blocks = aligned_blocks(good).withColumn("read_strand", v.transcript_strand_of_read(F.col("flag"), protocol))
-    blocks = blocks.select("patient", F.col("contig").alias("chrom"), "block_start", "block_end", "pos0", "q0", "seq", "quals", "read_strand")
-    points = calls.where(F.size("strands") == 1).select("rid", "patient", "chrom", F.col("alt"), (F.col("pos") - 1).alias("p0"), F.get("strands", F.lit(0)).alias("strand"))
+    good = good.select("patient", F.col("contig").alias("chrom"), "pos0", "cigar", "seq", "quals", v.transcript_strand_of_read(F.col("flag"), protocol).alias("read_strand"))
+    alike = good.groupBy(*good.columns).agg(F.count("*").alias("n"))
+    blocks = aligned_blocks(alike).select("patient", "chrom", "block_start", "block_end", "q0", "seq", "quals", "read_strand", "n")
+    rows = calls.withColumn("__p0", F.col("pos") - 1)
+    points = rows.where(F.size("strands") == 1).select("patient", "chrom", F.col("__p0").alias("p0")).distinct()
     hits = in_intervals(points, blocks, ["patient", "chrom"], "p0", "block_start", "block_end", 1000)
     at = (F.col("p0") - F.col("block_start") + F.col("q0")).cast("int")
-    good = F.coalesce(F.get("quals", at) >= min_qual, F.lit(True))
-    hits = hits.where((F.upper(F.substring("seq", at + 1, F.lit(1))) == F.upper("alt")) & good)
-    return hits.groupBy("rid").agg(F.count_if(F.col("read_strand") == F.col("strand")).alias("expected"), F.count_if(F.col("read_strand") != F.col("strand")).alias("opposite"), F.count("*").alias("alt_reads"))
-
-
-def decide(calls: DataFrame, support: DataFrame, contigs: DataFrame, min_fraction: float = 0.8) -> DataFrame:
-    """``reason``, the first that applies; all but PASS are on the blacklist."""
-    rows = calls.join(support, "rid", "left").fillna(0, ["expected", "opposite", "alt_reads"]).join(contigs.select(F.col("patient"), F.col("contig").alias("chrom"), F.lit(True).alias("__there")).distinct(), ["patient", "chrom"], "left")
+    hits = hits.where(F.coalesce(F.get("quals", at) >= min_qual, F.lit(True))).select("patient", "chrom", "p0", F.upper(F.substring("seq", at + 1, F.lit(1))).alias("__base"), "read_strand", "n")
+    on = lambda s: F.coalesce(F.sum(F.when(F.col("read_strand") == s, F.col("n"))), F.lit(0)).alias(f"__{s}")
+    counts = hits.groupBy("patient", "chrom", F.col("p0").alias("__p0"), "__base").agg(on("+"), on("-"))
+    # calls of no or several strands ask for nothing
+    base = F.when(F.size("strands") == 1, F.upper("alt"))
+    out = rows.withColumn("__base", base).join(counts, ["patient", "chrom", "__p0", "__base"], "left")
+    plus, minus, forward = F.coalesce("__+", F.lit(0)), F.coalesce("__-", F.lit(0)), F.get("strands", F.lit(0)) == "+"
+    return out.select(*calls.columns, F.when(forward, plus).otherwise(minus).alias("expected"), F.when(forward, minus).otherwise(plus).alias("opposite"), (plus + minus).alias("alt_reads"))
+
+
+def decide(calls: DataFrame, support: DataFrame | None, contigs: DataFrame, min_fraction: float = 0.8) -> DataFrame:
+    """``reason``, the first that applies; all but PASS are on the blacklist. ``support`` is that of ``alt_support``; without it ``calls`` has its columns."""
+    rows = calls if support is None else calls.join(support, "rid", "left").fillna(0, ["expected", "opposite", "alt_reads"])
+    rows = rows.join(contigs.select(F.col("patient"), F.col("contig").alias("chrom"), F.lit(True).alias("__there")).distinct(), ["patient", "chrom"], "left")
     fraction = F.try_divide("expected", "alt_reads")
     reason = (
         F.when(F.size("strands") == 0, "MISSING_TRANSCRIPT_STRAND").when(F.size("strands") > 1, "AMBIGUOUS_TRANSCRIPT_STRAND").when(F.col("__there").isNull(), "MISSING_BAM_CONTIG")

@@ -67,3 +67,15 @@ def test_like_calls_are_held_once(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate ") == 2
     plan = catalog.QUERIES["compose_counts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
+
+
+def test_strand_support_without_pairs(spark):
+    """200 calls by 300 reads that are alike, at one place, are one position by one read with its number."""
+    from helixframe.operators import strand
+
+    calls = spark.createDataFrame([(f"r{i}", "P", "chr1", 11, "a" if i % 2 else "C", ["-"] if i % 4 < 2 else ["+"]) for i in range(200)], "rid string, patient string, chrom string, pos long, alt string, strands array<string>")
+    reads = spark.createDataFrame([("P", "chr1", 5, 0, 60, "10M", "AAAAAAAAAA", None)] * 300, "patient string, contig string, pos0 long, flag int, mapq int, cigar string, seq string, quals array<int>")
+    out = strand.with_alt_support(calls, reads)
+    # a forward single read counts for the other strand, as the default protocol has it
+    assert {(r.alt, r.strands[0], r.expected, r.opposite, r.alt_reads) for r in out.collect()} == {("a", "-", 300, 0, 300), ("a", "+", 0, 300, 300), ("C", "-", 0, 0, 0), ("C", "+", 0, 0, 0)}
+    assert out.count() == 200
