@@ -15,6 +15,8 @@ def query(name: str, tables: str = "", sql: str | None = None):
 
     def add(f):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # the JVM does not compile methods beyond 8,000 bytes; Spark then takes the stage apart, in place of interpreting it
+            spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
             return f(*(table(spark, sf_dir, t) for t in tables.split()))
 
         run.__name__ = name

@@ -32,8 +32,9 @@ def _record_lines(calls):
 FROM calls, (VALUES (0, '_T'), (1, '_N')) k(i, s)""")
 def record_samples(calls):
     """Records parsed, one row a sample."""
-    out = text.long_calls(text.records_of(_record_lines(calls)))
-    return out.select("patient", F.col("id").alias("rid"), "chrom", "pos", "ref", "alt", "sample_idx", "sample", F.col("values")["GT"].alias("gt"), F.col("values")["AD"].alias("ad"), v.info_map(F.col("info"))["DP"].alias("dp"))
+    parsed = text.records_of(_record_lines(calls))
+    out = text.long_calls(parsed.withColumn("dp", v.info_map(F.col("info"))["DP"]))
+    return out.select("patient", F.col("id").alias("rid"), "chrom", "pos", "ref", "alt", "sample_idx", "sample", F.col("values")["GT"].alias("gt"), F.col("values")["AD"].alias("ad"), "dp")
 
 
 @query("record_text", "calls", r""", h AS (SELECT DISTINCT patient FROM calls), n AS (SELECT patient, unnest(['##fileformat=VCFv4.2', '##INFO=<ID=EDIT_SIG>', '#CHROM' || chr(9) || 'POS']) AS line FROM h)

@@ -34,6 +34,11 @@ def _fields(line: Column, least: int) -> Column:
     return F.when(F.size(tabs) >= least, tabs).otherwise(F.split(F.trim(line), r"\s+"))
 
 
+def _split(lines: DataFrame, fields: Column, least: int = 0) -> DataFrame:
+    """``file`` and ``f``: the fields of each line, split once (a generated row: filters are not pushed through it and do not split again), of lines with at least ``least``."""
+    return lines.select("file", fields.alias("f")).select("file", F.explode(F.array("f")).alias("f")).where(F.size("f") >= least)
+
+
 def records_of(lines: DataFrame, least: int = 8, patient: str = r"([^/.]+)[^/]*$") -> DataFrame:
     """Variant records: ``patient``, ``file``, the nine fixed fields and ``samples``, an array of (sample, value) in column order.
 
@@ -42,9 +47,11 @@ def records_of(lines: DataFrame, least: int = 8, patient: str = r"([^/.]+)[^/]*$
     that is no number becomes null. A file without #CHROM line fails where ``samples`` is read.
     """
     clean = F.regexp_replace("value", r"^[\uFEFF\x00\s]+", "")
-    header = lines.where(clean.rlike(r"^#CHROM(\s|$)")).groupBy("file").agg(F.min(clean).alias("header")).select("file", _fields(F.col("header"), 10).alias("names"))
-    rows = lines.where(~clean.startswith("#") & (clean != "")).select("file", _fields(F.col("value"), least).alias("f")).where(F.size("f") >= least)
-    rows = rows.join(header, "file", "left")
+    named = lines.where(F.contains("value", F.lit("#CHROM")) & F.col("value").rlike(r"^[\uFEFF\x00\s]*#CHROM(\s|$)"))
+    header = named.groupBy("file").agg(F.min(clean).alias("header")).select("file", _fields(F.col("header"), 10).alias("names"))
+    rows = _split(lines.where(F.col("value").rlike(r"^[\uFEFF\x00\s]*[^#\uFEFF\x00\s]")), _fields(F.col("value"), least), least)
+    # one short row a file
+    rows = rows.join(F.broadcast(header), "file", "left")
     known = F.coalesce("names", F.raise_error(F.concat(F.lit("no #CHROM line in "), "file")).cast("array<string>"))
     n = F.greatest(F.least(F.size(known), F.size("f")) - 9, F.lit(0))
     samples = F.zip_with(F.slice(known, F.lit(10), n), F.slice("f", F.lit(10), n), lambda s, v: F.struct(s.alias("sample"), v.alias("value")))
@@ -72,10 +79,12 @@ def annotation_of(lines: DataFrame, patient: str = r"([^/.]+)[^/]*$") -> DataFra
     standard order where a file has none. Short rows are filled with empty strings.
     """
     header = lines.where(F.col("value").startswith("#Uploaded_variation")).groupBy("file").agg(F.split(F.substr(F.min("value"), F.lit(2)), "\t").alias("names"))
-    rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select("file", F.split("value", "\t").alias("f")).join(header, "file", "left")
-    rows = rows.withColumn("names", F.coalesce("names", F.lit(list(VEP_COLUMNS))))
-    field = lambda c: F.coalesce(F.get("f", F.array_position("names", c).cast("int") - 1), F.lit("")).alias(c)
-    return rows.select(patient_of(F.col("file"), patient).alias("patient"), "file", *map(field, VEP_COLUMNS))
+    # names are looked up once a file, which has one short row
+    places = header.select("file", F.array(*(F.array_position("names", c).cast("int") - 1 for c in VEP_COLUMNS)).alias("at"))
+    rows = _split(lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")), F.split("value", "\t")).join(F.broadcast(places), "file", "left")
+    rows = rows.withColumn("at", F.coalesce("at", F.lit(list(range(len(VEP_COLUMNS))))))
+    field = lambda i, c: F.coalesce(F.get("f", F.get("at", F.lit(i))), F.lit("")).alias(c)
+    return rows.select(patient_of(F.col("file"), patient).alias("patient"), "file", *(field(i, c) for i, c in enumerate(VEP_COLUMNS)))
 
 
 def read_annotation(spark: SparkSession, path: str | list[str], patient: str = r"([^/.]+)[^/]*$") -> DataFrame:
@@ -89,7 +98,7 @@ def annotation_fields_of(lines: DataFrame, patient: str = r"([^/.]+)[^/]*$") ->
     These are fields 2, 3, 7 and 14. Lines with # and lines of fewer than seven fields are left out; of
     shorter ones than fourteen ``Extra`` is empty. Locations and alleles are trimmed.
     """
-    rows = lines.where(~F.col("value").startswith("#")).select("file", F.split("value", "\t").alias("f")).where(F.size("f") >= 7)
+    rows = _split(lines.where(~F.col("value").startswith("#")), F.split("value", "\t"), 7)
     at = lambda i, name: F.coalesce(F.get("f", F.lit(i)), F.lit("")).alias(name)
     out = rows.select(patient_of(F.col("file"), patient).alias("patient"), "file", at(1, "Location"), at(2, "Allele"), at(6, "Consequence"), at(13, "Extra"))
     return out.withColumns({c: F.trim(c) for c in ("Location", "Allele", "Consequence")})

@@ -79,3 +79,26 @@ def test_strand_support_without_pairs(spark):
     # a forward single read counts for the other strand, as the default protocol has it
     assert {(r.alt, r.strands[0], r.expected, r.opposite, r.alt_reads) for r in out.collect()} == {("a", "-", 300, 0, 300), ("a", "+", 0, 300, 300), ("C", "-", 0, 0, 0), ("C", "+", 0, 0, 0)}
     assert out.count() == 200
+
+
+def test_stages_stay_compilable(spark):
+    """Queries have Spark take stages apart whose one method the JVM would not compile."""
+    from helixframe.plans import catalog
+
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    catalog.QUERIES["vep_collapse"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_lines_meet_their_header_without_shuffle(spark):
+    """Lines are not shuffled by their few files; odd lines and columns in another order are read as before."""
+    from helixframe.sources import text
+
+    lines = [("a.vcf", "﻿#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts"), ("a.vcf", "1\t5\t.\tA\tG\t.\t.\t.\tGT\t0/1"), ("a.vcf", "\x00 #note"), ("a.vcf", " ﻿"), ("a.vcf", " 1 6 . A G . . . GT 1/1"), ("a.vcf", "1\t7\tx #CHROM"), ("a.vcf", "")]
+    out = text.records_of(spark.createDataFrame(lines, "file string, value string"))
+    assert sorted((r.pos, [tuple(s) for s in r.samples]) for r in out.collect()) == [(5, [("s", "0/1")]), (6, [("s", "1/1")])]
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    notes = spark.createDataFrame([("a", "#Uploaded_variation\tGene\tLocation"), ("a", "u\tg"), ("a", " "), ("b", "u\tl\ta\tg")], "file string, value string")
+    out = text.annotation_of(notes)
+    assert sorted((r.file, r.Uploaded_variation, r.Location, r.Allele, r.Gene, r.Extra) for r in out.collect()) == [("a", "u", "", "", "g", ""), ("b", "u", "l", "a", "g", "")]
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
