@@ -400,8 +400,9 @@ def gene_and_transcript(info: Column) -> Column:
 def location_parts(location: Column) -> Column:
     """``chrom:start[-end]`` as a struct of normalised ``chrom`` and ``pos``; null if it reads otherwise."""
     s = F.trim(location)
-    pos = F.trim(F.get(F.split(F.substring(s, F.instr(s, ":") + 1, F.length(s)), "-"), F.lit(0))).try_cast("long")
-    return F.when((F.instr(s, ":") > 0) & pos.isNotNull(), F.struct(chrom_norm(F.substring_index(s, ":", 1)).alias("chrom"), pos.alias("pos")))
+    behind = F.when(F.instr(s, ":") > 0, F.substring(s, F.instr(s, ":") + 1, 1 << 30))
+    pos = F.trim(F.substring_index(behind, "-", 1)).try_cast("long")
+    return F.when(pos.isNotNull(), F.struct(chrom_norm(F.substring_index(s, ":", 1)).alias("chrom"), pos.alias("pos")))
 
 
 def location_of(chrom: Column, pos: Column) -> Column:

@@ -15,7 +15,8 @@ def joined_set(c: Column) -> Column:
 
 
 def _set_text(values: Column) -> Column:
-    return F.coalesce(F.nullif(F.array_join(F.array_sort(values), "|"), F.lit("")), F.lit("NA"))
+    # sort_array compares the values as they are, array_sort by a lambda for each pair
+    return F.coalesce(F.nullif(F.array_join(F.sort_array(values), "|"), F.lit("")), F.lit("NA"))
 
 
 #: The sets of ``collapse``, in the order of the variant table.
@@ -27,7 +28,8 @@ def collapse(vep: DataFrame, called: DataFrame | None = None) -> DataFrame:
 
     ``vep`` has ``patient`` and the annotation columns in lower case. Rows whose location does not read as one, or
     without allele, are left out; empty values, ``.``, ``-`` and NA are in no set. With ``called`` (``patient``, ``chrom``, ``pos``, ``alt``) only keys that
-    it holds are collapsed. A key has one set, of the different rows of values; the sets of the fields are taken from it.
+    it holds are collapsed. A key has one set, of the different rows of values; the sets of the fields are taken from it. Rows go to
+    their key first, with their values worked out: an aggregate of sets works out its input one expression at a time.
     """
     at, aa = v.location_parts(F.col("location")), v.amino_acid_pair(F.col("amino_acids"))
     rows = vep.select(
@@ -38,9 +40,10 @@ def collapse(vep: DataFrame, called: DataFrame | None = None) -> DataFrame:
     key = ["patient", "chrom_norm", "pos", "alt"]
     if called is not None:
         rows = rows.join(called.select("patient", v.chrom_norm(F.col("chrom")).alias("chrom_norm"), "pos", "alt"), key, "left_semi")
-    known = lambda c: F.when(F.trim(c) != "NA", v.known_text(F.col(c))).alias(c)
-    sets = rows.groupBy(*key).agg(F.collect_set(F.struct(*map(known, SETS))).alias("__rows"))
-    own = lambda c: F.filter(F.array_distinct(F.col("__rows")[c]), lambda x: x.isNotNull())
+    known = lambda c: F.when(~F.trim(c).isin("", ".", "-", "NA"), F.trim(c)).alias(c)
+    placed = rows.select(*key, F.struct(*map(known, SETS)).alias("__row")).repartition(*key)
+    sets = placed.groupBy(*key).agg(F.collect_set("__row").alias("__rows"))
+    own = lambda c: F.array_except(F.col("__rows")[c], F.array(F.lit(None).cast("string")))
     return sets.select(*key, *(_set_text(own(c)).alias(c) for c in SETS))
 
 
@@ -63,9 +66,11 @@ def variant_table(calls: DataFrame, collapsed: DataFrame) -> DataFrame:
 
 def two_tier(rows: DataFrame, calls: DataFrame, values: list[str]) -> DataFrame:
     """``values`` of the call with equal key including ref, else of that with equal alt; of repeated calls the last by rid. ``tier`` says which."""
-    last = lambda key, tier: calls.groupBy(*key).agg(F.max_by(F.struct(*values), "rid").alias(tier))
     alt = ["patient", "chrom", "pos", "alt"]
-    found = rows.join(last([*alt, "ref"], "full"), [*alt, "ref"], "left").join(last(alt, "by_alt"), alt, "left")
+    # both tiers from one row a key without ref, which holds the last call of each ref: rows are joined once
+    of_ref = calls.repartition(*alt).groupBy(*alt, F.col("ref").alias("__r")).agg(F.max("rid").alias("__rid"), F.max_by(F.struct(*values), "rid").alias("__v"))
+    last = of_ref.groupBy(*alt).agg(F.max_by("__v", "__rid").alias("by_alt"), F.map_from_entries(F.collect_list(F.when(F.col("__r").isNotNull(), F.struct("__r", "__v")))).alias("__full"))
+    found = rows.join(last, alt, "left").withColumn("full", F.col("__full")[F.col("ref")])
     tier = F.when(F.col("full").isNotNull(), "full").when(F.col("by_alt").isNotNull(), "alt").otherwise("none")
     return found.select(*rows.columns, tier.alias("tier"), *(F.coalesce("full", "by_alt")[c].alias(c) for c in values))
 
@@ -83,18 +88,19 @@ def ranked_transcripts(vep: DataFrame) -> DataFrame:
     own = W.partitionBy(*key)
     change = F.when(F.trim("amino_acids") != "NA", v.known_text(F.col("amino_acids")))
     protein = F.coalesce(v.known_text(F.col("protein_position")).isNotNull() & v.known_text(F.col("amino_acids")).isNotNull(), F.lit(False))
-    rows = vep.withColumn("__aa", change).withColumns({
-        "rank": v.consequence_rank(F.col("consequence")),
-        "primary": v.primary_consequence(F.col("consequence")),
+    # what rows are ordered by is worked out before they go to their variant, once for all windows
+    told = {
+        "__aa": change, "rank": v.consequence_rank(F.col("consequence")), "primary": v.primary_consequence(F.col("consequence")), "__type": F.when(F.col("feature_type") == "Transcript", 0).otherwise(1),
+        "__protein": F.when(protein, 0).otherwise(1), "__decay": F.when(F.col("consequence").contains("NMD_transcript_variant"), 1).otherwise(0),
+        "__canonical": F.when(v.extra_value(F.col("extra"), "CANONICAL") == "YES", 0).otherwise(1), "__flags": F.when(v.extra_value(F.col("extra"), "FLAGS").isNull(), 0).otherwise(1),
+    }
+    rows = vep.withColumns(told).repartition(*key).withColumns({
         "aa_count": F.count("__aa").over(W.partitionBy(*key, "__aa")),
         "aa_options": F.greatest(F.size(F.collect_set("__aa").over(own)), F.lit(1)),
         "rows": F.count("*").over(own),
     })
-    order = [
-        F.when(F.col("feature_type") == "Transcript", 0).otherwise(1), F.col("rank"), F.when(protein, 0).otherwise(1), F.when(F.col("consequence").contains("NMD_transcript_variant"), 1).otherwise(0),
-        F.when(v.extra_value(F.col("extra"), "CANONICAL") == "YES", 0).otherwise(1), F.when(v.extra_value(F.col("extra"), "FLAGS").isNull(), 0).otherwise(1), F.desc("aa_count"), F.col("feature"), F.col("rid"), F.col("t"),
-    ]
-    return rows.withColumn("n", F.row_number().over(own.orderBy(*order))).drop("__key", "__aa")
+    order = ["__type", "rank", "__protein", "__decay", "__canonical", "__flags", F.desc("aa_count"), "feature", "rid", "t"]
+    return rows.withColumn("n", F.row_number().over(own.orderBy(*order))).drop("__key", *(c for c in told if c.startswith("__")))
 
 
 def best_transcript(vep: DataFrame) -> DataFrame:
@@ -188,6 +194,9 @@ def annotation_strands(calls: DataFrame, vep: DataFrame) -> DataFrame:
     """``strands`` of each call from the annotation of its patient, chromosome, position and alternate, in place of gene intervals; empty without any."""
     at = v.location_parts(F.col("location"))
     rows = vep.select("patient", at["chrom"].alias("__c"), at["pos"].alias("pos"), F.trim("allele").alias("alt"), v.extra_strand(F.col("extra")).alias("s")).where("pos is not null")
-    sets = rows.groupBy("patient", "__c", "pos", "alt").agg(F.array_sort(F.collect_set("s")).alias("strands"))
+    # of two strands two flags say which are there
+    sets = rows.groupBy("patient", "__c", "pos", "alt").agg(F.max(F.col("s") == "+").alias("plus"), F.max(F.col("s") == "-").alias("minus"))
+    both = F.when(F.col("plus") & F.col("minus"), F.array(F.lit("+"), F.lit("-"))).when(F.col("plus"), F.array(F.lit("+"))).when(F.col("minus"), F.array(F.lit("-")))
+    sets = sets.select("patient", "__c", "pos", "alt", both.alias("strands"))
     out = calls.withColumn("__c", v.chrom_norm(F.col("chrom"))).join(sets, ["patient", "__c", "pos", "alt"], "left").drop("__c")
     return out.withColumn("strands", F.coalesce("strands", F.array().cast("array<string>")))

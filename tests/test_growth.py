@@ -102,3 +102,28 @@ def test_lines_meet_their_header_without_shuffle(spark):
     out = text.annotation_of(notes)
     assert sorted((r.file, r.Uploaded_variation, r.Location, r.Allele, r.Gene, r.Extra) for r in out.collect()) == [("a", "u", "", "", "g", ""), ("b", "u", "l", "a", "g", "")]
     assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tiers_join_once_and_ranks_shuffle_once(spark):
+    from helixframe.operators import annotate
+    from helixframe.plans import fixtures
+
+    key = "patient string, chrom string, pos long, ref string, alt string"
+    calls = spark.createDataFrame([("P", "1", 1, "A", "G", "a", 1), ("P", "1", 1, "A", "G", "c", 2), ("P", "1", 1, "T", "G", "d", 3), ("P", "1", 1, None, "G", "b", 4), ("P", "1", 2, None, "G", "a", 5)], key + ", rid string, x int")
+    rows = spark.createDataFrame([("P", "1", 1, r, "G") for r in ("A", "T", "C", None)] + [("P", "1", 2, "A", "G"), ("P", "1", 3, "A", "G")], key)
+    out = annotate.two_tier(rows, calls, ["x"])
+    assert {(r.pos, r.ref): (r.tier, r.x) for r in out.collect()} == {(1, "A"): ("full", 2), (1, "T"): ("full", 3), (1, "C"): ("alt", 3), (1, None): ("alt", 3), (2, "A"): ("alt", 5), (3, "A"): ("none", None)}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    ranked = annotate.ranked_transcripts(fixtures.table(spark, "/root/testdata/sf0.001", "vep"))
+    assert ranked._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_sets_take_ready_rows(spark):
+    """What is collected into sets is worked out before the shuffle, and strands need no sets."""
+    from helixframe.operators import annotate
+    from helixframe.plans import fixtures
+
+    vep, calls = (fixtures.table(spark, "/root/testdata/sf0.001", t) for t in ("vep", "calls"))
+    plan = annotate.collapse(vep)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set(__row" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "collect_set" not in annotate.annotation_strands(calls, vep)._jdf.queryExecution().executedPlan().toString()
