@@ -35,9 +35,13 @@ def signal_names(names: Column, requested: str = "", rna: tuple[str, ...] = RNA,
 
 
 def _bound(rows: DataFrame, **columns: Column) -> DataFrame:
-    """``rows`` with each column as ``__name``, worked out once: a generated row, which later filters are not pushed through, so that they do not repeat the expressions."""
-    one = F.explode(F.array(F.struct(*(c.alias(f"__{n}") for n, c in columns.items()))))
-    return rows.select("*", one.alias("__x")).select("*", "__x.*").drop("__x")
+    """``rows`` with each column as ``__name``, worked out once: a generated row, which later filters are not pushed through, so that they do not repeat the expressions.
+
+    They are worked out beneath it, in compiled code; the generator itself may be interpreted.
+    """
+    own, known = rows.columns, rows.withColumns({f"__bound_{n}": c for n, c in columns.items()})
+    one = F.explode(F.array(F.struct(*(F.col(f"__bound_{n}").alias(f"__{n}") for n in columns))))
+    return known.select(*own, one.alias("__x")).select(*own, "__x.*")
 
 
 def consequence_sets(annotation: DataFrame) -> DataFrame:
@@ -47,8 +51,8 @@ def consequence_sets(annotation: DataFrame) -> DataFrame:
     """
     at = v.location_parts(F.col("Location"))
     rows = annotation.select("patient", at["chrom"].alias("__c"), at["pos"].alias("pos"), F.trim("Allele").alias("alt"), F.trim("Consequence").alias("x"))
-    rows = rows.where("pos is not null and alt <> '' and x <> '' and x <> '.'").distinct()
-    return rows.groupBy("patient", "__c", "pos", "alt").agg(F.array_join(F.array_sort(F.collect_list("x")), "|").alias("Consequence"))
+    rows = rows.where("pos is not null and alt <> '' and x <> '' and x <> '.'").repartition("patient", "__c", "pos", "alt").distinct()
+    return rows.groupBy("patient", "__c", "pos", "alt").agg(F.array_join(F.sort_array(F.collect_list("x")), "|").alias("Consequence"))
 
 
 def edit_calls(records: DataFrame, annotation: DataFrame | None = None, least: float = 10, requested: str = "", rna: tuple[str, ...] = RNA, tumour: tuple[str, ...] = TUMOUR, normal: tuple[str, ...] = NORMAL) -> DataFrame:

@@ -127,3 +127,13 @@ def test_sets_take_ready_rows(spark):
     plan = annotate.collapse(vep)._jdf.queryExecution().executedPlan().toString()
     assert "collect_set(__row" in plan and plan.count("Exchange hashpartitioning") == 1
     assert "collect_set" not in annotate.annotation_strands(calls, vep)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_edit_values_are_compiled(spark):
+    """The generator that binds values takes them from columns; it works out none itself."""
+    from helixframe.operators import edits
+
+    plan = edits._bound(spark.range(3), x=F.col("id") + 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(array(struct(__x, __bound_x" in plan
+    places = spark.createDataFrame([("P", "1:1", "A", "x")], "patient string, Location string, Allele string, Consequence string")
+    assert edits.consequence_sets(places)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
