@@ -27,7 +27,8 @@ def place_lines(lines: DataFrame) -> DataFrame:
     a line. The place of a line is the sum of what stands before it in its block since the last name, and, in a block's first stretch, of the blocks before: their sums are
     one row a block, so that no window spans more than a block or the list of blocks of a file.
     """
-    rows = lines.where(F.length("value") > 0).withColumn("name", F.when(F.col("value").startswith(">"), F.get(F.split(F.substring("value", 2, 1 << 20), r"\s+"), F.lit(0))))
+    # names and lengths are told behind the shuffle, so that all that is read from it, bases or lengths, reads the same one
+    rows = lines.where(F.length("value") > 0).select("file", "block", "line", "value").repartition("file", "block").withColumn("name", F.when(F.col("value").startswith(">"), F.get(F.split(F.substring("value", 2, 1 << 20), r"\s+"), F.lit(0))))
     rows = rows.withColumn("n", F.when(F.col("name").isNull(), F.length("value")).otherwise(0).cast("long"))
     by_line = W.partitionBy("file", "block").orderBy("line")
     rows = rows.withColumn("part", F.count("name").over(by_line))  # stretches of a block; 0 continues what came before
@@ -64,19 +65,29 @@ def chunks(sequence: DataFrame, size: int = CHUNK, overlap: int = 0) -> DataFram
     return joined.select("contig", "chunk_id", (F.col("chunk_id") * size + 1).alias("start1"), F.array_join(F.col("l.b"), "").alias("seq"))
 
 
-def with_context(df: DataFrame, sequence: DataFrame, chrom: str, start: Column, end: Column, out: str, size: int = CHUNK) -> DataFrame:
+def with_context(df: DataFrame, sequence: DataFrame, chrom: str, start: Column, end: Column, out: str, size: int = CHUNK, reach: int = 100) -> DataFrame:
     """``df`` with ``out``: the bases from ``start`` to ``end``, both 1-based and included.
 
     Null if the contig is unknown, ``start`` is below 1, or the contig ends before ``end``. Contig names match with or
-    without chr. Different places join the chunks they touch, each by contig and number.
+    without chr. A chunk also holds the ``reach`` bases that follow it: a place that ends there joins the one chunk
+    it begins in. Of longer ones the different places join the chunks they touch, each by contig and number.
     """
-    ref = chunks(sequence.withColumn("contig", chrom_norm(F.col("contig"))), size).select(F.col("contig").alias("__c"), F.col("chunk_id").cast("long").alias("__k"), "seq")
+    ref = chunks(sequence.withColumn("contig", chrom_norm(F.col("contig"))), size, reach).select(F.col("contig").alias("__c"), F.col("chunk_id").cast("long").alias("__k"), "seq")
+    df = df.drop(out)
     asked = df.withColumns({"__c": chrom_norm(F.col(chrom)), "__s": start.cast("long"), "__e": end.cast("long")})
-    places = asked.select("__c", "__s", "__e").where("__c is not null and __s >= 1 and __e >= __s").distinct()
+    there = F.coalesce((F.col("__s") >= 1) & (F.col("__e") >= F.col("__s")), F.lit(False)) & F.col("__c").isNotNull()
+    n, at = F.col("__e") - F.col("__s") + 1, F.pmod(F.col("__s") - 1, F.lit(size))
+    long = there & (at + n > size + reach)
+    # what is no place begins in no chunk
+    short = asked.where(~long).withColumn("__k", F.when(there, F.floor((F.col("__s") - 1) / size))).join(ref, ["__c", "__k"], "left")
+    bases = F.substr("seq", (at + 1).cast("int"), n.cast("int"))
+    short = short.select(*df.columns, F.when(there & (F.length("seq") >= at + n), bases).alias(out))
+    asked = asked.where(long)
+    places = asked.select("__c", "__s", "__e").distinct()
     touched = places.withColumn("__k", F.explode(F.sequence(F.floor((F.col("__s") - 1) / size), F.floor((F.col("__e") - 1) / size))))
     first = F.greatest(F.col("__s") - 1 - F.col("__k") * size, F.lit(0))
     stop = F.least(F.col("__e") - F.col("__k") * size, F.lit(size))
     cut = touched.join(ref, ["__c", "__k"]).select("__c", "__s", "__e", F.struct("__k", F.substr("seq", (first + 1).cast("int"), (stop - first).cast("int")).alias("b")).alias("p"))
     text = cut.groupBy("__c", "__s", "__e").agg(F.array_join(F.sort_array(F.collect_list("p"))["b"], "").alias(out))
     text = text.where(F.length(out) == F.col("__e") - F.col("__s") + 1)
-    return asked.drop(out).join(text, ["__c", "__s", "__e"], "left").drop("__c", "__s", "__e")
+    return short.unionByName(asked.join(text, ["__c", "__s", "__e"], "left").select(*df.columns, out))

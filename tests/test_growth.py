@@ -137,3 +137,15 @@ def test_edit_values_are_compiled(spark):
     assert "Generate explode(array(struct(__x, __bound_x" in plan
     places = spark.createDataFrame([("P", "1:1", "A", "x")], "patient string, Location string, Allele string, Consequence string")
     assert edits.consequence_sets(places)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_short_contexts_join_one_chunk(spark):
+    """A place that ends within the reach of its chunk is cut from that one; longer ones, and what is no place, come out as before."""
+    from helixframe.sources import sequence
+
+    bases = "ACGTTGCAGATC" * 30
+    lines = spark.createDataFrame([("chr1", i, bases[i : i + 7]) for i in range(0, len(bases), 7)], "contig string, start long, bases string")
+    asked = [("1", s, s + n) for s in (-1, 0, 1, 9, 16, 17, 340) for n in (-1, 0, 15, 20, 21, 22, 60)] + [("2", 1, 2), (None, 1, 2), ("1", None, 2)]
+    out = sequence.with_context(spark.createDataFrame(asked, "c string, s long, e long"), lines, "c", F.col("s"), F.col("e"), "ctx", 16, 20)
+    whole = lambda c, s, e: bases[s - 1 : e] if c == "1" and s is not None and s >= 1 and s <= e <= len(bases) else None
+    assert sorted(map(str, ((r.c, r.s, r.e, r.ctx) for r in out.collect()))) == sorted(map(str, ((c, s, e, whole(c, s, e)) for c, s, e in asked)))
