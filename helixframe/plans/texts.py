@@ -313,4 +313,4 @@ SELECT cluster_id, mm.patient, mm.chrom, min(pos) AS start, max(pos) AS "end", c
 FROM mm JOIN nr USING (patient, chrom, no) LEFT JOIN tg USING (patient, chrom, no) GROUP BY cluster_id, mm.patient, mm.chrom""")
 def edit_call_clusters(calls, vep):
     """The clusters of that table."""
-    return clusters.cluster_summary(clusters.clusters(_edit_calls(calls, vep).withColumn("dp", F.col("rna_dp"))))
+    return clusters.summarised_clusters(_edit_calls(calls, vep).withColumn("dp", F.col("rna_dp")))

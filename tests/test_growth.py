@@ -149,3 +149,51 @@ def test_short_contexts_join_one_chunk(spark):
     out = sequence.with_context(spark.createDataFrame(asked, "c string, s long, e long"), lines, "c", F.col("s"), F.col("e"), "ctx", 16, 20)
     whole = lambda c, s, e: bases[s - 1 : e] if c == "1" and s is not None and s >= 1 and s <= e <= len(bases) else None
     assert sorted(map(str, ((r.c, r.s, r.e, r.ctx) for r in out.collect()))) == sorted(map(str, ((c, s, e, whole(c, s, e)) for c, s, e in asked)))
+
+def test_clusters_sort_calls_once(spark):
+    """Calls are sorted once on the way to their summary, and counted without a sort; chains of any least length come out as by definition."""
+    import random
+
+    from helixframe.operators import clusters
+    from helixframe.plans import catalog
+
+    r = random.Random(5)
+    names = lambda: (r.choice(["g1", "g2", "", None]), r.choice(["t1", "t2", "", None]), r.choice(["ADAR", "OTHER", None]), r.choice([None, 3.0, 4.0]), r.choice([None, ".", "", "1", "1", "2"]))
+    data = [(r.choice(["P", "Q", None]), r.choice(["1", "2", None]), r.choice([None, *range(0, 600, 3)]), f"r{i:03}", *names()) for i in range(400)]
+    calls = spark.createDataFrame(data, "patient string, chrom string, pos long, rid string, gene string, transcript string, signature string, dp double, ps string")
+    for least in (1, 2, 4):
+        chains: list[list] = []
+        for x in sorted((x for x in data if x[0] and x[1]), key=lambda x: (x[0], x[1], x[2] is not None, x[2] or 0, x[3])):
+            last = chains[-1][-1] if chains else None
+            if last and last[:2] == x[:2] and last[2] is not None and x[2] - last[2] <= 5:
+                chains[-1].append(x)
+            else:
+                chains.append([x])
+        first = {}
+        for x in data:
+            if x[0]:
+                first[x[0]], first[x[:2]] = min(first.get(x[0], "s"), x[3]), min(first.get(x[:2], "s"), x[3])
+        kept = sorted((c for c in chains if len(c) >= least), key=lambda c: (first[c[0][0]], first[c[0][:2]], chains.index(c)))
+        want = {x[3]: f"CL{i:06d}" for i, c in enumerate(kept, 1) for x in c}
+        found = clusters.clusters(calls, 5, least)
+        assert {x.rid: x.cluster_id for x in found.collect()} == want and found.count() == len(want)
+
+        def top(c, i):
+            seen = [x[i] for x in c if x[i]]
+            return max(seen, key=lambda v: (seen.count(v), -seen.index(v))) if seen else ""
+
+        def line(i, c):
+            dps, blocks = [x[7] for x in c if x[7] is not None], {x[8] for x in c if x[8] not in (None, "", ".")}
+            sig = [sum(x[6] == s for x in c) for s in ("ADAR", "APOBEC3", "OTHER")]
+            return f"CL{i:06d}", c[0][0], c[0][1], c[0][2], c[-1][2], len(c), *sig, round(sum(dps) / len(dps), 3) if dps else 0.0, int(len(blocks) == 1 and len(c) > 1), top(c, 4), top(c, 5)
+
+        lines = [line(i, c) for i, c in enumerate(kept, 1)]
+        cols = ("cluster_id", "patient", "chrom", "start", "end", "n_variants", "adar_count", "apobec_count", "other_count", "mean_rna_dp", "single_ps_block", "top_gene", "top_transcript")
+        for out in (clusters.summarised_clusters(calls, 5, least), clusters.cluster_summary(found)):
+            assert sorted(map(tuple, out.select(*cols).collect())) == lines
+    plan = catalog.QUERIES["cluster_summary"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    of_calls = [x for x in plan.splitlines() if "Sort [" in x and "pos#" in x]
+    assert len(of_calls) == 3 and "__no" not in plan
+    # names are counted in hash tables, by numbers of fixed width
+    assert not [x for x in plan.splitlines() if "SortAggregate" in x and "count_if" in x] and "min(struct(pos" not in plan
+    assert [x for x in plan.splitlines() if "HashAggregate" in x and "min(__at" in x]
