@@ -162,6 +162,13 @@ def _often(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(np.array([r.s for r in top.collect()], dtype=np.int64).view(np.uint64))
 
 
+def _among(s: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Which of ``s`` are in ``often``, which is sorted: a search each, as ``isin`` would sort ``often`` anew for every text."""
+    if not len(often):
+        return np.zeros(len(s), bool)
+    return often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s
+
+
 def with_shingles(docs: DataFrame, width: int = 5) -> DataFrame:
     """``doc_id``, ``fp``, the hash ``tk`` of the text, and of its shingle set the hash ``key``, size ``n``, parity sketches ``sketch`` (short) and ``wide`` (at least a bit for each shingle), and first shingles ``first``."""
     often = _often(small_batches(docs), width)
@@ -175,7 +182,7 @@ def with_shingles(docs: DataFrame, width: int = 5) -> DataFrame:
             n = len(s)
             size = max(SKETCH * 64, 1 << (n - 1).bit_length() if n else 0)
             wide = np.packbits((np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)).view(np.int64)
-            late = np.isin(s, often)
+            late = _among(s, often)
             ordered = np.concatenate([s[~late], s[late]])
             first = ordered[: n + (-n * SHARE[0]) // SHARE[1] + 1]
             key = np.uint64(xxhash.xxh3_64_intdigest(s.tobytes()))

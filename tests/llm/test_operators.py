@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +147,29 @@ def test_near_copies_by_shingles(spark, monkeypatch, busy):
     assert sorted(r.doc_id for r in got) == sorted(set(group.values()))
 
 
+def test_frequent_shingles_cost_a_search_each(spark, monkeypatch):
+    """A text's cost hardly grows with the number of shingles that the sample finds often, and those still go last."""
+    rnd = random.Random(9)
+    rows = [(d, " ".join(f"w{rnd.randrange(4000)}" for _ in range(12))) for d in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    many = np.array([rnd.getrandbits(64) for _ in range(simhash.MOST_OFTEN)], dtype=np.uint64)
+    own = [simhash._shingles(simhash._digests(t, 5)) for _, t in rows[:50]]
+    late = np.array([s[0] for s in own] + [s[-1] for s in own], dtype=np.uint64)
+    took, got = [], {}
+    for often in (np.empty(0, np.uint64), np.unique(np.concatenate([many, late]))):
+        monkeypatch.setattr(simhash, "_often", lambda docs, width, often=often: often)
+        simhash.with_shingles(df).limit(1).collect()
+        start = time.time()
+        got[len(often)] = {r.doc_id: [x % (1 << 64) for x in r["first"]] for r in simhash.with_shingles(df).collect()}
+        took.append(time.time() - start)
+    none, some = got.values()
+    for d, s in enumerate(own):
+        ordered = [*map(int, s[1:-1]), int(s[0]), int(s[-1])]
+        assert none[d] == [int(x) for x in s[: len(none[d])]] and some[d] == ordered[: len(none[d])]
+    assert all(none[d] == some[d] for d in range(50, len(rows)))
+    assert took[1] < 2 * took[0] + 3, took
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(1000, 1000 + i) for i in range(1, 60)] + [(5000, 4000), (5000, 4001), (7, 7), (None, 3)]
     got = {r.node: r.component for r in common.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
