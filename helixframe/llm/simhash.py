@@ -210,9 +210,40 @@ def _alike(a: np.ndarray, b: np.ndarray) -> bool:
     return common * SHARE[1] >= SHARE[0] * (len(a) + len(b) - common)
 
 
-def _set_forest(sets: list[np.ndarray], sketches: np.ndarray, left: np.ndarray) -> list[tuple[int, int]]:
+class _Wide:
+    """Shingle sets by size, with their wide sketches.
+
+    Sets of similarity ``SHARE`` are alike in size, so a set is compared only with those
+    about its size, on sketches that are folded by half at most and so tell them apart.
+    """
+
+    def __init__(self, wides: list[np.ndarray], sizes: np.ndarray) -> None:
+        self.wides, self.sizes, self.by = wides, sizes, {}
+        longs = np.array([len(w) for w in wides], dtype=np.int64)
+        for size in map(int, np.unique(longs)):
+            own = np.flatnonzero(longs == size)
+            own = own[np.argsort(sizes[own], kind="stable")]
+            rows = np.stack([wides[i] for i in own]).view(np.uint64)
+            half = rows[:, : size // 2] ^ rows[:, size // 2 :] if size > SKETCH else None
+            self.by[size] = own, sizes[own], rows, half
+
+    def near(self, i: int) -> np.ndarray:
+        """Places of the sets, itself included, that sizes and sketches leave a similarity of ``SHARE`` with the set at ``i``."""
+        n, mine, found = int(self.sizes[i]), self.wides[i].view(np.uint64), [np.empty(0, np.int64)]
+        for size in (len(mine) // 2, len(mine), len(mine) * 2):
+            if size not in self.by:
+                continue
+            own, ns, rows, half = self.by[size]
+            at, end = np.searchsorted(ns, (-(-n * SHARE[0] // SHARE[1]), n * SHARE[1] // SHARE[0] + 1))
+            a, b = (mine, half) if size > len(mine) else (_folded(mine, size), rows)
+            apart = np.bitwise_count(b[at:end] ^ a).sum(axis=1, dtype=np.int64)
+            found.append(own[at:end][apart * sum(SHARE) <= (SHARE[1] - SHARE[0]) * (ns[at:end] + n)])
+        return np.concatenate(found)
+
+
+def _set_forest(sets: list[np.ndarray], wides: list[np.ndarray], left: np.ndarray) -> list[tuple[int, int]]:
     """Edges (places) that connect what similar sets across ``left`` and the others connect; each set asks those not yet reached, once."""
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    wide = _Wide(wides, np.array([len(s) for s in sets], dtype=np.int64))
     new, edges = np.ones(len(sets), bool), []
     for start in np.flatnonzero(left):
         if not new[start]:
@@ -220,9 +251,8 @@ def _set_forest(sets: list[np.ndarray], sketches: np.ndarray, left: np.ndarray)
         new[start], front = False, [int(start)]
         while front:
             i = front.pop()
-            others = np.flatnonzero(new & (left != left[i]))
-            apart = np.bitwise_count(sketches[others] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-            others = others[apart * sum(SHARE) <= (SHARE[1] - SHARE[0]) * (sizes[others] + sizes[i])]
+            others = wide.near(i)
+            others = others[new[others] & (left[others] != left[i])]
             hit = [int(j) for j in others if _alike(sets[i], sets[j])]
             new[hit] = False
             front += hit
@@ -286,35 +316,29 @@ def shingle_links(docs: DataFrame, marked: DataFrame, width: int = 5) -> DataFra
 
     def partnered(part: pd.DataFrame) -> pd.DataFrame:
         """Sets for which the wide sketches leave a partner across the two blocks."""
-        if part["both"].all():
-            left = right = part
-        else:
-            left, right = part[part["left"]], part[~part["left"]]
-        sizes = [len(x) for x in part["wide"]]
-        size = min(sizes)
-        sides = [(np.array([_folded(w, size) for w in x["wide"]]).view(np.uint64).reshape(-1, size), x["n"].to_numpy(dtype=np.int64), x["key"].to_numpy()) for x in (left, right)]
-        (a, na, ka), (b, nb, kb) = sides
+        both, left, key = part["both"].all(), part["left"].to_numpy(), part["key"].to_numpy()
+        wide = _Wide(part["wide"].to_list(), part["n"].to_numpy(dtype=np.int64))
         found: set[int] = set()
-        for k in range(len(a)):
-            apart = np.bitwise_count(b ^ a[k]).sum(axis=1, dtype=np.int64)
-            hit = (apart * sum(SHARE) <= (SHARE[1] - SHARE[0]) * (nb + na[k])) & (kb != ka[k])
-            if hit.any():
-                found.add(int(ka[k]))
-                found.update(kb[hit].tolist())
+        for k in np.flatnonzero(left):
+            hit = wide.near(k)
+            hit = hit[(key[hit] != key[k]) & (both | ~left[hit])]
+            if len(hit):
+                found.add(int(key[k]))
+                found.update(key[hit].tolist())
         return pd.DataFrame({"s": part["s"].iloc[0], "key": np.array(sorted(found), dtype=np.int64)})
 
     wides = many.join(same.select("key", "wide"), "key")
     some = written(dealt(wides, "n", "wide").groupBy("s", "i", "j").applyInPandas(partnered, "s bigint, key bigint").distinct())
     few = many.join(some, ["s", "key"], "left_semi")
-    few = few.join(sets_of(some.select("key")), "key").join(same.select("key", "sketch"), "key")
-    dealt_sets = dealt(few, "fp", "sketch", "set")
+    few = few.join(sets_of(some.select("key")), "key").join(same.select("key", "wide"), "key")
+    dealt_sets = dealt(few, "fp", "wide", "set")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         if part["both"].any():  # a block against itself stands on both sides
             part = pd.concat([part.assign(left=True), part.assign(left=False)])
         sets = [np.frombuffer(x, np.uint64) for x in part["set"]]
         fp = part["fp"].to_numpy()
-        edges = np.array(_set_forest(sets, np.stack(part["sketch"].to_list()).view(np.uint64), part["left"].to_numpy()), dtype=np.int64).reshape(-1, 2)
+        edges = np.array(_set_forest(sets, part["wide"].to_list(), part["left"].to_numpy()), dtype=np.int64).reshape(-1, 2)
         found = pd.DataFrame({"a": fp[edges[:, 0]], "b": fp[edges[:, 1]]})
         return found[found["a"] != found["b"]]
 

@@ -170,6 +170,39 @@ def test_frequent_shingles_cost_a_search_each(spark, monkeypatch):
     assert took[1] < 2 * took[0] + 3, took
 
 
+def test_sets_are_compared_with_those_about_their_size():
+    """Short sets in a block leave long ones their sketches: sizes and sketches pass every similar pair, and hardly another."""
+    rnd = np.random.default_rng(4)
+    sets = []
+    for n in (1, 2, 5, 30, 100, 480, 520, 900, 1100, 2000, 2300, 6000):
+        base = rnd.integers(0, 1 << 63, n, dtype=np.uint64)
+        for cut in (0, n // 30, n // 12, n // 9):
+            sets.append(np.unique(np.concatenate([base[cut:], rnd.integers(0, 1 << 63, cut, dtype=np.uint64)])))
+            sets.append(np.unique(base[cut:]))
+        sets += [np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64)) for _ in range(4)]
+    wides = []
+    for x in sets:
+        size = max(simhash.SKETCH * 64, 1 << (len(x) - 1).bit_length())
+        wides.append(np.packbits((np.bincount((x & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)).view(np.int64))
+    wide = simhash._Wide(wides, np.array([len(x) for x in sets], dtype=np.int64))
+    near = {(i, int(j)) for i in range(len(sets)) for j in wide.near(i)}
+    alike = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if simhash._alike(a, b)}
+    assert alike <= near and len(near) < 1.5 * len(alike) < len(sets) ** 2 / 4
+    left = rnd.random(len(sets)) < 0.5
+    got = {frozenset(e) for e in simhash._set_forest(sets, wides, left)}
+    want = {frozenset(e) for e in alike if left[e[0]] != left[e[1]]}
+    roots = lambda edges: {frozenset(c) for c in _groups(edges)}
+    assert got <= want and roots(got) == roots(want)
+
+
+def _groups(edges):
+    groups = []
+    for e in edges:
+        met = [g for g in groups if g & e]
+        groups = [g for g in groups if not g & e] + [set(e).union(*met)]
+    return groups
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(1000, 1000 + i) for i in range(1, 60)] + [(5000, 4000), (5000, 4001), (7, 7), (None, 3)]
     got = {r.node: r.component for r in common.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
